@@ -1,0 +1 @@
+"""No operator here: every input of this domain is a finished file, so all jobs are batch jobs."""
