@@ -41,7 +41,7 @@ def ungroup_positions(grouped: DataFrame, keep: Sequence[str] = ("chrom", "pos")
     """Grouped lines (`seq`, `qual` as blank-joined text) back to one row per read, in list order."""
     pairs = F.arrays_zip(F.split("seq", " ").alias("umi"), F.split("qual", " ").alias("qual"))
     return grouped.select(*keep, F.posexplode(pairs).alias("ord", "_pair")).select(
-        *keep, "ord", F.col("_pair.0").alias("umi"), F.col("_pair.1").alias("qual")
+        *keep, "ord", F.col("_pair.umi").alias("umi"), F.col("_pair.qual").alias("qual")
     )
 
 
