@@ -5,28 +5,47 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F, types as T
 
-BROADCAST_BYTES = 64 << 20
 _ROW_OVERHEAD = 48
 
 
-def small(df: DataFrame, max_bytes: int = BROADCAST_BYTES) -> DataFrame:
-    """Hint a broadcast, but only after measuring that `df` stays below `max_bytes`.
+def broadcast_limit(spark: SparkSession) -> int:
+    """The session's own limit for broadcast tables, in bytes; 0 when broadcasts are switched off."""
+    limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold", "10485760")
+    units = {"k": 10, "m": 20, "g": 30}
+    text = limit.strip().lower().removesuffix("b")
+    if text and text[-1] in units:
+        return int(text[:-1]) << units[text[-1]]
+    return max(0, int(text))
 
-    Larger tables come back without a hint, so the join shuffles. Meant for sides that do not grow
-    with the reads (configurations, masks, totals per library): the check runs `df` once.
-    """
+
+def _row_bytes(df: DataFrame) -> Column:
     size = F.lit(_ROW_OVERHEAD)
     for field in df.schema.fields:
+        size = size + 16
         if isinstance(field.dataType, T.StringType):
-            size = size + F.coalesce(F.octet_length(F.col(f"`{field.name}`")), F.lit(0)) + 16
-        elif isinstance(field.dataType, (T.ArrayType, T.MapType, T.StructType, T.BinaryType)):
-            return df
-        else:
-            size = size + 16
-    measured = df.agg(F.sum(size.cast("long")).alias("bytes")).first()["bytes"] or 0
-    return F.broadcast(df) if measured <= max_bytes else df
+            size = size + F.coalesce(F.octet_length(F.col(f"`{field.name}`")), F.lit(0))
+        elif not isinstance(field.dataType, (T.NumericType, T.BooleanType)):
+            raise TypeError(f"no size estimate for column {field.name}")
+    return size.cast("long")
+
+
+def measured(df: DataFrame) -> tuple[DataFrame, int, int]:
+    """`df` evaluated once and staged, with its rows and approximate bytes."""
+    seen = Observation()
+    staged = stage(df.observe(seen, F.count(F.lit(1)).alias("rows"), F.sum(_row_bytes(df)).alias("bytes")))
+    return staged, seen.get["rows"] or 0, seen.get["bytes"] or 0
+
+
+def small(df: DataFrame) -> DataFrame:
+    """Hint a broadcast, but only after measuring that `df` stays below the session's limit.
+
+    `df` is evaluated once, here. A larger table comes back without a hint, so the join shuffles.
+    Meant for sides that do not grow with the reads: configurations, masks, totals per library.
+    """
+    staged, _, size = measured(df)
+    return F.broadcast(staged) if size <= broadcast_limit(df.sparkSession) else staged
 
 
 def shared_dir(spark: SparkSession) -> str:

@@ -9,7 +9,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, functions as F
 
 from cutgrid.functions.sizing import small
-from cutgrid.operators.intervals import points_in_regions
+from cutgrid.operators.intervals import totals_below
 from cutgrid.params import BinTag
 
 WHOLE_CHROMOSOME = "chromosome"
@@ -95,11 +95,27 @@ def count_in_bins(
 def count_in_regions(
     counts: DataFrame, regions: DataFrame, by: Sequence[str] = ("libid",), start: str = "start"
 ) -> DataFrame:
-    """Reads and sites per custom region (`region_start`, `region_end`), one input row per site."""
+    """Reads and sites per custom region (`region_start`, `region_end`) that has any site.
+
+    A region's total is what lies before its end less what lies before its start, so regions may
+    overlap as much as they like.
+    """
+    spans = regions.select("chrom", "region_start", "region_end").filter("region_end > region_start").distinct()
+    points = counts.groupBy(*by, "chrom", start).agg(F.sum("score").alias("reads"), F.count("*").alias("sites"))
+    edges = spans.select("chrom", F.explode(F.array("region_start", "region_end")).alias("edge"))
+    below = totals_below(points, edges, by, start, ["reads", "sites"])
+    keys = [*by, "chrom"]
+    low = below.select(
+        *keys, F.col("edge").alias("region_start"), F.col("reads_below").alias("_r0"), F.col("sites_below").alias("_s0")
+    )
+    high = below.select(
+        *keys, F.col("edge").alias("region_end"), F.col("reads_below").alias("_r1"), F.col("sites_below").alias("_s1")
+    )
     return (
-        points_in_regions(counts, regions, start)
-        .groupBy(*by, "chrom", "region_start", "region_end")
-        .agg(F.sum("score").alias("reads"), F.count("*").alias("sites"))
+        spans.join(low, ["chrom", "region_start"]).join(high, [*keys, "region_end"])
+        .select(*keys, "region_start", "region_end", (F.col("_r1") - F.col("_r0")).alias("reads"),
+                (F.col("_s1") - F.col("_s0")).alias("sites"))
+        .filter("sites > 0")
     )
 
 

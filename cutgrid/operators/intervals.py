@@ -13,7 +13,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from cutgrid.functions.sizing import BROADCAST_BYTES, small
+from cutgrid.functions.sizing import broadcast_limit, small
 
 BLOCK = 1 << 20
 CELL = 1 << 14
@@ -30,30 +30,31 @@ def cell_of(position: Column | str, width: int) -> Column:
 
 
 def running(
-    df: DataFrame, by: Sequence[str], on: str, value: Column, how: str, name: str,
-    inclusive: bool = True, width: int = BLOCK,
+    df: DataFrame, by: Sequence[str], on: str, values: dict[str, Column], how: str, inclusive: bool = True,
+    width: int = BLOCK,
 ) -> DataFrame:
-    """Running `sum` or `max` of `value` in order of `on` within `by`.
+    """Add running sums or maxima of `values` in order of `on` within `by`.
 
     Rows must be distinct in (`by`, `on`). The window covers one block; totals of earlier blocks
-    come from the block summary.
+    come from the block summary. `df` is read twice.
     """
     total = {"sum": F.sum, "max": F.max}[how]
-    cut = df.withColumn("_value", value).withColumn("_block", cell_of(on, width))
+    cut = df.withColumns({f"_v_{n}": v for n, v in values.items()} | {"_block": cell_of(on, width)})
     inside = Window.partitionBy(*by, "_block").orderBy(on).rowsBetween(
         Window.unboundedPreceding, Window.currentRow if inclusive else -1
     )
     earlier = Window.partitionBy(*by).orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
-    carried = (
-        cut.groupBy(*by, "_block").agg(total("_value").alias("_total"))
-        .select(*by, "_block", total("_total").over(earlier).alias("_carry"))
-    )
-    here = cut.withColumn("_here", total("_value").over(inside)).join(carried, [*by, "_block"])
-    if how == "sum":
-        result = F.coalesce("_here", F.lit(0)) + F.coalesce("_carry", F.lit(0))
-    else:
-        result = F.greatest("_here", "_carry")
-    return here.withColumn(name, result).drop("_value", "_block", "_here", "_carry")
+    blocks = cut.groupBy(*by, "_block").agg(*[total(f"_v_{n}").alias(f"_t_{n}") for n in values])
+    carried = blocks.select(*by, "_block", *[total(f"_t_{n}").over(earlier).alias(f"_c_{n}") for n in values])
+    here = cut.withColumns({f"_h_{n}": total(f"_v_{n}").over(inside) for n in values}).join(carried, [*by, "_block"])
+
+    def merged(n: str) -> Column:
+        if how == "max":
+            return F.greatest(f"_h_{n}", f"_c_{n}")
+        return F.coalesce(f"_h_{n}", F.lit(0)) + F.coalesce(f"_c_{n}", F.lit(0))
+
+    helpers = ["_block"] + [f"_{k}_{n}" for k in "vhc" for n in values]
+    return here.withColumns({n: merged(n) for n in values}).drop(*helpers)
 
 
 def neighbours(sites: DataFrame, by: str = "chrom", on: str = "site") -> DataFrame:
@@ -90,15 +91,16 @@ class SiteIndex:
 
 
 def index_sites(
-    sites: DataFrame, chrom: str = "chrom", start: str = "start", max_bytes: int = BROADCAST_BYTES
+    sites: DataFrame, chrom: str = "chrom", start: str = "start", max_bytes: int | None = None
 ) -> SiteIndex:
     """Build the look-up table of `nearest`.
 
     One small job counts the sites first. The cell width follows their mean spacing, so there are
     about two segments per site whether sites are dense or sparse; the same count bounds the size of
-    the look-up table, which is broadcast below `max_bytes` and shuffled above.
+    the look-up table, which is broadcast below `max_bytes` (by default the session's limit) and
+    shuffled above.
     """
-    points = sites.select(F.col(chrom).alias("chrom"), F.col(start).cast("long").alias("site")).distinct()
+    points = sites.select(F.col(chrom).alias("chrom"), F.col(start).cast("long").alias("site"))
     per_chrom = points.groupBy("chrom").agg(
         F.count("*").alias("n"), F.min("site").alias("first"), F.max("site").alias("last")
     )
@@ -124,7 +126,8 @@ def index_sites(
         "chrom", cell_of("first", width).alias("first_cell"), cell_of("last", width).alias("last_cell")
     )
     n_segments = 2 * n_sites + span // width + 2 * (seen["chroms"] or 0)
-    fits = n_segments * _SEGMENT_BYTES <= max_bytes
+    limit = broadcast_limit(sites.sparkSession) if max_bytes is None else max_bytes
+    fits = n_segments * _SEGMENT_BYTES <= limit
     return SiteIndex(
         segments=F.broadcast(segments) if fits else segments.hint("shuffle_hash"),
         bounds=F.broadcast(bounds) if seen["chroms"] <= _BOUND_ROWS else bounds,
@@ -162,9 +165,9 @@ def merge_intervals(intervals: DataFrame, chrom: str = "chrom") -> DataFrame:
         intervals.filter("end > start").groupBy(F.col(chrom).alias("chrom"), "start")
         .agg(F.max("end").alias("end"))
     )
-    reach = running(longest, ["chrom"], "start", F.col("end"), "max", "reach", inclusive=False)
+    reach = running(longest, ["chrom"], "start", {"reach": F.col("end")}, "max", inclusive=False)
     opens = F.when(F.col("reach").isNull() | (F.col("start") > F.col("reach")), F.col("start"))
-    island = running(reach, ["chrom"], "start", opens, "max", "island")
+    island = running(reach, ["chrom"], "start", {"island": opens}, "max")
     return island.groupBy("chrom", F.col("island").alias("start")).agg(F.max("end").alias("end"))
 
 
@@ -175,21 +178,26 @@ def cells_covered(intervals: DataFrame, start: str = "start", end: str = "end",
     )
 
 
-def points_in_regions(
-    points: DataFrame, regions: DataFrame, pos: str = "start", chrom: str = "chrom", width: int = CELL
+def totals_below(
+    points: DataFrame, edges: DataFrame, by: Sequence[str], pos: str, values: Sequence[str], chrom: str = "chrom"
 ) -> DataFrame:
-    """Join points to the regions (`region_start`, `region_end`, other columns) that hold them.
+    """Totals of `values` over all points that lie before each edge, per `by` and chromosome.
 
-    An equality join on grid cells with the exact test behind it. Aggregate points by position
-    before, so that the result grows with positions and not with reads.
+    Points and edges are put on one line of distinct positions, and a running sum along it answers
+    every edge: linear in both, where joining points to the regions that hold them would make a row
+    for each pair. `edges` has the chromosome and `edge`.
     """
-    grid = cells_covered(regions, "region_start", "region_end", width)
-    return (
-        points.withColumn("cell", cell_of(pos, width))
-        .join(small(grid), [chrom, "cell"])
-        .filter((F.col(pos) >= F.col("region_start")) & (F.col(pos) < F.col("region_end")))
-        .drop("cell")
+    keys = [*by, chrom]
+    line = points.select(*keys, F.col(pos).alias("edge"), *values, F.lit(0).alias("_asked"))
+    known = points.select(*keys).distinct()
+    asked = edges.select(chrom, "edge").distinct().join(known, chrom).select(
+        *keys, "edge", *[F.lit(0).cast("long").alias(v) for v in values], F.lit(1).alias("_asked")
+    )
+    line = line.unionByName(asked).groupBy(*keys, "edge").agg(
+        *[F.sum(v).alias(v) for v in values], F.max("_asked").alias("_asked")
     )
+    below = running(line, keys, "edge", {f"{v}_below": F.col(v) for v in values}, "sum", inclusive=False)
+    return below.filter("_asked = 1").select(*keys, "edge", *[f"{v}_below" for v in values])
 
 
 def outside_mask(

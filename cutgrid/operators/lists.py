@@ -6,7 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from cutgrid.functions.sizing import small
+from cutgrid.functions.sizing import measured, small
 
 LIST_ROWS = 200_000
 
@@ -28,11 +28,12 @@ def ordered_lists(
     consecutive stretch of the order: its rows are range-partitioned on the order key, so no task
     ever holds the whole group and no row is lost. `order` must tell the rows of a group apart.
     """
-    hot = df.groupBy(*keys).agg(F.count("*").alias("_rows")).filter(F.col("_rows") > max_rows)
-    in_hot_groups = hot.agg(F.sum("_rows").alias("rows")).first()["rows"]
-    if not in_hot_groups:
+    counts = df.groupBy(*keys).agg(F.count("*").alias("_rows"))
+    hot, hot_groups, _ = measured(counts.filter(F.col("_rows") > max_rows))
+    if not hot_groups:
         return _collect(df, keys, items, order).withColumn("chunk", F.lit(0).cast("long"))
 
+    in_hot_groups = hot.agg(F.sum("_rows").alias("rows")).first()["rows"]
     hot_keys = small(hot.drop("_rows"))
     plain = _collect(df.join(hot_keys, list(keys), "left_anti"), keys, items, order)
     stretches = (

@@ -58,14 +58,11 @@ def read_histograms(reads: DataFrame) -> DataFrame:
     """Histograms of read length, GC percent and mean quality: `libid, measure, value, n`."""
     length = F.length("seq")
     gc = length - F.length(F.translate("seq", "GCgc", ""))
-    total_q = F.aggregate(
-        F.split("qual", ""), F.lit(0),
-        lambda acc, c: acc + F.when(c == "", 0).otherwise(F.ascii(c) - PHRED_OFFSET),
-    )
+    total_q = F.aggregate(F.split("qual", ""), F.lit(0), lambda acc, c: acc + F.ascii(c)) - PHRED_OFFSET * F.length("qual")
     values = {
         "length": length,
-        "gc_percent": F.floor((gc * 100 + F.expr("length(seq) div 2")) / length),
-        "mean_quality": F.floor(total_q / F.length("qual")),
+        "gc_percent": F.floor(F.try_divide(gc * 100 + F.expr("length(seq) div 2"), length)),
+        "mean_quality": F.floor(F.try_divide(total_q, F.length("qual"))),
     }
     entries = [F.struct(F.lit(k).alias("measure"), v.cast("long").alias("value")) for k, v in values.items()]
     measured = reads.select("libid", F.explode(F.array(*entries)).alias("m"))

@@ -80,28 +80,42 @@ def collapse_reads(reads: DataFrame, by: Sequence[str] = LIB) -> DataFrame:
     return reads.groupBy(*by, "chrom", "pos", "umi").agg(F.count("*").alias("n"))
 
 
-def site_counts(
+def place_reads(
     reads: DataFrame, sites: DataFrame | SiteIndex, min_dist: int = MAX_SITE_DISTANCE, by: Sequence[str] = LIB
 ) -> DataFrame:
-    """Reads (`pre_n`) and distinct UMIs (`counts`) per site; the whole path in aggregates.
+    """Reads on their sites with a weight `n`: input order and qualities are given up.
 
-    Both levels of the deduplication combine before they shuffle, so a site that holds a large part
-    of all reads costs no more than its distinct UMIs. When the site look-up is too large to be
-    broadcast, reads are collapsed before they are shuffled to it.
+    When the site look-up is too large to be broadcast, reads are collapsed before they are shuffled
+    to it, so copies of a read travel once.
     """
     index = sites if isinstance(sites, SiteIndex) else index_sites(sites)
     if index.fits_broadcast:
         weighted = reads.select(*by, "chrom", "pos", "umi").withColumn("n", F.lit(1).cast("long"))
     else:
         weighted = collapse_reads(reads, by)
-    kept = assign(weighted, index, min_dist).filter(~F.col("is_orphan"))
+    return assign(weighted, index, min_dist)
+
+
+def counts_per_site(placed: DataFrame, by: Sequence[str] = LIB) -> DataFrame:
+    """Reads (`pre_n`) and distinct UMIs (`counts`) per site, out of placed reads.
+
+    Both levels combine before they shuffle, so a site that holds a large part of all reads costs no
+    more than its distinct UMIs.
+    """
     return (
-        kept.groupBy(*by, "chrom", "site", "umi").agg(F.sum("n").alias("n"))
-        .groupBy(*by, "chrom", "site")
-        .agg(F.sum("n").alias("pre_n"), F.count("*").alias("counts"))
+        placed.filter(~F.col("is_orphan"))
+        .groupBy(*by, "chrom", "site", "umi").agg(F.sum("n").alias("n"))
+        .groupBy(*by, "chrom", "site").agg(F.sum("n").alias("pre_n"), F.count("*").alias("counts"))
     )
 
 
+def site_counts(
+    reads: DataFrame, sites: DataFrame | SiteIndex, min_dist: int = MAX_SITE_DISTANCE, by: Sequence[str] = LIB
+) -> DataFrame:
+    """Reads and distinct UMIs per site: placing, distance filter and strict deduplication."""
+    return counts_per_site(place_reads(reads, sites, min_dist, by), by)
+
+
 def unique_umis(assigned: DataFrame, by: Sequence[str] = LIB) -> DataFrame:
     """Distinct UMIs of every site with their number of reads and the first place they were seen."""
     first = F.min(F.struct("pos", "strand", "ord")).alias("first_seen")
@@ -141,9 +155,8 @@ def assign_stats(assigned: DataFrame, by: Sequence[str] = LIB) -> DataFrame:
 
     Distances are summarised over distinct positions, not over reads.
     """
-    positions = assigned.groupBy(*by, "chrom", "pos", "site", "dist", "is_orphan").agg(
-        F.count("*").alias("n")
-    )
+    reads = F.sum("n") if "n" in assigned.columns else F.count("*")
+    positions = assigned.groupBy(*by, "chrom", "pos", "site", "dist", "is_orphan").agg(reads.alias("n"))
     per_site = positions.groupBy(*by, "chrom", "site").agg(
         F.sum("n").alias("n"), F.count("*").alias("n_pos"),
         F.coalesce(F.sum(F.when(~F.col("is_orphan"), F.col("n"))), F.lit(0)).alias("clean"),

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from cutgrid.functions.sizing import fresh_dir
+from cutgrid.functions.sizing import fresh_dir, stage
 from cutgrid.operators import alignments as aln, bins as bn, motif as mo, reads as rd, summary as sm, umis as um
 from cutgrid.operators.logs import log_metrics, require_metrics
 from cutgrid.plans import derived as d
@@ -230,7 +230,7 @@ SELECT * REPLACE ({", ".join(f"printf('%.2f%%', {chr(34)}{c}{chr(34)}) AS {chr(3
 def log_summary(spark, sf_dir):
     """Stage logs of every library written as text files, parsed and assembled to the summary."""
     out = fresh_dir(spark, "logs")
-    t = sm.as_text(summary_table(spark, sf_dir))
+    t = stage(sm.as_text(summary_table(spark, sf_dir)))
     pct = lambda c: F.regexp_replace(F.col(f"`{c}`"), "%", "")
     texts = {
         "quality": F.format_string("x\nINFO 1/2 (50%%) flag_extract.py:246\nINFO %d/%d (%s%%) reads flag_extract.py:246",

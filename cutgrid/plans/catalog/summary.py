@@ -4,9 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from cutgrid.functions.sizing import stage
 from cutgrid.operators import logs as lg, summary as sm, umis as um
 from cutgrid.operators.alignments import alignment_counts
-from cutgrid.operators.intervals import index_sites
 from cutgrid.plans import derived as d
 from cutgrid.plans.catalog.reads import FLAGGED_SQL
 from cutgrid.plans.catalog.registry import query, rounded, rounded_sql
@@ -63,12 +63,12 @@ _RATIOS = list(sm.RATIOS)
 
 
 def summary_table(spark, sf_dir):
-    umis, index = shifted(spark, sf_dir), index_sites(d.sites(spark, sf_dir))
+    placed = stage(um.place_reads(shifted(spark, sf_dir), d.sites(spark, sf_dir)))
     config = d.config(spark, sf_dir)
     stages = [
         sm.read_counts(flag_reads(d.raw_reads(spark, sf_dir), config)),
         alignment_counts(d.alignments(spark, sf_dir)),
-        sm.site_totals(um.assign_stats(um.assign(umis, index)), um.site_counts(umis, index)),
+        sm.site_totals(um.assign_stats(placed), um.counts_per_site(placed)),
     ]
     return sm.summarize(stages, "RUN1", config)
 

@@ -32,8 +32,10 @@ def _umi() -> Column:
 
 
 def _umi_qual() -> Column:
-    part, supp = F.col("l_partkey"), F.col("l_suppkey")
-    return F.concat(*[F.char(F.lit(55) + (part * 7 + supp * i) % 19) for i in range(1, 9)])
+    """Character i of 8 is 55 + (7 * part + i * supplier) % 19, looked up by both remainders."""
+    texts = ["".join(chr(55 + (a + b * i) % 19) for i in range(1, 9)) for a in range(19) for b in range(19)]
+    place = F.col("l_partkey") * 7 % 19 * 19 + F.col("l_suppkey") % 19
+    return F.get(F.array(*[F.lit(t) for t in texts]), place.cast("int"))
 
 
 def _read_id() -> Column:
@@ -113,10 +115,13 @@ def raw_reads(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.repeat(_letter(F.col("l_suppkey") % 4), F.col("l_linenumber")),
     )
     tail = F.repeat(F.char(F.lit(53) + F.col("l_partkey") % 20), F.col("l_linenumber") + 24)
-    return table(spark, sf_dir, "lineitem").select(
+    row = F.struct(
         F.col("l_returnflag").alias("libid"), _read_id().alias("read_id"),
         F.concat(_umi(), bc, cs, insert).alias("seq"), F.concat(_umi_qual(), tail).alias("qual"),
     )
+    # As rows of a generator the texts are made once per read, like columns of a file; otherwise every
+    # use of a column in a filter would repeat the expression that makes it.
+    return table(spark, sf_dir, "lineitem").select(F.inline(F.array(row)))
 
 
 RAW_READS_SQL = _RAW_SQL + """,

@@ -48,16 +48,17 @@ class Counted:
 def count_sites(alignments: DataFrame, sites: DataFrame, params: LibraryParams = LibraryParams()) -> Counted:
     """Alignments to deduplicated counts per cut site.
 
-    The site counts are staged once: the BED, the totals and the summary all start from them.
+    Placed reads and site counts are staged, because the BED, the totals and the summary start from
+    them and alignments should not be scanned again for each.
     """
     clean = aln.filter_alignments(alignments, params.min_mapq, params.mito_names)
     umis = um.shift_plus(aln.positioned_umis(clean), params.cs_len)
-    index = index_sites(sites)
-    counts = stage(um.site_counts(umis, index, params.min_dist))
+    placed = stage(um.place_reads(umis, index_sites(sites), params.min_dist))
+    counts = stage(um.counts_per_site(placed))
     return Counted(
         counts=counts,
         bed=um.site_bed(counts),
-        stats=um.assign_stats(um.assign(umis, index, params.min_dist)),
+        stats=um.assign_stats(placed),
         alignment_counts=aln.alignment_counts(alignments, params.min_mapq, params.mito_names),
     )
 
