@@ -28,49 +28,42 @@ RANGE_BYTES = 128 << 20
 def chunks(part: FileRange, chunk: int, overlap: int) -> Iterator[tuple[bytes | None, int, int, bytes]]:
     """Contig header (None before the first one of the range), offset, own letters, text.
 
-    Starts with an empty row, so that every range shows up, and tells of a contig that opens at the
-    very end of a range by an empty row too.
+    Starts with an empty row, so that every range shows up, and gives an empty row for a contig of
+    which only the header lies in the range.
     """
     yield None, 0, 0, b""
     contig: bytes | None = None
-    start, held = 0, bytearray()
-    owned = 0
-    done = False
+    start = owned = 0
+    held = bytearray()
+
+    def rest() -> Iterator[tuple[bytes | None, int, int, bytes]]:
+        if contig is not None and start == owned == 0:
+            yield contig, 0, 0, b""
+        for at in range(0, owned, chunk):
+            yield contig, start + at, min(chunk, owned - at), bytes(held[at:min(at + chunk, owned) + overlap])
+
     for offset, lines in line_blocks(part):
         for line in lines:
             inside = part.end < 0 or offset < part.end
             offset += len(line) + 1
             if line.startswith(b">"):
-                while owned > 0:
-                    span = min(chunk, owned)
-                    yield contig, start, span, bytes(held[:span + overlap])
-                    del held[:span]
-                    start, owned = start + span, owned - span
+                yield from rest()
                 if not inside:
                     return
-                contig, start, held, owned = line[1:].rstrip(b"\r"), 0, bytearray(), 0
+                contig, start, owned, held = line[1:].rstrip(b"\r"), 0, 0, bytearray()
                 continue
             text = line.rstrip(b"\r")
             held += text
             if inside:
                 owned += len(text)
-            else:
-                done = len(held) >= owned + overlap
-            while len(held) >= chunk + overlap and owned >= chunk:
+            while owned >= chunk and len(held) >= chunk + overlap:
                 yield contig, start, chunk, bytes(held[:chunk + overlap])
                 del held[:chunk]
                 start, owned = start + chunk, owned - chunk
-            if done:
-                break
-        if done:
-            break
-    if contig is not None and start == owned == 0:
-        yield contig, 0, 0, b""
-    while owned > 0:
-        span = min(chunk, owned)
-        yield contig, start, span, bytes(held[:span + overlap])
-        del held[:span]
-        start, owned = start + span, owned - span
+            if not inside and len(held) >= owned + overlap:
+                yield from rest()
+                return
+    yield from rest()
 
 
 class FastaReader(DataSourceReader):

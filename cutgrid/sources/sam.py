@@ -21,9 +21,9 @@ def read_sam(spark: SparkSession, path: str | Sequence[str], sep: str = ".") ->
         .filter(~F.col("value").startswith("@") & (F.col("value") != ""))
         .select("libid", fields.alias("f"))
         .select(
-            "libid", F.get("f", F.lit(0)).alias("read_id"), F.get("f", F.lit(1)).cast("int").alias("flag"),
-            F.get("f", F.lit(2)).alias("chrom"), F.get("f", F.lit(3)).cast("long").alias("pos"),
-            F.get("f", F.lit(4)).cast("int").alias("mapq"), F.get("f", F.lit(5)).alias("cigar"),
+            "libid", F.get("f", F.lit(0)).alias("read_id"), F.get("f", F.lit(1)).try_cast("int").alias("flag"),
+            F.get("f", F.lit(2)).alias("chrom"), F.get("f", F.lit(3)).try_cast("long").alias("pos"),
+            F.get("f", F.lit(4)).try_cast("int").alias("mapq"), F.get("f", F.lit(5)).alias("cigar"),
             F.get("f", F.lit(6)).alias("rnext"),
             F.coalesce(F.get("f", F.lit(11)).rlike(r"(^|\t)XS:i:"), F.lit(False)).alias("multi"),
         )

@@ -137,8 +137,9 @@ LOG_FILES = {
 
 def read_logs(spark: SparkSession, root: str) -> DataFrame:
     """Lines of all stage logs and count files below `root`: `libid, stage, line_no, line`."""
-    patterns = [f"{root.rstrip('/')}/{folder}/*{suffix}" for folder, suffix in LOG_FILES.values()]
-    files = spark.read.text(patterns, wholetext=True).select(
+    folders = ",".join(sorted({folder for folder, _ in LOG_FILES.values()}))
+    reader = spark.read.option("pathGlobFilter", "*.{log,txt}")
+    files = reader.text(f"{root.rstrip('/')}/{{{folders}}}/*", wholetext=True).select(
         F.col("_metadata.file_path").alias("path"), F.col("value")
     )
     stage, libid = F.lit(None).cast("string"), F.lit(None).cast("string")
@@ -148,6 +149,6 @@ def read_logs(spark: SparkSession, root: str) -> DataFrame:
         stage = F.when(here, key).otherwise(stage)
         libid = F.when(here, F.expr(f"left(substring_index(path, '/', -1), length(substring_index(path, '/', -1)) - {len(suffix)})")).otherwise(libid)
     return (
-        files.select(libid.alias("libid"), stage.alias("stage"), F.posexplode(F.split("value", "\r?\n")).alias("line_no", "line"))
+        files.filter(stage.isNotNull()).select(libid.alias("libid"), stage.alias("stage"), F.posexplode(F.split("value", "\r?\n")).alias("line_no", "line"))
         .withColumn("line_no", F.col("line_no").cast("long"))
     )
