@@ -65,10 +65,19 @@ def assign(
 
 
 def orphans(assigned: DataFrame, by: Sequence[str] = LIB) -> DataFrame:
-    """Orphan reads as exported: `pos` is the nearest site, not the read's position."""
+    """Orphan reads, one row each: `pos` is the nearest site, not the read's position."""
     return assigned.filter("is_orphan").select(*by, "chrom", F.col("site").alias("pos"), "umi", "qual")
 
 
+def orphan_groups(assigned: DataFrame, by: Sequence[str] = LIB, max_rows: int = LIST_ROWS) -> DataFrame:
+    """Orphans as exported: one row per read position, not merged, with the nearest site as `pos`."""
+    far = assigned.filter("is_orphan").withColumnRenamed("pos", "read_pos")
+    lists = ordered_lists(
+        far, [*by, "chrom", "site", "read_pos"], ["umi", "qual"], [F.col("strand"), F.col("ord")], max_rows
+    )
+    return lists.withColumnRenamed("site", "pos")
+
+
 def merge_sites(assigned: DataFrame, by: Sequence[str] = LIB, max_rows: int = LIST_ROWS) -> DataFrame:
     """One row per site with the UMIs and qualities of its kept reads, in read order."""
     kept = assigned.filter(~F.col("is_orphan"))

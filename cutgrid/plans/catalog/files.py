@@ -105,9 +105,7 @@ def grouped_umis_scan(spark, sf_dir):
     """Grouped lists written as text, read and unrolled into reads again."""
     out = fresh_dir(spark, "grouped")
     sinks.write_grouped(um.group_positions(shifted(spark, sf_dir)), out)
-    lines = spark.read.schema("chrom string, pos long, seq string, qual string, libid string").option("sep", "\t").option(
-        "quote", "").option("escape", "").csv(out)
-    return um.ungroup_positions(lines, ["libid", "chrom", "pos"]).drop("ord")
+    return tb.read_grouped_umis(spark, out).drop("ord", "strand")
 
 
 @query(f"""WITH {d.ASSIGNED_SQL}
@@ -116,7 +114,7 @@ def assigned_export(spark, sf_dir):
     """Kept and orphan UMIs written side by side, and counted from the written files."""
     out = fresh_dir(spark, "assigned")
     placed = assigned(spark, sf_dir)
-    sinks.write_assigned(um.merge_sites(placed), um.orphans(placed), out, "umis_at_cs")
+    sinks.write_assigned(um.merge_sites(placed), um.orphan_groups(placed), out, "umis_at_cs")
 
     def counted_lines(name: str, orphan: bool):
         lines = tb.read_tsv(spark, f"{out}/{name}", tb.schemas.GROUPED_UMIS).select(
@@ -134,10 +132,8 @@ def dedup_export(spark, sf_dir):
     """Deduplicated sites written and read back; the count must be the length of the list."""
     out = fresh_dir(spark, "dedup")
     sinks.write_dedup(um.dedup_lists(assigned(spark, sf_dir)), out)
-    rows = tb.read_tsv(spark, out, tb.schemas.DEDUP_UMIS).withColumn("libid", _folder_library(None))
-    return rows.filter(F.size(F.split("seq", " ")) == tb.whole_number("counts")).select(
-        "libid", "chrom", tb.whole_number("pos").alias("pos"), tb.whole_number("counts").alias("counts")
-    )
+    rows = tb.read_dedup_umis(spark, out)
+    return rows.filter(F.size("umis") == F.col("counts")).drop("umis")
 
 
 @query(f"""WITH {d.COUNTS_SQL}

@@ -23,19 +23,23 @@ def _letter(n: Column) -> Column:
     return F.substring(F.lit("ACGT"), (n + 1).cast("int"), 1)
 
 
+def _pick(texts: list[str], n: Column) -> Column:
+    """Text number `n` of a short list made at plan time."""
+    return F.get(F.array(*[F.lit(t) for t in texts]), n.cast("int"))
+
+
 def _chrom(n: Column) -> Column:
-    return F.concat(F.lit("chr"), (n + 1).cast("string"))
+    return _pick([f"chr{i}" for i in range(1, 8)], n)
 
 
 def _umi() -> Column:
-    return F.concat(F.lit("AAAAAA"), _letter(F.expr("(l_partkey % 16) div 4")), _letter(F.col("l_partkey") % 4))
+    return _pick(["AAAAAA" + a + b for a in "ACGT" for b in "ACGT"], F.col("l_partkey") % 16)
 
 
 def _umi_qual() -> Column:
     """Character i of 8 is 55 + (7 * part + i * supplier) % 19, looked up by both remainders."""
     texts = ["".join(chr(55 + (a + b * i) % 19) for i in range(1, 9)) for a in range(19) for b in range(19)]
-    place = F.col("l_partkey") * 7 % 19 * 19 + F.col("l_suppkey") % 19
-    return F.get(F.array(*[F.lit(t) for t in texts]), place.cast("int"))
+    return _pick(texts, F.col("l_partkey") * 7 % 19 * 19 + F.col("l_suppkey") % 19)
 
 
 def _read_id() -> Column:

@@ -40,10 +40,9 @@ def write_grouped(grouped: DataFrame, path: str, pos: str = "pos", **options) ->
 
 
 def write_assigned(merged: DataFrame, orphans: DataFrame, folder: str, name: str, **options) -> None:
-    """Kept sites under `name` and orphan reads under `orphan.<name>`."""
+    """Kept sites under `name` and orphan positions (`orphan_groups`) under `orphan.<name>`."""
     write_grouped(merged, f"{folder}/{name}", pos="site", **options)
-    lines = orphans.orderBy("libid", "chrom", "pos").select("libid", "chrom", "pos", "umi", "qual")
-    write_tsv(lines, f"{folder}/orphan.{name}", partition_by=["libid"], **options)
+    write_grouped(orphans, f"{folder}/orphan.{name}", **options)
 
 
 def write_reads(reads: DataFrame, path: str, pattern: str | None = None, **options) -> None:

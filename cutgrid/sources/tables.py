@@ -35,12 +35,18 @@ def input_order() -> Column:
     )
 
 
+def file_library() -> Column:
+    """Library of the file a row comes from: its `libid=` folder, else its name up to the first dot."""
+    folder = F.regexp_extract("_metadata.file_path", "/libid=([^/]+)/", 1)
+    return F.when(folder != "", folder).otherwise(library_id("_metadata.file_name", "."))
+
+
 def read_stranded_umis(spark: SparkSession, plus: Paths, reverse: Paths, sep: str = "\t") -> DataFrame:
     """UMI lists of both strands as one long table; the library is the file name up to its first dot."""
     def one(path: Paths, strand: str) -> DataFrame:
         rows = read_tsv(spark, path, schemas.STRANDED_UMIS, sep=sep)
         return rows.select(
-            library_id("_metadata.file_name", ".").alias("libid"), "chrom", "pos", F.lit(strand).alias("strand"),
+            file_library().alias("libid"), "chrom", "pos", F.lit(strand).alias("strand"),
             F.col("seq").alias("umi"), "qual", input_order().alias("ord"),
         )
 
@@ -48,16 +54,27 @@ def read_stranded_umis(spark: SparkSession, plus: Paths, reverse: Paths, sep: st
 
 
 def read_grouped_umis(spark: SparkSession, path: Paths, sep: str = "\t") -> DataFrame:
-    """Grouped UMI lists, one row per position as in the file, with the library from the file name."""
+    """Grouped UMI lists as one row per read: `libid, chrom, pos, strand, umi, qual, ord`.
+
+    The lists no longer tell the strand, so it is empty; `ord` is the place of the line in its file
+    and of the read in its line.
+    """
     rows = read_tsv(spark, path, schemas.GROUPED_UMIS, sep=sep)
-    return rows.select(library_id("_metadata.file_name", ".").alias("libid"), "chrom", "pos", "seq", "qual")
+    pairs = F.arrays_zip(F.split("seq", " ").alias("umi"), F.split("qual", " ").alias("qual"))
+    return rows.select(
+        file_library().alias("libid"), "chrom", "pos", input_order().alias("line"),
+        F.posexplode(pairs).alias("place", "pair"),
+    ).select(
+        "libid", "chrom", "pos", F.lit("").alias("strand"), F.col("pair.umi").alias("umi"),
+        F.col("pair.qual").alias("qual"), F.struct("line", "place").alias("ord"),
+    )
 
 
 def read_dedup_umis(spark: SparkSession, path: Paths) -> DataFrame:
     """Deduplicated sites; numbers may be padded with blanks."""
     rows = read_tsv(spark, path, schemas.DEDUP_UMIS)
     return rows.select(
-        library_id("_metadata.file_name", ".").alias("libid"), F.trim("chrom").alias("chrom"),
+        file_library().alias("libid"), F.trim("chrom").alias("chrom"),
         whole_number("pos").alias("pos"), F.split(F.trim("seq"), " ").alias("umis"),
         whole_number("counts").alias("counts"),
     )
