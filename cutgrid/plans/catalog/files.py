@@ -29,10 +29,10 @@ def _folder_library(df, path: str = "_metadata.file_path"):
 
 @query(f"WITH {d.RAW_READS_SQL} SELECT read_id, seq, qual FROM raw_reads")
 def fastq_scan(spark, sf_dir):
-    """Plain FASTQ, read in byte ranges that cut through records."""
+    """Plain FASTQ, read in byte ranges."""
     out = fresh_dir(spark, "fastq")
     sinks.write_reads(d.raw_reads(spark, sf_dir).drop("libid"), out, compress=False)
-    return read_fastq(spark, out, range_bytes=300_000).select("read_id", "seq", "qual")
+    return read_fastq(spark, out).select("read_id", "seq", "qual")
 
 
 @query(f"WITH {d.RAW_READS_SQL} SELECT read_id, seq, qual FROM raw_reads")
@@ -60,13 +60,13 @@ _ASCII_SQL = "documents_ascii AS (SELECT doc_id, upper(regexp_replace(text, '[^A
 starts AS (SELECT 'chr' || CAST(doc_id AS VARCHAR) AS chrom, unnest(range(0, length(text) - 1)) AS start, text FROM documents_ascii)
 SELECT chrom, start, start + 2 AS "end" FROM starts WHERE lower(substr(text, start + 1, 2)) = '{MOTIF}'""")
 def fasta_sites(spark, sf_dir):
-    """Documents as FASTA lines of 60 letters, read in byte ranges that cut through contigs, searched."""
+    """Documents as FASTA lines of 60 letters, read in byte ranges and searched."""
     out = fresh_dir(spark, "fasta")
     letters = F.upper(F.regexp_replace("text", "[^A-Za-z]", ""))
     wrapped = F.regexp_replace(letters, "(.{60})", "$1\n")
     record = F.concat(F.lit(">"), F.col("doc_id").cast("string"), F.lit(" dna\n"), wrapped)
     d.table(spark, sf_dir, "documents").select(record.alias("value")).write.text(out)
-    return mo.find_motif(read_fasta(spark, out, chunk=5_000, range_bytes=100_000), MOTIF)
+    return mo.find_motif(read_fasta(spark, out), MOTIF)
 
 
 _SAM_COLUMNS = ("read_id", "flag", "chrom", "pos", "mapq", "cigar", "multi")

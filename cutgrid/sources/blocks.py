@@ -8,6 +8,7 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 from urllib.parse import urlparse
 
+from pyspark.sql import SparkSession
 from pyspark.sql.datasource import InputPartition
 
 READ_BYTES = 8 << 20
@@ -57,14 +58,33 @@ def list_files(path: str) -> list[tuple[str, int]]:
     return found
 
 
-def file_ranges(path: str, range_bytes: int) -> list[FileRange]:
+def range_options(spark: SparkSession, range_bytes: int | None) -> dict[str, str]:
+    """Largest and smallest range and the number of cores, from the session's own file settings."""
+    def size(key: str, default: str) -> int:
+        text = spark.conf.get(key, default).strip().lower().removesuffix("b")
+        return int(text[:-1]) << {"k": 10, "m": 20, "g": 30}[text[-1]] if text[-1] in "kmg" else int(text)
+
+    if range_bytes is not None:
+        return {"range_bytes": str(range_bytes), "least_bytes": str(range_bytes), "slices": "1"}
+    return {
+        "range_bytes": str(size("spark.sql.files.maxPartitionBytes", "128m")),
+        "least_bytes": str(size("spark.sql.files.openCostInBytes", "4m")),
+        "slices": str(spark.sparkContext.defaultParallelism),
+    }
+
+
+def file_ranges(options: dict[str, str]) -> list[FileRange]:
+    """Ranges of all plain files, small enough to give every core one where the data allow it."""
+    files = list_files(options["path"])
+    most, least, slices = (int(options[k]) for k in ("range_bytes", "least_bytes", "slices"))
+    total = sum(size for name, size in files if not name.endswith(".gz"))
+    width = min(most, max(least, total // slices + 1))
     ranges = []
-    for name, size in list_files(path):
+    for name, size in files:
         if name.endswith(".gz"):
             ranges.append(FileRange(name, 0, 0, -1))
         else:
-            starts = range(0, size, range_bytes)
-            ranges += [FileRange(name, i, s, min(s + range_bytes, size)) for i, s in enumerate(starts)]
+            ranges += [FileRange(name, i, s, min(s + width, size)) for i, s in enumerate(range(0, size, width))]
     return ranges
 
 

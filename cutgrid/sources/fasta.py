@@ -18,11 +18,10 @@ from cutgrid.functions.sizing import small
 from cutgrid.functions.text import first_token
 from cutgrid.schemas import FASTA
 from cutgrid.sources import blocks
-from cutgrid.sources.blocks import FileRange, file_ranges, line_blocks
+from cutgrid.sources.blocks import FileRange, file_ranges, line_blocks, range_options
 
 CHUNK = 1 << 16
 OVERLAP = 64
-RANGE_BYTES = 128 << 20
 
 
 def chunks(part: FileRange, chunk: int, overlap: int) -> Iterator[tuple[bytes | None, int, int, bytes]]:
@@ -67,11 +66,11 @@ def chunks(part: FileRange, chunk: int, overlap: int) -> Iterator[tuple[bytes |
 
 
 class FastaReader(DataSourceReader):
-    def __init__(self, path: str, chunk: int, overlap: int, range_bytes: int) -> None:
-        self.path, self.chunk, self.overlap, self.range_bytes = path, chunk, overlap, range_bytes
+    def __init__(self, options: dict[str, str]) -> None:
+        self.options, self.chunk, self.overlap = options, int(options["chunk"]), int(options["overlap"])
 
     def partitions(self) -> list[FileRange]:
-        return file_ranges(self.path, self.range_bytes)
+        return file_ranges(self.options)
 
     def read(self, partition: FileRange):
         for i, (contig, offset, span, text) in enumerate(chunks(partition, self.chunk, self.overlap)):
@@ -82,6 +81,8 @@ class FastaReader(DataSourceReader):
 
 
 class FastaSource(DataSource):
+    """Data source behind `read_fasta`."""
+
     @classmethod
     def name(cls) -> str:
         return "fasta"
@@ -90,16 +91,12 @@ class FastaSource(DataSource):
         return FASTA
 
     def reader(self, schema: T.StructType) -> FastaReader:
-        get = self.options.get
-        return FastaReader(
-            self.options["path"], int(get("chunk", CHUNK)), int(get("overlap", OVERLAP)),
-            int(get("range_bytes", RANGE_BYTES)),
-        )
+        return FastaReader(dict(self.options))
 
 
 def read_fasta(
     spark: SparkSession, path: str, prefix: str = "chr", chunk: int = CHUNK, overlap: int = OVERLAP,
-    range_bytes: int = RANGE_BYTES,
+    range_bytes: int | None = None,
 ) -> DataFrame:
     """Chunk table `chrom, offset, span, seq`; names are `prefix` + the header's first token.
 
@@ -110,7 +107,7 @@ def read_fasta(
     spark.dataSource.register(FastaSource)
     rows = (
         spark.read.format("fasta").option("chunk", chunk).option("overlap", overlap)
-        .option("range_bytes", range_bytes).load(path)
+        .options(**range_options(spark, range_bytes)).load(path)
     )
     # Per range: the last contig that begins in it, and the letters after that header (or all of them).
     ranges = rows.groupBy("file", "part").agg(

@@ -16,10 +16,9 @@ from pyspark.sql.datasource import DataSource, DataSourceReader
 from cutgrid.functions.text import first_token, library_id
 from cutgrid.schemas import FASTQ
 from cutgrid.sources import blocks
-from cutgrid.sources.blocks import FileRange, file_ranges, line_blocks
+from cutgrid.sources.blocks import FileRange, file_ranges, line_blocks, range_options
 
 BATCH = 1 << 16
-RANGE_BYTES = 128 << 20
 
 
 def first_record(lines: list[bytes]) -> int | None:
@@ -65,11 +64,11 @@ def records(part: FileRange) -> Iterator[tuple[int, list[bytes]]]:
 
 
 class FastqReader(DataSourceReader):
-    def __init__(self, path: str, range_bytes: int) -> None:
-        self.path, self.range_bytes = path, range_bytes
+    def __init__(self, options: dict[str, str]) -> None:
+        self.options = options
 
     def partitions(self) -> list[FileRange]:
-        return file_ranges(self.path, self.range_bytes)
+        return file_ranges(self.options)
 
     def read(self, partition: FileRange):
         import pyarrow as pa
@@ -99,7 +98,7 @@ FASTQ_NAMES = list(FASTQ.names)
 
 
 class FastqSource(DataSource):
-    """`spark.read.format("fastq").load(path)`; option `range_bytes` sets the split size."""
+    """Data source behind `read_fastq`."""
 
     @classmethod
     def name(cls) -> str:
@@ -109,17 +108,20 @@ class FastqSource(DataSource):
         return FASTQ
 
     def reader(self, schema: T.StructType) -> FastqReader:
-        return FastqReader(self.options["path"], int(self.options.get("range_bytes", RANGE_BYTES)))
+        return FastqReader(dict(self.options))
 
 
 def read_fastq(
-    spark: SparkSession, path: str, sep: str = "_", range_bytes: int = RANGE_BYTES, partitions: int | None = None
+    spark: SparkSession, path: str, sep: str = "_", range_bytes: int | None = None, partitions: int | None = None
 ) -> DataFrame:
-    """Reads as `libid, read_id, seq, qual, ord`; the library is the file name up to `sep`."""
+    """Reads as `libid, read_id, seq, qual, ord`; the library is the file name up to `sep`.
+
+    `range_bytes` fixes the split size, which otherwise follows the session's file settings.
+    """
     for module in (blocks, sys.modules[__name__]):
         cloudpickle.register_pickle_by_value(module)
     spark.dataSource.register(FastqSource)
-    rows = spark.read.format("fastq").option("range_bytes", range_bytes).load(path)
+    rows = spark.read.format("fastq").options(**range_options(spark, range_bytes)).load(path)
     if partitions is not None:
         rows = rows.repartition(partitions)
     stem = F.regexp_replace("file", r"\.(fastq|fq|txt)(\.gz)?$", "")
