@@ -15,6 +15,8 @@ from cutgrid.functions.text import duration_seconds
 from cutgrid.operators.bins import BIN, SPAN
 from cutgrid.params import parse_outlier_tag
 
+# Scores closer than this are equal: sums of logarithms of equal rates differ in their last bits.
+TOLERANCE = 1e-9
 EXP_BIN = ["exid", *SPAN]
 
 
@@ -97,15 +99,17 @@ def score_fences(scores: DataFrame, tag: str = "iqr:1.5", normalize_by: str = "l
 def rescale_scores(scores: DataFrame, tag: str = "iqr:1.5", normalize_by: str = "lib") -> DataFrame:
     """Rescale scores to 0..1 over the bins inside the fences; outliers get a flag and no rescaled value.
 
+    Where all scores of a group are equal there is nothing to rescale by, and the value is null.
     `scores` is read several times: stage it first when it is expensive.
     """
     keys = _group(normalize_by)
     flagged = scores.join(small(score_fences(scores, tag, normalize_by)), keys, "left").withColumn(
-        "is_outlier", (F.col("score") < F.col("low")) | (F.col("score") > F.col("high"))
+        "is_outlier", (F.col("score") < F.col("low") - TOLERANCE) | (F.col("score") > F.col("high") + TOLERANCE)
     )
     inside = F.when(~F.col("is_outlier"), F.col("score"))
     limits = small(flagged.groupBy(*keys).agg(F.min(inside).alias("_lo"), F.max(inside).alias("_hi")))
-    rescaled = F.try_divide(F.col("score") - F.col("_lo"), F.col("_hi") - F.col("_lo"))
+    spread = F.col("_hi") - F.col("_lo")
+    rescaled = F.when(spread > TOLERANCE, (F.col("score") - F.col("_lo")) / spread)
     return flagged.join(limits, keys, "left").select(
         *EXP_BIN, "score", "is_outlier", F.when(~F.col("is_outlier"), rescaled).alias("rescaled")
     )

@@ -42,10 +42,10 @@ def _rescaled_sql(by_chrom: bool) -> str:
     return f"""fences AS (
   SELECT {keys}, quantile_cont(score, 0.25) AS q1, quantile_cont(score, 0.75) AS q3 FROM scores WHERE score IS NOT NULL GROUP BY {keys}),
 flagged AS (
-  SELECT s.*, score < q1 - 1.5 * (q3 - q1) OR score > q3 + 1.5 * (q3 - q1) AS is_outlier FROM scores s JOIN fences USING ({keys})),
+  SELECT s.*, score < q1 - 1.5 * (q3 - q1) - 1e-9 OR score > q3 + 1.5 * (q3 - q1) + 1e-9 AS is_outlier FROM scores s JOIN fences USING ({keys})),
 limits AS (SELECT {keys}, min(score) AS lo, max(score) AS hi FROM flagged WHERE NOT is_outlier GROUP BY {keys}),
 final AS (
-  SELECT f.*, CASE WHEN NOT is_outlier AND hi > lo THEN (score - lo) / (hi - lo) END AS rescaled
+  SELECT f.*, CASE WHEN NOT is_outlier AND hi - lo > 1e-9 THEN (score - lo) / (hi - lo) END AS rescaled
   FROM flagged f LEFT JOIN limits USING ({keys}))
 SELECT exid, bin_tag, chrom, start, "end", {rounded_sql("score")} AS score, is_outlier, {rounded_sql("rescaled")} AS rescaled FROM final"""
 

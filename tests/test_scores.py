@@ -73,6 +73,12 @@ def test_rescaling_keeps_outliers_flagged(spark):
     assert got[0] == (False, 0.0) and got[9] == (False, 1.0) and got[3][1] == pytest.approx(1 / 3)
 
 
+def test_equal_scores_are_not_rescaled(spark):
+    rows = [("E", "t", "chr1", i, i + 1, 0.1 + 0.2 if i % 5 else 0.3) for i in range(20)]
+    table = spark.createDataFrame(rows, "exid string, bin_tag string, chrom string, start long, end long, score double")
+    assert {(r.is_outlier, r.rescaled) for r in sc.rescale_scores(table).collect()} == {(False, None)}
+
+
 def test_condition_order_is_checked(spark):
     rows = [("E", "20s", 1, "A"), ("E", "5min", 2, "B"), ("E", "1min", 3, "C")]
     got = {r.cond: r.rises for r in sc.condition_order(spark.createDataFrame(rows, CONDITIONS)).collect()}
