@@ -1,7 +1,7 @@
 """Time the headline queries and print one JSON line.
 
 BENCH_SF_DIR: data folder (default sf0.1). BENCH_CPUS: local cores (default all). BENCH_RUNS: timed runs
-per query after one warm-up run (default 3, the median counts). BENCH_QUERIES: names, blank-separated, or
+per query after one warm-up run (default 1; the median counts). BENCH_QUERIES: names, blank-separated, or
 `all`.
 """
 
@@ -37,7 +37,7 @@ def run_once(spark, sf_dir: str, name: str) -> float:
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = os.environ.get("BENCH_CPUS", str(os.cpu_count()))
-    runs = int(os.environ.get("BENCH_RUNS", "3"))
+    runs = int(os.environ.get("BENCH_RUNS", "1"))
     names = os.environ.get("BENCH_QUERIES", "").split() or HEADLINE
     names = list(QUERIES) if names == ["all"] else names
     scratch = tempfile.mkdtemp(prefix="cutgrid-bench-")
