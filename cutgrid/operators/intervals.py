@@ -145,8 +145,6 @@ def nearest(points: DataFrame, index: SiteIndex, chrom: str = "chrom", pos: str
     """
     bounds = index.bounds.withColumnRenamed("chrom", chrom)
     segments = index.segments.select(F.col("chrom").alias(chrom), "cell", "lo", "hi", "site")
-    if not index.fits_broadcast:
-        segments = segments.hint("shuffle_hash")
     own_cell = F.greatest(F.least(cell_of(pos, index.width), F.col("last_cell")), F.col("first_cell"))
     return (
         points.join(bounds, chrom)
