@@ -79,11 +79,7 @@ def drop_copies(docs: DataFrame) -> DataFrame:
     stays = docs.join(
         keep, docs["doc_id"].eqNullSafe(keep["__keep_id"]) & (digest == keep["__keep_digest"]), "left_semi"
     )
-    return one_per_id(stays)
-
-
-def one_per_id(docs: DataFrame) -> DataFrame:
-    """One row per `doc_id` and text. Texts are only shuffled if some id really comes twice."""
-    if docs.groupBy("doc_id").agg(F.count(F.lit(1)).alias("__rows")).filter("__rows > 1").isEmpty():
-        return docs
-    return docs.dropDuplicates(["doc_id", "text"])
+    repeated = stays.groupBy("doc_id").agg(F.count(F.lit(1)).alias("__rows")).filter("__rows > 1")
+    if repeated.isEmpty():
+        return stays
+    return stays.withColumn("__content", normalised(F.col("text"))).dropDuplicates(["doc_id", "__content"]).drop("__content")
