@@ -4,10 +4,29 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from cutgrid.llm import exact_dedup, secret_scan
+from cutgrid.llm import exact_dedup, pii, secret_scan
 from cutgrid.llm.common import table
 
 
+def op1_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pii.scan(table(spark, sf_dir, "documents"))
+    base = F.filter("spans", lambda s: s["kind"].isin(*pii.BASE))
+
+    def count(kind):
+        return F.size(F.filter("spans", lambda s: s["kind"] == kind))
+
+    def written(spans):
+        return F.array_join(F.transform(spans, lambda s: F.concat_ws(
+            ":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))), ",")
+
+    return found.select(
+        "doc_id",
+        *[count(kind).cast("long").alias(f"n_{kind}") for kind in pii.BASE],
+        F.sha2(written(base), 256).alias("base_sha256"), written(F.col("spans")).alias("spans"),
+        F.array_join(F.transform("spans", lambda s: s["score"].cast("string")), ",").alias("scores"),
+    )
+
+
 def op4_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.scan(table(spark, sf_dir, "documents")).select(
         "doc_id", "n_assign", "n_access", "n_hex", F.sha2("base", 256).alias("base_sha256"), "spans", "n_entropy"
@@ -21,6 +40,7 @@ def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_pii": op1_pii,
     "op4_secret_scan": op4_secret_scan,
     "op6_exact_dedup": op6_exact_dedup,
 }

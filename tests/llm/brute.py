@@ -43,3 +43,25 @@ def secrets(text):
             more.append(("entropy", m.start(), m.end()))
     kinds = ["assign", "access", "hex", "entropy"]
     return base, joined(base, kinds), joined(base + more, kinds)
+
+
+def luhn(number):
+    digits = [int(c) for c in number][::-1]
+    return (sum(digits[0::2]) + sum(sum(divmod(2 * d, 10)) for d in digits[1::2])) % 10 == 0
+
+
+def pii_base(text):
+    """The base kinds by their patterns as stated, one `finditer` each."""
+    text = text or ""
+    spans = [("email", *m.span()) for m in re.finditer(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", text)]
+    for m in re.finditer(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)", text):
+        if all(int(part) <= 255 for part in m[0].split(".")):
+            spans.append(("ip", *m.span()))
+    for m in re.finditer(r"[0-9]([\x20-]?[0-9])+", text):
+        digits = re.sub("[^0-9]", "", m[0])
+        if 14 <= len(digits) <= 19 and luhn(digits):
+            spans.append(("card", *m.span()))
+    for m in re.finditer(r"\+[0-9][\x20().0-9-]+[0-9]", text):
+        if 10 <= len(re.sub("[^0-9]", "", m[0])) <= 15:
+            spans.append(("phone", *m.span()))
+    return spans, joined(spans, ["email", "ip", "card", "phone"])
