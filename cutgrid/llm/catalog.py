@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from cutgrid.llm import exact_dedup, pii, secret_scan
+from cutgrid.llm import decontaminate, exact_dedup, pii, secret_scan
 from cutgrid.llm.common import table
 
 
@@ -27,6 +27,15 @@ def op1_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op3_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontaminate.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    n_hit = decontaminate.n_hit("hits")
+    return found.select(
+        "doc_id", "n_words", n_hit.alias("n_hit"), F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), (F.size("hits") > 0).alias("contaminated"),
+    )
+
+
 def op4_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.scan(table(spark, sf_dir, "documents")).select(
         "doc_id", "n_assign", "n_access", "n_hex", F.sha2("base", 256).alias("base_sha256"), "spans", "n_entropy"
@@ -41,11 +50,28 @@ def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_pii": op1_pii,
+    "op3_decontaminate": op3_decontaminate,
     "op4_secret_scan": op4_secret_scan,
     "op6_exact_dedup": op6_exact_dedup,
 }
 
+_WORDS_SQL = r"""regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"""
+
 ORACLES = {
+    "op3_decontaminate": f"""
+WITH d AS (SELECT doc_id, {_WORDS_SQL} AS w FROM documents),
+b AS (SELECT CAST(item_id AS VARCHAR) AS item_id, {_WORDS_SQL} AS w FROM benchmark),
+s AS (SELECT item_id, w, unnest(generate_series(1, greatest(len(w) - 9, 1))) AS i FROM b WHERE len(w) > 0),
+p AS (SELECT DISTINCT item_id, array_to_string(w[i:i + 9], ' ') AS win, least(len(w), 10) AS k FROM s),
+k AS (SELECT DISTINCT k FROM p),
+t AS (SELECT doc_id, k, w, unnest(generate_series(1, len(w) - k + 1)) AS i FROM d, k WHERE len(w) >= k),
+m AS (SELECT doc_id, i, t.k, item_id FROM t JOIN p ON p.k = t.k AND p.win = array_to_string(w[i:i + t.k - 1], ' ')),
+h AS (SELECT doc_id, count(DISTINCT pos) AS n FROM (SELECT doc_id, unnest(generate_series(i, i + k - 1)) AS pos FROM m) GROUP BY 1),
+n AS (SELECT doc_id, count(*) AS c, string_agg(item_id, ',' ORDER BY item_id) AS ids FROM (SELECT DISTINCT doc_id, item_id FROM m) GROUP BY 1)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(h.n, 0) AS BIGINT) AS n_hit, coalesce(c, 0) AS n_items,
+    sha256(coalesce(ids, '')) AS items_sha256, coalesce(h.n, 0) > 0 AS contaminated
+FROM d LEFT JOIN h USING (doc_id) LEFT JOIN n USING (doc_id)""",
     "op6_exact_dedup": r"""
 WITH d AS (SELECT doc_id, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g') AS content FROM documents)
 SELECT doc_id, min(doc_id) OVER (PARTITION BY content) AS keep_id,

@@ -65,3 +65,22 @@ def pii_base(text):
         if 10 <= len(re.sub("[^0-9]", "", m[0])) <= 15:
             spans.append(("phone", *m.span()))
     return spans, joined(spans, ["email", "ip", "card", "phone"])
+
+
+def plain_words(text):
+    lowered = "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in text or "")
+    return re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", lowered)
+
+
+def contaminated(text, items):
+    """Number of words, hit positions, ids of the items found."""
+    words, hit, found = plain_words(text), set(), set()
+    for name, item in items:
+        own = plain_words(item)
+        k = min(10, len(own))
+        windows = {tuple(own[i:i + k]) for i in range(len(own) - k + 1)} if own else set()
+        for i in range(len(words) - k + 1):
+            if tuple(words[i:i + k]) in windows:
+                hit.update(range(i, i + k))
+                found.add(str(name))
+    return len(words), hit, sorted(found)
