@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from cutgrid.llm import decontaminate, exact_dedup, pii, secret_scan
+from cutgrid.llm import decontaminate, exact_dedup, pieces, pii, secret_scan, warc
 from cutgrid.llm.common import table
 
 
@@ -48,11 +49,30 @@ def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op7_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    model = public_tokenizers.path("piece_bpe_32k.model")
+    decoded = pieces.decode(pieces.encode(table(spark, sf_dir, "documents"), model), model)
+    return decoded.select(
+        "doc_id", F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.array_join(F.col("ids").cast("array<string>"), ","), 256).alias("ids_sha256"),
+        F.sha2("text", 256).alias("decoded_sha256"),
+    )
+
+
+def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages")
+    return warc.read(warc.write(pages), pages.schema["page_id"].dataType, payloads=False).select(
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"
+    )
+
+
 QUERIES = {
     "op1_pii": op1_pii,
     "op3_decontaminate": op3_decontaminate,
     "op4_secret_scan": op4_secret_scan,
     "op6_exact_dedup": op6_exact_dedup,
+    "op7_pieces": op7_pieces,
+    "op8_warc": op8_warc,
 }
 
 _WORDS_SQL = r"""regexp_extract_all(
@@ -78,4 +98,11 @@ SELECT doc_id, min(doc_id) OVER (PARTITION BY content) AS keep_id,
     count(*) OVER (PARTITION BY content) AS group_size,
     doc_id = min(doc_id) OVER (PARTITION BY content) AS kept, sha256(content) AS text_sha256
 FROM d""",
+    "op8_warc": """
+WITH p AS (SELECT page_id, coalesce(html, '') AS html FROM pages),
+g AS (SELECT html, max(page_id) AS stored FROM p WHERE strlen(html) >= 1000 GROUP BY html)
+SELECT page_id, strlen(p.html) AS payload_bytes, sha1(p.html) AS payload_digest,
+    CASE WHEN stored <> page_id THEN 'revisit' ELSE 'response' END AS record_type,
+    CASE WHEN stored <> page_id THEN stored END AS refers_to
+FROM p LEFT JOIN g ON g.html = p.html""",
 }

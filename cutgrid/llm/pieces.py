@@ -81,19 +81,24 @@ class Model:
     def _symbols(self, text: str) -> np.ndarray:
         points = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.int64)
         known = self.char[points]
-        return np.where(known >= 0, known, -1 - points).astype(np.int64)
-
-    def _ids(self, symbols: np.ndarray) -> np.ndarray:
-        if not (symbols < 0).any():
-            return symbols.astype(np.int32)
-        parts = []
-        for symbol in symbols.tolist():
-            parts += [symbol] if symbol >= 0 else self.byte[list(chr(-1 - symbol).encode("utf-8", "surrogatepass"))].tolist()
-        return np.array(parts, np.int32)
-
-    def _merge_rounds(self, symbols: np.ndarray, sizes: np.ndarray) -> list[np.ndarray]:
-        out: list[np.ndarray | None] = [None] * len(sizes)
-        own = np.arange(len(sizes))
+        return np.where(known >= 0, known, -1 - points)
+
+    def _bytes(self, symbols: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Ids in place of symbols: a character outside the vocabulary becomes the pieces of its bytes."""
+        strange = np.flatnonzero(symbols < 0)
+        if not len(strange):
+            return symbols.astype(np.int32), sizes
+        parts = [self.byte[list(chr(-1 - s).encode("utf-8", "surrogatepass"))] for s in symbols[strange].tolist()]
+        width = np.ones(len(symbols), np.int64)
+        width[strange] = [len(part) for part in parts]
+        ids = np.repeat(symbols, width)
+        begin = (np.cumsum(width) - width)[strange]
+        ids[np.concatenate([np.arange(a, a + len(part)) for a, part in zip(begin, parts)])] = np.concatenate(parts)
+        return ids.astype(np.int32), np.add.reduceat(width, np.cumsum(sizes) - sizes)
+
+    def _merge_rounds(self, symbols: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Symbols of all units, and how many each unit has, once no pair is left."""
+        own, finished = np.arange(len(sizes)), []
         while len(own):
             start = np.concatenate([[0], np.cumsum(sizes)])[:-1]
             unit = np.repeat(np.arange(len(own)), sizes)
@@ -108,12 +113,13 @@ class Model:
             keep = np.ones(len(symbols), bool)
             keep[at + 1] = False
             done = best == _NONE
-            for i in np.flatnonzero(done):
-                out[own[i]] = symbols[start[i]:start[i] + sizes[i]]
+            finished.append((own[done], sizes[done], symbols[done[unit]]))
             keep &= ~done[unit]
-            sizes = (sizes - ~done)[~done]
+            sizes = (sizes - 1)[~done]
             symbols, own = symbols[keep], own[~done]
-        return out
+        owner, sizes, symbols = (np.concatenate(column) for column in zip(*finished))
+        owners = np.argsort(np.repeat(owner, sizes), kind="stable")
+        return symbols[owners], sizes[np.argsort(owner)]
 
     def _merge_long(self, symbols: np.ndarray) -> np.ndarray:
         symbol = symbols.tolist()
@@ -143,15 +149,20 @@ class Model:
             offer(left)
         return np.array([s for s in symbol if s is not None], np.int64)
 
-    def encode_units(self, units: list[str]) -> list[np.ndarray]:
-        """Ids of each unit; none is empty."""
-        parts = [self._symbols(unit) for unit in units]
-        short = [i for i, part in enumerate(parts) if len(part) <= LONG_UNIT]
+    def encode_units(self, units: list[str]) -> list[bytes]:
+        """Ids of each unit as int32; none is empty."""
+        short = [unit for unit in units if len(unit) <= LONG_UNIT]
+        found = {}
         if short:
-            sizes = np.array([len(parts[i]) for i in short])
-            for i, merged in zip(short, self._merge_rounds(np.concatenate([parts[i] for i in short]), sizes)):
-                parts[i] = merged
-        return [self._ids(p if len(unit) <= LONG_UNIT else self._merge_long(p)) for unit, p in zip(units, parts)]
+            merged = self._merge_rounds(self._symbols("".join(short)), np.array([len(unit) for unit in short]))
+            ids, sizes = self._bytes(*merged)
+            raw, end = ids.tobytes(), (4 * np.cumsum(sizes)).tolist()
+            found = dict(zip(short, [raw[a:b] for a, b in zip([0, *end], end)]))
+        for unit in units:
+            if len(unit) > LONG_UNIT:
+                symbols = self._merge_long(self._symbols(unit))
+                found[unit] = self._bytes(symbols, np.array([len(symbols)]))[0].tobytes()
+        return [found[unit] for unit in units]
 
     def decode(self, ids: list[int]) -> str:
         """Text of ids, as the library's decode: the blank put in front is taken off, bad bytes become U+FFFD."""
@@ -197,7 +208,7 @@ class _Encoder:
         known = self.seen
         for first in range(0, len(new), 50_000):
             units = new[first:first + 50_000]
-            known.update(zip(units, [ids.tobytes() for ids in self.model.encode_units(units)]))
+            known.update(zip(units, self.model.encode_units(units)))
         found = [b"".join([known[unit] for unit in units]) for units in split]
         for unit in new:
             if len(unit) > CACHED_LENGTH:
