@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from cutgrid.llm import decontaminate, exact_dedup, pieces, pii, secret_scan, warc
+from cutgrid.llm import decontaminate, exact_dedup, pieces, pii, secret_scan, simhash, warc
 from cutgrid.llm.common import table
 
 
@@ -66,6 +66,12 @@ def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.groups(table(spark, sf_dir, "documents")).select(
+        "doc_id", simhash.as_hex("fp").alias("fingerprint"), "component_id"
+    )
+
+
 QUERIES = {
     "op1_pii": op1_pii,
     "op3_decontaminate": op3_decontaminate,
@@ -73,6 +79,7 @@ QUERIES = {
     "op6_exact_dedup": op6_exact_dedup,
     "op7_pieces": op7_pieces,
     "op8_warc": op8_warc,
+    "op9_simhash": op9_simhash,
 }
 
 _WORDS_SQL = r"""regexp_extract_all(
