@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from cutgrid.llm import decontaminate, exact_dedup, pieces, pii, secret_scan, simhash, warc
+from cutgrid.llm import decontaminate, exact_dedup, language, pieces, pii, secret_scan, simhash, warc
 from cutgrid.llm.common import table
 
 
@@ -72,6 +72,13 @@ def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return language.identify(docs, language.fit(docs)).select(
+        "doc_id", language.held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score", "entropy", "rejected"
+    )
+
+
 QUERIES = {
     "op1_pii": op1_pii,
     "op3_decontaminate": op3_decontaminate,
@@ -80,6 +87,7 @@ QUERIES = {
     "op7_pieces": op7_pieces,
     "op8_warc": op8_warc,
     "op9_simhash": op9_simhash,
+    "op10_language": op10_language,
 }
 
 _WORDS_SQL = r"""regexp_extract_all(
