@@ -4,7 +4,8 @@ A text is its words (runs of letters, lower case), a word the characters between
 character and the closing mark from up to `ORDER - 1` before it in the word. Counting, continuation counts, discounts
 and weights are aggregations over a sample of the labelled rows; the tables go out as sorted hash arrays, one
 per order, with a column for each language. The answer is the language of lowest cross-entropy a symbol. A text is
-rejected if that is further above what texts of its language have than `REJECT` deviations, which widen for short texts.
+rejected if that is further above what texts of its language have than `REJECT` deviations, which widen for short texts,
+and above what texts of other languages have on average.
 
 The sample has at most `SAMPLE_ROWS` rows a language, of texts up to `SAMPLE_CHARS` characters, and the tables at most
 `MODEL_GRAMS` entries (shorter and more frequent sequences first), so what is broadcast is bounded for any corpus.
@@ -70,6 +71,7 @@ class Models:
     mean: np.ndarray
     deviation: np.ndarray
     symbols: np.ndarray
+    foreign: np.ndarray
 
     def log_probability(self, units: list[str]) -> np.ndarray:
         """Natural log of each word's probability (rows) in each language (columns)."""
@@ -100,7 +102,7 @@ class Models:
 
 def _no_models() -> Models:
     none = np.zeros(0)
-    return Models([], [], [], [], none, none, none, none)
+    return Models([], [], [], [], none, none, none, none, none)
 
 
 class _Scorer:
@@ -233,7 +235,7 @@ def fit(docs: DataFrame, rows: int = SAMPLE_ROWS, chars: int = SAMPLE_CHARS, ord
     base = np.ones(len(languages))
     root = table["n"].to_numpy() == 0
     base[column[root]] = table["weight"].to_numpy()[root]
-    models = Models(languages, [], [], [], base / alphabet, *[np.zeros(len(languages))] * 3)
+    models = Models(languages, [], [], [], base / alphabet, *[np.zeros(len(languages))] * 4)
     for n in range(1, order + 1):
         own = table["n"].to_numpy() == n
         text = table["gram"].to_numpy()[own].tolist()
@@ -252,20 +254,28 @@ def fit(docs: DataFrame, rows: int = SAMPLE_ROWS, chars: int = SAMPLE_CHARS, ord
 
 
 def _calibrated(models: Models, sample: DataFrame) -> Models:
-    """Mean and deviation of the cross-entropy of each language's own texts, and their mean number of symbols."""
-    scores = sample.select(F.col("lang").alias("doc_id"), "text")
+    """Of each language's own texts: mean and deviation of the cross-entropy, mean number of symbols, and what the
+    same texts have in the other languages on average (with one language: without any model)."""
+    count = len(models.languages)
     shared = sample.sparkSession.sparkContext.broadcast(models)
-    own = _scored(scores, shared).withColumn(
-        "entropy", F.element_at("entropies", F.array_position(F.array(*map(F.lit, models.languages)), F.col("doc_id")).cast("int"))
+    number = F.array_position(F.array(*map(F.lit, models.languages)), F.col("doc_id")).cast("int")
+    total = F.aggregate("entropies", F.lit(0.0), lambda sum_, e: sum_ + e)
+    own = _scored(sample.select(F.col("lang").alias("doc_id"), "text"), shared).filter("symbols > 0").select(
+        "doc_id", "symbols", F.element_at("entropies", number).alias("own"), total.alias("total")
     )
-    found = own.filter("symbols > 0").groupBy("doc_id").agg(
-        F.avg("entropy").alias("mean"), F.stddev_pop("entropy").alias("deviation"), F.avg("symbols").alias("symbols")
+    found = own.groupBy("doc_id").agg(
+        F.avg("own").alias("mean"), F.stddev_pop("own").alias("deviation"), F.avg("symbols").alias("symbols"),
+        F.avg(F.col("total") - F.col("own")).alias("others"),
     ).collect()
-    mean, deviation, symbols = models.mean + 1e9, models.deviation.copy(), models.symbols.copy()
+    # A language without calibration texts rejects nothing.
+    mean, deviation, symbols, foreign = (np.full(count, value) for value in (1e9, 0.0, 0.0, 0.0))
     for row in found:
         at = models.languages.index(row["doc_id"])
         mean[at], deviation[at], symbols[at] = row["mean"], max(row["deviation"], 0.02), row["symbols"]
-    return Models(models.languages, models.keys, models.seen, models.weight, models.base, mean, deviation, symbols)
+        foreign[at] = row["others"] / (count - 1) if count > 1 else -np.log(models.base[at])
+    return Models(
+        models.languages, models.keys, models.seen, models.weight, models.base, mean, deviation, symbols, foreign
+    )
 
 
 def _scored(docs: DataFrame, shared) -> DataFrame:
@@ -310,7 +320,8 @@ def identify(docs: DataFrame, models: Models, reject: float = REJECT) -> DataFra
             "symbols", F.lit(True).alias("rejected"),
         )
     others = F.aggregate("entropies", F.lit(0.0), lambda total, e: total + F.exp((best - e) * F.col("symbols")))
-    limit = of(models.mean) + reject * of(models.deviation) * F.sqrt(1 + of(models.symbols) / F.col("symbols"))
+    usual = of(models.mean) + reject * of(models.deviation) * F.sqrt(1 + of(models.symbols) / F.col("symbols"))
+    limit = F.greatest(usual, of(models.foreign))
     return scored.select(
         "doc_id", F.when(known, F.element_at(F.array(*map(F.lit, models.languages)), at)).otherwise(UNKNOWN).alias("lang_pred"),
         F.when(known, 1 / others).otherwise(0.0).alias("score"), F.when(known, best).alias("entropy"), "symbols",
