@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from cutgrid.llm import decontaminate, exact_dedup, language, pieces, pii, secret_scan, simhash, warc
+from cutgrid.llm import decontaminate, exact_dedup, language, pieces, pii, secret_scan, simhash, suffix_dedup, warc
 from cutgrid.llm.common import table
 
 
@@ -28,6 +28,14 @@ def op1_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op2_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = suffix_dedup.removed(table(spark, sf_dir, "documents"))
+    return found.select(
+        "doc_id", "n_bytes", (F.col("n_bytes") - F.octet_length("kept")).cast("long").alias("n_removed"),
+        F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"),
+    )
+
+
 def op3_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontaminate.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     n_hit = decontaminate.n_hit("hits")
@@ -81,6 +89,7 @@ def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_pii": op1_pii,
+    "op2_suffix_dedup": op2_suffix_dedup,
     "op3_decontaminate": op3_decontaminate,
     "op4_secret_scan": op4_secret_scan,
     "op6_exact_dedup": op6_exact_dedup,

@@ -84,3 +84,24 @@ def contaminated(text, items):
                 hit.update(range(i, i + k))
                 found.add(str(name))
     return len(words), hit, sorted(found)
+
+
+def passages(rows, length=50):
+    """(id, bytes, removed, spans, digest of the rest) by one dictionary of all strings; a null id is larger than any."""
+    key = [(float("inf") if i is None else i) for i, _ in rows]
+    texts = [(text or "").encode() for _, text in rows]
+    least = {}
+    for k, text in zip(key, texts):
+        for at in range(len(text) - length + 1):
+            part = text[at:at + length]
+            least[part] = min(least.get(part, k), k)
+    out = []
+    for (name, _), k, text in zip(rows, key, texts):
+        gone = [False] * len(text)
+        for at in range(len(text) - length + 1):
+            if least[text[at:at + length]] < k:
+                gone[at:at + length] = [True] * length
+        spans = sum(g and not (i and gone[i - 1]) for i, g in enumerate(gone))
+        rest = bytes(b for b, g in zip(text, gone) if not g)
+        out.append((name, len(text), sum(gone), spans, hashlib.sha256(rest).hexdigest()))
+    return out
