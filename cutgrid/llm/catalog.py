@@ -5,7 +5,8 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from cutgrid.llm import decontaminate, exact_dedup, language, pieces, pii, secret_scan, simhash, suffix_dedup, warc
+import corpus_pipeline
+from cutgrid.llm import decontaminate, exact_dedup, language, pieces, pii, secret_scan, sharding, simhash, suffix_dedup, warc
 from cutgrid.llm.common import table
 
 
@@ -51,6 +52,12 @@ def op4_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op5_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.assign(table(spark, sf_dir, "documents")).select(
+        "doc_id", F.col("bytes").alias("n_bytes"), "depth", "prefix", "page", "shard_bytes", "shard_rows"
+    )
+
+
 def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.decisions(table(spark, sf_dir, "documents")).select(
         "doc_id", "keep_id", "group_size", "kept", F.lower(F.hex("digest")).alias("text_sha256")
@@ -87,16 +94,22 @@ def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return corpus_pipeline.run(spark, sf_dir)
+
+
 QUERIES = {
     "op1_pii": op1_pii,
     "op2_suffix_dedup": op2_suffix_dedup,
     "op3_decontaminate": op3_decontaminate,
     "op4_secret_scan": op4_secret_scan,
+    "op5_sharding": op5_sharding,
     "op6_exact_dedup": op6_exact_dedup,
     "op7_pieces": op7_pieces,
     "op8_warc": op8_warc,
     "op9_simhash": op9_simhash,
     "op10_language": op10_language,
+    "pipeline": pipeline,
 }
 
 _WORDS_SQL = r"""regexp_extract_all(
@@ -116,6 +129,14 @@ n AS (SELECT doc_id, count(*) AS c, string_agg(item_id, ',' ORDER BY item_id) AS
 SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(h.n, 0) AS BIGINT) AS n_hit, coalesce(c, 0) AS n_items,
     sha256(coalesce(ids, '')) AS items_sha256, coalesce(h.n, 0) > 0 AS contaminated
 FROM d LEFT JOIN h USING (doc_id) LEFT JOIN n USING (doc_id)""",
+    "op5_sharding": f"""
+WITH u AS (SELECT doc_id, CAST(strlen(coalesce(text, '')) AS BIGINT) AS bytes, CAST('0x' || substr(md5(
+    coalesce(CAST(doc_id AS VARCHAR), '') || ':' || md5(coalesce(text, ''))), 1, 15) AS BIGINT) AS h FROM documents),
+p AS (SELECT doc_id, bytes, d, h >> (60 - d) AS prefix FROM u, generate_series(0, 20) AS t(d)),
+s AS (SELECT d, prefix, sum(bytes) AS total, count(*) AS n FROM p GROUP BY ALL HAVING sum(bytes) <= {sharding.SHARD_BYTES})
+SELECT doc_id, bytes AS n_bytes, CAST(min(d) AS INTEGER) AS depth, arg_min(prefix, d) AS prefix, '' AS page,
+    CAST(arg_min(total, d) AS BIGINT) AS shard_bytes, arg_min(n, d) AS shard_rows
+FROM p JOIN s USING (d, prefix) GROUP BY doc_id, bytes""",
     "op6_exact_dedup": r"""
 WITH d AS (SELECT doc_id, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g') AS content FROM documents)
 SELECT doc_id, min(doc_id) OVER (PARTITION BY content) AS keep_id,
@@ -130,3 +151,5 @@ SELECT page_id, strlen(p.html) AS payload_bytes, sha1(p.html) AS payload_digest,
     CASE WHEN stored <> page_id THEN stored END AS refers_to
 FROM p LEFT JOIN g ON g.html = p.html""",
 }
+if corpus_pipeline.ORACLE_SQL is not None:
+    ORACLES["pipeline"] = corpus_pipeline.ORACLE_SQL
