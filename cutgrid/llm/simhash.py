@@ -12,6 +12,7 @@ pairs; components of these links are found by joins over all shards.
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
 from itertools import accumulate
 
@@ -54,13 +55,21 @@ def fingerprint(text: str | None, shingle: int = SHINGLE, seed: int = SEED) -> i
     return int(np.packbits(2 * bits > len(hashes), bitorder="little").view(np.int64)[0])
 
 
-def fingerprints(docs: DataFrame, shingle: int = SHINGLE, seed: int = SEED) -> DataFrame:
-    """doc_id, fp (long): one row per row of `docs`; null, empty and blank texts have 0."""
+def fingerprints(docs: DataFrame, shingle: int = SHINGLE, seed: int = SEED, digest: bool = False) -> DataFrame:
+    """doc_id, fp (long) and, if wanted, the text's sha256: one row per row of `docs`; null, empty and blank texts have 0."""
 
     def begin():
-        return lambda texts: [pa.array([fingerprint(text, shingle, seed) for text in texts], pa.int64())]
+        def work(texts: list[str | None]) -> list[pa.Array]:
+            columns = [pa.array([fingerprint(text, shingle, seed) for text in texts], pa.int64())]
+            if digest:
+                columns.append(pa.array([hashlib.sha256((text or "").encode()).hexdigest() for text in texts], pa.string()))
+            return columns
 
-    return map_texts(docs, begin, [T.StructField("fp", T.LongType())])
+        return work
+
+    return map_texts(docs, begin, [
+        T.StructField("fp", T.LongType()), *([T.StructField("digest", T.StringType())] if digest else []),
+    ])
 
 
 def as_hex(fp: str) -> Column:
@@ -208,6 +217,15 @@ def links(prints: DataFrame, distance: int = DISTANCE, shard: int | None = None)
     )
 
 
+def _grouped(rows: DataFrame, distance: int, shard: int | None) -> DataFrame:
+    """`rows` with root (one fingerprint of the component) and component_id."""
+    prints = stage(rows.groupBy("fp").agg(F.min("doc_id").alias("first_id")))
+    roots = components(links(prints, distance, shard)).select(F.col("a").alias("fp"), F.col("b").alias("root"))
+    rooted = prints.join(roots, "fp", "left").withColumn("root", F.coalesce("root", "fp"))
+    least = rooted.groupBy("root").agg(F.min("first_id").alias("component_id"))
+    return rows.join(rooted.join(least, "root").select("fp", "root", "component_id"), "fp")
+
+
 def groups(docs: DataFrame, shingle: int = SHINGLE, seed: int = SEED, distance: int = DISTANCE, shard: int | None = None) -> DataFrame:
     """doc_id, fp, component_id (smallest id of the component): one row per row of `docs`.
 
@@ -215,22 +233,21 @@ def groups(docs: DataFrame, shingle: int = SHINGLE, seed: int = SEED, distance:
     fingerprint; null ids count only where a component has no other. An empty table gives an empty result. Only `doc_id`
     and `text` are read.
     """
-    rows = stage(fingerprints(docs, shingle, seed))
-    prints = stage(rows.groupBy("fp").agg(F.min("doc_id").alias("first_id")))
-    roots = components(links(prints, distance, shard)).select(F.col("a").alias("fp"), F.col("b").alias("root"))
-    rooted = prints.join(roots, "fp", "left").withColumn("root", F.coalesce("root", "fp"))
-    least = rooted.groupBy("root").agg(F.min("first_id").alias("component_id"))
-    named = rooted.join(least, "root").select("fp", "component_id")
-    return rows.join(named, "fp").select("doc_id", "fp", "component_id")
+    return _grouped(stage(fingerprints(docs, shingle, seed)), distance, shard).select("doc_id", "fp", "component_id")
 
 
-def drop_near_copies(docs: DataFrame) -> DataFrame:
-    """Of each component the rows with its smallest id, with all their columns, and only one of them."""
+def drop_near_copies(docs: DataFrame, shingle: int = SHINGLE, seed: int = SEED, distance: int = DISTANCE) -> DataFrame:
+    """Of each component one row with its smallest id, with all its columns (of several such rows, the first by digest)."""
+    grouped = _grouped(stage(fingerprints(docs, shingle, seed, digest=True)), distance, None)
     keep = stage(
-        groups(docs).filter(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("__keep_id"))
-        .distinct()
+        grouped.filter(F.col("doc_id").eqNullSafe(F.col("component_id"))).groupBy("root")
+        .agg(F.min(F.struct("doc_id", "digest")).alias("kept"))
+        .select(F.col("kept.doc_id").alias("__keep_id"), F.col("kept.digest").alias("__keep_digest"))
+    )
+    text = F.coalesce(docs["text"], F.lit(""))
+    stays = docs.join(
+        keep, docs["doc_id"].eqNullSafe(keep["__keep_id"]) & (F.sha2(text, 256) == keep["__keep_digest"]), "left_semi"
     )
-    stays = docs.join(keep, docs["doc_id"].eqNullSafe(keep["__keep_id"]), "left_semi")
     if stays.groupBy("doc_id").agg(F.count(F.lit(1)).alias("__rows")).filter("__rows > 1").isEmpty():
         return stays
-    return stays.dropDuplicates(["doc_id"])
+    return stays.withColumn("__text", F.coalesce("text", F.lit(""))).dropDuplicates(["doc_id", "__text"]).drop("__text")
