@@ -52,10 +52,16 @@ def alignment_counts(
     return alignments.groupBy("libid").agg(*counts)
 
 
-def umi_from_name(alignments: DataFrame, name: str = "read_id") -> DataFrame:
-    """Take `umi` and `umi_qual` out of a read name that carries the flags (pieces 4 and 13)."""
-    pieces = F.split(name, "~")
-    return alignments.withColumns({"umi": F.get(pieces, F.lit(3)), "umi_qual": F.get(pieces, F.lit(12))})
+def umi_from_name(alignments: DataFrame, name: str = "read_id", flag: str = "umi") -> DataFrame:
+    """Take `umi` and `umi_qual` out of a read name that carries flags: the pieces behind `~~umi~` and `~~qumi~`.
+
+    The names of the flags say where their pieces are, so any prefix pattern will do. Qualities may hold `~` themselves:
+    a piece ends where the next name begins. A name without the flag gives null.
+    """
+    def behind(label: str) -> Column:
+        return F.nullif(F.regexp_extract(name, f"~~{label}~(.*?)(?=~~q?[A-Za-z_]+~|$)", 1), F.lit(""))
+
+    return alignments.withColumns({flag: behind(flag), f"{flag}_qual": behind(f"q{flag}")})
 
 
 def to_intervals(alignments: DataFrame) -> DataFrame:

@@ -119,22 +119,20 @@ def count_in_regions(
     )
 
 
-def universe_sites(counts: DataFrame, sites: DataFrame, libids: Sequence[str]) -> DataFrame:
+def for_each_library(rows: DataFrame, libraries: DataFrame) -> DataFrame:
+    """Every row once per library (`libid`): the list of libraries is a scalar of the plan, not of the driver."""
+    listed = libraries.select("libid").distinct().agg(F.sort_array(F.collect_list("libid"))).scalar()
+    return rows.select("*", F.explode(listed).alias("libid"))
+
+
+def universe_sites(counts: DataFrame, sites: DataFrame, libraries: DataFrame) -> DataFrame:
     """Every site of the domain with every library's count, 0 where it has none.
 
-    The rows are the product of sites and libraries by definition; each site row is widened by its
-    own counts, so nothing is paired that is not part of the result.
+    The rows are sites times libraries by definition of a universe.
     """
-    per_site = counts.filter(F.col("libid").isin(*libids)).groupBy("chrom", "start").agg(
-        *[F.sum(F.when(F.col("libid") == lib, F.col("score"))).alias(f"_n{i}") for i, lib in enumerate(libids)]
-    )
-    entries = F.explode(F.array(*[
-        F.struct(F.lit(lib).alias("libid"), F.coalesce(F.col(f"_n{i}"), F.lit(0).cast("long")).alias("score"))
-        for i, lib in enumerate(libids)
-    ]))
-    return (
-        sites.select("chrom", "start").distinct().join(per_site, ["chrom", "start"], "left")
-        .select("chrom", "start", entries.alias("_e")).select("_e.libid", "chrom", "start", "_e.score")
+    every = for_each_library(sites.select("chrom", "start").distinct(), libraries)
+    return every.join(counts.select("libid", "chrom", "start", "score"), ["libid", "chrom", "start"], "left").select(
+        "libid", "chrom", "start", F.coalesce("score", F.lit(0).cast("long")).alias("score")
     )
 
 

@@ -4,43 +4,66 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from cutgrid.functions.sizing import measured, small
+from cutgrid.functions.sizing import measured, small, stage
 
+#: Rows of a group that one list holds.
 LIST_ROWS = 200_000
 
 
-def _collect(df: DataFrame, keys: Sequence[str], items: Sequence[str], order: Sequence[Column]) -> DataFrame:
-    entry = F.struct(*[c.alias(f"k{i}") for i, c in enumerate(order)], *items)
-    lists = df.groupBy(*keys).agg(F.sort_array(F.collect_list(entry)).alias("_entries"))
+def _collect(rows: DataFrame, keys: Sequence[str], items: Sequence[str], order: Sequence[str]) -> DataFrame:
+    lists = rows.groupBy(*keys).agg(F.sort_array(F.collect_list(F.struct(*order, *items))).alias("_entries"))
     return lists.select(
-        *keys, F.size("_entries").cast("long").alias("n"), *[F.col(f"_entries.{item}").alias(item) for item in items]
+        *keys, F.size("_entries").cast("long").alias("_size"), *[F.col(f"_entries.{item}").alias(item) for item in items]
+    )
+
+
+def _stretches(rows: DataFrame, keys: Sequence[str], order: Sequence[str], max_rows: int) -> DataFrame:
+    """`rows` with the number `chunk` of their stretch and the size `n` of their group, from exact ranks.
+
+    Rows are range-partitioned by group and order; a rank is the place within the partition's part of the group plus the
+    sizes of its earlier parts, so it does not depend on where the partitions were cut, and no task holds a group.
+    """
+    cut = stage(rows.repartitionByRange(*keys, *order).withColumn("_part", F.spark_partition_id()))
+    whole = Window.partitionBy(*keys)
+    earlier = whole.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    parts = cut.groupBy(*keys, "_part").agg(F.count("*").alias("_rows")).select(
+        *keys, "_part", F.coalesce(F.sum("_rows").over(earlier), F.lit(0)).alias("_before"), F.sum("_rows").over(whole).alias("n")
+    )
+    here = F.row_number().over(Window.partitionBy(*keys, "_part").orderBy(*order))
+    return (
+        cut.withColumn("_here", here).join(small(parts), [*keys, "_part"])
+        .withColumn("chunk", F.floor((F.col("_before") + F.col("_here") - 1) / F.lit(max_rows)).cast("long"))
+        .drop("_part", "_here", "_before")
     )
 
 
 def ordered_lists(
     df: DataFrame, keys: Sequence[str], items: Sequence[str], order: Sequence[Column], max_rows: int = LIST_ROWS
 ) -> DataFrame:
-    """One row per group with the `items` columns as lists in `order`, and `chunk` 0.
+    """A group's `items` as lists in `order`, one row per `max_rows` consecutive rows of the group.
 
-    A group above `max_rows` becomes several rows instead, numbered by a rising `chunk`, each with a
-    consecutive stretch of the order: its rows are range-partitioned on the order key, so no task
-    ever holds the whole group and no row is lost. `order` must tell the rows of a group apart.
+    `chunk` numbers the rows of a group from 0, by exact rank; `n` is the size of the whole group on each of them. Only
+    groups above `max_rows` need ranks, so the others are collected directly, with the same result. `order` must tell
+    the rows of a group apart. `df` is evaluated once.
     """
-    counts = df.groupBy(*keys).agg(F.count("*").alias("_rows"))
-    hot, hot_groups, _ = measured(counts.filter(F.col("_rows") > max_rows))
-    if not hot_groups:
-        return _collect(df, keys, items, order).withColumn("chunk", F.lit(0).cast("long"))
-
-    in_hot_groups = hot.agg(F.sum("_rows").alias("rows")).first()["rows"]
-    hot_keys = small(hot.drop("_rows"))
-    plain = _collect(df.join(hot_keys, list(keys), "left_anti"), keys, items, order)
-    stretches = (
-        df.join(hot_keys, list(keys), "left_semi")
-        .repartitionByRange(2 * (in_hot_groups // max_rows + 1), *keys, *order)
-        .withColumn("chunk", F.spark_partition_id().cast("long"))
-    )
-    return plain.withColumn("chunk", F.lit(0).cast("long")).unionByName(
-        _collect(stretches, [*keys, "chunk"], items, order)
+    names = [f"_k{i}" for i in range(len(order))]
+    rows = stage(df.select(*keys, *items, *[column.alias(name) for name, column in zip(names, order)]))
+    counts = rows.groupBy(*keys).agg(F.count("*").alias("_rows"))
+    large, groups, _ = measured(counts.filter(F.col("_rows") > max_rows))
+    columns = [*keys, F.col("_size").alias("n"), *items, F.lit(0).cast("long").alias("chunk")]
+    if not groups:
+        return _collect(rows, keys, items, names).select(*columns)
+    large = small(large.drop("_rows"))
+    cut = _stretches(rows.join(large, list(keys), "left_semi"), keys, names, max_rows)
+    return _collect(rows.join(large, list(keys), "left_anti"), keys, items, names).select(*columns).unionByName(
+        _collect(cut, [*keys, "chunk", "n"], items, names).drop("_size")
     )
+
+
+def one_line(lists: DataFrame, keys: Sequence[str], items: Sequence[str], also: Sequence[str] = ()) -> DataFrame:
+    """The lists of a group as one blank-joined text each, its stretches in order; `also` is the same on all of them."""
+    texts = F.sort_array(F.collect_list(F.struct("chunk", *[F.array_join(item, " ").alias(item) for item in items])))
+    joined = lists.groupBy(*keys).agg(texts.alias("_t"), *[F.first(name).alias(name) for name in also])
+    return joined.select(*keys, *[F.array_join(F.col(f"_t.{item}"), " ").alias(item) for item in items], *also)

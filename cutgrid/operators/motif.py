@@ -25,10 +25,14 @@ def find_motif(chunks: DataFrame, motif: str, ignore_case: bool = True) -> DataF
     """Every occurrence of `motif`, overlapping ones too: `chrom, start, end` (0-based, half-open).
 
     `chunks` has `chrom, offset, span, seq`: the chunk owns `span` letters from `offset` on, and
-    `seq` runs at least `len(motif) - 1` letters further where the contig does. Short pieces are
+    `seq` runs at least `len(motif) - 1` letters further where the contig does (`read_fasta` notes its overlap, which
+    is checked). Short pieces are
     split in front of each hit; the running length of the parts gives the positions. No shuffle.
     """
     k = len(motif)
+    overlap = chunks.schema["seq"].metadata.get("overlap")
+    if overlap is not None and overlap < k - 1:
+        raise ValueError(f"chunks overlap by {overlap} letters; a motif of {k} needs {k - 1}")
     mode = "(?i)" if ignore_case else ""
     quoted = f"\\Q{motif}\\E"
     pieces = chunks.filter("span > 0").select("chrom", "offset", F.col("span").cast("long").alias("span"), "seq")

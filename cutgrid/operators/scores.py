@@ -6,13 +6,14 @@ sum over the stronger conditions of log2(rate / rate of the weakest).
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from statistics import NormalDist
 
 from pyspark.sql import DataFrame, Window, functions as F
 
 from cutgrid.functions.sizing import small
 from cutgrid.functions.text import duration_seconds
-from cutgrid.operators.bins import BIN, SPAN
+from cutgrid.operators.bins import BIN, SPAN, for_each_library
 from cutgrid.params import parse_outlier_tag
 
 # Scores closer than this are equal: sums of logarithms of equal rates differ in their last bits.
@@ -32,19 +33,26 @@ def bed_outliers(counts: DataFrame, tag: str = "chisq:0.01") -> DataFrame:
     )
 
 
-def bin_rates(
-    binned: DataFrame, totals: DataFrame, normalize_by: str = "lib", domain_sites: DataFrame | None = None
-) -> DataFrame:
-    """Rate of every bin in every condition.
+def bin_rates(binned: DataFrame, totals: DataFrame, normalize_by: str = "lib") -> DataFrame:
+    """Rate of every bin in every library: reads of the bin by its sites and all reads.
 
-    `totals` comes from `library_totals`. With `domain_sites` (site counts per bin of the whole
-    domain) bins are measured against all sites, and a site without reads counts as zero.
+    `totals` comes from `library_totals`. A library without any read on a chromosome has rate 0 there.
     """
     keys = ["libid"] if normalize_by == "lib" else ["libid", "chrom"]
-    rated = binned.join(small(totals.select(*keys, "total_reads")), keys)
-    if domain_sites is not None:
-        rated = rated.drop("sites").join(domain_sites.select(*BIN, "sites"), BIN)
-    return rated.withColumn("rate", F.col("reads") / (F.col("sites") * F.col("total_reads")))
+    rated = binned.join(small(totals.select(*keys, "total_reads")), keys, "left")
+    rate = F.col("reads") / (F.col("sites") * F.col("total_reads"))
+    return rated.withColumn("rate", F.coalesce(rate, F.lit(0.0)))
+
+
+def universe_bins(binned: DataFrame, domain: DataFrame, libraries: DataFrame, key: Sequence[str] = BIN) -> DataFrame:
+    """Bins over all sites of a domain, for every library; one without reads has 0.
+
+    `domain` has the bins of the domain with their `sites`, `binned` the bins that have reads; both are keyed by `key`.
+    """
+    every = for_each_library(domain, libraries)
+    return every.join(binned.select("libid", *key, "reads"), ["libid", *key], "left").withColumn(
+        "reads", F.coalesce("reads", F.lit(0).cast("long"))
+    )
 
 
 def condition_counts_per_experiment(conditions: DataFrame) -> DataFrame:
@@ -54,8 +62,8 @@ def condition_counts_per_experiment(conditions: DataFrame) -> DataFrame:
 def bin_scores(rates: DataFrame, conditions: DataFrame, site_domain: str = "separate") -> DataFrame:
     """Score per experiment and bin; null when a rate is 0.
 
-    With `separate` site domains only bins seen in every condition are scored. In a `universe` an
-    unseen bin has the rate 0, so it stays in the table without a score.
+    With `separate` site domains only bins seen in every condition are scored. In a `universe` every bin with
+    sites has a row in every condition, and one without reads somewhere stays in the table without a score.
 
     One aggregate: log2 ratios add up to the sum of the stronger conditions' logs minus the weakest
     condition's log as many times. Rows per bin are as many as there are conditions.
@@ -99,12 +107,14 @@ def score_fences(scores: DataFrame, tag: str = "iqr:1.5", normalize_by: str = "l
 def rescale_scores(scores: DataFrame, tag: str = "iqr:1.5", normalize_by: str = "lib") -> DataFrame:
     """Rescale scores to 0..1 over the bins inside the fences; outliers get a flag and no rescaled value.
 
-    Where all scores of a group are equal there is nothing to rescale by, and the value is null.
+    A bin without a score is no outlier and has no rescaled value. Where all scores of a group are equal there is nothing to rescale by, and the value is null.
     `scores` is read several times: stage it first when it is expensive.
     """
     keys = _group(normalize_by)
     flagged = scores.join(small(score_fences(scores, tag, normalize_by)), keys, "left").withColumn(
-        "is_outlier", (F.col("score") < F.col("low") - TOLERANCE) | (F.col("score") > F.col("high") + TOLERANCE)
+        "is_outlier", F.coalesce(
+            (F.col("score") < F.col("low") - TOLERANCE) | (F.col("score") > F.col("high") + TOLERANCE), F.lit(False)
+        ),
     )
     inside = F.when(~F.col("is_outlier"), F.col("score"))
     limits = small(flagged.groupBy(*keys).agg(F.min(inside).alias("_lo"), F.max(inside).alias("_hi")))

@@ -2,18 +2,24 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import functions as F
 
 from cutgrid.functions.sizing import fresh_dir, stage
-from cutgrid.operators import alignments as aln, bins as bn, motif as mo, reads as rd, summary as sm, umis as um
+from cutgrid.operators import alignments as aln, bins as bn, motif as mo, reads as rd, scores as sc, summary as sm, umis as um
 from cutgrid.operators.logs import log_metrics, require_metrics
 from cutgrid.plans import derived as d
 from cutgrid.plans.catalog.alignments import CLEAN
 from cutgrid.plans.catalog.genome import MOTIF
 from cutgrid.plans.catalog.reads import FLAGGED_SQL, PATTERN
 from cutgrid.plans.catalog.registry import query
+from cutgrid.plans.catalog.scores import (
+    _TWO, _TWO_SQL, _rescaled_sql, _run_sql, _scores_sql, _show, scored, two_experiments,
+)
 from cutgrid.plans.catalog.summary import _SUMMARY_SQL, summary_table
-from cutgrid.plans.catalog.umis import assigned, counted, shifted
+from cutgrid.plans.catalog.umis import HOT_ROWS, HOT_SQL, assigned, counted, hot_reads, shifted
+from cutgrid.plans.programs import score_files
 from cutgrid.sources import sinks, tables as tb
 from cutgrid.sources.fasta import read_fasta
 from cutgrid.sources.fastq import read_fastq
@@ -53,7 +59,7 @@ def rejects_export(spark, sf_dir):
     return lines.filter(F.col("value").contains("~~umi~")).groupBy("status", "libid").agg(F.count("*").alias("n"))
 
 
-_ASCII_SQL = "documents_ascii AS (SELECT doc_id, upper(regexp_replace(text, '[^A-Za-z]', '', 'g')) AS text FROM documents)"
+_ASCII_SQL = "documents_ascii AS (SELECT doc_id, upper(regexp_replace(text, '[^A-Za-z]', 'N', 'g')) AS text FROM documents)"
 
 
 @query(f"""WITH {_ASCII_SQL},
@@ -61,12 +67,30 @@ starts AS (SELECT 'chr' || CAST(doc_id AS VARCHAR) AS chrom, unnest(range(0, len
 SELECT chrom, start, start + 2 AS "end" FROM starts WHERE lower(substr(text, start + 1, 2)) = '{MOTIF}'""")
 def fasta_sites(spark, sf_dir):
     """Documents as FASTA lines of 60 letters, read in byte ranges and searched."""
+    return mo.find_motif(read_fasta(spark, _fasta(spark, sf_dir)), MOTIF)
+
+
+def _fasta(spark, sf_dir) -> str:
+    """Documents as contigs of a FASTA file, a letter for each character."""
     out = fresh_dir(spark, "fasta")
-    letters = F.upper(F.regexp_replace("text", "[^A-Za-z]", ""))
+    letters = F.upper(F.regexp_replace("text", "[^A-Za-z]", "N"))
     wrapped = F.regexp_replace(letters, "(.{60})", "$1\n")
     record = F.concat(F.lit(">"), F.col("doc_id").cast("string"), F.lit(" dna\n"), wrapped)
     d.table(spark, sf_dir, "documents").select(record.alias("value")).write.text(out)
-    return mo.find_motif(read_fasta(spark, out), MOTIF)
+    return out
+
+
+@query(f"""WITH {_ASCII_SQL},
+wanted AS (SELECT substr(text, 101, 80) AS motif FROM documents_ascii WHERE length(text) >= 200 ORDER BY doc_id LIMIT 1),
+starts AS (SELECT 'chr' || CAST(doc_id AS VARCHAR) AS chrom, unnest(range(0, length(text) - 79)) AS start, text FROM documents_ascii
+           WHERE contains(text, (SELECT motif FROM wanted)))
+SELECT chrom, start, start + 80 AS "end" FROM starts WHERE substr(text, start + 1, 80) = (SELECT motif FROM wanted)""")
+def long_motif_sites(spark, sf_dir):
+    """A motif of 80 letters, looked for in chunks of 64 that overlap by 79."""
+    text = F.upper(F.regexp_replace("text", "[^A-Za-z]", "N"))
+    long = d.table(spark, sf_dir, "documents").filter(F.length("text") >= 200)
+    motif = long.orderBy("doc_id").select(F.substring(text, 101, 80).alias("motif")).first()["motif"]
+    return mo.find_motif(read_fasta(spark, _fasta(spark, sf_dir), chunk=64, overlap=len(motif) - 1), motif)
 
 
 _SAM_COLUMNS = ("read_id", "flag", "chrom", "pos", "mapq", "cigar", "multi")
@@ -127,6 +151,19 @@ def assigned_export(spark, sf_dir):
     return counted_lines("umis_at_cs", False).unionByName(counted_lines("orphan.umis_at_cs", True))
 
 
+@query(f"""WITH {HOT_SQL}
+SELECT libid, chrom, pos, CAST(count(*) AS BIGINT) AS n, md5(string_agg(umi, ' ' ORDER BY strand, {", ".join(d._KEYS)})) AS umis
+FROM hot GROUP BY libid, chrom, pos""")
+def hot_position_export(spark, sf_dir):
+    """A position with a third of all reads is one line of the text export."""
+    out = fresh_dir(spark, "hot")
+    sinks.write_grouped(um.group_positions(hot_reads(spark, sf_dir), max_rows=HOT_ROWS), out)
+    rows = tb.read_tsv(spark, out, tb.schemas.GROUPED_UMIS)
+    return rows.select(
+        _folder_library(None), "chrom", "pos", F.size(F.split("seq", " ")).cast("long").alias("n"), F.md5("seq").alias("umis")
+    )
+
+
 @query(f"WITH {d.COUNTS_SQL} SELECT libid, chrom, site AS pos, counts FROM counts")
 def dedup_export(spark, sf_dir):
     """Deduplicated sites written and read back; the count must be the length of the list."""
@@ -165,33 +202,64 @@ def config_scan(spark, sf_dir):
     return tb.read_config(spark, out)
 
 
-@query(f"""WITH {d.CONDITION_COUNTS_SQL}, {d.CONDITIONS_SQL}
-SELECT exid, cond, cond_order, libid, chrom, start, start AS "end", score FROM site_counts JOIN conditions USING (libid)""")
-def condition_files_scan(spark, sf_dir):
-    """One BED per condition, listed in a condition table in order of strength."""
-    out = fresh_dir(spark, "conditions")
-    rows = d.condition_counts(spark, sf_dir).select(
-        "libid", "chrom", "start", F.col("start").alias("end"), F.lit("pos").alias("name"), "score"
+def _condition_files(spark, sf_dir, out: str, conditions) -> str:
+    """BED files as the BED writer leaves them, and a condition table that lists their folders; its path."""
+    counts = d.condition_counts(spark, sf_dir).select("libid", "chrom", F.col("start").alias("site"), F.col("score").alias("counts"))
+    sinks.write_site_bed(um.site_bed(counts), f"{out}/bed files")
+    lines = conditions.select(
+        "libid", F.concat(F.lit(f"{out}/bed files/libid="), "libid").alias("path"), "exid", "cond", "cond_order"
     )
-    sinks.write_tsv(rows.repartition(1, "libid"), f"{out}/bed", partition_by=["libid"])
-    files = spark.read.format("binaryFile").load(f"{out}/bed").select("path", _folder_library(None, "path"))
-    listed = d.conditions(spark, sf_dir).join(files, "libid").orderBy("cond_order")
-    lines = listed.coalesce(1).sortWithinPartitions("cond_order").select("exid", "cond", "libid", F.col("path").alias("fpath"))
-    sinks.write_tsv(lines, f"{out}/meta", compress=False, header=True)
-    conditions = tb.read_conditions(spark, f"{out}/meta")
-    return tb.read_condition_counts(spark, conditions).drop("name")
+    sinks.write_tsv(lines.coalesce(1).sortWithinPartitions("exid", "cond_order").drop("cond_order"), f"{out}/meta", compress=False, header=True)
+    return f"{out}/meta"
 
 
-@query("SELECT DISTINCT l_returnflag AS libid, 1 AS n FROM lineitem")
+@query(f"""WITH {d.CONDITION_COUNTS_SQL}, {d.CONDITIONS_SQL}
+SELECT exid, cond, cond_order, libid, chrom, start, score FROM site_counts JOIN conditions USING (libid)""")
+def condition_files_scan(spark, sf_dir):
+    """A folder per condition, listed in a condition table in order of strength, with its columns in another order."""
+    conditions = tb.read_conditions(spark, _condition_files(spark, sf_dir, fresh_dir(spark, "conditions"), d.conditions(spark, sf_dir)))
+    return bn.with_conditions(tb.read_condition_counts(spark, conditions), conditions)
+
+
+def _written_scores(spark, path: str):
+    rows = spark.read.schema(
+        "chrom string, start long, end long, score double, is_outlier boolean, rescaled double, exid string, bin_tag string"
+    ).option("sep", "\t").option("header", True).option("enforceSchema", False).csv(path)
+    return _show(rows.withColumn("bin_tag", F.regexp_replace("bin_tag", "^rescaled[.]bins_", "")))
+
+
+@query(f"WITH {_run_sql(_TWO, conditions=_TWO_SQL)}")
+def scored_files(spark, sf_dir):
+    """The score stage on files: BED folders, condition table, sizes and mask in, score files out and read back."""
+    out = fresh_dir(spark, "score files")
+    meta = _condition_files(spark, sf_dir, out, two_experiments(spark, sf_dir))
+    sinks.write_tsv(d.chrom_sizes(spark, sf_dir).select("chrom", "start", "end"), f"{out}/sizes")
+    sinks.write_tsv(d.mask(spark, sf_dir).select("chrom", "start", "end", F.lit("m").alias("name")), f"{out}/mask")
+    score_files(spark, meta, f"{out}/scores", f"{out}/sizes", _TWO, mask_bed=f"{out}/mask")
+    return _written_scores(spark, f"{out}/scores")
+
+
+def _named(spark, folder: str, target: str, name) -> None:
+    """Move the files of `libid=` folders to `target`, called `name(library, number)`, as a run would lay them out."""
+    system = spark._jvm.org.apache.hadoop.fs.Path(folder).getFileSystem(spark._jsc.hadoopConfiguration())
+    path = spark._jvm.org.apache.hadoop.fs.Path
+    system.mkdirs(path(target))
+    seen: dict[str, int] = {}
+    for _, uri in tb.listed_files(spark, [folder]):
+        library = re.search(FROM_FOLDER, uri)[1]
+        seen[library] = seen.get(library, 0) + 1
+        system.rename(path(uri), path(f"{target}/{name(library, seen[library])}"))
+
+
+@query("SELECT l_returnflag AS libid, count(*) AS reads FROM lineitem GROUP BY l_returnflag")
 def library_files(spark, sf_dir):
-    """Files of a folder and the library each belongs to."""
+    """Files of a run and the library each belongs to by its name; their reads are counted."""
     out = fresh_dir(spark, "library-files")
-    rows = d.raw_reads(spark, sf_dir).select(
-        F.concat("libid", F.lit("_S1_R1")).alias("sample"), F.col("seq").alias("value")
-    )
-    rows.repartition(1, "sample").write.partitionBy("sample").text(out)
-    files = tb.library_files(spark, f"{out}/*/*.txt").withColumn("libid", F.regexp_extract("path", "sample=([^_]+)_", 1))
-    return files.groupBy("libid").agg(F.count("*").cast("int").alias("n"))
+    sinks.write_reads(d.raw_reads(spark, sf_dir), f"{out}/written", compress=False)
+    _named(spark, f"{out}/written", f"{out}/fastq", lambda library, n: f"{library}_S1_{n:03d}.fastq")
+    files = tb.library_files(spark, f"{out}/fastq/*", "_").select(F.substring_index("path", "/", -1).alias("file"), "libid")
+    lines = spark.read.text(f"{out}/fastq").groupBy(F.col("_metadata.file_name").alias("file")).agg((F.count("*") / 4).cast("long").alias("n"))
+    return files.join(lines, "file").groupBy("libid").agg(F.sum("n").alias("reads"))
 
 
 @query(f"""WITH {_SUMMARY_SQL} SELECT * REPLACE ({", ".join(f"printf('%.2f%%', {chr(34)}{c}{chr(34)}) AS {chr(34)}{c}{chr(34)}" for c in sm.RATIOS)}) FROM summary""")
@@ -205,17 +273,12 @@ def summary_export(spark, sf_dir):
     return spark.read.schema(schema).option("sep", "\t").option("header", True).csv(out)
 
 
-@query(f"""WITH {d.CONDITION_COUNTS_SQL} SELECT libid, CAST(count(*) AS BIGINT) AS sites, CAST(sum(score) AS BIGINT) AS reads FROM site_counts GROUP BY libid""")
+@query(f"WITH {_scores_sql()}, {_rescaled_sql(False)}")
 def score_export(spark, sf_dir):
-    """Tables written per experiment and bin tag, and totalled from the written files."""
+    """Rescaled scores written per experiment and bin tag, and read back from the written files."""
     out = fresh_dir(spark, "scores")
-    binned = bn.count_in_bins(d.condition_counts(spark, sf_dir), [], chromosome_wide=True)
-    sinks.write_scores(binned.withColumnRenamed("libid", "exid"), out)
-    rows = spark.read.schema("chrom string, start long, reads long, sites long, exid string, bin_tag string").option(
-        "sep", "\t").option("header", True).csv(out)
-    return rows.filter("bin_tag = 'rescaled.bins_chromosome'").groupBy(F.col("exid").alias("libid")).agg(
-        F.sum("sites").alias("sites"), F.sum("reads").alias("reads")
-    )
+    sinks.write_scores(sc.rescale_scores(stage(scored(spark, sf_dir))), out)
+    return _written_scores(spark, out)
 
 
 _LOG_SUMMARY_SQL = f"""{_SUMMARY_SQL}
@@ -240,14 +303,10 @@ def log_summary(spark, sf_dir):
         "dedup": F.format_string("9 non-orphan reads.\n%d UMIs left after deduplication.", "uniq"),
     }
     for key, text in texts.items():
-        folder, _ = tb.LOG_FILES[key]
-        t.select(F.concat("library_id", F.lit("@"), F.lit(key)).alias("log"), text.alias("value")).repartition(
-            1, "library_id").write.partitionBy("log").text(f"{out}/{folder}/{key}")
-    lines = spark.read.text(f"{out}/*/*/*", wholetext=True).select(
-        F.regexp_extract("_metadata.file_path", "log=([^/@%]+)(?:@|%40)([^/]+)/", 1).alias("libid"),
-        F.regexp_extract("_metadata.file_path", "log=([^/@%]+)(?:@|%40)([^/]+)/", 2).alias("stage"),
-        F.posexplode(F.split("value", "\n")).alias("line_no", "line"),
-    )
+        folder, suffix = tb.LOG_FILES[key]
+        t.select(F.col("library_id").alias("libid"), text.alias("value")).write.partitionBy("libid").text(f"{out}/written/{key}")
+        _named(spark, f"{out}/written/{key}", f"{out}/{folder}", lambda library, n, suffix=suffix: f"{library}{suffix}")
+    lines = tb.read_logs(spark, out)
     return sm.summary_from_logs(require_metrics(log_metrics(lines)), "RUN1")
 
 

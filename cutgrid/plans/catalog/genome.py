@@ -111,7 +111,7 @@ libs AS (SELECT unnest(['A', 'N', 'R']) AS libid)
 SELECT libs.libid, s.chrom, s.start, CAST(coalesce(c.score, 0) AS BIGINT) AS score
 FROM sites s CROSS JOIN libs LEFT JOIN site_counts c ON c.libid = libs.libid AND c.chrom = s.chrom AND c.start = s.start""")
 def universe_sites(spark, sf_dir):
-    return bn.universe_sites(d.condition_counts(spark, sf_dir), d.sites(spark, sf_dir), ["A", "N", "R"])
+    return bn.universe_sites(d.condition_counts(spark, sf_dir), d.sites(spark, sf_dir), d.conditions(spark, sf_dir))
 
 
 @query(f"WITH {d.SITES_SQL} SELECT chrom, start FROM sites WHERE chrom IN ('chr1', 'chr2', 'chr4')")

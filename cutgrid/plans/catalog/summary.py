@@ -5,13 +5,14 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from cutgrid.functions.sizing import stage
-from cutgrid.operators import logs as lg, summary as sm, umis as um
-from cutgrid.operators.alignments import alignment_counts
+from cutgrid.operators import logs as lg, reads as rd, summary as sm, umis as um
+from cutgrid.operators.alignments import alignment_counts, umi_from_name
+from cutgrid.params import LibraryParams
 from cutgrid.plans import derived as d
 from cutgrid.plans.catalog.reads import FLAGGED_SQL
 from cutgrid.plans.catalog.registry import query, rounded, rounded_sql
 from cutgrid.plans.catalog.umis import shifted
-from cutgrid.plans.preprocess import flag_reads
+from cutgrid.plans.preprocess import flag_reads, preprocess
 
 _STAGED = """staged AS (
   SELECT *, CASE WHEN line LIKE '%flag_extract%' THEN 'quality' ELSE 'mapping' END AS stage FROM log_lines),
@@ -82,3 +83,40 @@ def library_summary(spark, sf_dir):
 @query(f"""WITH {_SUMMARY_SQL} SELECT * REPLACE ({", ".join(f"printf('%.2f%%', {chr(34)}{c}{chr(34)}) AS {chr(34)}{c}{chr(34)}" for c in _RATIOS)}) FROM summary ORDER BY library_id""")
 def summary_text(spark, sf_dir):
     return sm.as_text(summary_table(spark, sf_dir))
+
+
+_RUN_SQL = _SUMMARY_SQL[: _SUMMARY_SQL.index(d.COUNTS_SQL[len(d._RAW_SQL) + 2:])] + """
+clean AS (
+  SELECT a.libid, a.chrom, a.umi, CASE WHEN a.flag & 16 <> 0 THEN '-' ELSE '+' END AS strand, a.pos - 1 AS start,
+         r.l_linenumber + 30 + CASE WHEN r.l_partkey % 2 <> 0 THEN r.l_partkey % 3 + 1 ELSE 0 END AS span
+  FROM alignments a JOIN reads_raw r USING (read_id) WHERE a.mapq >= 30 AND (a.flag & 260) = 0 AND a.chrom <> 'chrM'),
+reads AS (SELECT libid, chrom, umi, CASE WHEN strand = '-' THEN start + span ELSE start - 4 END AS pos FROM clean),
+""" + _SUMMARY_SQL[_SUMMARY_SQL.index(d.SITES_SQL):]
+
+
+@query(f"""WITH {_RUN_SQL} SELECT * REPLACE ({", ".join(f'{rounded_sql(chr(34) + c + chr(34))} AS "{c}"' for c in _RATIOS)}) FROM summary""")
+def run_summary(spark, sf_dir):
+    """The whole preprocessing stage: reads and alignments in, site counts out of the clean alignments, one summary."""
+    _, table = preprocess(
+        d.raw_reads(spark, sf_dir), d.alignments(spark, sf_dir), d.config(spark, sf_dir), d.sites(spark, sf_dir), "RUN1"
+    )
+    return table.select(*[rounded(F.col(f"`{c}`"), c) if c in _RATIOS else F.col(f"`{c}`") for c in table.columns])
+
+
+_SIX = LibraryParams(cut_seq="AAGCTT", pattern="umi8bc8cs6")
+
+
+@query(f"""WITH {d.RAW_READS_SQL},
+six AS (
+  SELECT libid, read_id, substr(seq, 1, 16) || 'AAGCT' || substr(seq, 20, 1) || substr(seq, 21) AS seq, 'A~' || substr(qual, 3, 14) || '~~' || substr(qual, 17) AS qual FROM raw_reads)
+SELECT libid, read_id, substr(seq, 1, 8) AS umi, substr(qual, 1, 8) AS umi_qual,
+       hamming(substr(seq, 9, 8), '{d.BARCODE}') <= 1 AND hamming(substr(seq, 17, 6), 'AAGCTT') <= 1 AS prefix_ok FROM six""")
+def six_letter_run(spark, sf_dir):
+    """A six-letter enzyme: flags cut by its pattern, put into the names and taken out again; qualities hold the sign between flags."""
+    reads = d.raw_reads(spark, sf_dir).select(
+        "libid", "read_id", F.concat(F.substring("seq", 1, 16), F.lit("AAGCT"), F.substring("seq", 20, 1), F.expr("substring(seq, 21)")).alias("seq"),
+        F.concat(F.lit("A~"), F.substring("qual", 3, 14), F.lit("~~"), F.expr("substring(qual, 17)")).alias("qual"),
+    )
+    flagged = flag_reads(reads, d.config(spark, sf_dir), _SIX)
+    named = flagged.select("libid", "prefix_ok", F.col("read_id").alias("id"), rd.flagged_name(_SIX.pattern).alias("read_id"))
+    return umi_from_name(named).select("libid", F.col("id").alias("read_id"), "umi", "umi_qual", "prefix_ok")

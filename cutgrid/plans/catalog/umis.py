@@ -80,6 +80,29 @@ def group_positions(spark, sf_dir):
     return lists.select("libid", "chrom", "pos", "n", joined("umi"), joined("qual"))
 
 
+HOT_ROWS = 1_000
+HOT_SQL = f"""{d.READS_SQL},
+hot AS (SELECT * REPLACE (CASE WHEN l_partkey % 3 = 0 THEN 'chr1' ELSE chrom END AS chrom, CASE WHEN l_partkey % 3 = 0 THEN 77 ELSE pos END AS pos) FROM reads)"""
+
+
+def hot_reads(spark, sf_dir):
+    """Reads of which a third lie on one position."""
+    on_hot = F.col("ord.l_partkey") % 3 == 0
+    return shifted(spark, sf_dir).withColumn("chrom", F.when(on_hot, "chr1").otherwise(F.col("chrom"))).withColumn(
+        "pos", F.when(on_hot, 77).otherwise(F.col("pos"))
+    )
+
+
+@query(f"""WITH {HOT_SQL},
+placed AS (SELECT *, (row_number() OVER (PARTITION BY libid, chrom, pos ORDER BY strand, {", ".join(d._KEYS)}) - 1) // {HOT_ROWS} AS chunk,
+                  count(*) OVER (PARTITION BY libid, chrom, pos) AS n FROM hot)
+SELECT libid, chrom, pos, chunk, n, string_agg(umi, ' ' ORDER BY strand, {", ".join(d._KEYS)}) AS umi FROM placed GROUP BY libid, chrom, pos, chunk, n""")
+def hot_position_lists(spark, sf_dir):
+    """A position with a third of all reads: its list comes in stretches of exact rank, each with the whole group's size."""
+    lists = um.group_positions(hot_reads(spark, sf_dir), max_rows=HOT_ROWS)
+    return lists.select("libid", "chrom", "pos", "chunk", "n", joined("umi"))
+
+
 @query(f"""WITH {d.ASSIGNED_SQL}
 SELECT libid, chrom, site, CAST(count(*) AS BIGINT) AS n,
        string_agg(umi, ' ' ORDER BY {d.ORDER_SQL}) AS umi, string_agg(qual, ' ' ORDER BY {d.ORDER_SQL}) AS qual

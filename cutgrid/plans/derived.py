@@ -179,21 +179,18 @@ alignments AS (
 
 
 def mask(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Masked regions, overlapping on purpose."""
-    start = F.col("o_orderkey") * 20
+    """Masked regions, overlapping on purpose: two behind the first order of every 2,000 keys."""
+    block = F.floor(F.col("o_orderkey") / 2000)
+    first = table(spark, sf_dir, "orders").groupBy(block.alias("block")).agg((F.min("o_orderkey") * 20).alias("first"))
     rows = F.array(
-        F.struct(start.alias("start"), (start + 5000).alias("end")),
-        F.struct((start + 3000).alias("start"), (start + 8000).alias("end")),
-    )
-    return (
-        table(spark, sf_dir, "orders").filter(F.col("o_orderkey") % 500 == 1)
-        .select(_chrom(F.col("o_orderkey") % 4).alias("chrom"), F.explode(rows).alias("r"))
-        .select("chrom", "r.start", "r.end")
+        F.struct(F.col("first").alias("start"), (F.col("first") + 5000).alias("end")),
+        F.struct((F.col("first") + 3000).alias("start"), (F.col("first") + 8000).alias("end")),
     )
+    return first.select(_chrom(F.col("block") % 4).alias("chrom"), F.explode(rows).alias("r")).select("chrom", "r.start", "r.end")
 
 
 MASK_SQL = """mask_base AS (
-  SELECT 'chr' || CAST(o_orderkey % 4 + 1 AS VARCHAR) AS chrom, o_orderkey * 20 AS s FROM orders WHERE o_orderkey % 500 = 1),
+  SELECT 'chr' || CAST(o_orderkey // 2000 % 4 + 1 AS VARCHAR) AS chrom, min(o_orderkey) * 20 AS s FROM orders GROUP BY o_orderkey // 2000),
 mask AS (
   SELECT chrom, s AS start, s + 5000 AS "end" FROM mask_base
   UNION ALL SELECT chrom, s + 3000, s + 8000 FROM mask_base)"""
@@ -210,9 +207,9 @@ SIZES_SQL = 'sizes AS (SELECT chrom, 0 AS start, max(start) + 1 AS "end" FROM si
 
 
 def regions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Custom bins of very different lengths, overlapping each other."""
+    """Custom bins of very different lengths, one behind every order, overlapping each other."""
     start = F.col("o_orderkey") * 20
-    return table(spark, sf_dir, "orders").filter(F.col("o_custkey") % 7 == 0).select(
+    return table(spark, sf_dir, "orders").select(
         _chrom(F.col("o_orderkey") % 4).alias("chrom"), start.alias("region_start"),
         (start + 100 + F.col("o_custkey") * 13).alias("region_end"),
     ).distinct()
@@ -221,7 +218,7 @@ def regions(spark: SparkSession, sf_dir: str) -> DataFrame:
 REGIONS_SQL = """regions AS (
   SELECT DISTINCT 'chr' || CAST(o_orderkey % 4 + 1 AS VARCHAR) AS chrom, o_orderkey * 20 AS region_start,
          o_orderkey * 20 + 100 + o_custkey * 13 AS region_end
-  FROM orders WHERE o_custkey % 7 = 0)"""
+  FROM orders)"""
 
 
 def condition_counts(spark: SparkSession, sf_dir: str) -> DataFrame:

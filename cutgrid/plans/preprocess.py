@@ -20,7 +20,8 @@ from cutgrid.sources.tables import read_bed, read_config
 
 def cut_sites(spark: SparkSession, genome: str, params: LibraryParams = LibraryParams(), prefix: str = "chr") -> DataFrame:
     """Named cut sites of a genome; write them as Parquet once per genome and enzyme."""
-    return name_sites(find_motif(read_fasta(spark, genome, prefix), params.cut_seq))
+    chunks = read_fasta(spark, genome, prefix, overlap=len(params.cut_seq) - 1)
+    return name_sites(find_motif(chunks, params.cut_seq))
 
 
 def flag_reads(reads: DataFrame, config: DataFrame, params: LibraryParams = LibraryParams()) -> DataFrame:

@@ -73,7 +73,7 @@ def score_files(
 ) -> DataFrame:
     """Scores of the experiments in a condition table, written per experiment and bin tag."""
     conditions = tb.read_conditions(spark, metadata)
-    counts = tb.read_condition_counts(spark, conditions).select("libid", "chrom", "start", "score")
+    counts = tb.read_condition_counts(spark, conditions)
     regions = None
     if bin_bed is not None:
         regions = tb.read_bed(spark, bin_bed, 3).withColumnsRenamed({"start": "region_start", "end": "region_end"})

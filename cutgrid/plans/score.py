@@ -12,9 +12,16 @@ from cutgrid.params import ScoreParams, parse_chrom_tag
 CUSTOM = "custom"
 
 
-def bin_table(sizes: DataFrame, params: ScoreParams, mask: DataFrame | None = None) -> DataFrame:
-    """The bins of a run: all tags, whole chromosomes if wanted, without masked sliding bins."""
-    tables = bn.make_bins(sizes, params.tags, params.elongate_ter_bin)
+def bin_table(
+    sizes: DataFrame, params: ScoreParams, mask: DataFrame | None = None, regions: DataFrame | None = None
+) -> DataFrame:
+    """The bins of a run: all tags, or custom regions instead, without masked ones; whole chromosomes if wanted."""
+    if regions is None:
+        tables = bn.make_bins(sizes, params.tags, params.elongate_ter_bin)
+    else:
+        tables = regions.filter("region_end > region_start").select(
+            F.lit(CUSTOM).alias("bin_tag"), "chrom", F.col("region_start").alias("start"), F.col("region_end").alias("end")
+        ).distinct()
     if mask is not None:
         tables = intervals_outside_mask(tables, mask)
     if params.chromosome_wide:
@@ -22,30 +29,37 @@ def bin_table(sizes: DataFrame, params: ScoreParams, mask: DataFrame | None = No
     return tables.select("bin_tag", "chrom", "start", "end")
 
 
+def _in_bins(points: DataFrame, bins: DataFrame, params: ScoreParams, custom: bool, by: list[str]) -> DataFrame:
+    """Reads and sites per bin of the table, for points with a `score`."""
+    if not custom:
+        return bn.count_in_bins(points, params.tags, by, params.chromosome_wide).join(bins, bn.BIN)
+    wanted = bins.filter(F.col("bin_tag") == CUSTOM).select(
+        "chrom", F.col("start").alias("region_start"), F.col("end").alias("region_end")
+    )
+    columns = [*by, *bn.SPAN, "reads", "sites"]
+    binned = bn.count_in_regions(points, wanted, by).withColumnsRenamed(
+        {"region_start": "start", "region_end": "end"}
+    ).withColumn("bin_tag", F.lit(CUSTOM)).select(*columns)
+    if params.chromosome_wide:
+        whole = bn.count_in_bins(points, [], by, True).join(bins, bn.BIN).select(*columns)
+        binned = binned.unionByName(whole)
+    return binned
+
+
 def rates(
     counts: DataFrame, conditions: DataFrame, bins: DataFrame, params: ScoreParams, sites: DataFrame | None = None,
-    regions: DataFrame | None = None,
+    custom: bool = False,
 ) -> DataFrame:
-    """Rate per condition and bin; `regions` replaces the sliding bins by custom ones."""
-    if regions is None:
-        binned = bn.count_in_bins(counts, params.tags, chromosome_wide=params.chromosome_wide)
-        binned = binned.join(bins, bn.BIN)
-    else:
-        binned = bn.count_in_regions(counts, regions).select(
-            "libid", F.lit(CUSTOM).alias("bin_tag"), "chrom", F.col("region_start").alias("start"),
-            F.col("region_end").alias("end"), "reads", "sites",
-        )
-    domain = None
+    """Rate per condition and bin of the table (`custom`: it holds custom regions instead of sliding bins)."""
+    binned = _in_bins(counts, bins, params, custom, ["libid"])
     if params.site_domain == "universe":
         if sites is None:
             raise ValueError("site_domain 'universe' needs the sites")
-        if regions is not None:
-            raise ValueError("custom bins are scored over the sites of each condition")
-        points = sites.select("chrom", "start").distinct()
-        domain = bn.count_in_bins(points, params.tags, (), params.chromosome_wide, reads=None)
+        points = sites.select("chrom", "start").distinct().withColumn("score", F.lit(0).cast("long"))
+        domain = _in_bins(points, bins, params, custom, []).drop("reads")
+        binned = sc.universe_bins(binned, domain, conditions, bn.SPAN)
     keys = ["libid"] if params.normalize_by == "lib" else ["libid", "chrom"]
-    rated = sc.bin_rates(binned, bn.library_totals(counts, keys), params.normalize_by, domain)
-    return bn.with_conditions(rated, conditions)
+    return bn.with_conditions(sc.bin_rates(binned, bn.library_totals(counts, keys), params.normalize_by), conditions)
 
 
 def score(
@@ -54,12 +68,13 @@ def score(
 ) -> DataFrame:
     """Rescaled scores of all experiments and bin tags.
 
-    `counts` is `libid, chrom, start, score`. Depth outliers and chromosomes that are not asked for
+    `counts` is `libid, chrom, start, score`, one row per library and site. A library may serve several experiments: its
+    counts come once, and conditions are attached to them here. Depth outliers and chromosomes that are not asked for
     go first; both the cleaned counts and the scores are staged because several steps read them.
     """
-    kept = bn.keep_chroms(counts, parse_chrom_tag(params.chrom_tag))
-    kept = stage(sc.bed_outliers(kept, params.bed_outlier_tag).filter("not is_outlier").drop("is_outlier"))
-    bins = bin_table(sizes, params, mask)
-    rated = rates(kept, conditions, bins, params, sites, regions)
+    names = parse_chrom_tag(params.chrom_tag)
+    kept = stage(sc.bed_outliers(bn.keep_chroms(counts, names), params.bed_outlier_tag).filter("not is_outlier").drop("is_outlier"))
+    bins = bn.keep_chroms(bin_table(sizes, params, mask, regions), names)
+    rated = rates(kept, conditions, bins, params, sites, regions is not None)
     scored = stage(sc.bin_scores(rated, conditions, params.site_domain))
     return sc.rescale_scores(scored, params.score_outlier_tag, params.normalize_by)

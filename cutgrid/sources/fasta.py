@@ -100,7 +100,7 @@ def read_fasta(
 ) -> DataFrame:
     """Chunk table `chrom, offset, span, seq`; names are `prefix` + the header's first token.
 
-    `overlap` must be at least the length of the longest motif to be searched, less one.
+    `overlap` must be at least the length of the longest motif to be searched, less one; `find_motif` checks it.
     """
     for module in (blocks, sys.modules[__name__]):
         cloudpickle.register_pickle_by_value(module)
@@ -127,5 +127,5 @@ def read_fasta(
     return filled.select(
         F.concat(F.lit(prefix), first_token(F.coalesce("contig", "_contig"))).alias("chrom"),
         (F.col("rel_offset") + F.when(inherits, F.coalesce("_base", F.lit(0))).otherwise(0)).alias("offset"),
-        "span", "seq",
+        "span", F.col("seq").alias("seq", metadata={"overlap": overlap}),
     )

@@ -6,6 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from cutgrid.operators.lists import one_line
 from cutgrid.operators.reads import flagged_name
 from cutgrid.operators.summary import as_text
 
@@ -29,10 +30,9 @@ def joined(column: str) -> Column:
 
 
 def grouped_lines(grouped: DataFrame, pos: str = "pos") -> DataFrame:
-    """Grouped or merged UMIs as lines, sorted by library, chromosome (as text) and position."""
-    return grouped.orderBy("libid", "chrom", pos, "chunk").select(
-        "libid", "chrom", F.col(pos).alias("pos"), joined("umi"), joined("qual")
-    )
+    """Grouped or merged UMIs as lines, one per group, sorted by library, chromosome (as text) and position."""
+    keys = ["libid", "chrom", pos, *(["read_pos"] if "read_pos" in grouped.columns else [])]
+    return one_line(grouped, keys, ["umi", "qual"]).orderBy(*keys).select("libid", "chrom", F.col(pos).alias("pos"), "umi", "qual")
 
 
 def write_grouped(grouped: DataFrame, path: str, pos: str = "pos", **options) -> None:
@@ -60,9 +60,10 @@ def write_reads(reads: DataFrame, path: str, pattern: str | None = None, **optio
 
 
 def write_dedup(lists: DataFrame, path: str, **options) -> None:
-    """Deduplicated sites: chromosome, position, unique UMIs, their number."""
-    lines = lists.orderBy("libid", "chrom", "site", "chunk").select(
-        "libid", "chrom", F.col("site").alias("pos"), joined("umis"), "counts"
+    """Deduplicated sites, one line each: chromosome, position, unique UMIs, their number."""
+    keys = ["libid", "chrom", "site"]
+    lines = one_line(lists, keys, ["umis"], ["counts"]).orderBy(*keys).select(
+        "libid", "chrom", F.col("site").alias("pos"), "umis", "counts"
     )
     write_tsv(lines, path, partition_by=["libid"], **options)
 

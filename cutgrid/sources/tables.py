@@ -20,7 +20,7 @@ def read_tsv(
     return (
         spark.read.schema(schema).option("sep", sep).option("header", header).option("quote", "")
         .option("escape", "").option("enforceSchema", True).option("ignoreLeadingWhiteSpace", False)
-        .option("ignoreTrailingWhiteSpace", False).csv(list(path) if not isinstance(path, str) else path)
+        .option("ignoreTrailingWhiteSpace", False).option("mode", "FAILFAST").csv(list(path) if not isinstance(path, str) else path)
     )
 
 
@@ -94,41 +94,78 @@ def read_config(spark: SparkSession, path: Paths) -> DataFrame:
 
 
 def read_conditions(spark: SparkSession, path: str) -> DataFrame:
-    """Condition table in row order, weak first. The path column may be called `fpath` or `path`.
+    """Condition table in row order, weak first; columns by the names in its header, in any order.
 
-    A condition table has a row per library of an experiment. It is read as one text, which keeps the
-    row order, and that order becomes the column `cond_order` (from 1, per experiment).
+    The path column may be called `fpath` or `path`. A condition table has a row per library of an experiment. It is
+    read as one text, which keeps the row order, and that order becomes `cond_order` (from 1, per experiment).
     """
-    lines = (
-        spark.read.text(path, wholetext=True)
-        .select(F.posexplode(F.split("value", "\r?\n")).alias("line_no", "line"))
-        .filter("line_no > 0 and trim(line) != ''")
-    )
+    text = spark.read.text(path, wholetext=True).select(F.split("value", "\r?\n").alias("lines"))
+    lines = text.select(
+        F.transform(F.split(F.get("lines", F.lit(0)), "\t"), lambda name: F.lower(F.trim(name))).alias("header"),
+        F.posexplode("lines").alias("line_no", "line"),
+    ).filter("line_no > 0 and trim(line) != ''")
     fields = F.split("line", "\t")
-    rows = lines.select(
-        *[F.trim(F.get(fields, F.lit(i))).alias(n) for i, n in enumerate(schemas.CONDITIONS.names)], "line_no"
-    )
+
+    def column(*names: str) -> Column:
+        places = [F.nullif(F.array_position("header", F.lit(name)).cast("int"), F.lit(0)) for name in names]
+        place = F.coalesce(*places, F.raise_error(F.lit(f"no column {' or '.join(names)} in the condition table")).cast("int"))
+        return F.trim(F.get(fields, place - 1))
+
+    names = {name: (name, "path") if name == "fpath" else (name,) for name in schemas.CONDITIONS.names}
+    rows = lines.select(*[column(*known).alias(name) for name, known in names.items()], "line_no")
     place = Window.partitionBy("exid").orderBy("line_no")
     return rows.withColumn("cond_order", F.row_number().over(place)).drop("line_no")
 
 
-MAX_CONDITION_FILES = 10_000
+def _one_form(path: Column) -> Column:
+    """A file's URI with one slash behind the scheme, whatever the number it was written with."""
+    return F.regexp_replace(path, "^([a-z0-9]+):/+", "$1:/")
+
+
+def listed_files(spark: SparkSession, paths: Sequence[str]) -> list[tuple[str, str]]:
+    """(path as listed, URI of a file): each path is a file, a pattern, or a folder of files.
+
+    Only names are listed, by the file system of the path. A path without any file is an error.
+    """
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    found = []
+    for listed in paths:
+        path = jvm.org.apache.hadoop.fs.Path(listed)
+        system = path.getFileSystem(conf)
+        todo, files = list(system.globStatus(path) or []), []
+        while todo:
+            status = todo.pop()
+            if status.isDirectory():
+                todo += list(system.listStatus(status.getPath()))
+            elif not status.getPath().getName().startswith(("_", ".")):
+                files.append((listed, status.getPath().toUri().toString()))
+        if not files:
+            raise FileNotFoundError(f"no file for {listed}")
+        found += sorted(files)
+    return found
 
 
 def read_condition_counts(spark: SparkSession, conditions: DataFrame) -> DataFrame:
-    """Site counts of every file the condition table lists, in one multi-file read."""
-    listed = [r["fpath"] for r in conditions.select("fpath").distinct().limit(MAX_CONDITION_FILES + 1).collect()]
-    if len(listed) > MAX_CONDITION_FILES:
-        raise ValueError(f"a condition table lists at most {MAX_CONDITION_FILES} files")
-    rows = read_tsv(spark, listed, schemas.BED5).select(
-        base_name("_metadata.file_path").alias("_file"), "_metadata.file_path", first_token("chrom").alias("chrom"),
-        "start", "end", "name", "score",
-    )
-    by_path = small(conditions.select("exid", "cond", "cond_order", "libid", "fpath"))
-    same_file = F.col("file_path").endswith(F.col("fpath")) & (F.col("_file") == base_name("fpath"))
-    return rows.join(by_path.withColumn("_listed", base_name("fpath")), (F.col("_file") == F.col("_listed")) & same_file).drop(
-        "_file", "_listed", "file_path", "fpath"
+    """Site counts of the listed files: `libid, chrom, start, score`, one row per library and site.
+
+    The table may list a library several times, for several experiments, but always with the same path, and no path
+    for two libraries. A path may be a folder, such as the `libid=` folders that `write_site_bed` makes.
+    """
+    rows = sorted({(row.libid, row.fpath) for row in conditions.select("libid", "fpath").distinct().collect()})
+    for place, name in ((0, "library"), (1, "path")):
+        seen = [row[place] for row in rows]
+        if twice := sorted({value for value in seen if seen.count(value) > 1}):
+            raise ValueError(f"a {name} of the condition table has several entries: {twice}")
+    library = {path: libid for libid, path in rows}
+    files = [(library[listed], uri) for listed, uri in listed_files(spark, [path for _, path in rows])]
+    if len({uri for _, uri in files}) < len(files):
+        raise ValueError("two paths of the condition table hold the same file")
+    named = spark.createDataFrame(files, "libid string, uri string").select("libid", _one_form(F.col("uri")).alias("uri"))
+    counts = read_tsv(spark, [spark._jvm.org.apache.hadoop.fs.Path(spark._jvm.java.net.URI(uri)).toString() for _, uri in files], schemas.BED5)
+    counts = counts.select(
+        _one_form(F.col("_metadata.file_path")).alias("uri"), first_token("chrom").alias("chrom"), "start", "score"
     )
+    return counts.join(small(named), "uri").groupBy("libid", "chrom", "start").agg(F.sum("score").alias("score"))
 
 
 def library_files(spark: SparkSession, pattern: str, sep: str = "_") -> DataFrame:

@@ -46,8 +46,19 @@ def test_scores_by_hand(experiment):
     first = math.log2((4 / (2 * 16)) / (4 / (1 * 8)))
     second = math.log2((4 / 16) / (4 / 8))
     assert set(got) == {0, 10} and got[0] == pytest.approx(first) and got[10] == pytest.approx(second)
-    universe = {(r.chrom, r.start): r.score for r in sc.bin_scores(rates, conditions, "universe").collect()}
-    assert universe[("chr2", 0)] is None and universe[("chr1", 0)] == pytest.approx(first)
+
+
+def test_universe_keeps_bins_without_reads(spark, experiment):
+    counts, conditions = experiment
+    sites = spark.createDataFrame([("chr1", 5), ("chr1", 7), ("chr1", 15), ("chr1", 25), ("chr2", 1)], "chrom string, start long")
+    tags = [pr.BinTag(10, 10)]
+    domain = bn.count_in_bins(sites, tags, (), reads=None).withColumn("end", F.col("start") + 10)
+    binned = sc.universe_bins(bn.count_in_bins(counts, tags), domain, conditions)
+    rates = bn.with_conditions(sc.bin_rates(binned, bn.library_totals(counts)), conditions)
+    got = {(r.chrom, r.start): r.score for r in sc.bin_scores(rates, conditions, "universe").collect()}
+    assert set(got) == {("chr1", 0), ("chr1", 10), ("chr1", 20), ("chr2", 0)}
+    assert got[("chr1", 20)] is None and got[("chr2", 0)] is None
+    assert got[("chr1", 0)] == pytest.approx(math.log2((4 / (2 * 16)) / (4 / (2 * 8))))
 
 
 def test_normalising_by_chromosome(experiment):
@@ -87,7 +98,7 @@ def test_condition_order_is_checked(spark):
 
 def test_universe_fills_zeros(spark, experiment):
     sites = spark.createDataFrame([("chr1", 5), ("chr1", 7), ("chr9", 1)], "chrom string, start long")
-    got = {(r.libid, r.chrom, r.start): r.score for r in bn.universe_sites(experiment[0], sites, ["A", "B"]).collect()}
+    got = {(r.libid, r.chrom, r.start): r.score for r in bn.universe_sites(experiment[0], sites, experiment[1]).collect()}
     assert got == {("A", "chr1", 5): 4, ("B", "chr1", 5): 2, ("A", "chr1", 7): 0, ("B", "chr1", 7): 2, ("A", "chr9", 1): 0, ("B", "chr9", 1): 0}
 
 

@@ -91,7 +91,7 @@ def test_config_conditions_and_beds(spark, tmp_path):
         ("K1", "CATCACGC"), ("K2", "GTCGTATC"),
     ]
     (tmp_path / "meta.tsv").write_text(
-        "exid\tcond\tlibid\tpath\n" + "".join(f"E\t{c}\t{lib}\t{tmp_path}/{lib}.bed.gz\n" for c, lib in (("20s", "K2"), ("1min", "K1")))
+        "cond\texid\tpath\tlibid\n" + "".join(f"{c}\tE\t{tmp_path}/{lib}.bed.gz\t{lib}\n" for c, lib in (("20s", "K2"), ("1min", "K1")))
     )
     for lib in ("K1", "K2"):
         with gzip.open(tmp_path / f"{lib}.bed.gz", "wt") as out:
@@ -99,13 +99,34 @@ def test_config_conditions_and_beds(spark, tmp_path):
     conditions = tb.read_conditions(spark, str(tmp_path / "meta.tsv"))
     assert [(r.cond, r.cond_order) for r in conditions.orderBy("cond_order").collect()] == [("20s", 1), ("1min", 2)]
     counts = tb.read_condition_counts(spark, conditions).collect()
-    assert sorted((r.libid, r.chrom, r.start, r.score, r.cond_order) for r in counts) == [
-        ("K1", "chr1", 5, 3, 2), ("K2", "chr1", 5, 8, 1),
-    ]
+    assert sorted((r.libid, r.chrom, r.start, r.score) for r in counts) == [("K1", "chr1", 5, 3), ("K2", "chr1", 5, 8)]
     files = tb.library_files(spark, str(tmp_path / "*.bed.gz"), ".").collect()
     assert sorted(r.libid for r in files) == ["K1", "K2"]
 
 
+def test_condition_files_do_not_vanish(spark, tmp_path):
+    """Blanks and signs in paths, names that end alike, folders; a path without a file or for two libraries fails."""
+    places = {"A": tmp_path / "A.bed", "B": tmp_path / "old_A.bed", "C": tmp_path / "a b%20+c" / "A.bed", "D": tmp_path / "folder"}
+    for i, (lib, place) in enumerate(places.items()):
+        place.parent.mkdir(exist_ok=True)
+        if lib == "D":
+            place.mkdir()
+            for part in (1, 2):
+                (place / f"part-{part}.bed").write_text(f"chr1\t{part}\t{part}\tx\t{i}\n")
+        else:
+            place.write_text(f"chr1\t1\t1\tx\t{i}\n")
+    rows = [("E", "x", i, lib, str(place)) for i, (lib, place) in enumerate(places.items())]
+    schema = "exid string, cond string, cond_order int, libid string, fpath string"
+    twice = [*rows, ("F", "x", 1, "A", str(places["A"]))]
+    counts = tb.read_condition_counts(spark, spark.createDataFrame(twice, schema)).collect()
+    assert sorted((r.libid, r.start, r.score) for r in counts) == [("A", 1, 0), ("B", 1, 1), ("C", 1, 2), ("D", 1, 3), ("D", 2, 3)]
+    with pytest.raises(FileNotFoundError):
+        tb.read_condition_counts(spark, spark.createDataFrame([*rows, ("E", "x", 9, "Z", str(tmp_path / "none.bed"))], schema))
+    for wrong in (("F", "x", 1, "A", str(places["B"])), ("F", "x", 1, "Z", str(places["A"]))):
+        with pytest.raises(ValueError):
+            tb.read_condition_counts(spark, spark.createDataFrame([*rows, wrong], schema))
+
+
 def write_logs(root, lib, skip=()):
     logs = {
         "quality": "start\nINFO 1/9 (11.11%) x flag_extract.py:246\nINFO 80/100 (80.00%) x flag_extract.py:246\n",
