@@ -26,6 +26,8 @@ def _row_bytes(df: DataFrame) -> Column:
         size = size + 16
         if isinstance(field.dataType, T.StringType):
             size = size + F.coalesce(F.octet_length(F.col(f"`{field.name}`")), F.lit(0))
+        elif isinstance(field.dataType, T.ArrayType) and isinstance(field.dataType.elementType, (T.LongType, T.DoubleType)):
+            size = size + 8 * F.coalesce(F.size(F.col(f"`{field.name}`")), F.lit(0))
         elif isinstance(field.dataType, (T.ArrayType, T.MapType, T.StructType, T.BinaryType)):
             raise TypeError(f"no size estimate for column {field.name}")
     return size.cast("long")

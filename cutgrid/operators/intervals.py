@@ -13,13 +13,11 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from cutgrid.functions.sizing import broadcast_limit, small
+from cutgrid.functions.sizing import broadcast_limit, measured, small
 
 BLOCK = 1 << 20
 CELL = 1 << 14
 _FIRST, _LAST = -(1 << 63), (1 << 63) - 1
-_BOUND_ROWS = 100_000
-_SEGMENT_BYTES = 112
 
 
 def cell_of(position: Column | str, width: int) -> Column:
@@ -80,13 +78,13 @@ def neighbours(sites: DataFrame, by: str = "chrom", on: str = "site") -> DataFra
 class SiteIndex:
     """Cut sites prepared for nearest-site look-up.
 
-    `segments` holds, per cell of `width` bases, the stretches of positions that share a nearest
-    site. `bounds` holds the first and last cell of every chromosome that has sites.
+    `cells` has one row per (chromosome, cell of `CELL` bases): the sorted ends of the stretches of positions that share
+    a nearest site, and these sites. A cell has as many positions as it is wide, so that bounds its lists. `bounds` holds
+    the first and last cell of every chromosome that has sites. Both are staged.
     """
 
-    segments: DataFrame
+    cells: DataFrame
     bounds: DataFrame
-    width: int
     fits_broadcast: bool
 
 
@@ -95,65 +93,60 @@ def index_sites(
 ) -> SiteIndex:
     """Build the look-up table of `nearest`.
 
-    One small job counts the sites first. The cell width follows their mean spacing, so there are
-    about two segments per site whether sites are dense or sparse; the same count bounds the size of
-    the look-up table, which is broadcast below `max_bytes` (by default the session's limit) and
-    shuffled above.
+    It is made once, staged and measured: broadcast up to `max_bytes` (by default the session's limit), shuffled above.
     """
     points = sites.select(F.col(chrom).alias("chrom"), F.col(start).cast("long").alias("site"))
-    per_chrom = points.groupBy("chrom").agg(
-        F.count("*").alias("n"), F.min("site").alias("first"), F.max("site").alias("last")
-    )
-    seen = per_chrom.agg(
-        F.count("*").alias("chroms"), F.sum("n").alias("sites"), F.sum(F.col("last") - F.col("first")).alias("span")
-    ).first()
-    n_sites, span = seen["sites"] or 0, seen["span"] or 0
-    spacing = max(1, span // max(1, n_sites))
-    width = min(max(64, 1 << (spacing.bit_length() - 1)), CELL)
-
     first, last = F.col("previous").isNull(), F.col("next").isNull()
     lo = F.when(first, F.lit(_FIRST)).otherwise(F.shiftright(F.col("previous") + F.col("site"), 1) + 1)
     hi = F.when(last, F.lit(_LAST)).otherwise(F.shiftright(F.col("site") + F.col("next"), 1))
-    cells = F.sequence(
-        cell_of(F.when(first, F.col("site")).otherwise(F.col("lo")), width),
-        cell_of(F.when(last, F.col("site")).otherwise(F.col("hi")), width),
-    )
-    segments = (
-        neighbours(points).withColumn("lo", lo).withColumn("hi", hi)
-        .filter("lo <= hi").select("chrom", F.explode(cells).alias("cell"), "lo", "hi", "site")
-    )
-    bounds = per_chrom.select(
-        "chrom", cell_of("first", width).alias("first_cell"), cell_of("last", width).alias("last_cell")
-    )
-    n_segments = 2 * n_sites + span // width + 2 * (seen["chroms"] or 0)
-    limit = broadcast_limit(sites.sparkSession) if max_bytes is None else max_bytes
-    fits = n_segments * _SEGMENT_BYTES <= limit
+    covered = F.sequence(
+        cell_of(F.when(first, F.col("site")).otherwise(F.col("lo")), CELL),
+        cell_of(F.when(last, F.col("site")).otherwise(F.col("hi")), CELL),
+    )
+    stretches = neighbours(points).withColumn("lo", lo).withColumn("hi", hi).filter("lo <= hi")
+    cells = stretches.select("chrom", F.explode(covered).alias("cell"), "hi", "site").groupBy("chrom", "cell").agg(
+        F.sort_array(F.collect_list(F.struct("hi", "site"))).alias("_s")
+    ).select("chrom", "cell", F.col("_s.hi").alias("ends"), F.col("_s.site").alias("sites"))
+    cells, _, size = measured(cells)
+    bounds = cells.groupBy("chrom").agg(F.min("cell").alias("first_cell"), F.max("cell").alias("last_cell"))
+    fits = size <= (broadcast_limit(sites.sparkSession) if max_bytes is None else max_bytes)
     return SiteIndex(
-        segments=F.broadcast(segments) if fits else segments.hint("shuffle_hash"),
-        bounds=F.broadcast(bounds) if seen["chroms"] <= _BOUND_ROWS else bounds,
-        width=width,
-        fits_broadcast=fits,
+        cells=F.broadcast(cells) if fits else cells.hint("shuffle_hash"), bounds=small(bounds), fits_broadcast=fits
     )
 
 
+def _place(ends: Column, position: Column) -> Column:
+    """Index of the first of the sorted `ends` that is not before `position`, by halving."""
+    def halved(span: Column, _: Column) -> Column:
+        middle = F.shiftright(span["low"] + span["high"], 1)
+        found = F.element_at(ends, middle + 1) >= position
+        return F.struct(
+            F.when(found, span["low"]).otherwise(middle + 1).alias("low"), F.when(found, middle).otherwise(span["high"]).alias("high")
+        )
+
+    whole = F.struct(F.lit(0).alias("low"), (F.size(ends) - 1).alias("high"))
+    return F.aggregate(F.sequence(F.lit(1), F.length(F.bin(F.size(ends)))), whole, halved)["low"]
+
+
 def nearest(points: DataFrame, index: SiteIndex, chrom: str = "chrom", pos: str = "pos") -> DataFrame:
     """Add the nearest `site` and its distance `dist`; a tie goes to the lower site.
 
-    Points on chromosomes without sites are not in the result. Every point meets exactly one
-    segment, so the join keeps the row count. It is an equality join on (chromosome, cell); a hot
-    cell is split by adaptive execution when the join shuffles.
+    Points on chromosomes without sites are not in the result. Every point meets exactly one row of the index, so the
+    join keeps the row count however dense the sites are; the site is found in the row's sorted lists. The join is an
+    equality on (chromosome, cell); a hot cell is split by adaptive execution when it shuffles.
     """
     bounds = index.bounds.withColumnRenamed("chrom", chrom)
-    segments = index.segments.select(F.col("chrom").alias(chrom), "cell", "lo", "hi", "site")
-    own_cell = F.greatest(F.least(cell_of(pos, index.width), F.col("last_cell")), F.col("first_cell"))
+    cells = index.cells.withColumnRenamed("chrom", chrom)
+    own_cell = F.greatest(F.least(cell_of(pos, CELL), F.col("last_cell")), F.col("first_cell"))
+    found = F.element_at("sites", F.when(F.size("ends") == 1, 1).otherwise(_place(F.col("ends"), F.col(pos)) + 1))
     return (
         points.join(bounds, chrom)
         .withColumn("cell", own_cell)
         .drop("first_cell", "last_cell")
-        .join(segments, [chrom, "cell"])
-        .filter(F.col(pos).between(F.col("lo"), F.col("hi")))
+        .join(cells, [chrom, "cell"])
+        .withColumn("site", found)
         .withColumn("dist", F.abs(F.col(pos) - F.col("site")))
-        .drop("cell", "lo", "hi")
+        .drop("cell", "ends", "sites")
     )
 
 

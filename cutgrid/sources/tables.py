@@ -14,13 +14,13 @@ Paths = str | Sequence[str]
 
 
 def read_tsv(
-    spark: SparkSession, path: Paths, schema: T.StructType, header: bool = False, sep: str = "\t"
+    spark: SparkSession, path: Paths, schema: T.StructType, header: bool = False, sep: str = "\t", mode: str = "FAILFAST"
 ) -> DataFrame:
-    """A text table. Quotes have no meaning: quality texts may contain them."""
+    """A text table. Quotes have no meaning: quality texts may contain them. A malformed line fails the job."""
     return (
         spark.read.schema(schema).option("sep", sep).option("header", header).option("quote", "")
         .option("escape", "").option("enforceSchema", True).option("ignoreLeadingWhiteSpace", False)
-        .option("ignoreTrailingWhiteSpace", False).option("mode", "FAILFAST").csv(list(path) if not isinstance(path, str) else path)
+        .option("ignoreTrailingWhiteSpace", False).option("mode", mode).csv(list(path) if not isinstance(path, str) else path)
     )
 
 
@@ -89,7 +89,7 @@ def read_bed(spark: SparkSession, path: Paths, columns: int = 4) -> DataFrame:
 
 def read_config(spark: SparkSession, path: Paths) -> DataFrame:
     """Library and barcode: the first two fields of every line, trimmed; blank lines are skipped."""
-    rows = read_tsv(spark, path, schemas.CONFIG)
+    rows = read_tsv(spark, path, schemas.CONFIG, mode="PERMISSIVE")
     return rows.select(F.trim("libid").alias("libid"), F.trim("barcode").alias("barcode")).filter("libid != ''")
 
 

@@ -54,6 +54,17 @@ def test_nearest_is_brute_force(spark, sites, dense, points):
         assert all(r.site == brute_nearest(sites, r.pos) and r.dist == abs(r.site - r.pos) for r in found)
 
 
+def test_a_dense_stretch_makes_no_pairs(spark):
+    """A thousand sites four bases apart in one cell: every read still meets one row of the index."""
+    dense = spark.range(1_000).select(F.lit("c").alias("chrom"), (F.col("id") * 4).alias("start"))
+    sites = dense.union(spark.createDataFrame([("c", 1 << 30)], "chrom string, start long"))
+    index = index_sites(sites)
+    assert index.cells.groupBy("chrom", "cell").count().filter("count > 1").isEmpty()
+    reads = spark.range(5_000).select(F.lit("c").alias("chrom"), F.col("id").alias("pos"))
+    placed = nearest(reads, index).collect()
+    assert len(placed) == 5_000 and all(r.site == min(3_996, max(0, (r.pos + 1) // 4 * 4)) for r in placed)
+
+
 def test_nearest_plan_has_no_pairing_and_splits_hot_cells(spark):
     """A third of the reads on one position: the shuffled join is split, nothing else groups raw reads."""
     spark.conf.set("spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes", "20KB")

@@ -123,8 +123,12 @@ def test_score_stage(spark, tmp_path, domain):
         f"bin_tag=rescaled.bins_{t}" for t in ("2000_500", "1000_1000", "chromosome")
     }
     regions = spark.createDataFrame([("chr1", 0, 3_000), ("chr1", 0, 6_000), ("chr2", 100, 5_000)], "chrom string, region_start long, region_end long")
-    if domain == "separate":
-        assert score(counts, conditions, sizes, params, regions=regions).count() == 3
+    sites = counts.select("chrom", "start")
+    assert score(counts, conditions, sizes, params, sites=sites, regions=regions).groupBy("bin_tag").count().orderBy("bin_tag").collect() == [
+        ("chromosome", 2), ("custom", 3)
+    ]
+    masked = score(counts, conditions, sizes, params, sites=sites, mask=mask, regions=regions).filter("bin_tag = 'custom'").collect()
+    assert [(r.chrom, r.start, r.end) for r in masked] == [("chr2", 100, 5_000)]
 
 
 def test_library_from_files_to_bed(spark, tmp_path):
