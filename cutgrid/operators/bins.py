@@ -8,7 +8,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from cutgrid.functions.sizing import small
+from cutgrid.functions.sizing import small, stage
 from cutgrid.operators.intervals import totals_below
 from cutgrid.params import BinTag
 
@@ -98,12 +98,12 @@ def count_in_regions(
     """Reads and sites per custom region (`region_start`, `region_end`) that has any site.
 
     A region's total is what lies before its end less what lies before its start, so regions may
-    overlap as much as they like.
+    overlap as much as they like. Points and totals are staged, so `counts` is scanned once.
     """
     spans = regions.select("chrom", "region_start", "region_end").filter("region_end > region_start").distinct()
-    points = counts.groupBy(*by, "chrom", start).agg(F.sum("score").alias("reads"), F.count("*").alias("sites"))
+    points = stage(counts.groupBy(*by, "chrom", start).agg(F.sum("score").alias("reads"), F.count("*").alias("sites")))
     edges = spans.select("chrom", F.explode(F.array("region_start", "region_end")).alias("edge"))
-    below = totals_below(points, edges, by, start, ["reads", "sites"])
+    below = stage(totals_below(points, edges, by, start, ["reads", "sites"]))
     keys = [*by, "chrom"]
     low = below.select(
         *keys, F.col("edge").alias("region_start"), F.col("reads_below").alias("_r0"), F.col("sites_below").alias("_s0")

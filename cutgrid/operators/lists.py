@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from cutgrid.functions.sizing import measured, small, stage
+from cutgrid.operators.numbering import ranked
 
 #: Rows of a group that one list holds.
 LIST_ROWS = 200_000
@@ -19,26 +20,6 @@ def _collect(rows: DataFrame, keys: Sequence[str], items: Sequence[str], order:
     )
 
 
-def _stretches(rows: DataFrame, keys: Sequence[str], order: Sequence[str], max_rows: int) -> DataFrame:
-    """`rows` with the number `chunk` of their stretch and the size `n` of their group, from exact ranks.
-
-    Rows are range-partitioned by group and order; a rank is the place within the partition's part of the group plus the
-    sizes of its earlier parts, so it does not depend on where the partitions were cut, and no task holds a group.
-    """
-    cut = stage(rows.repartitionByRange(*keys, *order).withColumn("_part", F.spark_partition_id()))
-    whole = Window.partitionBy(*keys)
-    earlier = whole.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
-    parts = cut.groupBy(*keys, "_part").agg(F.count("*").alias("_rows")).select(
-        *keys, "_part", F.coalesce(F.sum("_rows").over(earlier), F.lit(0)).alias("_before"), F.sum("_rows").over(whole).alias("n")
-    )
-    here = F.row_number().over(Window.partitionBy(*keys, "_part").orderBy(*order))
-    return (
-        cut.withColumn("_here", here).join(small(parts), [*keys, "_part"])
-        .withColumn("chunk", F.floor((F.col("_before") + F.col("_here") - 1) / F.lit(max_rows)).cast("long"))
-        .drop("_part", "_here", "_before")
-    )
-
-
 def ordered_lists(
     df: DataFrame, keys: Sequence[str], items: Sequence[str], order: Sequence[Column], max_rows: int = LIST_ROWS
 ) -> DataFrame:
@@ -56,7 +37,9 @@ def ordered_lists(
     if not groups:
         return _collect(rows, keys, items, names).select(*columns)
     large = small(large.drop("_rows"))
-    cut = _stretches(rows.join(large, list(keys), "left_semi"), keys, names, max_rows)
+    cut = ranked(rows.join(large, list(keys), "left_semi"), keys, names).withColumn(
+        "chunk", F.floor(F.col("rank") / F.lit(max_rows)).cast("long")
+    )
     return _collect(rows.join(large, list(keys), "left_anti"), keys, items, names).select(*columns).unionByName(
         _collect(cut, [*keys, "chunk", "n"], items, names).drop("_size")
     )

@@ -9,11 +9,12 @@ from __future__ import annotations
 from collections.abc import Sequence
 from statistics import NormalDist
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from cutgrid.functions.sizing import small
 from cutgrid.functions.text import duration_seconds
 from cutgrid.operators.bins import BIN, SPAN, for_each_library
+from cutgrid.operators.numbering import ranked
 from cutgrid.params import parse_outlier_tag
 
 # Scores closer than this are equal: sums of logarithms of equal rates differ in their last bits.
@@ -89,17 +90,26 @@ def _group(normalize_by: str) -> list[str]:
 
 
 def score_fences(scores: DataFrame, tag: str = "iqr:1.5", normalize_by: str = "lib") -> DataFrame:
-    """Exact quartiles and outlier fences per experiment and bin tag (and chromosome).
+    """Exact quartiles (linear between the two scores around them) and outlier fences per experiment and bin tag (and chromosome).
 
-    The exact percentile keeps one counter per distinct score of a group; a group holds the bins of
-    one genome at one resolution, however many reads there are.
+    The scores around a quartile are picked by their exact rank, so no task holds the scores of a group.
     """
     _, reach = parse_outlier_tag(tag, ["iqr"])
+    keys = _group(normalize_by)
+    rows = ranked(scores.filter("score is not null").select(*keys, "score"), keys, ["score"])
+
+    def quartile(share: float) -> Column:
+        place = (F.col("n") - 1) * F.lit(share)
+        low, high = F.floor(place), F.ceil(place)
+        at = lambda rank: F.max(F.when(F.col("rank") == rank, F.col("score")))
+        part = F.max(place - low)
+        return at(low) + (at(high) - at(low)) * part
+
+    wanted = [f((F.col("n") - 1) * F.lit(share)) for share in (0.25, 0.75) for f in (F.floor, F.ceil)]
     iqr = F.col("q3") - F.col("q1")
     return (
-        scores.filter("score is not null").groupBy(*_group(normalize_by))
-        .agg(F.percentile("score", F.array(F.lit(0.25), F.lit(0.75))).alias("_q"))
-        .select(*_group(normalize_by), F.col("_q")[0].alias("q1"), F.col("_q")[1].alias("q3"))
+        rows.filter(F.col("rank").isin(*wanted)).groupBy(*keys)
+        .agg(quartile(0.25).alias("q1"), quartile(0.75).alias("q3"))
         .withColumn("low", F.col("q1") - reach * iqr).withColumn("high", F.col("q3") + reach * iqr)
     )
 
