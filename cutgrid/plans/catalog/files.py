@@ -19,6 +19,7 @@ from cutgrid.plans.catalog.scores import (
 )
 from cutgrid.plans.catalog.summary import _SUMMARY_SQL, summary_table
 from cutgrid.plans.catalog.umis import HOT_ROWS, HOT_SQL, assigned, counted, hot_reads, shifted
+from cutgrid.plans.preprocess import prepare_run
 from cutgrid.plans.programs import score_files
 from cutgrid.sources import sinks, tables as tb
 from cutgrid.sources.fasta import read_fasta
@@ -33,12 +34,12 @@ def _folder_library(df, path: str = "_metadata.file_path"):
     return F.regexp_extract(path, FROM_FOLDER, 1).alias("libid")
 
 
-@query(f"WITH {d.RAW_READS_SQL} SELECT read_id, seq, qual FROM raw_reads")
+@query(f"WITH {d.RAW_READS_SQL} SELECT libid, read_id, seq, qual FROM raw_reads")
 def fastq_scan(spark, sf_dir):
-    """Plain FASTQ, read in byte ranges."""
+    """Plain FASTQ as the writer leaves it, a folder per library, read in byte ranges."""
     out = fresh_dir(spark, "fastq")
-    sinks.write_reads(d.raw_reads(spark, sf_dir).drop("libid"), out, compress=False)
-    return read_fastq(spark, out).select("read_id", "seq", "qual")
+    sinks.write_reads(d.raw_reads(spark, sf_dir), out, compress=False)
+    return read_fastq(spark, out).select("libid", "read_id", "seq", "qual")
 
 
 @query(f"WITH {d.RAW_READS_SQL} SELECT read_id, seq, qual FROM raw_reads")
@@ -48,6 +49,20 @@ def fastq_gzip_scan(spark, sf_dir):
     return read_fastq(spark, out, partitions=8).select("read_id", "seq", "qual")
 
 
+@query(f"""WITH {FLAGGED_SQL}
+SELECT CASE WHEN NOT good THEN 'lq' WHEN prefix_ok THEN 'prefix' ELSE 'prefix_unmatched' END AS status, libid, CAST(count(*) AS BIGINT) AS n
+FROM judged GROUP BY ALL""")
+def run_rejects(spark, sf_dir):
+    """First half of a run on files: FASTQ and configuration in, reads to align and every group of rejects out, counted."""
+    out = fresh_dir(spark, "prepared")
+    sinks.write_reads(d.raw_reads(spark, sf_dir), f"{out}/fastq", compress=False)
+    sinks.write_tsv(d.config(spark, sf_dir).select("libid", "barcode"), f"{out}/config")
+    prepare_run(spark, f"{out}/config", f"{out}/fastq", out)
+    aligned = read_fastq(spark, f"{out}/fastq_prefix").select("libid", F.lit("prefix").alias("status"))
+    rejected = spark.read.text(f"{out}/fastq_rejected").filter(F.col("value").startswith("@") & F.col("value").contains(":"))
+    return aligned.unionByName(rejected.select("libid", "status")).groupBy("status", "libid").agg(F.count("*").alias("n"))
+
+
 @query(f"""WITH {FLAGGED_SQL}
 SELECT CASE WHEN good THEN 'hq' ELSE 'lq' END AS status, libid, CAST(count(*) AS BIGINT) AS n FROM judged GROUP BY ALL""")
 def rejects_export(spark, sf_dir):
@@ -112,16 +127,23 @@ def sam_scan(spark, sf_dir):
 
 
 @query(f"""WITH {d.READS_SQL}
-SELECT chrom, pos, CAST(count(*) AS BIGINT) AS n FROM reads GROUP BY chrom, pos""")
+SELECT libid, chrom, pos, CAST(count(*) AS BIGINT) AS n, string_agg(umi, ' ' ORDER BY strand, umi) AS umis FROM reads GROUP BY libid, chrom, pos""")
 def stranded_umis_scan(spark, sf_dir):
     """One UMI list per strand written, both read, shifted and grouped."""
     out = fresh_dir(spark, "stranded")
     rows = d.reads(spark, sf_dir)
     for strand, name in (("+", "plus"), ("-", "revs")):
-        sinks.write_tsv(rows.filter(F.col("strand") == strand).select("chrom", "pos", "umi", "qual"), f"{out}/{name}")
+        lines = rows.filter(F.col("strand") == strand).select("libid", "chrom", "pos", "umi", "qual")
+        sinks.write_tsv(lines, f"{out}/{name}", partition_by=["libid"])
     long = tb.read_stranded_umis(spark, f"{out}/plus", f"{out}/revs")
-    grouped = um.group_positions(um.shift_plus(long, len(d.CUT_SEQ)), by=())
-    return grouped.select("chrom", "pos", "n")
+    grouped = um.group_positions(um.shift_plus(long, len(d.CUT_SEQ)))
+    # The files give no order within a strand, so UMIs are compared as sorted per strand.
+    plus = F.col("strands_plus")
+    counted = um.shift_plus(long, len(d.CUT_SEQ)).groupBy("libid", "chrom", "pos").agg(F.count_if(F.col("strand") == "+").alias("strands_plus"))
+    return grouped.join(counted, ["libid", "chrom", "pos"]).select("libid", "chrom", "pos", "n", F.array_join(F.concat(
+        F.sort_array(F.slice("umi", F.lit(1), plus.cast("int"))),
+        F.sort_array(F.slice("umi", (plus + 1).cast("int"), (F.col("n") - plus).cast("int"))),
+    ), " ").alias("umis"))
 
 
 @query(f"WITH {d.READS_SQL} SELECT libid, chrom, pos, umi, qual FROM reads")

@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-import glob
+import json
 import os
 from collections.abc import Iterator
 from dataclasses import dataclass
-from urllib.parse import urlparse
+from urllib.parse import unquote
 
 from pyspark.sql import SparkSession
 from pyspark.sql.datasource import InputPartition
@@ -25,48 +25,54 @@ class FileRange(InputPartition):
 
 
 def file_system(path: str):
-    """File system of a path or URI, and the path inside it."""
+    """File system of a path or URI, and the path inside it, for reading in tasks."""
     from pyarrow import fs
 
-    if path.startswith("file:"):
-        path = urlparse(path).path
-    if "://" in path:
-        return fs.FileSystem.from_uri(path)
-    return fs.LocalFileSystem(), os.path.abspath(path)
+    if "%" in path and ":/" in path:
+        path = unquote(path)
+    scheme, colon, rest = path.partition(":/")
+    if not colon or scheme == "file":
+        return fs.LocalFileSystem(), os.path.abspath("/" + rest.lstrip("/") if colon else path)
+    scheme = {"s3a": "s3", "s3n": "s3"}.get(scheme, scheme)
+    known = ("s3", "gs", "gcs", "hdfs", "viewfs", "abfs", "abfss")
+    if scheme not in known:
+        raise ValueError(f"cannot read {scheme}:/ in tasks; known are file and {', '.join(known)}")
+    return fs.FileSystem.from_uri(f"{scheme}:/{rest}" if rest.startswith("/") else f"{scheme}:///{rest}")
 
 
-def list_files(path: str) -> list[tuple[str, int]]:
-    """Files with sizes: one file, a folder's files, or (local paths only) a pattern."""
-    from pyarrow import fs
+def list_files(spark: SparkSession, path: str) -> list[tuple[str, int]]:
+    """URIs and sizes of a file, a pattern's files, or a folder's files with all its subfolders.
 
-    paths = sorted(glob.glob(path)) if any(c in path for c in "*?[") else [path]
-    found = []
-    for one in paths:
-        system, inner = file_system(one)
-        info = system.get_file_info(inner)
-        if info.type == fs.FileType.Directory:
-            prefix = one.rstrip("/")
-            entries = [
-                (f"{prefix}/{e.base_name}", e.size) for e in system.get_file_info(fs.FileSelector(inner))
-                if e.type == fs.FileType.File and not e.base_name.startswith(("_", "."))
-            ]
-            found += sorted(entries)
-        elif info.type == fs.FileType.File:
-            found.append((one, info.size))
+    Names come from the path's own file system, on the driver. A path without any file is an error.
+    """
+    jvm = spark._jvm
+    wanted = jvm.org.apache.hadoop.fs.Path(path)
+    system = wanted.getFileSystem(spark._jsc.hadoopConfiguration())
+    todo, found = list(system.globStatus(wanted) or []), []
+    while todo:
+        status = todo.pop()
+        if status.getPath().getName().startswith(("_", ".")):
+            continue
+        if status.isDirectory():
+            todo += list(system.listStatus(status.getPath()))
         else:
-            raise FileNotFoundError(one)
-    return found
+            found.append((status.getPath().toUri().toString(), status.getLen()))
+    if not found:
+        raise FileNotFoundError(f"no file for {path}")
+    return sorted(found)
+
 
+def range_options(spark: SparkSession, path: str, range_bytes: int | None) -> dict[str, str]:
+    """The files, largest and smallest range and the number of cores, from the session's own file settings."""
+    files = {"files": json.dumps(list_files(spark, path))}
 
-def range_options(spark: SparkSession, range_bytes: int | None) -> dict[str, str]:
-    """Largest and smallest range and the number of cores, from the session's own file settings."""
     def size(key: str, default: str) -> int:
         text = spark.conf.get(key, default).strip().lower().removesuffix("b")
         return int(text[:-1]) << {"k": 10, "m": 20, "g": 30}[text[-1]] if text[-1] in "kmg" else int(text)
 
     if range_bytes is not None:
-        return {"range_bytes": str(range_bytes), "least_bytes": str(range_bytes), "slices": "1"}
-    return {
+        return files | {"range_bytes": str(range_bytes), "least_bytes": str(range_bytes), "slices": "1"}
+    return files | {
         "range_bytes": str(size("spark.sql.files.maxPartitionBytes", "128m")),
         "least_bytes": str(size("spark.sql.files.openCostInBytes", "4m")),
         "slices": str(spark.sparkContext.defaultParallelism),
@@ -75,7 +81,7 @@ def range_options(spark: SparkSession, range_bytes: int | None) -> dict[str, str
 
 def file_ranges(options: dict[str, str]) -> list[FileRange]:
     """Ranges of all plain files, small enough to give every core one where the data allow it."""
-    files = list_files(options["path"])
+    files = [(name, size) for name, size in json.loads(options["files"])]
     most, least, slices = (int(options[k]) for k in ("range_bytes", "least_bytes", "slices"))
     total = sum(size for name, size in files if not name.endswith(".gz"))
     width = min(most, max(least, total // slices + 1))

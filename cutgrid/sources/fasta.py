@@ -107,7 +107,7 @@ def read_fasta(
     spark.dataSource.register(FastaSource)
     rows = (
         spark.read.format("fasta").option("chunk", chunk).option("overlap", overlap)
-        .options(**range_options(spark, range_bytes)).load(path)
+        .options(**range_options(spark, path, range_bytes)).load()
     )
     # Per range: the last contig that begins in it, and the letters after that header (or all of them).
     ranges = rows.groupBy("file", "part").agg(

@@ -73,7 +73,7 @@ class FastqReader(DataSourceReader):
     def read(self, partition: FileRange):
         import pyarrow as pa
 
-        name = partition.path.rsplit("/", 1)[-1]
+        name = partition.path
         for offset, lines in records(partition):
             count = len(lines) // 4
             # Unique and rising within a file: a record is longer than one byte.
@@ -114,18 +114,21 @@ class FastqSource(DataSource):
 def read_fastq(
     spark: SparkSession, path: str, sep: str = "_", range_bytes: int | None = None, partitions: int | None = None
 ) -> DataFrame:
-    """Reads as `libid, read_id, seq, qual, ord`; the library is the file name up to `sep`.
+    """Reads as `libid, read_id, seq, qual, ord`; the library is the `libid=` folder, else the file name up to `sep`.
+
+    `path` is a file, a pattern, or a folder, with all files in its subfolders.
 
     `range_bytes` fixes the split size, which otherwise follows the session's file settings.
     """
     for module in (blocks, sys.modules[__name__]):
         cloudpickle.register_pickle_by_value(module)
     spark.dataSource.register(FastqSource)
-    rows = spark.read.format("fastq").options(**range_options(spark, range_bytes)).load(path)
+    rows = spark.read.format("fastq").options(**range_options(spark, path, range_bytes)).load()
     if partitions is not None:
         rows = rows.repartition(partitions)
+    folder = F.regexp_extract("file", "/libid=([^/]+)/", 1)
     stem = F.regexp_replace("file", r"\.(fastq|fq|txt)(\.gz)?$", "")
     return rows.select(
-        library_id(stem, sep).alias("libid"), first_token("header").alias("read_id"), "seq", "qual",
+        F.when(folder != "", folder).otherwise(library_id(stem, sep)).alias("libid"), first_token("header").alias("read_id"), "seq", "qual",
         F.struct("file", "ordinal").alias("ord"),
     )

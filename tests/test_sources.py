@@ -85,6 +85,17 @@ def test_stranded_umis_keep_file_order_and_quotes(spark, tmp_path):
     assert (row.libid, row.pos, row.umi, row.qual) == ("L1", 100, ["AC", "GT", "TT"], ['"I', 'I"', "#I"])
 
 
+def test_fastq_folders_patterns_and_missing_paths(spark, tmp_path):
+    for lib in "AB":
+        (tmp_path / "run" / f"libid={lib}" / "deep er").mkdir(parents=True)
+        (tmp_path / "run" / f"libid={lib}" / "deep er" / "part-1.txt").write_text(f"@{lib}1 x\nAC\n+\nII\n")
+    (tmp_path / "run" / "_SUCCESS").write_text("")
+    for path in (str(tmp_path / "run"), f"file:{tmp_path}/run", str(tmp_path / "r*")):
+        assert sorted((r.libid, r.read_id) for r in read_fastq(spark, path).collect()) == [("A", "A1"), ("B", "B1")]
+    with pytest.raises(FileNotFoundError):
+        read_fastq(spark, str(tmp_path / "none"))
+
+
 def test_config_conditions_and_beds(spark, tmp_path):
     (tmp_path / "run.config").write_text("K1\tCATCACGC\nK2\tGTCGTATC\t\n\n")
     assert [tuple(r) for r in tb.read_config(spark, str(tmp_path / "run.config")).orderBy("libid").collect()] == [
