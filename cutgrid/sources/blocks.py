@@ -120,17 +120,18 @@ def line_blocks(part: FileRange) -> Iterator[tuple[int, list[bytes]]]:
                 return
             offset += cut
             rest = block[cut + 1:]
+        held = [rest]
         while True:
             block = stream.read(READ_BYTES)
-            data = rest + block
+            cut = block.rfind(b"\n")
+            if block and cut < 0:
+                held.append(block)
+                continue
+            data = b"".join([*held, block[:cut] if block else b""])
             if not block:
                 if data:
-                    yield offset, data.split(b"\n") if not data.endswith(b"\n") else data[:-1].split(b"\n")
+                    yield offset, data.split(b"\n")
                 return
-            cut = data.rfind(b"\n")
-            if cut < 0:
-                rest = data
-                continue
-            yield offset, data[:cut].split(b"\n")
-            offset += cut + 1
-            rest = data[cut + 1:]
+            yield offset, data.split(b"\n")
+            offset += len(data) + 1
+            held = [block[cut + 1:]]
