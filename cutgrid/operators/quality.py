@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from cutgrid.functions.sizing import small
+from cutgrid.functions.sizing import small, stage
 from cutgrid.functions.text import PHRED_OFFSET, phred
 
 # Fixed value: a sequence is over-represented above this share of a library's reads.
@@ -76,18 +76,28 @@ def sequence_counts(reads: DataFrame) -> DataFrame:
     return reads.groupBy("libid", "seq").agg(F.count("*").alias("n"))
 
 
+def _digest_counts(reads: DataFrame) -> DataFrame:
+    """Copies of every distinct sequence by its 128-bit digest, so whole sequences are not shuffled."""
+    return reads.groupBy("libid", F.unhex(F.md5("seq")).alias("digest")).agg(F.count("*").alias("n"))
+
+
 def duplication_levels(reads: DataFrame) -> DataFrame:
     """Distinct sequences and reads per number of copies."""
-    return sequence_counts(reads).groupBy("libid", F.col("n").alias("copies")).agg(
+    return _digest_counts(reads).groupBy("libid", F.col("n").alias("copies")).agg(
         F.count("*").alias("n_sequences"), F.sum("n").alias("n_reads")
     )
 
 
 def overrepresented(reads: DataFrame, min_share: float = OVERREPRESENTED_SHARE) -> DataFrame:
-    """Sequences that make up more than `min_share` of a library's reads."""
-    totals = small(reads.groupBy("libid").agg(F.count("*").alias("total")))
-    return (
-        sequence_counts(reads).join(totals, "libid")
-        .filter(F.col("n") > F.col("total") * min_share)
-        .select("libid", "seq", "n", (F.col("n") * 100.0 / F.col("total")).alias("percent"))
+    """Sequences that make up more than `min_share` of a library's reads.
+
+    Digests tell which may; there are at most 1 / `min_share` of them a library, and only their reads are counted as sequences.
+    """
+    counts = stage(_digest_counts(reads))
+    totals = small(counts.groupBy("libid").agg(F.sum("n").alias("total")))
+    frequent = F.col("n") > F.col("total") * min_share
+    heavy = stage(counts.join(totals, "libid").filter(frequent).select("libid", "digest"))
+    found = reads.withColumn("digest", F.unhex(F.md5("seq"))).join(heavy, ["libid", "digest"], "left_semi")
+    return sequence_counts(found).join(totals, "libid").filter(frequent).select(
+        "libid", "seq", "n", (F.col("n") * 100.0 / F.col("total")).alias("percent")
     )

@@ -86,7 +86,8 @@ def prepare_run(
     group = F.when(F.col("status") != rd.PASSED, F.col("status")).when(F.col("prefix_ok"), "prefix").otherwise(
         "prefix_unmatched"
     )
-    passed = flagged.withColumn("status", group)
+    # Both outputs start from staged reads, so FASTQ is parsed and judged once.
+    passed = stage(flagged.withColumn("status", group))
     write_reads(passed.filter("status = 'prefix'").drop("status"), f"{out}/fastq_prefix", params.pattern)
     write_reads(passed.filter("status != 'prefix'"), f"{out}/fastq_rejected")
 

@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from cutgrid.functions.sizing import stage
 from cutgrid.operators import umis as um
 from cutgrid.operators.logs import log_metrics, require_metrics
 from cutgrid.operators.summary import summary_from_logs
@@ -34,16 +35,16 @@ def umis_to_sites(
 
     Returns the totals and distance summary per library.
     """
-    placed = um.assign(tb.read_grouped_umis(spark, umis, sep), tb.read_bed(spark, cutsites), min_dist)
+    placed = stage(um.assign(tb.read_grouped_umis(spark, umis, sep), tb.read_bed(spark, cutsites), min_dist))
     sinks.write_assigned(um.merge_sites(placed), um.orphan_groups(placed), folder, name, compress=compress)
     return um.assign_stats(placed)
 
 
 def deduplicate(spark: SparkSession, umis: tb.Paths, out: str, compress: bool = True) -> DataFrame:
     """Unique UMIs per site out of merged sites; returns the totals per library."""
-    reads = tb.read_grouped_umis(spark, umis).withColumnsRenamed({"pos": "site"}).withColumns(
+    reads = stage(tb.read_grouped_umis(spark, umis).withColumnsRenamed({"pos": "site"}).withColumns(
         {"is_orphan": F.lit(False), "pos": F.lit(0).cast("long"), "n": F.lit(1).cast("long")}
-    )
+    ))
     sinks.write_dedup(um.dedup_lists(reads), out, compress=compress)
     return um.dedup_totals(um.counts_per_site(reads))
 
