@@ -64,19 +64,51 @@ class Model:
                 left, right = number.get(name[:cut]), number.get(name[cut:])
                 if left is not None and right is not None:
                     pairs[left * size + right] = i
-        self.pairs = np.array(sorted(pairs), np.int64)
-        self.merged = np.array([pairs[k] for k in sorted(pairs)], np.int32)
-        alone = "\n" if not any("\n" in names[i] for i in plain) else ""
+        self._spread(np.array(list(pairs), np.int64), np.array(list(pairs.values()), np.int32))
+        self.line_alone = not any("\n" in names[i] for i in plain)
+        alone = "\n" if self.line_alone else ""
         self.units = re.compile(f"{BLANK}*[^{BLANK}{alone}]+|{BLANK}+" + (f"|{alone}" if alone else ""))
 
-    def split(self, text: str) -> list[str]:
-        return self.units.findall(BLANK + text.replace(" ", BLANK)) if text else []
+    def _spread(self, keys: np.ndarray, values: np.ndarray) -> None:
+        """The pairs as an open hash table, about an eighth full."""
+        width = max(4, int(len(keys) * 8).bit_length())
+        self.shift, self.mask = np.uint64(64 - width), (1 << width) - 1
+        self.key, self.value = np.full(1 << width, -1, np.int64), np.full(1 << width, -1, np.int32)
+        slot = self._slot(keys)
+        while len(keys):
+            _, first = np.unique(slot, return_index=True)
+            first = first[self.key[slot[first]] == -1]
+            self.key[slot[first]], self.value[slot[first]] = keys[first], values[first]
+            left = np.ones(len(keys), bool)
+            left[first] = False
+            keys, values, slot = keys[left], values[left], (slot[left] + 1) & self.mask
+
+    def _slot(self, keys: np.ndarray) -> np.ndarray:
+        return ((keys.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> self.shift).astype(np.int64)
 
     def _pairs(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
         """Piece that a pair of symbols merges to, or -1; symbols below 0 are characters outside the vocabulary."""
-        key = np.where((left >= 0) & (right >= 0), left.astype(np.int64) * self.size + right, -1)
-        at = np.minimum(np.searchsorted(self.pairs, key), len(self.pairs) - 1)
-        return np.where(self.pairs[at] == key, self.merged[at], -1)
+        key = np.where((left >= 0) & (right >= 0), left * self.size + right, -2)
+        slot = self._slot(key)
+        held = self.key[slot]
+        found = np.where(held == key, self.value[slot], -1)
+        open_ = np.flatnonzero((held != key) & (held != -1))
+        while len(open_):
+            slot[open_] = (slot[open_] + 1) & self.mask
+            held = self.key[slot[open_]]
+            met = held == key[open_]
+            found[open_[met]] = self.value[slot[open_[met]]]
+            open_ = open_[~met & (held != -1)]
+        return found
+
+    def split(self, text: str) -> list[str]:
+        """Units of a text; where single blanks and line ends part the words, without the pattern (it may give empty units too)."""
+        if not text:
+            return []
+        marked = BLANK + text.replace(" ", BLANK)
+        if "\0" in text or BLANK in text or text[0] == " " or "  " in text or not self.line_alone:
+            return self.units.findall(marked)
+        return marked.replace(BLANK, "\0" + BLANK).replace("\n", "\0\n\0").split("\0")
 
     def _symbols(self, text: str) -> np.ndarray:
         points = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.int64)
@@ -99,24 +131,34 @@ class Model:
     def _merge_rounds(self, symbols: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Symbols of all units, and how many each unit has, once no pair is left."""
         own, finished = np.arange(len(sizes)), []
+        unit = np.repeat(own, sizes)
+        joined = np.full(len(symbols), -1, np.int64)
+        same = np.flatnonzero(unit[:-1] == unit[1:])
+        joined[same] = self._pairs(symbols[same], symbols[same + 1])
+        rank = np.where(joined >= 0, self.rank[joined], _NONE)
         while len(own):
-            start = np.concatenate([[0], np.cumsum(sizes)])[:-1]
-            unit = np.repeat(np.arange(len(own)), sizes)
-            joined = np.full(len(symbols), -1, np.int64)
-            same = unit[:-1] == unit[1:]
-            joined[:-1][same] = self._pairs(symbols[:-1][same], symbols[1:][same])
-            rank = np.where(joined >= 0, self.rank[joined], _NONE)
-            best = np.minimum.reduceat(rank, start)
-            at = np.flatnonzero((rank == best[unit]) & (joined >= 0))
+            best = np.minimum.reduceat(rank, np.cumsum(sizes) - sizes)
+            each = np.repeat(best, sizes)
+            at = np.flatnonzero((rank == each) & (joined >= 0))
             at = at[np.concatenate([[True], unit[at][1:] != unit[at][:-1]])] if len(at) else at
             symbols[at] = joined[at]
-            keep = np.ones(len(symbols), bool)
-            keep[at + 1] = False
             done = best == _NONE
-            finished.append((own[done], sizes[done], symbols[done[unit]]))
-            keep &= ~done[unit]
-            sizes = (sizes - 1)[~done]
-            symbols, own = symbols[keep], own[~done]
+            finished.append((own[done], sizes[done], symbols[each == _NONE]))
+            keep = each != _NONE
+            keep[at + 1] = False
+            place = (np.cumsum(keep) - 1)[at]
+            symbols, unit, joined, rank = symbols[keep], unit[keep], joined[keep], rank[keep]
+            sizes, own = (sizes - 1)[~done], own[~done]
+            # Only pairs with a merged symbol are new.
+            last = place[(place + 1 < len(unit))]
+            last = last[unit[last] == unit[last + 1]]
+            before = place[place > 0] - 1
+            before = before[unit[before] == unit[before + 1]]
+            joined[place] = -1
+            fresh = np.concatenate([last, before])
+            joined[fresh] = self._pairs(symbols[fresh], symbols[fresh + 1])
+            changed = np.concatenate([place, before])
+            rank[changed] = np.where(joined[changed] >= 0, self.rank[joined[changed]], _NONE)
         owner, sizes, symbols = (np.concatenate(column) for column in zip(*finished))
         owners = np.argsort(np.repeat(owner, sizes), kind="stable")
         return symbols[owners], sizes[np.argsort(owner)]
@@ -151,18 +193,17 @@ class Model:
 
     def encode_units(self, units: list[str]) -> list[bytes]:
         """Ids of each unit as int32; none is empty."""
-        short = [unit for unit in units if len(unit) <= LONG_UNIT]
-        found = {}
+        long = [i for i, unit in enumerate(units) if len(unit) > LONG_UNIT]
+        short = [unit for unit in units if len(unit) <= LONG_UNIT] if long else units
+        found = []
         if short:
-            merged = self._merge_rounds(self._symbols("".join(short)), np.array([len(unit) for unit in short]))
-            ids, sizes = self._bytes(*merged)
+            ids, sizes = self._bytes(*self._merge_rounds(self._symbols("".join(short)), np.array(list(map(len, short)))))
             raw, end = ids.tobytes(), (4 * np.cumsum(sizes)).tolist()
-            found = dict(zip(short, [raw[a:b] for a, b in zip([0, *end], end)]))
-        for unit in units:
-            if len(unit) > LONG_UNIT:
-                symbols = self._merge_long(self._symbols(unit))
-                found[unit] = self._bytes(symbols, np.array([len(symbols)]))[0].tobytes()
-        return [found[unit] for unit in units]
+            found = [raw[a:b] for a, b in zip([0, *end], end)]
+        for i in long:
+            symbols = self._merge_long(self._symbols(units[i]))
+            found.insert(i, self._bytes(symbols, np.array([len(symbols)]))[0].tobytes())
+        return found
 
     def decode(self, ids: list[int]) -> str:
         """Text of ids, as the library's decode: the blank put in front is taken off, bad bytes become U+FFFD."""
@@ -197,19 +238,19 @@ class _Encoder:
     """Encodes texts; units met before are looked up, within `CACHED` of them."""
 
     def __init__(self, path: str):
-        self.model, self.seen = Model(path), {}
+        self.model, self.seen = Model(path), {"": b""}
 
     def __call__(self, texts: list[str | None]) -> list[bytes]:
         split = [self.model.split(text or "") for text in texts]
-        new = list(set().union(*split).difference(self.seen)) if split else []
-        if len(self.seen) + len(new) > CACHED:
-            self.seen = {}
-            new = list(set().union(*split))
         known = self.seen
+        new = list({unit for units in split for unit in units if unit not in known})
+        if len(known) + len(new) > CACHED:
+            known = self.seen = {"": b""}
+            new = list({unit for units in split for unit in units if unit})
         for first in range(0, len(new), 50_000):
             units = new[first:first + 50_000]
             known.update(zip(units, self.model.encode_units(units)))
-        found = [b"".join([known[unit] for unit in units]) for units in split]
+        found = [b"".join(map(known.__getitem__, units)) for units in split]
         for unit in new:
             if len(unit) > CACHED_LENGTH:
                 del known[unit]
