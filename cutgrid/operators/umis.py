@@ -37,14 +37,6 @@ def group_positions(reads: DataFrame, by: Sequence[str] = LIB, max_rows: int = L
     )
 
 
-def ungroup_positions(grouped: DataFrame, keep: Sequence[str] = ("chrom", "pos")) -> DataFrame:
-    """Grouped lines (`seq`, `qual` as blank-joined text) back to one row per read, in list order."""
-    pairs = F.arrays_zip(F.split("seq", " ").alias("umi"), F.split("qual", " ").alias("qual"))
-    return grouped.select(*keep, F.posexplode(pairs).alias("ord", "_pair")).select(
-        *keep, "ord", F.col("_pair.umi").alias("umi"), F.col("_pair.qual").alias("qual")
-    )
-
-
 def known_chroms(reads: DataFrame, sites: DataFrame) -> DataFrame:
     """Reads on chromosomes that have sites."""
     return reads.join(small(sites.select("chrom").distinct()), "chrom", "left_semi")

@@ -78,13 +78,6 @@ def test_hot_groups_are_split_without_loss(spark):
     assert {r.chunk for r in cold} == {0}
 
 
-def test_ungroup_restores_reads(spark):
-    lines = spark.createDataFrame([("c", 5, "AC GT AC", "a \" b")], "chrom string, pos long, seq string, qual string")
-    assert [(r.ord, r.umi, r.qual) for r in um.ungroup_positions(lines).collect()] == [
-        (0, "AC", "a"), (1, "GT", '"'), (2, "AC", "b"),
-    ]
-
-
 def test_umi_lengths(spark):
     reads = spark.createDataFrame([("L", "AC"), ("L", "ACG"), ("L", "GG"), ("M", "A")], "libid string, umi string")
     rows = {r.libid: (r.lengths, r.mean_length) for r in um.umi_lengths(reads).collect()}
