@@ -28,7 +28,7 @@ SHINGLE, SEED, DISTANCE = 3, 42, 3
 #: Fingerprints from which the dealing tree is made.
 SAMPLE = 8192
 #: Fingerprints of a shard's own, about: from, to, and how many shards are wished for between.
-SHARD, LARGEST_SHARD, SHARDS = 1 << 14, 1 << 20, 64
+SHARD, LARGEST_SHARD, SHARDS = 1 << 12, 1 << 20, 64
 _LEAF = 512
 _AT_ONCE = 1 << 20
 _LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
