@@ -14,18 +14,28 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+#: Rows that a task works on at once.
+ROWS = 1024
+
+
+def pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for first in range(0, batch.num_rows, ROWS):
+            yield batch.slice(first, ROWS)
+
+
 def map_texts(docs: DataFrame, begin: Callable[[], Work], fields: list[T.StructField]) -> DataFrame:
     """`doc_id` and the columns that `begin()(texts)` returns for the texts of one Arrow batch.
 
-    `begin` runs once per task, so tables and caches are built there and bounded there. Every row of
-    `docs` gives one row; other columns are neither read nor returned.
+    `begin` runs once per task, so tables and caches are built there and bounded there. Every row of `docs` gives one row,
+    `ROWS` at a time, so results do not pile up; other columns are neither read nor returned.
     """
     schema = T.StructType([T.StructField("doc_id", docs.schema["doc_id"].dataType), *fields])
     names = schema.fieldNames()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         work = begin()
-        for batch in batches:
+        for batch in pieces(batches):
             yield pa.RecordBatch.from_arrays([batch.column(0), *work(batch.column(1).to_pylist())], names=names)
 
     return docs.select("doc_id", "text").mapInArrow(run, schema)

@@ -17,7 +17,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, types as T
 
-from cutgrid.llm.common import map_texts
+from cutgrid.llm.common import map_texts, pieces
 
 BLANK = "▁"
 LONG_UNIT = 192
@@ -296,7 +296,7 @@ def decode(tokens: DataFrame, model_path: str) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = Model(model_path)
-        for batch in batches:
+        for batch in pieces(batches):
             ids = batch.column(1)
             texts = [model.decode(own.as_py() or []) if own.is_valid else "" for own in ids]
             yield pa.RecordBatch.from_arrays([batch.column(0), ids, pa.array(texts, pa.string())], names=schema.fieldNames())
