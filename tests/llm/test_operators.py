@@ -98,6 +98,26 @@ def test_suffix_dedup(docs, rows):
     same(found, brute.passages(rows))
 
 
+def test_suffix_dedup_deals_out_a_phrase_of_many_documents(spark, monkeypatch):
+    r = random.Random(5)
+
+    def noise():
+        return "".join(r.choice("abcdefghijklmnopqrstuvwxyz ") for _ in range(30))
+
+    rows = [(i if i % 7 else None, noise() + "all rights are reserved by the" + noise()) for i in range(1500)]
+    rows += [(2000 + i, rows[i][1][20:80]) for i in range(0, 1500, 3)]
+    staged, stage = [], suffix_dedup.stage
+    monkeypatch.setattr(suffix_dedup, "stage", lambda df: staged.append(stage(df)) or staged[-1])
+    found = suffix_dedup.removed(frame(spark, rows), family_bytes=1000).select(
+        "doc_id", "n_bytes", (F.col("n_bytes") - F.octet_length("kept")), F.size("spans"), F.sha2("kept", 256)
+    ).collect()
+    same(found, brute.passages(rows))
+    strings = {}
+    for row in staged[-1].collect():
+        strings[row.number] = strings.get(row.number, 0) + int(np.frombuffer(bytes(row.data), np.int64, 1)[0])
+    assert max(strings.values()) < 700 and sum(strings.values()) > 20000
+
+
 def test_suffix_family_merges_geometrically():
     r = np.random.default_rng(1)
     family, least = suffix_dedup.Family(), {}
