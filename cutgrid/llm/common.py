@@ -5,7 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, types as T
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
+
+from cutgrid.functions.sizing import stage
 
 Work = Callable[[list[str | None]], list[pa.Array]]
 
@@ -14,6 +16,25 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def _text_digest(text: Column) -> Column:
+    return F.unhex(F.sha2(F.coalesce(text, F.lit("")), 256))
+
+
+def with_digest(docs: DataFrame) -> DataFrame:
+    """doc_id, text, where `doc_id` is the id and the digest of the text: what is decided for a row holds for that text only."""
+    return docs.select(F.struct(F.col("doc_id").alias("id"), _text_digest(F.col("text")).alias("digest")).alias("doc_id"), "text")
+
+
+def without(docs: DataFrame, decided: DataFrame) -> DataFrame:
+    """The rows of `docs` whose id and text are not among the `doc_id` of `decided`, made from `with_digest(docs)`."""
+    gone = stage(decided.select(
+        F.col("doc_id.id").alias("__gone_id"), F.col("doc_id.digest").alias("__gone_digest")
+    ).distinct())
+    return docs.join(
+        gone, docs["doc_id"].eqNullSafe(gone["__gone_id"]) & (_text_digest(docs["text"]) == gone["__gone_digest"]), "left_anti"
+    )
+
+
 #: Rows that a task works on at once.
 ROWS = 1024
 

@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from cutgrid.functions.sizing import stage
-from cutgrid.llm.common import map_texts
+from cutgrid.llm.common import map_texts, with_digest, without
 
 WINDOW = 10
 BLOCK = 2
@@ -240,8 +240,5 @@ def n_hit(hits) -> Column:
 
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, item_bytes: int = ITEM_BYTES) -> DataFrame:
-    """The rows of `docs` without any hit word, with all their columns; rows that share an id go together."""
-    hit = stage(search(docs, benchmark, item_bytes).filter(F.size("hits") > 0).select(
-        F.col("doc_id").alias("__hit_id")
-    ).distinct())
-    return docs.join(hit, docs["doc_id"].eqNullSafe(hit["__hit_id"]), "left_anti")
+    """The rows of `docs` without any hit word, with all their columns; rows that share an id, or have none, are told apart by text."""
+    return without(docs, search(with_digest(docs), benchmark, item_bytes).filter(F.size("hits") > 0))

@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from cutgrid.functions.sizing import stage
-from cutgrid.llm.common import map_texts
+from cutgrid.llm.common import map_texts, with_digest, without
 
 ORDER = 5
 SAMPLE_ROWS, SAMPLE_CHARS = 600, 20_000
@@ -330,8 +330,5 @@ def identify(docs: DataFrame, models: Models, reject: float = REJECT) -> DataFra
 
 
 def drop_rejected(docs: DataFrame, reject: float = REJECT) -> DataFrame:
-    """The rows of `docs` whose text is not rejected, with all their columns; rows that share an id go together."""
-    gone = stage(
-        identify(docs, fit(docs), reject).filter("rejected").select(F.col("doc_id").alias("__gone_id")).distinct()
-    )
-    return docs.join(gone, docs["doc_id"].eqNullSafe(gone["__gone_id"]), "left_anti")
+    """The rows of `docs` whose text is not rejected, with all their columns; rows that share an id, or have none, are told apart by text."""
+    return without(docs, identify(with_digest(docs), fit(docs), reject).filter("rejected"))

@@ -159,6 +159,19 @@ def test_decontaminate(spark, docs, rows, item_bytes):
     same([(x.doc_id, x.text) for x in kept.collect()], [(i, t) for i, t in rows if i not in bad])
 
 
+@pytest.mark.parametrize("item_bytes", [decontaminate.ITEM_BYTES, 10])
+def test_stages_drop_only_the_texts_decided(spark, item_bytes):
+    """Rows without id or with a repeated id do not go with a contaminated or letterless one."""
+    passage = "one two three four five six seven eight nine ten"
+    rows = [(None, passage), (None, "clean words"), (None, None), (1, passage), (1, "clean words"), (1, "12 34"), (2, "clean words")]
+    docs = frame(spark, rows)
+    items = spark.createDataFrame([("i", passage), ("j", "some other passage")], "item_id string, text string")
+    clean = [(i, t) for i, t in rows if t != passage]
+    same(decontaminate.drop_contaminated(docs, items, item_bytes).select("doc_id", "text").collect(), clean)
+    lettered = [(i, t) for i, t in rows if t not in (None, "12 34")]
+    same(language.drop_rejected(docs, reject=1e6).select("doc_id", "text").collect(), lettered)
+
+
 def test_search_against_brute_force():
     r = random.Random(3)
     for _ in range(60):
