@@ -27,6 +27,15 @@ _IP = re.compile(r"(?<![0-9])([0-9]++)\.([0-9]++)\.([0-9]++)\.([0-9]++)")
 _CARD = re.compile(r"[0-9](?:[ -]?[0-9])++")
 _PHONE = re.compile(r"\+[0-9][ ().0-9-]+[0-9]")
 _IBAN = re.compile(r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?![A-Za-z0-9])")
+#: Characters of an IBAN by country (ISO 13616 registry). Other codes are tried at every end the pattern allows.
+_IBAN_SIZES = {
+    code: size for size, codes in {
+        15: "NO", 16: "BE", 18: "DK FI FK FO GL NL SD", 19: "MK SI", 20: "AT BA EE KZ LT LU MN XK", 21: "CH HR LI LV",
+        22: "BG BH CR DE GB GE IE ME RS", 23: "AE GI IL IQ OM SO TL", 24: "AD CZ ES MD PK RO SA SE SK TN VG", 25: "LY PT ST",
+        26: "IS TR", 27: "BI DJ FR GR IT MC MR SM", 28: "AL AZ BY CY DO GT HN HU LB NI PL SV", 29: "BR EG PS QA UA",
+        30: "JO KW MU YE", 31: "MT SC", 32: "LC", 33: "RU",
+    }.items() for code in codes.split()
+}
 _SSN = re.compile(r"(?<![0-9-])(?!000|666|9)[0-9]{3}-(?!00)[0-9]{2}-(?!0000)[0-9]{4}(?![0-9-])")
 #: Worth of the pattern, of a passed checksum, of a context word, and the context words of a kind.
 _SCORES = {
@@ -56,6 +65,20 @@ def mod97(iban: str) -> bool:
     return int("".join(str(int(c, 36)) for c in turned)) % 97 == 1
 
 
+def _ibans(text: str) -> Iterator[tuple[int, int]]:
+    """The pattern takes groups that follow an IBAN with it, so its length comes from the country, and the search goes on behind it."""
+    at = 0
+    while m := _IBAN.search(text, at):
+        at = m.start() + 4
+        wanted = _IBAN_SIZES.get(m[0][:2])
+        for end in [m.end(), *(m.start() + i for i in range(len(m[0]) - 1, 0, -1) if m[0][i] == " ")]:
+            bare = text[m.start():end].replace(" ", "")
+            if (len(bare) == wanted if wanted else 15 <= len(bare) <= 34) and mod97(bare):
+                yield m.start(), end
+                at = end
+                break
+
+
 def _emails(text: str) -> Iterator[tuple[int, int]]:
     end, at = 0, text.find("@")
     while at >= 0:
@@ -88,9 +111,8 @@ def _matches(text: str) -> Iterator[tuple[str, int, int, bool]]:
         for m in _PHONE.finditer(text):
             if 10 <= sum(c.isdigit() for c in m[0]) <= 15:
                 yield "phone", m.start(), m.end(), False
-    for m in _IBAN.finditer(text):
-        if 15 <= len(bare := m[0].replace(" ", "")) <= 34 and mod97(bare):
-            yield "iban", m.start(), m.end(), True
+    for start, end in _ibans(text):
+        yield "iban", start, end, True
     if "-" in text:
         for m in _SSN.finditer(text):
             yield "ssn", m.start(), m.end(), False

@@ -86,6 +86,20 @@ def test_pii_context_and_checksums():
     assert pii.find("DE88 3704 0044 0532 0130 00 and 123-45-6789") == []
 
 
+def test_pii_iban_ends_where_its_country_says():
+    for text, wanted in {
+        "BE68 5390 0754 7034 BIC GEBABEBB": ["BE68 5390 0754 7034"],
+        "ES91 2100 0418 4502 0005 1332 2024": ["ES91 2100 0418 4502 0005 1332"],
+        "BE68539007547034 ABCD 1234": ["BE68539007547034"],
+        "AT61 1904 3002 3457 3201 BE68 5390 0754 7034 SE45 5000 0000 0583 9825 7466 X":
+            ["AT61 1904 3002 3457 3201", "BE68 5390 0754 7034", "SE45 5000 0000 0583 9825 7466"],
+        "AB34 3456 7890 BE68 5390 0754 7034": ["BE68 5390 0754 7034"],
+        "NO93 8601 1117 947 KONTO": ["NO93 8601 1117 947"],
+        "BE68 5390 0754 7035 BIC": [], "BE68 5390 0754": [],
+    }.items():
+        assert [text[a:b] for a, k, b, _ in pii.find(text) if pii.KINDS[k] == "iban"] == wanted, text
+
+
 def test_pii_long_runs_are_linear():
     for text in ("1" * 200_000, "a" * 200_000 + "@", "+1" * 100_000, "1." * 100_000, "DE12" * 50_000):
         pii.find(text)
