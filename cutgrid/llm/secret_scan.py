@@ -2,8 +2,9 @@
 
 Patterns give the base spans. Beside them, long runs of token characters are candidates: a window of `WINDOW`
 characters slides over each, its Shannon entropy follows from counts that change by one character in and one out,
-and a candidate whose best window reaches the limit of its character class becomes a further span, unless the
-allow list knows it or it only repeats part of a base span. Spans are code points, end exclusive.
+and a candidate whose best window reaches the limit of its character class becomes a further span. Windows within a
+base span do not count, and what the allow list knows is cut out of a candidate before its windows are judged, so
+neither hides what stands beside it. Spans are code points, end exclusive.
 """
 
 from __future__ import annotations
@@ -19,12 +20,9 @@ CLASSES = (
     ("alphanumeric", "^[0-9A-Za-z]+$", 3.6),
     ("base64", "^[0-9A-Za-z+/=_-]+$", 3.9),
 )
-ALLOWED = (
-    "(?i)example|sample|dummy|placeholder|changeme|redacted",
-    "(.)\\1{7}",
-    "(?i)0123456789|1234567890|abcdefghij",
-    "^[0-9a-f]{8}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{12}$",
-)
+#: What is cut out of a candidate, and candidates that are no secret as a whole.
+ALLOWED = "(?i:example|sample|dummy|placeholder|changeme|redacted)|(.)\\1{7}|(?i:0123456789|1234567890|abcdefghij)"
+ALLOWED_WHOLE = "^[0-9a-f]{8}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{12}$"
 ASSIGN = "((?i)password|passwd|secret|token|api_?key)[\"']?\\x20*[:=]\\x20*[\"']?([A-Za-z0-9+/_.=-]+)"
 #: Runs that are cut at the wanted length find what unlimited runs with a later length test find: a run that is too short holds no other.
 ACCESS = "AKIA[A-Z0-9]{16,}"
@@ -128,16 +126,33 @@ def _limit(candidate: Column) -> Column:
     return F.when(candidate.rlike("[0-9]") & candidate.rlike("[A-Za-z]"), limit)
 
 
-def _allowed(candidate: Column) -> Column:
-    known = F.lit(False)
-    for pattern in ALLOWED:
-        known = known | candidate.rlike(pattern)
-    return known
+def _outside(candidate: Column, base: Column) -> Column:
+    """The parts of a candidate whose windows lie in no base span: the gaps between the spans, each with the `WINDOW - 1`
+    characters on either side from which a window still reaches into it."""
+    own = F.array_sort(F.filter(base, lambda b: (b["start"] < candidate["end"]) & (candidate["start"] < b["end"])))
+    start = F.struct(candidate["start"].alias("at"), F.array().cast("array<string>").alias("parts"))
+
+    def part(begin: Column, end: Column) -> Column:
+        low = F.greatest(begin - (WINDOW - 1), candidate["start"])
+        high = F.least(end + (WINDOW - 1), candidate["end"])
+        return F.when(begin < end, F.array(F.substring(candidate["hit"], low - candidate["start"] + 1, high - low))).otherwise(
+            F.array().cast("array<string>"))
+
+    def passed(state: Column, b: Column) -> Column:
+        return F.struct(
+            F.greatest(state["at"], b["end"]).alias("at"), F.concat(state["parts"], part(state["at"], b["start"])).alias("parts"))
+
+    return F.when(F.size(own) == 0, F.array(candidate["hit"])).otherwise(F.aggregate(
+        own, start, passed, lambda state: F.concat(state["parts"], part(state["at"], candidate["end"]))))
 
 
-def _secret(candidate: Column) -> Column:
-    """Class first, then the allow list, and the windows only for what is left."""
-    return F.when(_limit(candidate).isNotNull() & ~_allowed(candidate), window_entropy(candidate) >= _limit(candidate)).otherwise(False)
+def _secret(candidate: Column, base: Column) -> Column:
+    """Class first, then base spans and the allow list, and the windows only for what is left."""
+    hit = candidate["hit"]
+    left = F.filter(
+        F.flatten(F.transform(_outside(candidate, base), lambda part: F.split(part, ALLOWED, -1))), lambda part: F.length(part) >= WINDOW)
+    return F.when(_limit(hit).isNotNull() & ~hit.rlike(ALLOWED_WHOLE), F.exists(
+        left, lambda part: window_entropy(part) >= _limit(hit))).otherwise(False)
 
 
 def _written(spans: Column) -> Column:
@@ -173,7 +188,7 @@ def scan(docs: DataFrame) -> DataFrame:
     )
     more = F.when(F.size("candidates") > 0, _let(F.col("base"), lambda base: F.filter(
         F.col("candidates"),
-        lambda s: ~F.exists(base, lambda b: (b["start"] < s["end"]) & (s["start"] < b["end"])) & _secret(s["hit"]),
+        lambda s: ~F.exists(base, lambda b: (b["start"] <= s["start"]) & (s["end"] <= b["end"])) & _secret(s, base),
     ))).otherwise(F.array().cast("array<struct<start:int,end:int,hit:string>>"))
     return found.select("doc_id", "n_assign", "n_access", "n_hex", "base", _of_kind(more, 3).alias("entropy")).select(
         "doc_id", "n_assign", "n_access", "n_hex", F.size("entropy").cast("long").alias("n_entropy"),

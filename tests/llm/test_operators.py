@@ -208,6 +208,21 @@ def test_secret_scan(docs, rows):
     assert any("entropy" in w[-1] for w in wanted)
 
 
+def test_secret_scan_judges_what_stands_beside_base_spans_and_allowed_words(spark):
+    secret = "q7Rt9Zx2Lm4Kp8Vw1Bn6Yc3Hd5Jf0GsTuAeXoQiW"
+    key = "b3BlbnNzaC1rZXktdjEAAAAABG5vbmUAAAAEbm9uZQAAAAAAAAABAAAAMwAAAAtzc2gtZW"
+    ident = "0a1b2c3d4e5f60718293a4b5"
+    texts = {
+        f"{ident}_{secret}": True, f"{secret}_{ident}": True, f"docs/sample/{secret}": True, f"{secret}/example": True, key: True,
+        ident: False, f"dir/{'0f' * 20}/x1": False, f"token={secret}": False, "example" * 5 + "1": False, f"a{'A' * 40}1": False,
+        "123e4567-e89b-12d3-a456-426614174000": False, f"sample{secret[:19]}": False,
+    }
+    found = secret_scan.scan(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()
+    spans = {x.doc_id: x.spans.split(",") for x in found}
+    for i, (text, wanted) in enumerate(texts.items()):
+        assert (f"entropy:0:{len(text)}" in spans[i]) == wanted, (text, spans[i])
+
+
 def test_secret_scan_of_many_hits(spark):
     text = " ".join(f"é token=abcdef{i}" for i in range(1500)) + " " + "".join(random.Random(1).choice("abcXYZ0123+/") for _ in range(900))
     found = secret_scan.scan(spark.createDataFrame([(1, text)], "doc_id long, text string")).first()
