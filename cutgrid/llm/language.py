@@ -5,7 +5,8 @@ character and the closing mark from up to `ORDER - 1` before it in the word. Cou
 and weights are aggregations over a sample of the labelled rows; the tables go out as sorted hash arrays, one
 per order, with a column for each language. The answer is the language of lowest cross-entropy a symbol. A text is
 rejected if that is further above what texts of its language have than `REJECT` deviations, which widen for short texts,
-and above what texts of other languages have on average.
+and above what texts get whose own language is left out: of the lowest cross-entropy among the other languages a low
+quantile, and never more than characters by themselves have.
 
 The sample has at most `SAMPLE_ROWS` rows a language, of texts up to `SAMPLE_CHARS` characters, and the tables at most
 `MODEL_GRAMS` entries (shorter and more frequent sequences first), so what is broadcast is bounded for any corpus.
@@ -31,6 +32,8 @@ MODEL_GRAMS = 2_000_000
 #: Every so many sampled rows one is kept from counting and used to calibrate the rejection.
 CALIBRATE = 5
 REJECT = 8.0
+#: Share of the texts of left-out languages that may pass for the nearest other language.
+FOREIGN = 0.05
 UNKNOWN = "und"
 _BEGIN, _END = "\x02", "\x03"
 _WORD = re.compile(r"[^\W\d_]+")
@@ -254,25 +257,29 @@ def fit(docs: DataFrame, rows: int = SAMPLE_ROWS, chars: int = SAMPLE_CHARS, ord
 
 
 def _calibrated(models: Models, sample: DataFrame) -> Models:
-    """Of each language's own texts: mean and deviation of the cross-entropy, mean number of symbols, and what the
-    same texts have in the other languages on average (with one language: without any model)."""
+    """Of each language's own texts: mean and deviation of the cross-entropy, and mean number of symbols. Beside them, of the
+    texts of other languages that would get this one if their own were not learnt, the `FOREIGN` quantile of the
+    cross-entropy; the entropy of the language's single characters bounds it, so characters never seen do not raise it."""
     count = len(models.languages)
     shared = sample.sparkSession.sparkContext.broadcast(models)
     number = F.array_position(F.array(*map(F.lit, models.languages)), F.col("doc_id")).cast("int")
-    total = F.aggregate("entropies", F.lit(0.0), lambda sum_, e: sum_ + e)
-    own = _scored(sample.select(F.col("lang").alias("doc_id"), "text"), shared).filter("symbols > 0").select(
-        "doc_id", "symbols", F.element_at("entropies", number).alias("own"), total.alias("total")
-    )
+    nearest = F.array_min(F.transform("entropies", lambda e, i: F.when(i != number - 1, e)))
+    own = stage(_scored(sample.select(F.col("lang").alias("doc_id"), "text"), shared).filter("symbols > 0").select(
+        "doc_id", "symbols", F.element_at("entropies", number).alias("own"), nearest.alias("nearest"),
+        F.array_position("entropies", nearest).cast("int").alias("taken_for"),
+    ))
     found = own.groupBy("doc_id").agg(
         F.avg("own").alias("mean"), F.stddev_pop("own").alias("deviation"), F.avg("symbols").alias("symbols"),
-        F.avg(F.col("total") - F.col("own")).alias("others"),
     ).collect()
+    left_out = own.filter("nearest IS NOT NULL").rollup("taken_for").agg(F.percentile("nearest", F.lit(FOREIGN)).alias("low")).collect()
+    low = {row["taken_for"]: row["low"] for row in left_out}
     # A language without calibration texts rejects nothing.
     mean, deviation, symbols, foreign = (np.full(count, value) for value in (1e9, 0.0, 0.0, 0.0))
     for row in found:
         at = models.languages.index(row["doc_id"])
         mean[at], deviation[at], symbols[at] = row["mean"], max(row["deviation"], 0.02), row["symbols"]
-        foreign[at] = row["others"] / (count - 1) if count > 1 else -np.log(models.base[at])
+        single = models.seen[0][:, at] + models.base[at]
+        foreign[at] = min(low.get(at + 1, low.get(None)) or np.inf, -(single * np.log(single)).sum() / single.sum())
     return Models(
         models.languages, models.keys, models.seen, models.weight, models.base, mean, deviation, symbols, foreign
     )

@@ -483,6 +483,18 @@ def test_language_held_out_accuracy(spark, sf_dir):
     assert predicted.filter("rejected AND text RLIKE '[a-z]{20}'").isEmpty()
 
 
+def test_language_rejects_a_language_left_out(spark):
+    corpus = catalog.table(spark, "/root/testdata/sf0.01", "documents").filter("length(text) > 200")
+    for left in ("fr", "es"):
+        models = language.fit(corpus.filter(F.col("lang") != left))
+        found = language.identify(corpus.filter(language.held_out(F.col("doc_id"))), models).join(corpus, "doc_id")
+        share = {x.own: (x.n, x.rejected) for x in found.groupBy((F.col("lang") != left).alias("own")).agg(
+            F.count("*").alias("n"), F.avg(F.col("rejected").cast("double")).alias("rejected")).collect()}
+        print(left, share)
+        assert share[False][0] > 10 and share[False][1] >= 0.8
+        assert share[True][0] > 150 and share[True][1] <= 0.02
+
+
 def test_language_without_labels(spark):
     docs = spark.createDataFrame([(1, "some text", None), (2, None, "en")], "doc_id long, text string, lang string")
     models = language.fit(docs)
