@@ -8,8 +8,9 @@ rejected if that is further above what texts of its language have than `REJECT`
 and above what texts get whose own language is left out: of the lowest cross-entropy among the other languages a low
 quantile, and never more than characters by themselves have.
 
-The sample has at most `SAMPLE_ROWS` rows a language, of texts up to `SAMPLE_CHARS` characters, and the tables at most
-`MODEL_GRAMS` entries (shorter and more frequent sequences first), so what is broadcast is bounded for any corpus.
+The sample has at most `SAMPLE_ROWS` rows a language, and of a text over `SAMPLE_CHARS` characters a block of that many. The
+tables hold every sequence of the sample, one entry per sequence and language, so they grow with the number of languages
+and not with the corpus, and what one language predicts does not depend on the others.
 """
 
 from __future__ import annotations
@@ -28,7 +29,6 @@ from cutgrid.llm.common import map_texts, with_digest, without
 
 ORDER = 5
 SAMPLE_ROWS, SAMPLE_CHARS = 600, 20_000
-MODEL_GRAMS = 2_000_000
 #: Every so many sampled rows one is kept from counting and used to calibrate the rejection.
 CALIBRATE = 5
 REJECT = 8.0
@@ -63,11 +63,14 @@ def _codes(texts: list[str]) -> np.ndarray:
 
 @dataclass
 class Models:
-    """`keys[n]`: sorted hashes of the sequences of n + 1 characters; `seen[n]`, `weight[n]`: per key and language the discounted
-    probability of its last character, and the weight of the shorter model behind it as a context."""
+    """`keys[n]`: sorted hashes of the sequences of n + 1 characters. The entries of key i are `first[n][i]` to `first[n][i + 1]`:
+    `lang[n]` is the language, `seen[n]` the discounted probability of the last character, `weight[n]` the weight of the shorter
+    model behind it as a context."""
 
     languages: list[str]
     keys: list[np.ndarray]
+    first: list[np.ndarray]
+    lang: list[np.ndarray]
     seen: list[np.ndarray]
     weight: list[np.ndarray]
     base: np.ndarray
@@ -76,6 +79,12 @@ class Models:
     symbols: np.ndarray
     foreign: np.ndarray
 
+    def _entries(self, n: int, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The entries of all `rows`, and which of the rows each belongs to."""
+        first, count = self.first[n][rows], self.first[n][rows + 1] - self.first[n][rows]
+        which = np.repeat(np.arange(len(rows)), count)
+        return which, np.arange(len(which)) + np.repeat(first - (np.cumsum(count) - count), count)
+
     def log_probability(self, units: list[str]) -> np.ndarray:
         """Natural log of each word's probability (rows) in each language (columns)."""
         codes = _codes([_BEGIN + unit + _END for unit in units])
@@ -94,9 +103,11 @@ class Models:
             if n:
                 context = shorter[np.maximum(np.arange(len(codes)) - 1, 0)]
                 behind = np.flatnonzero((place >= n) & (context >= 0))
-                chance[behind] *= self.weight[n - 1][context[behind]]
+                which, entry = self._entries(n - 1, context[behind])
+                chance[behind[which], self.lang[n - 1][entry]] *= self.weight[n - 1][entry]
             met = np.flatnonzero(row >= 0)
-            chance[met] += self.seen[n][row[met]]
+            which, entry = self._entries(n, row[met])
+            chance[met[which], self.lang[n][entry]] += self.seen[n][entry]
             shorter = row
         logs = np.log(np.maximum(chance, 1e-12))
         logs[start] = 0
@@ -105,7 +116,7 @@ class Models:
 
 def _no_models() -> Models:
     none = np.zeros(0)
-    return Models([], [], [], [], none, none, none, none, none)
+    return Models([], [], [], [], [], [], none, none, none, none, none)
 
 
 class _Scorer:
@@ -202,17 +213,23 @@ def _weighted(counted: DataFrame, order: int) -> DataFrame:
         (F.col("discount") * F.col("kinds") / F.col("total")).alias("weight"),
     )
     return seen.join(weight, ["lang", "gram", "n"], "full").select(
-        "lang", "gram", "n", F.coalesce("c", F.lit(0)).alias("c"), F.coalesce("seen", F.lit(0.0)).alias("seen"),
+        "lang", "gram", "n", F.coalesce("seen", F.lit(0.0)).alias("seen"),
         F.coalesce("weight", F.lit(1.0)).alias("weight"),
     )
 
 
 def sampled(docs: DataFrame, rows: int = SAMPLE_ROWS, chars: int = SAMPLE_CHARS) -> DataFrame:
-    """lang, text, calibrate: at most `rows` labelled rows a language that are not held out, spread by a hash of id and text."""
+    """lang, text, calibrate: at most `rows` labelled rows a language that are not held out, spread by a hash of id and text.
+
+    Of a text over `chars` characters it is the block of that many that the hash chooses, without words cut at its ends.
+    """
     order = F.xxhash64("doc_id", "text")
-    labelled = docs.filter(
-        F.col("lang").isNotNull() & F.col("text").isNotNull() & ~held_out(F.col("doc_id")) & (F.length("text") <= chars)
-    ).select("lang", "text", order.alias("h"))
+    block = F.substring("text", (F.pmod(order, F.length("text") - chars + 1) + 1).cast("int"), F.lit(chars))
+    trimmed = F.regexp_replace(block, r"^[\p{L}\p{M}]+|[\p{L}\p{M}]+$", "")
+    labelled = docs.filter(F.col("lang").isNotNull() & F.col("text").isNotNull() & ~held_out(F.col("doc_id"))).select(
+        "lang", F.when(F.length("text") <= chars, F.col("text")).when(trimmed.rlike(r"\p{L}"), trimmed).otherwise(block).alias("text"),
+        order.alias("h"),
+    )
     counts = stage(labelled.groupBy("lang").agg(F.count(F.lit(1)).alias("labelled")))
     # Twice the wanted share by hash first, so that few rows meet in the window that takes exactly as many.
     few = labelled.join(counts, "lang").filter(
@@ -228,7 +245,7 @@ def fit(docs: DataFrame, rows: int = SAMPLE_ROWS, chars: int = SAMPLE_CHARS, ord
     """Models of all languages in `lang`; without any labelled text there are none."""
     sample = stage(sampled(docs, rows, chars))
     weighted = _weighted(_counted(sample.filter("not calibrate"), order), order)
-    grams = weighted.orderBy("n", F.desc("c"), "gram", "lang").limit(MODEL_GRAMS).select("lang", "gram", "n", "seen", "weight").toArrow()
+    grams = weighted.select("lang", "gram", "n", "seen", "weight").toArrow()
     table = grams.to_pandas()
     languages = sorted(table["lang"].unique())
     if not languages:
@@ -238,7 +255,7 @@ def fit(docs: DataFrame, rows: int = SAMPLE_ROWS, chars: int = SAMPLE_CHARS, ord
     base = np.ones(len(languages))
     root = table["n"].to_numpy() == 0
     base[column[root]] = table["weight"].to_numpy()[root]
-    models = Models(languages, [], [], [], base / alphabet, *[np.zeros(len(languages))] * 4)
+    models = Models(languages, [], [], [], [], [], base / alphabet, *[np.zeros(len(languages))] * 4)
     for n in range(1, order + 1):
         own = table["n"].to_numpy() == n
         text = table["gram"].to_numpy()[own].tolist()
@@ -247,12 +264,12 @@ def fit(docs: DataFrame, rows: int = SAMPLE_ROWS, chars: int = SAMPLE_CHARS, ord
         for back in range(n):
             value = _step(value, codes[:, n - 1 - back])
         keys, row = np.unique(value, return_inverse=True)
-        seen, weight = np.zeros((len(keys), len(languages))), np.ones((len(keys), len(languages)))
-        seen[row, column[own]] = table["seen"].to_numpy()[own]
-        weight[row, column[own]] = table["weight"].to_numpy()[own]
+        place = np.lexsort((column[own], row))
         models.keys.append(keys)
-        models.seen.append(seen)
-        models.weight.append(weight)
+        models.first.append(np.searchsorted(row[place], np.arange(len(keys) + 1)))
+        models.lang.append(column[own][place].astype(np.int32))
+        models.seen.append(table["seen"].to_numpy()[own][place])
+        models.weight.append(table["weight"].to_numpy()[own][place])
     return _calibrated(models, sample.filter("calibrate"))
 
 
@@ -278,10 +295,12 @@ def _calibrated(models: Models, sample: DataFrame) -> Models:
     for row in found:
         at = models.languages.index(row["doc_id"])
         mean[at], deviation[at], symbols[at] = row["mean"], max(row["deviation"], 0.02), row["symbols"]
-        single = models.seen[0][:, at] + models.base[at]
+        single = np.full(len(models.keys[0]), models.base[at])
+        single[np.repeat(np.arange(len(single)), np.diff(models.first[0]))[models.lang[0] == at]] += models.seen[0][models.lang[0] == at]
         foreign[at] = min(low.get(at + 1, low.get(None)) or np.inf, -(single * np.log(single)).sum() / single.sum())
     return Models(
-        models.languages, models.keys, models.seen, models.weight, models.base, mean, deviation, symbols, foreign
+        models.languages, models.keys, models.first, models.lang, models.seen, models.weight, models.base,
+        mean, deviation, symbols, foreign,
     )
 
 

@@ -495,6 +495,13 @@ def test_language_rejects_a_language_left_out(spark):
         assert share[True][0] > 150 and share[True][1] <= 0.02
 
 
+def test_language_learns_from_long_texts(spark):
+    rows = [(i, "a ab abba b ba bab aab bb abab " * 900, "xx") for i in range(20)] + [(50 + i, "cd dcd dd ccd c " * 5, "yy") for i in range(20)]
+    models = language.fit(spark.createDataFrame([*rows, (99, "e" * 30_000, "zz"), (101, "e" * 30_000, "zz")], "doc_id long, text string, lang string"))
+    assert models.languages == ["xx", "yy", "zz"]
+    assert models.log_probability(["abba", "dcd"]).argmax(axis=1).tolist() == [0, 1]
+
+
 def test_language_without_labels(spark):
     docs = spark.createDataFrame([(1, "some text", None), (2, None, "en")], "doc_id long, text string, lang string")
     models = language.fit(docs)
