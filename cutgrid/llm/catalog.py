@@ -6,7 +6,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 import corpus_pipeline
-from cutgrid.llm import decontaminate, exact_dedup, language, pieces, pii, secret_scan, sharding, simhash, suffix_dedup, warc
+from cutgrid.llm import (
+    decontaminate, exact_dedup, language, merkle, packing, pieces, pii, repair, secret_scan, sharding, simhash, suffix_dedup, warc,
+)
 from cutgrid.llm.common import table
 
 
@@ -94,6 +96,35 @@ def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    conversations = table(spark, sf_dir, "conversations")
+    return repair.repair(conversations, repair.damaged(conversations))
+
+
+def op12_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pieces_ = packing.pack(
+        table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"),
+        public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN,
+    )
+    return pieces_.select(
+        "doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset"
+    )
+
+
+def op13_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    tampered = F.crc32(F.col("doc_id").cast("string")) % 7 == 0
+    leaves = table(spark, sf_dir, "documents").select(
+        "doc_id", "lang", merkle.leaf(F.col).alias("leaf"),
+        F.when(tampered, merkle.leaf(lambda name: F.col(name) + 1 if name == "n_chars" else F.col(name))).alias("altered"),
+    )
+    manifest = merkle.build(leaves)
+    return merkle.prove(manifest).select(
+        "doc_id", "leaf", "subroot", F.lit(manifest.root).alias("root"),
+        F.sha2(merkle.digests(F.col("path")), 256).alias("proof_sha256"),
+        merkle.fold(F.coalesce("altered", "leaf"), F.col("path")).alias("folded_root"),
+    ).withColumn("verified", F.col("folded_root") == F.col("root"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     return corpus_pipeline.run(spark, sf_dir)
 
@@ -109,6 +140,9 @@ QUERIES = {
     "op8_warc": op8_warc,
     "op9_simhash": op9_simhash,
     "op10_language": op10_language,
+    "op11_repair": op11_repair,
+    "op12_packing": op12_packing,
+    "op13_merkle": op13_merkle,
     "pipeline": pipeline,
 }
 

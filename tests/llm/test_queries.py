@@ -22,7 +22,7 @@ def test_query(spark, sf_dir, name):
 
 
 def test_one_query_for_each_operator():
-    assert {name.split("_")[0] for name in QUERIES} == {*(f"op{n}" for n in range(1, 11)), "pipeline"}
+    assert {name.split("_")[0] for name in QUERIES} == {*(f"op{n}" for n in range(1, 14)), "pipeline"}
 
 
 def test_pipeline(spark, sf_dir):
