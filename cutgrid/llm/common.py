@@ -35,6 +35,20 @@ def without(docs: DataFrame, decided: DataFrame) -> DataFrame:
     )
 
 
+def kept_once(docs: DataFrame, keep: DataFrame, digest: Column) -> DataFrame:
+    """The rows of `docs` whose id and `digest` are in `keep` (__keep_id, __keep_digest, __rows), one where `__rows` rows are alike.
+
+    Only rows that have a like are told apart by their digest, so no text is moved for that.
+    """
+    def those(some: DataFrame) -> DataFrame:
+        return docs.join(some, docs["doc_id"].eqNullSafe(some["__keep_id"]) & (digest == some["__keep_digest"]), "left_semi")
+
+    if keep.filter("__rows > 1").isEmpty():
+        return those(keep)
+    several = those(keep.filter("__rows > 1")).withColumn("__digest", digest).dropDuplicates(["doc_id", "__digest"])
+    return those(keep.filter("__rows = 1")).unionByName(several.drop("__digest"))
+
+
 #: Rows that a task works on at once.
 ROWS = 1024
 

@@ -12,6 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from cutgrid.functions.sizing import stage
+from cutgrid.llm.common import kept_once
 
 SALTS = 32
 
@@ -72,14 +73,8 @@ def decisions(docs: DataFrame, digest=content_digest, salts: int = SALTS) -> Dat
 
 def drop_copies(docs: DataFrame) -> DataFrame:
     """The rows of `docs` that stay, with all their columns."""
-    keep = stage(decisions(docs).filter("kept").select(
-        F.col("doc_id").alias("__keep_id"), F.col("digest").alias("__keep_digest")
-    ))
-    digest = content_digest(normalised(docs["text"]))
-    stays = docs.join(
-        keep, docs["doc_id"].eqNullSafe(keep["__keep_id"]) & (digest == keep["__keep_digest"]), "left_semi"
+    keep = stage(
+        decisions(docs).filter(F.col("doc_id").eqNullSafe(F.col("keep_id")))
+        .groupBy(F.col("doc_id").alias("__keep_id"), F.col("digest").alias("__keep_digest")).agg(F.count(F.lit(1)).alias("__rows"))
     )
-    repeated = stays.groupBy("doc_id").agg(F.count(F.lit(1)).alias("__rows")).filter("__rows > 1")
-    if repeated.isEmpty():
-        return stays
-    return stays.withColumn("__content", normalised(F.col("text"))).dropDuplicates(["doc_id", "__content"]).drop("__content")
+    return kept_once(docs, keep, content_digest(normalised(docs["text"])))

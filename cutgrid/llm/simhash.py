@@ -1,34 +1,31 @@
 """SimHash near duplicates: fingerprints of whole texts, linked through vantage-point trees.
 
-Distinct fingerprints are dealt to shards by the leaves of a vantage-point tree: a node keeps what lies within a
-radius of its vantage point inside and the rest outside. Two fingerprints at most `DISTANCE` bits apart differ by no more
-than that in their distance to a vantage point, so a branch is searched only by those whose distance allows it: a
-fingerprint near the boundary goes to the other side's shards as a visitor too. A shard searches its own
-fingerprints and visitors with a tree of its own, by the same bounds, down to leaves that are compared in full. The tree that
-deals them out is made from a sample of `SAMPLE` fingerprints, which decides balance only, never a result. Each
-shard joins what it has linked and returns one link per fingerprint, so a group of near copies does not return all its
-pairs; components of these links are found by joins over all shards.
+Two fingerprints at most `DISTANCE` bits apart agree in all bits of at least one of `DISTANCE` + 1 bands, so each distinct fingerprint is
+dealt once per band, with all others of the same value there: four copies, however many fingerprints there are. Values are
+gathered to shards of about `SHARD` fingerprints by a hash. A value with more than `LARGEST` fingerprints is dealt again by
+bands of its other bits, by the same argument, and so on while bits are left. A shard parts its fingerprints by vantage
+points: what lies within a radius goes inside and the rest outside. Two linked fingerprints differ by no more than `DISTANCE` in their
+distance to a vantage point, so a branch is searched only by those whose distance allows it: a fingerprint near the boundary visits the
+other side too. Leaves are compared in full. Each shard joins what it has linked and returns one link per fingerprint, so a
+group of near copies does not return all its pairs; components of these links are found by joins over all shards.
 """
 
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator
 from itertools import accumulate
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from cutgrid.functions.sizing import stage
-from cutgrid.llm.common import map_texts
+from cutgrid.functions.sizing import small, stage
+from cutgrid.llm.common import kept_once, map_texts
 from cutgrid.llm.components import components
 
 SHINGLE, SEED, DISTANCE = 3, 42, 3
-#: Fingerprints from which the dealing tree is made.
-SAMPLE = 8192
-#: Fingerprints of a shard's own, about: from, to, and how many shards are wished for between.
-SHARD, LARGEST_SHARD, SHARDS = 1 << 12, 1 << 20, 64
+#: Fingerprints of a shard, about, and of one value of a band at most before it is dealt again.
+SHARD, LARGEST = 1 << 12, 1 << 14
 _LEAF = 512
 _AT_ONCE = 1 << 20
 _LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
@@ -97,20 +94,6 @@ def _vantage(points: np.ndarray, distance: int, tried: int = 8) -> tuple[np.uint
     return None if best is None else (best[1], best[2])
 
 
-def dealing_tree(sample: np.ndarray, shards: int, distance: int) -> tuple:
-    """Nodes (vantage, radius, inside, outside) with shard numbers as leaves, of about equal weight in the sample."""
-    leaves = iter(range(1 << 30))
-
-    def grow(points: np.ndarray, wanted: int):
-        chosen = _vantage(points, distance) if wanted > 1 and len(points) > 1 else None
-        if chosen is None:
-            return next(leaves)
-        inside = _apart(points, chosen[0]) <= chosen[1]
-        return (*chosen, grow(points[inside], wanted - wanted // 2), grow(points[~inside], wanted // 2))
-
-    return grow(np.sort(sample), shards)
-
-
 def _sides(homes, visitors, vantage, radius, distance):
     """Inside and outside as (homes, visitors) index arrays are dealt: homes once, visitors where the bound allows."""
     (home_points, home_rows), (visit_points, visit_rows) = homes, visitors
@@ -123,21 +106,6 @@ def _sides(homes, visitors, vantage, radius, distance):
     return within, beyond
 
 
-def dealt(tree, points: np.ndarray, distance: int) -> Iterator[tuple[int, np.ndarray, bool]]:
-    """(shard, fingerprints, whether they are the shard's own)."""
-    nothing = (points[:0], np.zeros(0, np.int64))
-    todo = [(tree, (points, np.arange(len(points))), nothing)]
-    while todo:
-        node, homes, visitors = todo.pop()
-        if isinstance(node, tuple):
-            within, beyond = _sides(homes, visitors, np.uint64(node[0]), node[1], distance)
-            todo += [(node[2], *within), (node[3], *beyond)]
-        else:
-            for part, own in ((homes, True), (visitors, False)):
-                if len(part[0]):
-                    yield node, part[0], own
-
-
 class _Joined:
     """Which rows belong together; the smallest row stands for all."""
 
@@ -186,68 +154,88 @@ def linked(own: np.ndarray, visiting: np.ndarray, distance: int = DISTANCE) -> n
     return joined.roots(np.arange(len(joined.parent)))
 
 
-def links(prints: DataFrame, distance: int = DISTANCE, shard: int | None = None) -> DataFrame:
+def bands(fixed: int, distance: int = DISTANCE) -> list[int]:
+    """The bits that are not in `fixed`, cut into `distance` + 1 runs, each as `fixed` and the run; none if too few bits are left."""
+    bits = [bit for bit in range(64) if not fixed >> bit & 1]
+    cuts = [len(bits) * part // (distance + 1) for part in range(distance + 2)]
+    if len(bits) <= distance:
+        return []
+    return [fixed | sum(1 << bit for bit in bits[a:b]) for a, b in zip(cuts, cuts[1:])]
+
+
+def _signed(mask: int) -> int:
+    return mask - (1 << 64) if mask >> 63 else mask
+
+
+#: How often a fingerprint is dealt at most: what is still together then differs in 20 bits only, so it is at most 2^20 fingerprints.
+ROUNDS = 4
+
+
+def dealt(prints: DataFrame, distance: int = DISTANCE, shard: int = SHARD, largest: int = LARGEST) -> DataFrame:
+    """fp, mask, shard: every pair of fingerprints at most `distance` bits apart meets in some (mask, shard)."""
+    masks, left, parts = [0], prints.select("fp", F.lit(0).cast("long").alias("mask")), None
+    for turn in range(ROUNDS):
+        finer = {mask: bands(mask, distance) for mask in masks}
+        listed = F.create_map(*[x for mask, more in finer.items() for x in (
+            F.lit(_signed(mask)).cast("long"), F.array(*[F.lit(_signed(m)).cast("long") for m in more]))])
+        rows = left.select("fp", F.explode(F.element_at(listed, F.col("mask"))).alias("mask"))
+        rows = rows.withColumn("value", F.col("fp").bitwiseAND(F.col("mask")))
+        counts = stage(rows.groupBy("mask", "value").agg(F.count(F.lit(1)).alias("n")))
+        total = counts.agg(F.sum("n")).first()[0] or 0
+        masks = [m for more in finer.values() for m in more]
+        shards = max(1, -(-total // len(masks) // shard))
+        large = counts.filter(F.col("n") > largest).select("mask", "value")
+        last = turn == ROUNDS - 1 or not bands(masks[0], distance) or large.isEmpty()
+        here = rows if last else rows.join(small(large), ["mask", "value"], "left_anti")
+        here = here.select("fp", "mask", F.pmod(F.xxhash64("value"), F.lit(shards)).alias("shard"))
+        parts = here if parts is None else parts.unionByName(here)
+        if last:
+            return parts
+        left = stage(rows.join(small(large), ["mask", "value"], "left_semi").select("fp", "mask"))
+
+
+def links(prints: DataFrame, distance: int = DISTANCE, shard: int = SHARD, largest: int = LARGEST) -> DataFrame:
     """a, b: fingerprints that belong together; every linked one is connected with all others of its component."""
-    count = prints.count()
-    size = shard or min(LARGEST_SHARD, max(SHARD, count // SHARDS))
-    sample = prints.orderBy(F.xxhash64("fp"), "fp").limit(SAMPLE).collect() if count else []
-    points = np.array([row.fp for row in sample], np.int64).view(np.uint64)
-    tree = dealing_tree(points, max(1, -(-count // size)), distance)
-
-    def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            own = batch.column(0).to_numpy().view(np.uint64)
-            for number, part, home in dealt(tree, own, distance):
-                yield pa.RecordBatch.from_arrays([
-                    pa.array(np.full(len(part), number, np.int32)), pa.array(part.view(np.int64)),
-                    pa.array(np.full(len(part), home)),
-                ], names=["shard", "fp", "home"])
-
-    def join(shard: pa.Table) -> pa.Table:
-        own = shard.column("home").to_numpy()
-        values = shard.column("fp").to_numpy().view(np.uint64)
-        values = np.concatenate([values[own], values[~own]])
-        root = linked(values[: int(own.sum())], values[int(own.sum()):], distance)
+
+    def join(group: pa.Table) -> pa.Table:
+        values = group.column("fp").to_numpy().view(np.uint64)
+        root = linked(values, values[:0], distance)
         moved = np.flatnonzero(root != np.arange(len(root)))
         return pa.table({"a": values[moved].view(np.int64), "b": values[root[moved]].view(np.int64)})
 
-    return (
-        prints.select("fp").mapInArrow(deal, "shard int, fp long, home boolean")
-        .groupBy("shard").applyInArrow(join, "a long, b long")
-    )
+    return dealt(prints, distance, shard, largest).groupBy("mask", "shard").applyInArrow(join, "a long, b long")
 
 
-def _grouped(rows: DataFrame, distance: int, shard: int | None) -> DataFrame:
+def _grouped(rows: DataFrame, distance: int, shard: int, largest: int) -> DataFrame:
     """`rows` with root (one fingerprint of the component) and component_id."""
     prints = stage(rows.groupBy("fp").agg(F.min("doc_id").alias("first_id")))
-    roots = components(links(prints, distance, shard)).select(F.col("a").alias("fp"), F.col("b").alias("root"))
+    roots = components(links(prints, distance, shard, largest)).select(F.col("a").alias("fp"), F.col("b").alias("root"))
     rooted = prints.join(roots, "fp", "left").withColumn("root", F.coalesce("root", "fp"))
     least = rooted.groupBy("root").agg(F.min("first_id").alias("component_id"))
     return rows.join(rooted.join(least, "root").select("fp", "root", "component_id"), "fp")
 
 
-def groups(docs: DataFrame, shingle: int = SHINGLE, seed: int = SEED, distance: int = DISTANCE, shard: int | None = None) -> DataFrame:
+def groups(
+    docs: DataFrame, shingle: int = SHINGLE, seed: int = SEED, distance: int = DISTANCE, shard: int = SHARD, largest: int = LARGEST
+) -> DataFrame:
     """doc_id, fp, component_id (smallest id of the component): one row per row of `docs`.
 
     Null, empty and blank texts have fingerprint 0 and are linked like any other; equal texts and repeated rows share a
     fingerprint; null ids count only where a component has no other. An empty table gives an empty result. Only `doc_id`
     and `text` are read.
     """
-    return _grouped(stage(fingerprints(docs, shingle, seed)), distance, shard).select("doc_id", "fp", "component_id")
+    grouped = _grouped(stage(fingerprints(docs, shingle, seed)), distance, shard, largest)
+    return grouped.select("doc_id", "fp", "component_id")
 
 
 def drop_near_copies(docs: DataFrame, shingle: int = SHINGLE, seed: int = SEED, distance: int = DISTANCE) -> DataFrame:
     """Of each component one row with its smallest id, with all its columns (of several such rows, the first by digest)."""
-    grouped = _grouped(stage(fingerprints(docs, shingle, seed, digest=True)), distance, None)
+    prints = stage(fingerprints(docs, shingle, seed, digest=True))
+    least = _grouped(prints, distance, SHARD, LARGEST).filter(F.col("doc_id").eqNullSafe(F.col("component_id")))
+    # Rows that are alike in id and digest are counted here, where there are no texts to move.
     keep = stage(
-        grouped.filter(F.col("doc_id").eqNullSafe(F.col("component_id"))).groupBy("root")
-        .agg(F.min(F.struct("doc_id", "digest")).alias("kept"))
-        .select(F.col("kept.doc_id").alias("__keep_id"), F.col("kept.digest").alias("__keep_digest"))
-    )
-    text = F.coalesce(docs["text"], F.lit(""))
-    stays = docs.join(
-        keep, docs["doc_id"].eqNullSafe(keep["__keep_id"]) & (F.sha2(text, 256) == keep["__keep_digest"]), "left_semi"
+        least.groupBy("root", "doc_id", "digest").agg(F.count(F.lit(1)).alias("rows"))
+        .groupBy("root").agg(F.min(F.struct("doc_id", "digest", "rows")).alias("kept"))
+        .select(F.col("kept.doc_id").alias("__keep_id"), F.col("kept.digest").alias("__keep_digest"), F.col("kept.rows").alias("__rows"))
     )
-    if stays.groupBy("doc_id").agg(F.count(F.lit(1)).alias("__rows")).filter("__rows > 1").isEmpty():
-        return stays
-    return stays.withColumn("__text", F.coalesce("text", F.lit(""))).dropDuplicates(["doc_id", "__text"]).drop("__text")
+    return kept_once(docs, keep, F.sha2(F.coalesce(docs["text"], F.lit("")), 256))

@@ -3,6 +3,7 @@
 import hashlib
 import math
 import re
+import zlib
 
 
 def sha(text):
@@ -105,3 +106,110 @@ def passages(rows, length=50):
         rest = bytes(b for b, g in zip(text, gone) if not g)
         out.append((name, len(text), sum(gone), spans, hashlib.sha256(rest).hexdigest()))
     return out
+
+
+_FOLLOWS = ({"s": 1, "u": 2}, {"u": 2}, {"a": 3}, {"u": 2})
+
+
+def cheapest(rows):
+    """rows: (initial, gone, truncated). The least (cost, letters) of all edits, from the last row backwards."""
+    after = None
+    for i in range(len(rows), -1, -1):
+        here = [[(0, "")] * (i == len(rows) and state in (0, 3)) for state in range(4)]
+        if i < len(rows):
+            initial, gone, truncated = rows[i]
+            for state in range(4):
+                steps = [("D", 2, state)]
+                if not gone:
+                    for other, to in _FOLLOWS[state].items():
+                        if other == initial:
+                            steps.append(("K", 5 * truncated, to))
+                        elif other != "s":
+                            steps.append(("R", 1 + 5 * truncated, to))
+                here[state] = [(cost + c, letter + rest) for letter, cost, to in steps for c, rest in after[to]]
+        here = [min(found) if found else None for found in here]
+        for _ in range(2):  # one and then two rows put in before row i
+            put = [min((5 + here[to][0], "I" + here[to][1]) for other, to in _FOLLOWS[state].items() if other != "s" and here[to])
+                   if any(here[to] for other, to in _FOLLOWS[state].items() if other != "s") else None for state in range(4)]
+            here = [min(x for x in pair if x) if any(pair) else None for pair in zip(here, put)]
+        after = [[found] if found else [] for found in here]
+    return after[0][0]
+
+
+def conversation(rows):
+    """`rows` (turn, role, text) as they are after the damage, in order: all that is said of a conversation."""
+    seen, judged, count = set(), [], {"blank": 0, "duplicate": 0, "truncated": 0}
+    for _, role, text in rows:
+        shown = text.strip(" \t\n\x0b\x0c\r")
+        fault = "blank" if not shown else "duplicate" if (role, text) in seen else "truncated" if shown[-1] not in ".!?" else ""
+        seen.add((role, text))
+        judged.append((role[:1], fault in ("blank", "duplicate"), fault == "truncated"))
+        if fault:
+            count[fault] += 1
+    turns = [turn for turn, _, _ in rows if turn is not None]
+    gaps = max(turns) - min(turns) + 1 - len(set(turns)) if turns else 0
+    illegal = sum(a[0] + b[0] not in ("su", "ua", "au") for a, b in zip(judged, judged[1:]))
+    cost, letters = cheapest(judged)
+    state, lines, left = 0, [], iter(rows)
+    for letter in letters:
+        _, role, text = (None, "", "") if letter == "I" else next(left)
+        if letter == "D":
+            continue
+        if letter != "K":
+            role = "assistant" if state == 2 else "user"
+        state = _FOLLOWS[state][role[:1]]
+        lines.append(f"{role}:{text}")
+    return gaps, *count.values(), illegal, cost, letters, sha("\n".join(lines))
+
+
+def damaged(rows):
+    """The rows of each conversation after the damage, in order."""
+    out = {}
+    for conv, turn, role, text in rows:
+        own = out.setdefault(conv, [])
+        how = zlib.crc32(f"{' ' if conv is None else conv}:{' ' if turn is None else turn}".encode()) % 20
+        role, text = " " if role is None else role, " " if text is None else text
+        if how == 0:
+            continue
+        text = "" if how == 1 else re.sub("[.!?]", "", text) if how == 2 else text
+        own += [(turn, "user" if how == 4 else role, text)] * (2 if how == 3 else 1)
+    for own in out.values():
+        own.sort(key=lambda row: (row[0] is not None, row[0] or 0, row[1].encode(), hashlib.sha256(row[2].encode()).digest()))
+    return out
+
+
+def _tree(nodes):
+    """The root over `nodes` and each one's siblings, (whether on the left, digest) or None, level by level."""
+    paths, places = [[] for _ in nodes], list(range(len(nodes)))
+    while len(nodes) > 1:
+        for path, place in zip(paths, places):
+            other = place ^ 1
+            path.append((other < place, nodes[other]) if other < len(nodes) else None)
+        nodes = [sha("".join(nodes[at:at + 2])) for at in range(0, len(nodes), 2)]
+        places = [place // 2 for place in places]
+    return nodes[0], paths
+
+
+def merkle(rows):
+    """`rows`: doc_id, source, lang, n_chars, text."""
+    def leaf(row):
+        return sha("".join("-" if v is None else f"{len(str(v).encode())}:{v}" for v in row))
+
+    groups, out = {}, []
+    for row in rows:
+        groups.setdefault(row[2], []).append(row)
+    langs = sorted(groups, key=lambda lang: (lang is not None, (lang or "").encode()))
+    for own in groups.values():
+        own.sort(key=lambda row: (row[0] is not None, row[0] or 0, leaf(row)))
+    trees = [_tree([leaf(row) for row in groups[lang]]) for lang in langs]
+    root, above = _tree([subroot for subroot, _ in trees])
+    for lang, (subroot, paths), top in zip(langs, trees, above):
+        for row, path in zip(groups[lang], paths):
+            steps = path + top
+            altered = row[0] is not None and row[3] is not None and zlib.crc32(str(row[0]).encode()) % 7 == 0
+            folded = leaf((*row[:3], row[3] + 1, row[4])) if altered else leaf(row)
+            for step in steps:
+                folded = sha(folded) if step is None else sha(step[1] + folded if step[0] else folded + step[1])
+            proof = sha("".join(step[1] for step in steps if step))
+            out.append((row[0], leaf(row), subroot, root, proof, folded, folded == root))
+    return out

@@ -1,6 +1,7 @@
 """Every text operator over the smallest tables and over odd rows, against a plain restatement."""
 
 import hashlib
+import itertools
 import random
 import re
 
@@ -10,9 +11,10 @@ import pytest
 import sentencepiece
 import xxhash
 from pyspark.sql import functions as F
+from tokenizers import Tokenizer
 
 from cutgrid.llm import (
-    catalog, decontaminate, exact_dedup, language, pieces, pii, secret_scan, sharding, simhash, suffix_dedup, warc,
+    catalog, decontaminate, exact_dedup, language, merkle, packing, pieces, pii, repair, secret_scan, sharding, simhash, suffix_dedup, warc,
 )
 from cutgrid.llm.components import components
 from tests.llm import brute
@@ -397,9 +399,9 @@ def linked_groups(rows):
     return [(i, format(prints[n], "016x"), least.get(root(n))) for n, (i, _) in enumerate(rows)]
 
 
-@pytest.mark.parametrize("shard", [None, 4])
-def test_simhash(docs, rows, shard):
-    found = simhash.groups(docs, shard=shard).select("doc_id", simhash.as_hex("fp"), "component_id").collect()
+@pytest.mark.parametrize("sizes", [{}, {"shard": 4}, {"shard": 4, "largest": 2}])
+def test_simhash(docs, rows, sizes):
+    found = simhash.groups(docs, **sizes).select("doc_id", simhash.as_hex("fp"), "component_id").collect()
     same(found, linked_groups(rows))
 
 
@@ -409,40 +411,73 @@ def test_simhash_keeps_one_of_each_group(docs, rows):
     same([(x.doc_id,) for x in kept.collect()], [(c,) for c in {c for _, _, c in linked_groups(rows)}])
 
 
+def near_points(r, count, origins, flips):
+    base = r.integers(0, 2 ** 63, size=origins, dtype=np.uint64)
+    points = set(base.tolist())
+    while len(points) < count:
+        x = int(r.choice(base))
+        for _ in range(int(r.integers(0, flips + 1))):
+            x ^= 1 << int(r.integers(0, 64))
+        points.add(x)
+    return np.array(sorted(points), np.uint64)
+
+
+def united(count, edges):
+    joined, moved, edges = np.arange(count), True, list(edges)
+    while moved:
+        moved = False
+        for a, b in edges:
+            if joined[a] != joined[b]:
+                joined[a] = joined[b] = min(joined[a], joined[b])
+                moved = True
+    return joined
+
+
 def test_vantage_trees_lose_no_link(monkeypatch):
     monkeypatch.setattr(simhash, "_LEAF", 16)
     r = np.random.default_rng(1)
     for _ in range(5):
-        base = r.integers(0, 2 ** 63, size=150, dtype=np.uint64)
-        points = set(base.tolist())
-        while len(points) < 500:
-            x = int(r.choice(base))
-            for _ in range(int(r.integers(0, 6))):
-                x ^= 1 << int(r.integers(0, 64))
-            points.add(x)
-        points = np.array(sorted(points), np.uint64)
+        points = near_points(r, 500, 150, 5)
         near = np.bitwise_count(points[:, None] ^ points[None, :]) <= 3
-        tree = simhash.dealing_tree(points[::2], 6, 3)
-        parts = {}
-        for number, own, home in simhash.dealt(tree, points, 3):
-            parts.setdefault(number, [points[:0], points[:0]])[0 if home else 1] = own
-        label = np.arange(len(points))
-        edges = []
-        for own, visiting in parts.values():
-            every = np.concatenate([own, visiting])
-            edges += zip(np.searchsorted(points, every), np.searchsorted(points, every[simhash.linked(own, visiting)]))
-        for table in (zip(*np.nonzero(near)), edges):
-            joined = np.arange(len(points))
-            moved = True
-            table = list(table)
-            while moved:
-                moved = False
-                for a, b in table:
-                    if joined[a] != joined[b]:
-                        joined[a] = joined[b] = min(joined[a], joined[b])
-                        moved = True
-            label = joined if label is None or (label == np.arange(len(points))).all() else label
-        assert (label == joined).all()
+        edges = zip(range(len(points)), simhash.linked(points, points[:0], 3))
+        assert (united(len(points), zip(*np.nonzero(near))) == united(len(points), edges)).all()
+
+
+@pytest.mark.parametrize("distance", [0, 1, 3, 7])
+def test_bands_fix_every_bit_once(distance):
+    for fixed in (0, 0xFFFF, 0xF0F0 << 40, (1 << 64) - 1 - 0x111):
+        found = simhash.bands(fixed, distance)
+        free = [mask & ~fixed for mask in found]
+        left = ((1 << 64) - 1) & ~fixed
+        assert all(free) and len(found) == (distance + 1 if left.bit_count() > distance else 0) and (not found or sum(free) == left)
+
+
+def test_simhash_deals_a_bounded_number_of_copies(spark):
+    """Four rows a fingerprint at any size, shards below a bound, and every near pair in one shard."""
+    r = np.random.default_rng(2)
+    for count in (800, 20_000):
+        points = r.integers(0, 2 ** 63, size=count, dtype=np.uint64).view(np.int64).tolist()
+        prints = spark.createDataFrame([(x,) for x in points], "fp long")
+        found = simhash.dealt(prints, shard=200, largest=400)
+        assert found.count() == 4 * count
+        assert found.groupBy("mask", "shard").count().agg(F.max("count")).first()[0] < 400
+
+
+def test_simhash_deals_a_hot_band_again(spark):
+    r = np.random.default_rng(3)
+    origin = int(r.integers(0, 2 ** 63))
+    points = {origin ^ (int(x) << 16) for x in r.integers(0, 2 ** 47, size=3000)}  # sixteen bits are the same in all
+    points |= {x ^ 1 << int(b) ^ 1 << int(c) for x, b, c in zip(sorted(points)[:300], r.integers(0, 64, 300), r.integers(0, 64, 300))}
+    points = np.array(sorted(points), np.uint64)
+    prints = spark.createDataFrame([(int(x),) for x in points.view(np.int64)], "fp long")
+    found = simhash.dealt(prints, shard=100, largest=500)
+    assert found.count() <= 8 * len(points) and found.groupBy("mask", "shard").count().agg(F.max("count")).first()[0] <= 500
+    pairs = {(a, b) for a, b in zip(*np.nonzero(np.bitwise_count(points[:, None] ^ points[None, :]) <= 3)) if a < b}
+    at, met = {int(x): i for i, x in enumerate(points.view(np.int64))}, set()
+    for shard in found.groupBy("mask", "shard").agg(F.collect_list("fp").alias("all")).collect():
+        own = sorted(at[x] for x in shard["all"])
+        met |= {(a, b) for a, b in pairs if a in own and b in own} if len(own) > 1 else set()
+    assert pairs <= met and len(pairs) >= 250
 
 
 def test_components(spark):
@@ -516,8 +551,232 @@ def test_language_model_is_a_distribution(spark):
     assert 0.8 < np.exp(models.log_probability(every)).sum() <= 1 + 1e-9
 
 
+CONVERSATIONS = "conv_id long, turn long, role string, text string, how long, kind int, digest string"
+
+
+def odd_conversations():
+    r = random.Random(8)
+    rows = [
+        (None, None, None, None), (None, 1, "user", "a."), (1, None, "user", "x."), (1, None, "user", "x."), (1, 2, "assistant", "b"),
+        (1, 2, "assistant", "b"), (1, 2, "user", "c!"), (1, 9, "", "d."), (2, 0, None, None), (2, 1, "system", " \n "),
+        (2, 2, "system", "x. \n"), (3, 0, "user", "z" * 30000), (3, 4, "assistant", "y" * 30000 + "."), (-5, -7, "user", "minus."),
+    ]
+    rows += [(7, r.randint(0, 500), r.choice(["user", "assistant", "system"]), r.choice(["ok.", "no", "", "Hm? ", f"x{i}."])) for i in range(1200)]
+    rows += [(r.randint(10, 60), r.choice([None, 1, 2, 3, 4, 5]), r.choice(["user", "assistant", "system", "tool", None]),
+              r.choice(["ok.", "no", None, "Hm? ", f"x{i}."])) for i in range(300)]
+    return rows
+
+
+def conversations_frame(spark, rows):
+    return spark.createDataFrame([(*row, 0, 0, "d") for row in rows], CONVERSATIONS).repartition(5)
+
+
+def test_repair(spark):
+    rows = odd_conversations()
+    table = conversations_frame(spark, rows)
+    found = repair.repair(table, repair.damaged(table))
+    same(found.collect(), [(conv, *brute.conversation(own)) for conv, own in brute.damaged(rows).items()])
+
+
+def test_repair_takes_conversations_apart_and_together(spark):
+    """Range partitions and segments cut a conversation anywhere; the edits do not change."""
+    rows = [row for row in odd_conversations() if row[0] == 7]
+    table = repair.damaged(conversations_frame(spark, rows))
+    wanted = brute.conversation(brute.damaged(rows)[7])
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        parts = repair._parts(repair.faults(table), 5)
+        assert parts.count() > 2
+        same(repair.edits(table, 5).collect(), [(7, *wanted[:-1])])
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    lines = [f"{x.role}:{x.text}" for x in repair.repaired(table, repair.edits(table)).orderBy("place").collect()]
+    assert hashlib.sha256("\n".join(lines).encode()).hexdigest() == wanted[-1]
+
+
+def test_repair_weights_against_brute_force():
+    r = random.Random(3)
+    for _ in range(1500):
+        rows = [(r.choice(["s", "u", "u", "u", "a", "a", "x", " ", ""]), r.random() < 0.25, r.random() < 0.3) for _ in range(r.randint(1, 12))]
+        for size in (1, 3, 24):
+            joining = repair.Joining()
+            for at in range(0, len(rows), size):
+                joining.add(repair.Part([(0, a, "", b, c) for a, b, c in rows[at:at + size]], at == 0))
+            whole = joining.whole()
+            assert repair.audit(whole.weights, whole.places) == brute.cheapest(rows), rows
+
+
+def test_repair_is_cheapest_of_all_edits():
+    """Every list of edits of three rows, with up to two insertions, written out."""
+    r = random.Random(4)
+    pattern = re.compile("(s?(ua)+)?")
+    for _ in range(40):
+        rows = [(r.choice("suax"), r.random() < 0.3, r.random() < 0.4) for _ in range(3)]
+        least = None
+        for letters in {"".join(p) for n in range(3) for p in itertools.permutations("123" + "I" * n) if [x for x in p if x != "I"] == list("123")}:
+            choices = [["Iu", "Ia"] if x == "I" else ["D", "K", "Ru", "Ra"] for x in letters]
+            for edits in itertools.product(*choices):
+                left, roles, cost = iter(rows), "", 0
+                for edit in edits:
+                    if edit[0] == "I":
+                        roles, cost = roles + edit[1], cost + 5
+                        continue
+                    initial, gone, truncated = next(left)
+                    if edit == "D":
+                        cost += 2
+                    else:
+                        cost += 100 * gone + 5 * truncated + (edit != "K")
+                        roles += initial if edit == "K" else edit[1]
+                if pattern.fullmatch(roles):
+                    written = (cost, "".join(edit[0] for edit in edits))
+                    least = written if least is None else min(least, written)
+        assert brute.cheapest(rows) == least
+
+
+BYTES, RANKS = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("byte_bpe_50k.tiktoken")
+
+
+def packed(spark, rows, **options):
+    """The pieces by row and the sequences; ids are made unique first, so that repeated rows can be told apart."""
+    table = spark.createDataFrame([(n, t, s, 0, 0) for n, (_, t, s) in enumerate(rows)], "doc_id long, text string, source string, n long, queue int")
+    found = packing.pack(table.repartition(3), BYTES, RANKS, public_tokenizers.PATTERN, **options)
+    by_doc, by_sequence = {}, {}
+    for x in found.collect():
+        ids = np.frombuffer(bytes(x.ids), "<u4").tolist()
+        assert len(ids) == x.length
+        by_doc.setdefault(x.doc_id, []).append((x.start, ids, x.doc_tokens))
+        by_sequence.setdefault(x.sequence_id, []).append((x.offset, ids, x.doc_id))
+    filled = {x.sequence_id: x.ids for x in packing.sequences(found).collect()}
+    for name, parts in by_sequence.items():
+        parts.sort()
+        assert [at for at, _, _ in parts] == [sum(len(ids) for _, ids, _ in parts[:n]) for n in range(len(parts))]
+        assert filled[name] == [i for _, ids, _ in parts for i in ids]
+    assert sorted(by_sequence) == list(range(len(by_sequence)))
+    return by_doc, by_sequence
+
+
+def library_ids(texts):
+    library = Tokenizer.from_file(BYTES)
+    library.encode_special_tokens = True
+    return [ids.ids + [1] for ids in library.encode_batch([t or "" for t in texts], add_special_tokens=False)]
+
+
+@pytest.mark.parametrize("options", [{}, {"own": 2, "shared": 3}, {"window": 64, "packet": 7}, {"shares": {"b": 0.6, None: 0.1}}, {"shares": {"a": 1.0, "b": 0, "c": 0, None: 0}}])
+def test_packing(spark, rows, options):
+    r = random.Random(2)
+    given = [(i, t, r.choice(["a", "a", "b", "c", None])) for i, t in rows]
+    window = options.get("window", packing.WINDOW)
+    if 0 in options.get("shares", {}).values():
+        with pytest.raises(ValueError):
+            packed(spark, given, **options)
+        return
+    by_doc, by_sequence = packed(spark, given, **options)
+    wanted = library_ids([t for _, t, _ in given])
+    assert {n: [i for _, ids, _ in sorted(parts) for i in ids] for n, parts in by_doc.items()} == dict(enumerate(wanted))
+    assert all(total == len(wanted[n]) for n, parts in by_doc.items() for _, _, total in parts)
+    sizes = [sum(len(ids) for _, ids, _ in by_sequence[n]) for n in sorted(by_sequence)]
+    whole = sum(map(len, wanted)) // window
+    assert sizes[:whole] == [window] * whole and all(size & size - 1 == 0 and size < window for size in sizes[whole:])
+
+
+def test_packing_keeps_the_shares_in_every_window(spark):
+    r = random.Random(5)
+    words = "the of and to in is it that was for on are as with".split()
+    rows = [(n, " ".join(r.choice(words) for _ in range(r.randint(1, 900))), r.choice("aaaabbc")) for n in range(300)]
+    for shares in (None, {"c": 0.5, "b": 0.25}):
+        _, by_sequence = packed(spark, rows, shares=shares)
+        total = {s: sum(len(t.split()) + 1 for _, t, x in rows if x == s) for s in "abc"}
+        full = {name: parts for name, parts in by_sequence.items() if sum(len(ids) for _, ids, _ in parts) == packing.WINDOW}
+        for name, parts in full.items():
+            if shares and name > total["c"] // (packing.WINDOW // 2) - 2:
+                continue  # the queue of c is empty from here on
+            for source in "abc":
+                held = sum(len(ids) for _, ids, n in parts if rows[n][2] == source) / packing.WINDOW
+                target = total[source] / sum(total.values()) if shares is None else {"c": 0.5, "b": 0.25, "a": 0.25}[source]
+                assert abs(held - target) < 0.06, (shares, name, source, held, target)
+    assert len(full) > 20
+
+
+def test_packing_schedule_gives_every_token_one_place():
+    """Deficits carried round by round, written out, against the formula."""
+    r = random.Random(6)
+    for _ in range(60):
+        count, packet, window = r.randint(1, 6), r.choice([1, 3, 8]), r.choice([16, 40])
+        tokens = [r.choice([0, 1, r.randint(1, 30), r.randint(1, 900)]) for _ in range(count)]
+        shares = [r.choice([0.001, 0.5, 1, 3]) for _ in range(count)]
+        phases = packing.schedule(tokens, shares, window, packet)
+        stream = []
+        for phase in phases:
+            credit, served = phase.deficit.copy(), [0] * count
+            for _ in range(phase.rounds):
+                credit += phase.quantum
+                for q in range(count):
+                    left = int(phase.left[q])
+                    may = left if credit[q] // packing.PART >= left else credit[q] // packing.PART // packet * packet
+                    stream += [(q, int(phase.served[q]) + n) for n in range(served[q], int(may))]
+                    served[q] = max(served[q], int(may))
+        assert sorted(stream) == [(q, n) for q in range(count) for n in range(tokens[q])]
+        place = {token: at for at, token in enumerate(stream)}
+        queue = np.array([q for q in range(count) if tokens[q]], np.int64)
+        if len(queue):
+            size = np.array(tokens)[queue]
+            row, offset, length, start = packing.placed(phases, queue, np.zeros_like(size), size, packet)
+            found = {(int(queue[a]), b + i): p + i for a, b, n, p in zip(row, offset, length, start) for i in range(n)}
+            assert found == place
+
+
+def test_packing_encoders_agree():
+    encode, r = packing.Encoder(BYTES, RANKS, public_tokenizers.PATTERN), random.Random(7)
+    alphabet = ["a", "the ", " ", "\n", "\t", "é", "語", "😀", "1", "'s", "'S", "\u0301", "\u200b", "\u00a0", "\0", "<|endoftext|>", "!?", "ﬁ", "Ⅷ", "\r\n"]
+    texts = ["".join(r.choice(alphabet) for _ in range(r.randint(0, 60))) for _ in range(3000)]
+    texts += ["z" * 50000, " " * 50000, "1" * 50000, "\n" * 50000 + "x", "é😀語" * 10000]
+    assert [encode(t) + [1] for t in texts] == library_ids(texts)
+
+
+def merkle_rows():
+    r = random.Random(9)
+    rows = [(None, "s", "en", 3, "abc"), (None, None, None, None, None), (4, "s", "en", 1, "é" * 2000), (4, "s", "en", 1, "é" * 2000), (4, "s", "en", None, "x"),
+            (5, "", "", 0, ""), (6, "s", None, 9, "lone"), (7, "s", "zz", 1, "alone")]
+    return rows + [(r.randint(0, 400), r.choice(["a", None]), r.choice(["en", "en", "en", "de", None]), r.choice([None, n]), f"text {n}") for n in range(250)]
+
+
+def merkle_frame(spark, rows):
+    schema = "doc_id long, source string, lang string, n_chars long, text string, rank long, tree string, block string, path string"
+    return spark.createDataFrame([(*row, 1, "t", "b", "p") for row in rows], schema).repartition(4)
+
+
+@pytest.mark.parametrize("height", [1, 2, 3, merkle.HEIGHT])
+def test_merkle(spark, monkeypatch, tmp_path, height):
+    rows = merkle_rows()
+    merkle_frame(spark, rows).write.parquet(str(tmp_path / "documents.parquet"))
+    monkeypatch.setattr(merkle.build, "__defaults__", (height,))
+    same(catalog.QUERIES["op13_merkle"](spark, str(tmp_path)).collect(), brute.merkle(rows))
+
+
+def test_merkle_layout_is_recursive():
+    for levels in range(1, 10):
+        every = np.concatenate([merkle.address(levels, depth, np.arange(1 << depth)) for depth in range(levels)])
+        assert sorted(every.tolist()) == list(range((1 << levels) - 1))
+    # Five levels: two on top, then four subtrees of three levels (one and two) side by side.
+    assert merkle.address(5, 0, np.array([0])).tolist() == [0]
+    assert merkle.address(5, 1, np.arange(2)).tolist() == [1, 2]
+    assert merkle.address(5, 2, np.arange(4)).tolist() == [3, 10, 17, 24]
+    assert merkle.address(5, 3, np.array([0, 1, 7])).tolist() == [4, 7, 28]
+    assert merkle.address(5, 4, np.array([0, 1, 15])).tolist() == [5, 6, 30]
+
+
+def test_merkle_manifest_is_small_and_whole(spark):
+    table = merkle_frame(spark, merkle_rows())
+    leaves = table.select("doc_id", "lang", merkle.leaf(F.col).alias("leaf"))
+    manifest = merkle.build(leaves, 3)
+    blocks = manifest.blocks.collect()
+    assert max(len(x.nodes) for x in blocks) == 15 * 32 and {x.tier for x in blocks} == {0, 1, 2}
+    assert sum(x.size for x in blocks if x.tier == 0) == table.count()
+    assert merkle.prove(manifest).filter(merkle.fold(F.col("leaf"), F.col("path")) != manifest.root).isEmpty()
+
+
 @pytest.mark.parametrize("name", sorted(set(catalog.QUERIES) - {"pipeline"}))
 def test_empty_tables(spark, tmp_path, name):
-    for table in ("documents", "benchmark", "pages"):
+    for table in ("documents", "benchmark", "pages", "conversations"):
         spark.read.parquet(f"/root/testdata/sf0.001/{table}.parquet").limit(0).write.parquet(str(tmp_path / f"{table}.parquet"))
     assert catalog.QUERIES[name](spark, str(tmp_path)).collect() == []
