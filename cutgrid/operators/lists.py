@@ -1,4 +1,4 @@
-"""Ordered lists per group, for the text exports that put a whole group on one line."""
+"""Ordered lists per group, in stretches, for the text exports that put a group on one line."""
 
 from __future__ import annotations
 
@@ -43,10 +43,3 @@ def ordered_lists(
     return _collect(rows.join(large, list(keys), "left_anti"), keys, items, names).select(*columns).unionByName(
         _collect(cut, [*keys, "chunk", "n"], items, names).drop("_size")
     )
-
-
-def one_line(lists: DataFrame, keys: Sequence[str], items: Sequence[str], also: Sequence[str] = ()) -> DataFrame:
-    """The lists of a group as one blank-joined text each, its stretches in order; `also` is the same on all of them."""
-    texts = F.sort_array(F.collect_list(F.struct("chunk", *[F.array_join(item, " ").alias(item) for item in items])))
-    joined = lists.groupBy(*keys).agg(texts.alias("_t"), *[F.first(name).alias(name) for name in also])
-    return joined.select(*keys, *[F.array_join(F.col(f"_t.{item}"), " ").alias(item) for item in items], *also)

@@ -29,11 +29,6 @@ from cutgrid.sources.sam import read_sam
 FROM_FOLDER = "libid=([^/]+)"
 
 
-def _folder_library(df, path: str = "_metadata.file_path"):
-    """Library of a file in a folder partitioned by library."""
-    return F.regexp_extract(path, FROM_FOLDER, 1).alias("libid")
-
-
 @query(f"WITH {d.RAW_READS_SQL} SELECT libid, read_id, seq, qual FROM raw_reads")
 def fastq_scan(spark, sf_dir):
     """Plain FASTQ as the writer leaves it, a folder per library, read in byte ranges."""
@@ -164,7 +159,7 @@ def assigned_export(spark, sf_dir):
 
     def counted_lines(name: str, orphan: bool):
         lines = tb.read_tsv(spark, f"{out}/{name}", tb.schemas.GROUPED_UMIS).select(
-            _folder_library(None), "pos", F.size(F.split("seq", " ")).alias("k")
+            tb.file_library().alias("libid"), "pos", F.size(F.split("seq", " ")).alias("k")
         )
         return lines.groupBy("libid").agg(
             F.sum("k").alias("n"), F.sum(F.col("pos") * F.col("k")).alias("positions")
@@ -182,7 +177,7 @@ def hot_position_export(spark, sf_dir):
     sinks.write_grouped(um.group_positions(hot_reads(spark, sf_dir), max_rows=HOT_ROWS), out)
     rows = tb.read_tsv(spark, out, tb.schemas.GROUPED_UMIS)
     return rows.select(
-        _folder_library(None), "chrom", "pos", F.size(F.split("seq", " ")).cast("long").alias("n"), F.md5("seq").alias("umis")
+        tb.file_library().alias("libid"), "chrom", "pos", F.size(F.split("seq", " ")).cast("long").alias("n"), F.md5("seq").alias("umis")
     )
 
 

@@ -23,7 +23,7 @@ BED5 = _struct(chrom=_S, start=_L, end=_L, name=_S, score=_L)
 CONFIG = _struct(libid=_S, barcode=_S)
 CONDITIONS = _struct(exid=_S, cond=_S, libid=_S, fpath=_S)
 FASTQ = _struct(file=_S, ordinal=_L, header=_S, seq=_S, qual=_S)
-FASTA = _struct(file=_S, part=_L, ordinal=_L, contig=_S, rel_offset=_L, span=_L, seq=_S)
+FASTA = _struct(file=_S, part=_L, ordinal=_L, contig=_S, lead=T.BooleanType(), rel_offset=_L, span=_L, seq=_S, ends=_S)
 
 # Names and order of the columns of the per-library summary table.
 SUMMARY_COLUMNS = [

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import json
 import os
+import warnings
 from collections.abc import Iterator
 from dataclasses import dataclass
 from urllib.parse import unquote
@@ -11,17 +12,22 @@ from urllib.parse import unquote
 from pyspark.sql import SparkSession
 from pyspark.sql.datasource import InputPartition
 
+from cutgrid.sources import bgzf
+
 READ_BYTES = 8 << 20
+#: Text read at once behind the end of a range, where a line is only completed.
+AHEAD = 1 << 18
 
 
 @dataclass
 class FileRange(InputPartition):
-    """Bytes `start` to `end` of a file; a gzip file is one range from 0 with `end` -1."""
+    """Bytes `start` to `end` of a file; a gzip file is one range from 0 with `end` -1, unless it is `blocked`."""
 
     path: str
     part: int
     start: int
     end: int
+    blocked: bool = False
 
 
 def file_system(path: str):
@@ -79,59 +85,118 @@ def range_options(spark: SparkSession, path: str, range_bytes: int | None) -> di
     }
 
 
+def _blocked(path: str) -> bool:
+    system, inner = file_system(path)
+    with system.open_input_file(inner) as file:
+        return bgzf.is_blocked(file)
+
+
 def file_ranges(options: dict[str, str]) -> list[FileRange]:
-    """Ranges of all plain files, small enough to give every core one where the data allow it."""
+    """Ranges of all plain and blocked files, small enough to give every core one where the data allow it.
+
+    Any other gzip file is one range; one that is larger than a range is named in a warning.
+    """
     files = [(name, size) for name, size in json.loads(options["files"])]
     most, least, slices = (int(options[k]) for k in ("range_bytes", "least_bytes", "slices"))
-    total = sum(size for name, size in files if not name.endswith(".gz"))
+    kinds = {name: _blocked(name) if name.endswith(".gz") else None for name, _ in files}
+    total = sum(size for name, size in files if kinds[name] is not False)
     width = min(most, max(least, total // slices + 1))
+    whole = [name for name, size in files if kinds[name] is False and size > width]
+    if whole:
+        warnings.warn(f"read by one task each, as their gzip has no blocks: {', '.join(whole)}", stacklevel=2)
     ranges = []
     for name, size in files:
-        if name.endswith(".gz"):
+        if kinds[name] is False:
             ranges.append(FileRange(name, 0, 0, -1))
         else:
-            ranges += [FileRange(name, i, s, min(s + width, size)) for i, s in enumerate(range(0, size, width))]
+            ranges += [
+                FileRange(name, i, s, min(s + width, size), bool(kinds[name])) for i, s in enumerate(range(0, size, width))
+            ]
     return ranges
 
 
-def line_blocks(part: FileRange) -> Iterator[tuple[int, list[bytes]]]:
-    """Whole lines from the range's start on, in blocks with the offset of the first line.
+class RangeBytes:
+    """The text of a range and what follows it, in blocks that lie wholly inside or wholly behind the range.
 
-    Does not stop at the range's end: the caller does. A range that does not begin at the start of
-    the file skips the line that the range before it owns.
+    Places count bytes of text; in a blocked file they count from the place of the range's first member times 65,536, which is
+    more than all text before it. `end` is the place where the range ends, None until it is met.
     """
-    system, inner = file_system(part.path)
-    if part.end < 0:
-        stream = system.open_input_stream(inner, compression="gzip")
-    else:
-        stream = system.open_input_file(inner)
-        stream.seek(max(0, part.start - 1))
-    with stream:
-        offset = part.start
-        rest = b""
-        if part.start > 0:
-            while True:
-                block = stream.read(READ_BYTES)
-                cut = block.find(b"\n")
-                if cut >= 0 or not block:
-                    break
-                offset += len(block)
-            if not block:
-                return
-            offset += cut
-            rest = block[cut + 1:]
-        held = [rest]
-        while True:
-            block = stream.read(READ_BYTES)
-            cut = block.rfind(b"\n")
-            if block and cut < 0:
-                held.append(block)
-                continue
-            data = b"".join([*held, block[:cut] if block else b""])
-            if not block:
-                if data:
-                    yield offset, data.split(b"\n")
+
+    def __init__(self, part: FileRange) -> None:
+        self.part, self.end = part, None
+        self.system, self.inner = file_system(part.path)
+        #: The byte before the range, empty at the start of the file.
+        self.before = b""
+        self.start = part.start
+
+    def __iter__(self) -> Iterator[tuple[int, bytes]]:
+        return self._members() if self.part.blocked else self._stream() if self.part.end < 0 else self._plain()
+
+    def _stream(self) -> Iterator[tuple[int, bytes]]:
+        with self.system.open_input_stream(self.inner, compression="gzip") as stream:
+            at = 0
+            while block := stream.read(READ_BYTES):
+                yield at, block
+                at += len(block)
+
+    def _plain(self) -> Iterator[tuple[int, bytes]]:
+        self.end = self.part.end
+        with self.system.open_input_file(self.inner) as file:
+            at = self.start
+            if at:
+                self.before = file.read_at(1, at - 1)
+            while block := file.read_at(min(READ_BYTES, self.end - at) if at < self.end else AHEAD, at):
+                yield at, block
+                at += len(block)
+
+    def _members(self) -> Iterator[tuple[int, bytes]]:
+        with self.system.open_input_file(self.inner) as file:
+            first = bgzf.first_member(file, self.part.start, self.part.end)
+            if first is None:
                 return
-            yield offset, data.split(b"\n")
-            offset += len(data) + 1
-            held = [block[cut + 1:]]
+            self.before = bgzf.byte_before(file, first)
+            at = self.start = first << 16
+            held, size, begun = [], 0, at
+            for place, text in bgzf.read(file, first):
+                if place >= self.part.end and self.end is None:
+                    if held:
+                        yield begun, b"".join(held)
+                    held, size, begun, self.end = [], 0, at, at
+                held.append(text)
+                at, size = at + len(text), size + len(text)
+                if size >= READ_BYTES or self.end is not None and size >= AHEAD:
+                    yield begun, b"".join(held)
+                    held, size, begun = [], 0, at
+            if held:
+                yield begun, b"".join(held)
+
+
+def line_blocks(text: RangeBytes) -> Iterator[tuple[int, list[bytes]]]:
+    """Whole lines from the range's start on, in blocks with the place of the first line.
+
+    Does not stop at the range's end: the caller does, and `text.end` is known when a line behind it is given. A range that begins
+    inside a line skips the rest of it, which the range before it owns.
+    """
+    held, at = [], None
+    for place, block in text:
+        if at is None:
+            at = place
+            if text.before not in (b"", b"\n"):
+                cut = block.find(b"\n")
+                if cut < 0:
+                    at = None
+                    continue
+                at, block = place + cut + 1, block[cut + 1:]
+                text.before = b""
+            text.before = b""
+        cut = block.rfind(b"\n")
+        if cut < 0:
+            held.append(block)
+            continue
+        data = b"".join([*held, block[:cut]])
+        yield at, data.split(b"\n")
+        at += len(data) + 1
+        held = [block[cut + 1:]]
+    data = b"".join(held)
+    if data:
+        yield at, data.split(b"\n")

@@ -1,7 +1,7 @@
 """FASTQ as a Spark data source.
 
-Plain files are read as independent byte ranges. A gzip file is one range, read as a stream, and
-should be followed by a repartition when a run has fewer files than cores.
+Plain files and blocked gzip files (see `bgzf`) are read as independent byte ranges. Any other gzip file is one range, read as a
+stream, and should be followed by a repartition when a run has fewer files than cores.
 """
 
 from __future__ import annotations
@@ -15,8 +15,8 @@ from pyspark.sql.datasource import DataSource, DataSourceReader
 
 from cutgrid.functions.text import first_token, library_id
 from cutgrid.schemas import FASTQ
-from cutgrid.sources import blocks
-from cutgrid.sources.blocks import FileRange, file_ranges, line_blocks, range_options
+from cutgrid.sources import bgzf, blocks
+from cutgrid.sources.blocks import FileRange, RangeBytes, file_ranges, line_blocks, range_options
 
 BATCH = 1 << 16
 
@@ -37,7 +37,8 @@ def records(part: FileRange) -> Iterator[tuple[int, list[bytes]]]:
     pending: list[bytes] = []
     offset = None
     synced = part.start == 0
-    for at, lines in line_blocks(part):
+    text = RangeBytes(part)
+    for at, lines in line_blocks(text):
         offset = at if offset is None else offset
         pending += lines
         if not synced:
@@ -48,11 +49,11 @@ def records(part: FileRange) -> Iterator[tuple[int, list[bytes]]]:
             pending, synced = pending[start:], True
         whole = len(pending) // 4 * 4
         batch, pending = pending[:whole], pending[whole:]
-        if part.end >= 0 and batch:
+        if text.end is not None and batch:
             size = sum(map(len, batch)) + len(batch)
-            if offset + size >= part.end:
+            if offset + size >= text.end:
                 keep, here = 0, offset
-                while keep < len(batch) and here < part.end:
+                while keep < len(batch) and here < text.end:
                     here += sum(len(line) + 1 for line in batch[keep:keep + 4])
                     keep += 4
                 yield offset, batch[:keep]
@@ -120,7 +121,7 @@ def read_fastq(
 
     `range_bytes` fixes the split size, which otherwise follows the session's file settings.
     """
-    for module in (blocks, sys.modules[__name__]):
+    for module in (bgzf, blocks, sys.modules[__name__]):
         cloudpickle.register_pickle_by_value(module)
     spark.dataSource.register(FastqSource)
     rows = spark.read.format("fastq").options(**range_options(spark, path, range_bytes)).load()

@@ -6,19 +6,24 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from cutgrid.operators.lists import one_line
 from cutgrid.operators.reads import flagged_name
 from cutgrid.operators.summary import as_text
+from cutgrid.sources.ordered import line_pieces, write_ordered
+
+#: Names of gzip levels in the settings of the text writers, from 0.
+_LEVELS = ("NO_COMPRESSION", "BEST_SPEED", "TWO", "THREE", "FOUR", "FIVE", "SIX", "SEVEN", "EIGHT", "BEST_COMPRESSION")
 
 
 def write_tsv(
     df: DataFrame, path: str, compress: bool = True, header: bool = False, partition_by: Sequence[str] = (),
-    sep: str = "\t", mode: str = "error",
+    sep: str = "\t", mode: str = "error", level: int = 6,
 ) -> None:
+    """A text table in part files; `level` is that of gzip, 0 to 9."""
     writer = (
         df.write.mode(mode).option("sep", sep).option("quote", "").option("escape", "").option("header", header)
         .option("emptyValue", "").option("nullValue", "").option("compression", "gzip" if compress else "none")
         .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
+        .option("zlib.compress.level", _LEVELS[level])
     )
     if partition_by:
         writer = writer.partitionBy(*partition_by)
@@ -29,14 +34,16 @@ def joined(column: str) -> Column:
     return F.array_join(column, " ").alias(column)
 
 
-def grouped_lines(grouped: DataFrame, pos: str = "pos") -> DataFrame:
-    """Grouped or merged UMIs as lines, one per group, sorted by library, chromosome (as text) and position."""
-    keys = ["libid", "chrom", pos, *(["read_pos"] if "read_pos" in grouped.columns else [])]
-    return one_line(grouped, keys, ["umi", "qual"]).orderBy(*keys).select("libid", "chrom", F.col(pos).alias("pos"), "umi", "qual")
-
+def write_grouped(grouped: DataFrame, path: str, pos: str = "pos", sep: str = "\t", **options) -> None:
+    """Grouped or merged UMIs, one line per group, sorted by library, chromosome (as text) and position.
 
-def write_grouped(grouped: DataFrame, path: str, pos: str = "pos", **options) -> None:
-    write_tsv(grouped_lines(grouped, pos), path, partition_by=["libid"], **options)
+    A group's line is written stretch by stretch, so it may be longer than memory. `options` as for `write_ordered`;
+    without them a library is a folder `libid=` of files.
+    """
+    order = ["chrom", pos, *(["read_pos"] if "read_pos" in grouped.columns else [])]
+    head = F.concat_ws(sep, "chrom", F.col(pos).cast("string"))
+    pieces = line_pieces(grouped, ["libid", *order], head, ["umi", "qual"], sep=sep)
+    write_ordered(pieces, path, [*order, "field", "chunk"], **{"whole": False, **options})
 
 
 def write_assigned(merged: DataFrame, orphans: DataFrame, folder: str, name: str, **options) -> None:
@@ -45,31 +52,39 @@ def write_assigned(merged: DataFrame, orphans: DataFrame, folder: str, name: str
     write_grouped(orphans, f"{folder}/orphan.{name}", **options)
 
 
-def write_reads(reads: DataFrame, path: str, pattern: str | None = None, **options) -> None:
+def write_reads(reads: DataFrame, path: str, pattern: str | None = None, whole: bool = False, **options) -> None:
     """Reads as FASTQ text per library, and per `status` if there is one; flags go into the names.
 
-    A record is one value with line breaks in it, so the four lines of a read stay together.
+    A record is one value with line breaks in it, so the four lines of a read stay together. With `whole` a library is one
+    file `<libid>.fastq.gz` of blocked gzip, or `<libid>.<status>.fastq.gz`, in the order of the read names.
     """
     name = flagged_name(pattern) if pattern else F.col("read_id")
     record = F.concat(F.lit("@"), name, F.lit("\n"), F.col("seq"), F.lit("\n+\n"), F.col("qual"))
     groups = [c for c in ("libid", "status") if c in reads.columns]
+    if whole:
+        pieces = reads.select(F.concat_ws(".", *groups).alias("libid"), "read_id", F.lit(True).alias("opens"), record.alias("text"))
+        write_ordered(pieces, path, ["read_id"], **{"name": "{libid}.fastq", **options})
+        return
     compression = "gzip" if options.get("compress", True) else "none"
     reads.select(*groups, record.alias("value")).write.mode(options.get("mode", "error")).option(
         "compression", compression
-    ).partitionBy(*groups).text(path)
+    ).option("zlib.compress.level", _LEVELS[options.get("level", 6)]).partitionBy(*groups).text(path)
 
 
 def write_dedup(lists: DataFrame, path: str, **options) -> None:
-    """Deduplicated sites, one line each: chromosome, position, unique UMIs, their number."""
-    keys = ["libid", "chrom", "site"]
-    lines = one_line(lists, keys, ["umis"], ["counts"]).orderBy(*keys).select(
-        "libid", "chrom", F.col("site").alias("pos"), "umis", "counts"
-    )
-    write_tsv(lines, path, partition_by=["libid"], **options)
-
-
-def write_site_bed(bed: DataFrame, path: str, **options) -> None:
-    """Five-column BED per library, in row-number order."""
+    """Deduplicated sites, one line each: chromosome, position, unique UMIs, their number; written as `write_grouped` does."""
+    head = F.concat_ws("\t", "chrom", F.col("site").cast("string"))
+    pieces = line_pieces(lists, ["libid", "chrom", "site"], head, ["umis"], F.col("counts").cast("string"))
+    write_ordered(pieces, path, ["chrom", "site", "field", "chunk"], **{"whole": False, **options})
+
+
+def write_site_bed(bed: DataFrame, path: str, whole: bool = False, **options) -> None:
+    """Five-column BED per library, in row-number order: a folder `libid=` of files each, or with `whole` one file `<libid>.bed.gz`."""
+    if whole:
+        line = F.concat_ws("\t", "chrom", *[F.col(c).cast("string") for c in ("start", "end")], "name", F.col("score").cast("string"))
+        pieces = bed.select("libid", "chrom", "start", F.lit(True).alias("opens"), line.alias("text"))
+        write_ordered(pieces, path, ["chrom", "start"], **{"name": "{libid}.bed", **options})
+        return
     lines = bed.orderBy("libid", "chrom", "start").select("libid", "chrom", "start", "end", "name", "score")
     write_tsv(lines, path, partition_by=["libid"], **options)
 

@@ -2,6 +2,7 @@
 
 import gzip
 import random
+import tracemalloc
 
 import pytest
 from pyspark.sql import functions as F
@@ -9,7 +10,7 @@ from pyspark.sql import functions as F
 from cutgrid.functions.sizing import broadcast_limit, measured, shared_dir, small
 from cutgrid.operators import logs as lg, summary as sm
 from cutgrid.operators.umis import group_positions, shift_plus
-from cutgrid.sources import sinks, tables as tb
+from cutgrid.sources import bgzf, blocks, fasta, ordered, sinks, tables as tb
 from cutgrid.sources.fasta import read_fasta
 from cutgrid.sources.fastq import read_fastq
 from cutgrid.sources.sam import read_sam
@@ -190,3 +191,149 @@ def test_broadcasts_are_checked(spark):
 
 def test_shared_dir_comes_from_the_session(spark):
     assert shared_dir(spark) == spark.conf.get("spark.checkpoint.dir")
+
+
+def blocked(data: bytes, size: int, level: int = 6) -> bytes:
+    return b"".join(bgzf.member(data[at:at + size], level) for at in range(0, len(data), size)) + bgzf.END
+
+
+@pytest.mark.parametrize("range_bytes", [97, 1500, 1 << 20])
+def test_blocked_fastq_is_read_in_ranges(spark, tmp_path, range_bytes):
+    text, rows = fastq_text(900, random.Random(range_bytes))
+    (tmp_path / "LIB_S1_R1.fastq.gz").write_bytes(blocked(text.encode(), 1000))
+    assert gzip.decompress((tmp_path / "LIB_S1_R1.fastq.gz").read_bytes()).decode() == text
+    found = read_fastq(spark, str(tmp_path), range_bytes=range_bytes)
+    got = found.withColumn("task", F.spark_partition_id()).collect()
+    assert [(r.read_id, r.seq, r.qual) for r in sorted(got, key=lambda r: r.ord)] == rows
+    if range_bytes == 1500:
+        assert len({r.task for r in got}) >= 8
+
+
+def test_damaged_blocks_fail(spark, tmp_path):
+    text, _ = fastq_text(300, random.Random(4))
+    data = bytearray(blocked(text.encode(), 1000))
+    data[len(data) // 2] ^= 255
+    (tmp_path / "LIB_S1.fastq.gz").write_bytes(bytes(data))
+    with pytest.raises(Exception):
+        read_fastq(spark, str(tmp_path), range_bytes=1 << 20).count()
+
+
+def test_whole_gzip_files_are_named(tmp_path):
+    path = tmp_path / "a.fastq.gz"
+    path.write_bytes(gzip.compress(random.Random(1).randbytes(5000)))
+    options = {"files": f'[["{path}", {path.stat().st_size}]]', "range_bytes": "1000", "least_bytes": "1000", "slices": "1"}
+    with pytest.warns(UserWarning, match="a.fastq.gz"):
+        assert [(r.start, r.end) for r in blocks.file_ranges(options)] == [(0, -1)]
+
+
+def test_members_of_any_text(tmp_path):
+    rng = random.Random(2)
+    for data in (b"", b"x", bytes(200_000), rng.randbytes(200_000), b"ab\n" * 70_000):
+        for level in (0, 1, 9):
+            packed = bgzf.members(data, level) + bgzf.END
+            assert gzip.decompress(packed) == data
+            path = tmp_path / "m.gz"
+            path.write_bytes(packed)
+            file = blocks.file_system(str(path))[0].open_input_file(str(path))
+            places = list(bgzf.read(file, 0))
+            assert b"".join(text for _, text in places) == data
+            for start in rng.sample(range(len(packed)), min(20, len(packed))):
+                later = [place for place, _ in places if place >= start] + [len(packed) - len(bgzf.END)]
+                assert bgzf.first_member(file, start, len(packed)) == (later[0] if start <= later[-1] else None)
+
+
+@pytest.mark.parametrize("gz", [False, True])
+def test_contig_on_one_line_is_shared_by_ranges(spark, tmp_path, gz):
+    rng = random.Random(3)
+    seq = "".join(rng.choice("ACGT") for _ in range(40_000))
+    data = f">1 dna {'long header ' * 40}\n{seq}\n>2\nACGTAC\n".encode()
+    path = tmp_path / ("g.fa.gz" if gz else "g.fa")
+    path.write_bytes(blocked(data, 3000) if gz else data)
+    rows = read_fasta(spark, str(path), chunk=500, overlap=7, range_bytes=len(path.read_bytes()) // 9).withColumn(
+        "task", F.spark_partition_id()).collect()
+    parts = sorted((r for r in rows if r.chrom == "chr1"), key=lambda r: r.offset)
+    assert "".join(r.seq[:r.span] for r in parts) == seq and len({r.task for r in parts}) >= 7
+    assert all(r.seq == seq[r.offset:r.offset + r.span + 7] for r in parts)
+    assert [(r.offset, r.span, r.seq) for r in rows if r.chrom == "chr2"] == [(0, 6, "ACGTAC")]
+
+
+def test_one_line_of_64_mb_is_read_in_bounded_memory(tmp_path):
+    path, size = tmp_path / "g.fa", 64 << 20
+    with open(path, "wb") as out:
+        out.write(b">1 x\n")
+        for _ in range(64):
+            out.write(b"ACGT" * (1 << 18))
+        out.write(b"\n")
+    tracemalloc.start()
+    spans = []
+    for part, start in enumerate(range(0, size + 6, 16 << 20)):
+        end = min(start + (16 << 20), size + 6)
+        spans.append(sum(span for _, _, _, span, _ in fasta.Chunks(blocks.FileRange(str(path), part, start, end), 1 << 16, 64)))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert sum(spans) == size and min(spans[:4]) > 15 << 20 and peak < 48 << 20
+
+
+def test_a_line_longer_than_memory_is_written_in_pieces(tmp_path):
+    path = str(tmp_path / "part")
+    tracemalloc.start()
+    out = ordered.PartFile(path, 1)
+    for i in range(400):
+        out.add(i == 0, ("ACGTACGT " * 50_000)[i % 9:])
+    out.add(True, "next")
+    out.close()
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    with gzip.open(path) as text:
+        sizes = [len(line) for line in text]
+    assert len(sizes) == 2 and sizes[0] > 170 << 20 and peak < 16 << 20
+
+
+@pytest.mark.parametrize("whole", [True, False])
+@pytest.mark.parametrize("compress", [True, False])
+def test_ordered_lines_across_tasks(spark, tmp_path, whole, compress):
+    """Lists cut into many stretches over many tasks give the same lines as whole ones."""
+    rng = random.Random(6)
+    reads = [(lib, "chr1", rng.choice([5, 5, 5, 9]), "+", f"U{i:04d}", f"q{i}", i) for i in range(600) for lib in ("A", "B c")]
+    frame = spark.createDataFrame(reads, "libid string, chrom string, pos long, strand string, umi string, qual string, ord long")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        out = str(tmp_path / "out")
+        sinks.write_grouped(group_positions(frame, max_rows=7), out, whole=whole, compress=compress, level=9)
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    names = sorted(str(p.relative_to(out)) for p in (tmp_path / "out").rglob("*") if p.is_file() and not p.name.endswith(".crc"))
+    suffix = ".gz" if compress else ""
+    if whole:
+        assert names == [f"A.txt{suffix}", f"B c.txt{suffix}"]
+    for lib in ("A", "B c"):
+        files = [n for n in names if n.startswith(f"{lib}." if whole else f"libid={lib}/")]
+        data = [(tmp_path / "out" / n).read_bytes() for n in files]
+        lines = b"".join(gzip.decompress(x) if compress else x for x in data).decode().splitlines()
+        wanted = []
+        for pos in sorted({r[2] for r in reads if r[0] == lib}):
+            own = [r for r in reads if r[0] == lib and r[2] == pos]
+            wanted.append(f"chr1\t{pos}\t{' '.join(r[4] for r in own)}\t{' '.join(r[5] for r in own)}")
+        assert lines == wanted
+    with pytest.raises(FileExistsError):
+        sinks.write_grouped(group_positions(frame), str(tmp_path / "out"))
+
+
+def test_gzip_level_is_an_argument(spark, tmp_path):
+    rows = spark.range(20_000).select(F.lit("A").alias("libid"), F.md5(F.col("id").cast("string")).alias("text"))
+    sizes = []
+    for level in (1, 9):
+        sinks.write_tsv(rows.coalesce(1), str(tmp_path / f"tsv{level}"), level=level)
+        sinks.write_reads(
+            rows.select("libid", F.col("text").alias("read_id"), F.repeat("text", 3).alias("seq"), F.repeat("text", 3).alias("qual")),
+            str(tmp_path / f"fastq{level}"), whole=True, level=level)
+        sizes.append((sum(p.stat().st_size for p in (tmp_path / f"tsv{level}").glob("part*")), (tmp_path / f"fastq{level}" / "A.fastq.gz").stat().st_size))
+    assert sizes[0][0] > sizes[1][0] and sizes[0][1] > sizes[1][1]
+
+
+def test_ordered_files_of_nothing(spark, tmp_path):
+    empty = spark.createDataFrame([], "libid string, chrom string, start long, end long, name string, score long")
+    sinks.write_site_bed(empty, str(tmp_path / "bed"), whole=True)
+    assert [p.name for p in (tmp_path / "bed").iterdir() if not p.name.endswith(".crc")] == []
+    with pytest.raises(ValueError, match="a/b"):
+        sinks.write_site_bed(empty.unionByName(spark.createDataFrame([("a/b", "c", 1, 1, "n", 2)], empty.schema)), str(tmp_path / "bad"), whole=True)
