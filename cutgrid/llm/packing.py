@@ -18,6 +18,7 @@ from __future__ import annotations
 import base64
 from collections.abc import Iterator, Mapping, Sequence
 from dataclasses import dataclass
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
@@ -37,7 +38,7 @@ END = 1
 OWN, SHARED = 1024, 64
 #: Credits are counted in parts of a token.
 PART = 1 << 16
-_CELLS = 1 << 21
+_CELLS = 1 << 17
 
 
 class Encoder:
@@ -48,12 +49,7 @@ class Encoder:
     """
 
     def __init__(self, vocabulary: str, ranks: str | None = None, pattern: str | None = None):
-        from tokenizers import Tokenizer
-
-        self.plain = Tokenizer.from_file(vocabulary)
-        self.plain.encode_special_tokens = True
-        self.width = 2 if self.plain.get_vocab_size() <= 1 << 16 else 4
-        self.quick = None
+        self.vocabulary, self.quick = vocabulary, None
         if ranks:
             import tiktoken
 
@@ -61,6 +57,14 @@ class Encoder:
                 merges = {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, file)}
             self.quick = tiktoken.Encoding("ranks", pat_str=pattern, mergeable_ranks=merges, special_tokens={})
 
+    @cached_property
+    def plain(self):
+        from tokenizers import Tokenizer
+
+        library = Tokenizer.from_file(self.vocabulary)
+        library.encode_special_tokens = True
+        return library
+
     def __call__(self, text: str) -> list[int]:
         if self.quick is not None:
             try:
@@ -78,25 +82,27 @@ def _source(name) -> str:
 def encoded(docs: DataFrame, vocabulary: str, ranks: str | None = None, pattern: str | None = None, end: int = END) -> DataFrame:
     """doc_id, source (never null), part, before, n, width, ids: `before` counts the tokens of the source earlier in the same task.
 
-    `ids` are little-endian numbers of `width` bytes and end with `end`; null and empty texts have only that.
+    `ids` are little-endian numbers of `width` bytes (two where they fit) and end with `end`; null and empty texts have only that.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode, part = Encoder(vocabulary, ranks, pattern), TaskContext.get().partitionId()
-        kind, so_far = f"<u{encode.width}", {}
+        so_far: dict[str, int] = {}
         for batch in slices(batches):
             names = [_source(name) for name in batch.column(1).to_pylist()]
-            before, sizes, packed = [], [], []
+            before, sizes, widths, packed = [], [], [], []
             for name, text in zip(names, batch.column(2).to_pylist()):
                 ids = encode(text) if text else []
                 before.append(so_far.get(name, 0))
                 sizes.append(len(ids) + 1)
                 so_far[name] = before[-1] + sizes[-1]
-                packed.append(np.array([*ids, end], kind).tobytes())
+                ids = np.array([*ids, end], np.uint32)
+                widths.append(2 if ids.max() < 1 << 16 else 4)
+                packed.append(ids.astype(f"<u{widths[-1]}").tobytes())
             count = batch.num_rows
             yield pa.RecordBatch.from_arrays([
                 batch.column(0), pa.array(names, pa.string()), pa.array([part] * count, pa.int64()), pa.array(before, pa.int64()),
-                pa.array(sizes, pa.int64()), pa.array([encode.width] * count, pa.int32()), pa.array(packed, pa.binary()),
+                pa.array(sizes, pa.int64()), pa.array(widths, pa.int32()), pa.array(packed, pa.binary()),
             ], names=["doc_id", "source", "part", "before", "n", "width", "ids"])
 
     kind = docs.schema["doc_id"].dataType.simpleString()
@@ -252,13 +258,11 @@ def pack(
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
-            width = batch.column(4)[0].as_py()
+            widths = batch.column(4).to_pylist()
             begin, sizes = batch.column(2).to_numpy(), batch.column(3).to_numpy()
             row, start, length, sequence, offset = cut(
                 *placed(phases, batch.column(1).to_numpy(), begin, begin + sizes, packet), total, window)
-            packed = batch.column(5).to_pylist()
-            if width != 4:
-                packed = [np.frombuffer(ids, f"<u{width}").astype("<u4").tobytes() for ids in packed]
+            packed = [np.frombuffer(ids, f"<u{width}").astype("<u4").tobytes() for ids, width in zip(batch.column(5).to_pylist(), widths)]
             ids = [packed[r][4 * a:4 * (a + n)] for r, a, n in zip(row.tolist(), start.tolist(), length.tolist())]
             yield pa.RecordBatch.from_arrays([
                 batch.column(0).take(pa.array(row)), pa.array(start), pa.array(length), pa.array(ids, pa.binary()),
