@@ -133,10 +133,14 @@ def schedule(tokens: Sequence[int], shares: Sequence[float], window: int = WINDO
     served, deficit, at, phases = np.zeros_like(total), np.zeros_like(total), 0, []
     while (served < total).any():
         open_ = served < total
-        quantum = np.where(open_, np.maximum(1, np.round(PART * window * weight / weight[open_].sum())), 0).astype(np.int64)
+        wanted = np.where(open_, weight, 0.0)
+        if not wanted.any():  # queues without a share are emptied when all others are
+            wanted = open_.astype(np.float64)
+        quantum = np.where(wanted > 0, np.maximum(1, np.round(PART * window * wanted / wanted.sum())), 0).astype(np.int64)
         left = np.where(open_, total - served, 0)
         deficit = np.where(open_, deficit, 0)
-        needed = -(-(left[open_] * PART - deficit[open_]) // quantum[open_])
+        served_now = quantum > 0
+        needed = -(-(left[served_now] * PART - deficit[served_now]) // quantum[served_now])
         phase = Phase(at, served, deficit, quantum, left, max(1, int(needed.min())))
         phases.append(phase)
         now = phase.after(np.array([phase.rounds]), packet)[0]
@@ -164,7 +168,7 @@ def placed(phases: list[Phase], queue: np.ndarray, begin: np.ndarray, end: np.nd
         inner, number = _runs((low[rows] - base) // packet, (high[rows] - base - 1) // packet)
         own, base = own[inner], base[inner]
         stop = np.minimum((number + 1) * packet, phase.left[own])
-        turn = -(-(stop * PART - phase.deficit[own]) // phase.quantum[own]) - 1
+        turn = np.maximum(0, -(-(stop * PART - phase.deficit[own]) // phase.quantum[own]) - 1)
         turns, which = np.unique(turn, return_inverse=True)
         start = np.empty(len(turn), np.int64)
         step = max(1, _CELLS // len(phase.quantum))
@@ -236,7 +240,8 @@ def pack(
 ) -> DataFrame:
     """doc_id, start, length, ids (little-endian 32-bit), doc_tokens, sequence_id, offset: one row per piece of a document.
 
-    `shares` are the wanted parts of the sources; those not named, and all without it, are wanted as they occur. Documents of a source
+    `shares` are the wanted parts of the sources; those not named, and all without it, are wanted as they occur. Sources with
+    a share of zero come when all others are packed. Documents of a source
     follow each other as they lie in the files. Every id of every document lies in exactly one piece, and every document has a piece, as
     its end id counts: null and empty texts are that id alone. A null source is a source. Repeated rows and ids are
     packed like any other row. An empty table gives an empty result. Only `doc_id`, `source` and `text` are read.

@@ -666,10 +666,6 @@ def test_packing(spark, rows, options):
     r = random.Random(2)
     given = [(i, t, r.choice(["a", "a", "b", "c", None])) for i, t in rows]
     window = options.get("window", packing.WINDOW)
-    if 0 in options.get("shares", {}).values():
-        with pytest.raises(ValueError):
-            packed(spark, given, **options)
-        return
     by_doc, by_sequence = packed(spark, given, **options)
     wanted = library_ids([t for _, t, _ in given])
     assert {n: [i for _, ids, _ in sorted(parts) for i in ids] for n, parts in by_doc.items()} == dict(enumerate(wanted))
@@ -679,6 +675,11 @@ def test_packing(spark, rows, options):
     assert sizes[:whole] == [window] * whole and all(size & size - 1 == 0 and size < window for size in sizes[whole:])
 
 
+def test_packing_needs_shares_for_all(spark):
+    with pytest.raises(ValueError, match="leave nothing"):
+        packed(spark, [(1, "x", "a"), (2, "y", "b")], shares={"a": 1.0})
+
+
 def test_packing_keeps_the_shares_in_every_window(spark):
     r = random.Random(5)
     words = "the of and to in is it that was for on are as with".split()
@@ -703,7 +704,7 @@ def test_packing_schedule_gives_every_token_one_place():
     for _ in range(60):
         count, packet, window = r.randint(1, 6), r.choice([1, 3, 8]), r.choice([16, 40])
         tokens = [r.choice([0, 1, r.randint(1, 30), r.randint(1, 900)]) for _ in range(count)]
-        shares = [r.choice([0.001, 0.5, 1, 3]) for _ in range(count)]
+        shares = [r.choice([0, 0.001, 0.5, 1, 3]) for _ in range(count)]
         phases = packing.schedule(tokens, shares, window, packet)
         stream = []
         for phase in phases:
