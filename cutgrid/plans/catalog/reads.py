@@ -43,18 +43,21 @@ def prefix_filter(spark, sf_dir):
 
 
 @query(f"""WITH {d.RAW_READS_SQL},
-cut AS (SELECT libid, read_id, substr(seq, 1, length(seq) - 15) AS seq, substr(qual, 1, length(seq) - 15) AS qual FROM raw_reads)
+cut AS (
+  SELECT libid, read_id, seq, qual FROM raw_reads
+  UNION ALL SELECT libid, read_id || ':cut', substr(seq, 1, length(seq) - 15), substr(qual, 1, length(seq) - 15) FROM raw_reads)
 SELECT libid, read_id, CASE WHEN length(seq) < 20 THEN 'unmatched'
          WHEN len(list_filter(string_split(substr(qual, 1, 8), ''), lambda c: ascii(c) - 33 < 30)) / 8.0 <= 0.2 THEN 'hq'
          ELSE 'lq' END AS status, CASE WHEN length(seq) < 20 THEN seq ELSE substr(seq, 21) END AS seq FROM cut""")
 def reject_status(spark, sf_dir):
-    """Reads cut so that the short ones no longer hold the whole prefix."""
+    """Whole reads, and the same reads cut so that the short ones no longer hold the whole prefix."""
     keep = F.length("seq") - 15
-    cut = d.raw_reads(spark, sf_dir).select(
-        "libid", "read_id", F.substring("seq", F.lit(1), keep).alias("seq"),
+    whole = d.raw_reads(spark, sf_dir).select("libid", "read_id", "seq", "qual")
+    cut = whole.select(
+        "libid", F.concat("read_id", F.lit(":cut")).alias("read_id"), F.substring("seq", F.lit(1), keep).alias("seq"),
         F.substring("qual", F.lit(1), keep).alias("qual"),
     )
-    return rd.flag_status(rd.extract_flags(cut, PATTERN)).select("libid", "read_id", "status", "seq")
+    return rd.flag_status(rd.extract_flags(whole.unionByName(cut), PATTERN)).select("libid", "read_id", "status", "seq")
 
 
 _STATS_SQL = f"""{FLAGGED_SQL},

@@ -37,18 +37,24 @@ scores AS (
   FROM weakest GROUP BY exid, bin_tag, chrom, start, "end" HAVING count(*) = 3)"""
 
 
-def _rescaled_sql(by_chrom: bool) -> str:
+def _fenced_sql(by_chrom: bool) -> str:
     keys = "exid, bin_tag, chrom" if by_chrom else "exid, bin_tag"
     return f"""fences AS (
   SELECT {keys}, quantile_cont(score, 0.25) AS q1, quantile_cont(score, 0.75) AS q3 FROM scores WHERE score IS NOT NULL GROUP BY {keys}),
-flagged AS (
+fenced AS (
   SELECT s.*, coalesce(score < q1 - 1.5 * (q3 - q1) - 1e-9 OR score > q3 + 1.5 * (q3 - q1) + 1e-9, FALSE) AS is_outlier
   FROM scores s LEFT JOIN fences USING ({keys})),
-limits AS (SELECT {keys}, min(score) AS lo, max(score) AS hi FROM flagged WHERE NOT is_outlier GROUP BY {keys}),
+limits AS (SELECT {keys}, min(score) AS lo, max(score) AS hi FROM fenced WHERE NOT is_outlier GROUP BY {keys}),
 final AS (
   SELECT f.*, CASE WHEN NOT is_outlier AND hi - lo > 1e-9 THEN (score - lo) / (hi - lo) END AS rescaled
-  FROM flagged f LEFT JOIN limits USING ({keys}))
-SELECT exid, bin_tag, chrom, start, "end", {rounded_sql("score")} AS score, is_outlier, {rounded_sql("rescaled")} AS rescaled FROM final"""
+  FROM fenced f LEFT JOIN limits USING ({keys}))"""
+
+
+SHOWN_SQL = f"""SELECT exid, bin_tag, chrom, start, "end", {rounded_sql("score")} AS score, is_outlier, {rounded_sql("rescaled")} AS rescaled FROM final"""
+
+
+def _rescaled_sql(by_chrom: bool) -> str:
+    return f"{_fenced_sql(by_chrom)}\n{SHOWN_SQL}"
 
 
 def rates(spark, sf_dir, by_chrom=False):
@@ -198,8 +204,11 @@ def two_experiments(spark, sf_dir):
     return one.unionByName(more)
 
 
-def _run_sql(params: ScoreParams, custom: bool = False, conditions: str = _CONDS) -> str:
-    """The score stage stated from scratch: every bin meets its points by a range join."""
+_ALL_COUNTS = _COUNTS.replace("site_counts AS", "all_counts AS", 1)
+
+
+def run_steps_sql(params: ScoreParams, custom: bool = False, conditions: str = _CONDS, counts: str = f"{d.SITES_SQL}, {_ALL_COUNTS}") -> str:
+    """The score stage stated from scratch: every bin meets its points by a range join. `counts` makes `sites` and `all_counts`."""
     kept = ", ".join(f"'{name}'" for name in parse_chrom_tag(params.chrom_tag))
     tags = " UNION ALL ".join(f"SELECT '{t.label}' AS bin_tag, {t.size} AS size, {t.step} AS step" for t in params.tags)
     masked = """NOT EXISTS (SELECT 1 FROM mask m WHERE m.chrom = b.chrom AND b.start < m."end" AND b."end" > m.start)"""
@@ -211,7 +220,7 @@ def _run_sql(params: ScoreParams, custom: bool = False, conditions: str = _CONDS
     universe = params.site_domain == "universe"
     rate = "CAST(reads AS DOUBLE) / (sites * total_reads)"
     logs = "CASE WHEN rate > 0 AND rate_1 > 0 THEN log2(rate / rate_1) END"
-    return f"""{d.SITES_SQL}, {d.SIZES_SQL}, {d.MASK_SQL}, {d.REGIONS_SQL}, {conditions}, {_COUNTS.replace("site_counts AS", "all_counts AS", 1)},
+    return f"""{counts}, {d.SIZES_SQL}, {d.MASK_SQL}, {d.REGIONS_SQL}, {conditions},
 stats AS (SELECT libid, avg(score) AS mean, var_samp(score) AS var FROM all_counts WHERE chrom IN ({kept}) GROUP BY libid),
 points AS (
   SELECT c.* FROM all_counts c JOIN stats USING (libid) WHERE chrom IN ({kept}) AND NOT (score - mean) ** 2 / var > {_DEPTH_LIMIT!r}),
@@ -237,7 +246,11 @@ scores AS (
   SELECT exid, bin_tag, chrom, start, "end", CASE WHEN min(rate) > 0 THEN sum(CASE WHEN cond_order > 1 THEN {logs} END) END AS score
   FROM weakest GROUP BY exid, bin_tag, chrom, start, "end"
   HAVING count(*) = (SELECT count(*) FROM conditions c WHERE c.exid = weakest.exid)),
-{_rescaled_sql(False)}"""
+{_fenced_sql(False)}"""
+
+
+def _run_sql(params: ScoreParams, custom: bool = False, conditions: str = _CONDS) -> str:
+    return f"{run_steps_sql(params, custom, conditions)}\n{SHOWN_SQL}"
 
 
 _FIVE = "1e5:1e5,1e5:1e4,5e4:5e3,2e4:2e3,1e4:1e4"

@@ -45,10 +45,7 @@ def missing_metrics(spark, sf_dir):
     return lg.missing_metrics(lg.log_metrics(staged_lines(spark, sf_dir)))
 
 
-_SUMMARY_SQL = f"""{FLAGGED_SQL},
-{d.ALIGNMENTS_SQL[len(d._RAW_SQL) + 2:]},
-{d.COUNTS_SQL[len(d._RAW_SQL) + 2:]},
-r AS (SELECT libid, count(*) AS input, count(*) FILTER (good) AS umi_hq, count(*) FILTER (good AND prefix_ok) AS prefix FROM judged GROUP BY libid),
+_TOTALS_SQL = """r AS (SELECT libid, count(*) AS input, count(*) FILTER (good) AS umi_hq, count(*) FILTER (good AND prefix_ok) AS prefix FROM judged GROUP BY libid),
 a AS (
   SELECT libid, count(*) FILTER ((flag & 4) <> 0) AS unmapped, count(*) FILTER (mapq < 30) AS low_mapq,
          count(*) FILTER (chrom = 'chrM') AS mito, count(*) FILTER (mapq >= 30 AND (flag & 260) = 0 AND chrom <> 'chrM') AS mapped,
@@ -60,6 +57,8 @@ summary AS (
          unmapped, multi AS "2nd_aln", mito AS "chrM", low_mapq, mapped, mapped * 100.0 / prefix AS "mapped%",
          near AS "fromCS", near * 100.0 / n_umis AS "fromCS%", uniq, uniq * 100.0 / near AS "uniq%", uniq * 100.0 / input AS "out%"
   FROM r JOIN a USING (libid) JOIN s USING (libid) JOIN u USING (libid))"""
+_PLACED_SQL = f"{d.SITES_SQL},\n{d.NEAREST_SQL},\n{d.UNIQUE_SQL}"
+_SUMMARY_SQL = f"{FLAGGED_SQL},\n{d.ALIGNED_SQL},\n{d.SHIFTED_SQL},\n{_PLACED_SQL},\n{_TOTALS_SQL}"
 _RATIOS = list(sm.RATIOS)
 
 
@@ -85,13 +84,13 @@ def summary_text(spark, sf_dir):
     return sm.as_text(summary_table(spark, sf_dir))
 
 
-_RUN_SQL = _SUMMARY_SQL[: _SUMMARY_SQL.index(d.COUNTS_SQL[len(d._RAW_SQL) + 2:])] + """
-clean AS (
+_CLEAN_SQL = """clean AS (
   SELECT a.libid, a.chrom, a.umi, CASE WHEN a.flag & 16 <> 0 THEN '-' ELSE '+' END AS strand, a.pos - 1 AS start,
          r.l_linenumber + 30 + CASE WHEN r.l_partkey % 2 <> 0 THEN r.l_partkey % 3 + 1 ELSE 0 END AS span
   FROM alignments a JOIN reads_raw r USING (read_id) WHERE a.mapq >= 30 AND (a.flag & 260) = 0 AND a.chrom <> 'chrM'),
-reads AS (SELECT libid, chrom, umi, CASE WHEN strand = '-' THEN start + span ELSE start - 4 END AS pos FROM clean),
-""" + _SUMMARY_SQL[_SUMMARY_SQL.index(d.SITES_SQL):]
+reads AS (SELECT libid, chrom, umi, CASE WHEN strand = '-' THEN start + span ELSE start - 4 END AS pos FROM clean)"""
+RUN_COUNTS_SQL = f"{FLAGGED_SQL},\n{d.ALIGNED_SQL},\n{_CLEAN_SQL},\n{_PLACED_SQL}"
+_RUN_SQL = f"{RUN_COUNTS_SQL},\n{_TOTALS_SQL}"
 
 
 @query(f"""WITH {_RUN_SQL} SELECT * REPLACE ({", ".join(f'{rounded_sql(chr(34) + c + chr(34))} AS "{c}"' for c in _RATIOS)}) FROM summary""")
@@ -103,7 +102,14 @@ def run_summary(spark, sf_dir):
     return table.select(*[rounded(F.col(f"`{c}`"), c) if c in _RATIOS else F.col(f"`{c}`") for c in table.columns])
 
 
-_SIX = LibraryParams(cut_seq="AAGCTT", pattern="umi8bc8cs6")
+SIX = LibraryParams(cut_seq="AAGCTT", pattern="umi8bc8cs6")
+
+
+def six_letter_reads(spark, sf_dir):
+    return d.raw_reads(spark, sf_dir).select(
+        "libid", "read_id", F.concat(F.substring("seq", 1, 16), F.lit("AAGCT"), F.substring("seq", 20, 1), F.expr("substring(seq, 21)")).alias("seq"),
+        F.concat(F.lit("A~"), F.substring("qual", 3, 14), F.lit("~~"), F.expr("substring(qual, 17)")).alias("qual"),
+    )
 
 
 @query(f"""WITH {d.RAW_READS_SQL},
@@ -113,10 +119,7 @@ SELECT libid, read_id, substr(seq, 1, 8) AS umi, substr(qual, 1, 8) AS umi_qual,
        hamming(substr(seq, 9, 8), '{d.BARCODE}') <= 1 AND hamming(substr(seq, 17, 6), 'AAGCTT') <= 1 AS prefix_ok FROM six""")
 def six_letter_run(spark, sf_dir):
     """A six-letter enzyme: flags cut by its pattern, put into the names and taken out again; qualities hold the sign between flags."""
-    reads = d.raw_reads(spark, sf_dir).select(
-        "libid", "read_id", F.concat(F.substring("seq", 1, 16), F.lit("AAGCT"), F.substring("seq", 20, 1), F.expr("substring(seq, 21)")).alias("seq"),
-        F.concat(F.lit("A~"), F.substring("qual", 3, 14), F.lit("~~"), F.expr("substring(qual, 17)")).alias("qual"),
-    )
-    flagged = flag_reads(reads, d.config(spark, sf_dir), _SIX)
-    named = flagged.select("libid", "prefix_ok", F.col("read_id").alias("id"), rd.flagged_name(_SIX.pattern).alias("read_id"))
+    reads = six_letter_reads(spark, sf_dir)
+    flagged = flag_reads(reads, d.config(spark, sf_dir), SIX)
+    named = flagged.select("libid", "prefix_ok", F.col("read_id").alias("id"), rd.flagged_name(SIX.pattern).alias("read_id"))
     return umi_from_name(named).select("libid", F.col("id").alias("read_id"), "umi", "umi_qual", "prefix_ok")

@@ -130,7 +130,8 @@ def dedup_totals(spark, sf_dir):
     return totals.select("libid", "reads", "kept", "removed", rounded("removed_pct", "removed_pct"))
 
 
-_TRIMMED_SQL = "reads AS (SELECT libid, substr(umi, 1, CAST(8 - l_orderkey % 3 AS INTEGER)) AS umi FROM reads_raw)"
+_TRIMMED_SQL = """reads AS (
+  SELECT libid, umi FROM reads_raw UNION ALL SELECT libid || ':cut', substr(umi, 1, CAST(8 - l_orderkey % 3 AS INTEGER)) FROM reads_raw)"""
 
 
 @query(f"""WITH {d._RAW_SQL}, {_TRIMMED_SQL},
@@ -138,10 +139,13 @@ l AS (SELECT DISTINCT libid, length(umi) AS len FROM reads)
 SELECT libid, string_agg(CAST(len AS VARCHAR), ' ' ORDER BY len) AS lengths, CAST(count(*) AS BIGINT) AS n_lengths,
        round(avg(len), 6) AS mean_length FROM l GROUP BY libid""")
 def umi_lengths(spark, sf_dir):
-    cut = d.reads(spark, sf_dir).withColumn(
-        "umi", F.substring(F.col("umi"), F.lit(1), (8 - F.col("ord.l_orderkey") % 3).cast("int"))
-    )
-    return um.umi_lengths(cut).select(
+    """Whole UMIs, which have one length, and as libraries of their own the same UMIs cut to several."""
+    whole = d.reads(spark, sf_dir)
+    cut = whole.withColumns({
+        "libid": F.concat("libid", F.lit(":cut")),
+        "umi": F.substring(F.col("umi"), F.lit(1), (8 - F.col("ord.l_orderkey") % 3).cast("int")),
+    })
+    return um.umi_lengths(whole.unionByName(cut)).select(
         "libid", F.array_join(F.col("lengths").cast("array<string>"), " ").alias("lengths"), "n_lengths",
         rounded("mean_length", "mean_length"),
     )

@@ -76,8 +76,8 @@ def reads(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-READS_SQL = _RAW_SQL + """,
-reads AS (SELECT * REPLACE (pos - CASE WHEN strand = '+' THEN 4 ELSE 0 END AS pos) FROM reads_raw)"""
+SHIFTED_SQL = "reads AS (SELECT * REPLACE (pos - CASE WHEN strand = '+' THEN 4 ELSE 0 END AS pos) FROM reads_raw)"
+READS_SQL = f"{_RAW_SQL},\n{SHIFTED_SQL}"
 
 
 def sites(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -91,9 +91,7 @@ SITES_SQL = """sites AS (
   SELECT DISTINCT 'chr' || CAST(o_orderkey % 4 + 1 AS VARCHAR) AS chrom, o_orderkey * 20 + o_custkey % 16 AS start
   FROM orders)"""
 
-ASSIGNED_SQL = f"""{READS_SQL},
-{SITES_SQL},
-with_left AS (
+NEAREST_SQL = """with_left AS (
   SELECT r.*, s.start AS lsite FROM reads r ASOF LEFT JOIN sites s ON r.chrom = s.chrom AND r.pos >= s.start),
 with_both AS (
   SELECT l.*, s.start AS rsite FROM with_left l ASOF LEFT JOIN sites s ON l.chrom = s.chrom AND l.pos <= s.start),
@@ -103,11 +101,12 @@ placed AS (
               WHEN pos - lsite > rsite - pos THEN rsite ELSE lsite END AS site
   FROM with_both WHERE lsite IS NOT NULL OR rsite IS NOT NULL),
 assigned AS (SELECT *, abs(pos - site) AS dist, abs(pos - site) > 20 AS is_orphan FROM placed)"""
+ASSIGNED_SQL = f"{READS_SQL},\n{SITES_SQL},\n{NEAREST_SQL}"
 
-COUNTS_SQL = f"""{ASSIGNED_SQL},
-counts AS (
+UNIQUE_SQL = """counts AS (
   SELECT libid, chrom, site, CAST(count(*) AS BIGINT) AS pre_n, CAST(count(DISTINCT umi) AS BIGINT) AS counts
   FROM assigned WHERE NOT is_orphan GROUP BY libid, chrom, site)"""
+COUNTS_SQL = f"{ASSIGNED_SQL},\n{UNIQUE_SQL}"
 
 
 def raw_reads(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -166,8 +165,7 @@ def alignments(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-ALIGNMENTS_SQL = _RAW_SQL + """,
-alignments AS (
+ALIGNED_SQL = """alignments AS (
   SELECT libid, read_id,
          CASE WHEN l_linenumber % 2 = 0 THEN 16 ELSE 0 END + CASE WHEN l_partkey % 11 = 0 THEN 4 ELSE 0 END
          + CASE WHEN l_partkey % 13 = 0 THEN 256 ELSE 0 END AS flag,
@@ -176,6 +174,7 @@ alignments AS (
          || CASE WHEN l_partkey % 2 = 0 THEN 'I' ELSE 'D' END || '10M' || CAST(l_suppkey % 4 + 1 AS VARCHAR) || 'S' AS cigar,
          l_partkey % 17 = 0 AS multi, umi, qual AS umi_qual
   FROM reads_raw)"""
+ALIGNMENTS_SQL = f"{_RAW_SQL},\n{ALIGNED_SQL}"
 
 
 def mask(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -77,19 +77,22 @@ def preprocess(
     return counted, sm.summarize(stages, prep_run, config)
 
 
+def write_prepared(flagged: DataFrame, out: str, params: LibraryParams = LibraryParams(), **options) -> None:
+    """Reads to align (flags in the names) and rejects, out of staged reads that `flag_reads` has judged; `options` as for `write_reads`."""
+    group = F.when(F.col("status") != rd.PASSED, F.col("status")).when(F.col("prefix_ok"), "prefix").otherwise(
+        "prefix_unmatched"
+    )
+    passed = flagged.withColumn("status", group)
+    write_reads(passed.filter("status = 'prefix'").drop("status"), f"{out}/fastq_prefix", params.pattern, **options)
+    write_reads(passed.filter("status != 'prefix'"), f"{out}/fastq_rejected", **options)
+
+
 def prepare_run(
     spark: SparkSession, config: str, fastq: str, out: str, params: LibraryParams = LibraryParams()
 ) -> None:
     """First half of a run: FASTQ in; reads to align (flags in the names) and rejects out."""
-    libraries = read_config(spark, config)
-    flagged = flag_reads(read_fastq(spark, fastq), libraries, params)
-    group = F.when(F.col("status") != rd.PASSED, F.col("status")).when(F.col("prefix_ok"), "prefix").otherwise(
-        "prefix_unmatched"
-    )
     # Both outputs start from staged reads, so FASTQ is parsed and judged once.
-    passed = stage(flagged.withColumn("status", group))
-    write_reads(passed.filter("status = 'prefix'").drop("status"), f"{out}/fastq_prefix", params.pattern)
-    write_reads(passed.filter("status != 'prefix'"), f"{out}/fastq_rejected")
+    write_prepared(stage(flag_reads(read_fastq(spark, fastq), read_config(spark, config), params)), out, params)
 
 
 def finish_run(

@@ -71,8 +71,9 @@ def summary_of_logs(spark: SparkSession, root: str, sep: str = "_") -> DataFrame
 def score_files(
     spark: SparkSession, metadata: str, out: str, sizes: tb.Paths, params: ScoreParams = ScoreParams(),
     site_bed: tb.Paths | None = None, mask_bed: tb.Paths | None = None, bin_bed: tb.Paths | None = None,
+    sites: DataFrame | None = None,
 ) -> DataFrame:
-    """Scores of the experiments in a condition table, written per experiment and bin tag."""
+    """Scores of the experiments in a condition table, written per experiment and bin tag; sites as a BED or as a table."""
     conditions = tb.read_conditions(spark, metadata)
     counts = tb.read_condition_counts(spark, conditions)
     regions = None
@@ -80,7 +81,7 @@ def score_files(
         regions = tb.read_bed(spark, bin_bed, 3).withColumnsRenamed({"start": "region_start", "end": "region_end"})
     table = score(
         counts, conditions, tb.read_bed(spark, sizes, 3), params,
-        sites=None if site_bed is None else tb.read_bed(spark, site_bed),
+        sites=sites if site_bed is None else tb.read_bed(spark, site_bed),
         mask=None if mask_bed is None else tb.read_bed(spark, mask_bed), regions=regions,
     )
     sinks.write_scores(table, out)
