@@ -207,18 +207,19 @@ def outside_mask(
     return cut.join(grid, hit, "left_anti").drop("cell")
 
 
-def intervals_outside_mask(
-    intervals: DataFrame, mask: DataFrame, chrom: str = "chrom", width: int = CELL
-) -> DataFrame:
-    """Intervals that share no base with a masked interval."""
-    islands = merge_intervals(mask).select(
-        F.col("chrom").alias(chrom), F.col("start").alias("mask_start"), F.col("end").alias("mask_end")
-    )
-    spans = intervals.select(chrom, "start", "end").distinct()
-    touched = (
-        cells_covered(spans, width=width)
-        .join(small(cells_covered(islands, "mask_start", "mask_end", width)), [chrom, "cell"])
-        .filter((F.col("start") < F.col("mask_end")) & (F.col("end") > F.col("mask_start")))
-        .select(chrom, "start", "end").distinct()
-    )
+def intervals_outside_mask(intervals: DataFrame, mask: DataFrame, chrom: str = "chrom") -> DataFrame:
+    """Intervals that share no base with a masked interval.
+
+    An interval is touched if the masked intervals that begin before its end reach beyond its start. Their furthest reach is a running
+    maximum along the chromosome, so an interval of any length is one row.
+    """
+    spans = intervals.filter(F.col("end") > F.col("start")).select(chrom, "start", "end").distinct()
+    masked = mask.filter(F.col("end") > F.col("start")).select(
+        F.col("chrom").alias(chrom), F.col("start").alias("_edge"), F.col("end").alias("_reach"))
+    line = masked.unionByName(
+        spans.select(chrom, F.col("end").alias("_edge"), F.lit(None).cast(masked.schema["_reach"].dataType).alias("_reach"))
+    ).groupBy(chrom, "_edge").agg(F.max("_reach").alias("_reach"))
+    reached = running(line, [chrom], "_edge", {"_masked_to": F.col("_reach")}, "max", inclusive=False).select(
+        chrom, F.col("_edge").alias("end"), "_masked_to")
+    touched = spans.join(reached, [chrom, "end"]).filter(F.col("_masked_to") > F.col("start")).select(chrom, "start", "end")
     return intervals.join(touched, [chrom, "start", "end"], "left_anti")

@@ -6,6 +6,8 @@ few thousand rows per task and not one row per base. Quantiles come exact from t
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from cutgrid.functions.sizing import small, stage
@@ -13,6 +15,8 @@ from cutgrid.functions.text import PHRED_OFFSET, phred
 
 # Fixed value: a sequence is over-represented above this share of a library's reads.
 OVERREPRESENTED_SHARE = 0.001
+#: Entries that a summary of frequent values may hold.
+MOST_TRACKED = 1 << 19
 
 
 def _letters(text: str) -> Column:
@@ -88,16 +92,29 @@ def duplication_levels(reads: DataFrame) -> DataFrame:
     )
 
 
+def _candidates(reads: DataFrame, min_share: float) -> DataFrame:
+    """libid, h: hashes of all sequences that can make up more than `min_share`, and of few others.
+
+    A summary of frequent values is kept per task and merged, with `tracked` entries; it overrates a value by at most 3.5 / `tracked` of
+    all reads. So above a frequent value only values of half that share can stand, and these are at most 2 / `min_share`.
+    """
+    tracked = 1 << math.ceil(8 / min_share - 1).bit_length()
+    if tracked > MOST_TRACKED:  # too rare for a summary: every distinct sequence is counted by its digest
+        counts = stage(reads.groupBy("libid", F.xxhash64("seq").alias("h")).agg(F.count("*").alias("n")))
+        totals = small(counts.groupBy("libid").agg(F.sum("n").alias("total")))
+        return counts.join(totals, "libid").filter(F.col("n") > F.col("total") * min_share).select("libid", "h")
+    top = reads.select("libid", F.xxhash64("seq").alias("h")).groupBy("libid").agg(
+        F.call_function("approx_top_k", F.col("h"), F.lit(math.ceil(2 / min_share)), F.lit(tracked)).alias("top"))
+    return top.select("libid", F.explode("top.item").alias("h"))
+
+
 def overrepresented(reads: DataFrame, min_share: float = OVERREPRESENTED_SHARE) -> DataFrame:
     """Sequences that make up more than `min_share` of a library's reads.
 
-    Digests tell which may; there are at most 1 / `min_share` of them a library, and only their reads are counted as sequences.
+    A summary of frequent hashes tells which may; only the reads of these are counted, as whole sequences and exactly.
     """
-    counts = stage(_digest_counts(reads))
-    totals = small(counts.groupBy("libid").agg(F.sum("n").alias("total")))
-    frequent = F.col("n") > F.col("total") * min_share
-    heavy = stage(counts.join(totals, "libid").filter(frequent).select("libid", "digest"))
-    found = reads.withColumn("digest", F.unhex(F.md5("seq"))).join(heavy, ["libid", "digest"], "left_semi")
-    return sequence_counts(found).join(totals, "libid").filter(frequent).select(
+    totals = small(reads.groupBy("libid").agg(F.count("*").alias("total")))
+    found = reads.withColumn("h", F.xxhash64("seq")).join(small(_candidates(reads, min_share)), ["libid", "h"], "left_semi")
+    return sequence_counts(found).join(totals, "libid").filter(F.col("n") > F.col("total") * min_share).select(
         "libid", "seq", "n", (F.col("n") * 100.0 / F.col("total")).alias("percent")
     )

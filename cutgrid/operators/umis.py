@@ -157,7 +157,19 @@ def assign_stats(assigned: DataFrame, by: Sequence[str] = LIB) -> DataFrame:
     Distances are summarised over distinct positions, not over reads.
     """
     reads = F.sum("n") if "n" in assigned.columns else F.count("*")
-    positions = assigned.groupBy(*by, "chrom", "pos", "site", "dist", "is_orphan").agg(reads.alias("n"))
+    return _totals(assigned.groupBy(*by, "chrom", "pos", "site", "dist", "is_orphan").agg(reads.alias("n")), by)
+
+
+def position_stats(
+    reads: DataFrame, sites: DataFrame | SiteIndex, min_dist: int = MAX_SITE_DISTANCE, by: Sequence[str] = LIB
+) -> DataFrame:
+    """The same from reads that have no sites yet: they are counted by position first, and only positions are looked up."""
+    counted = reads.groupBy(*by, "chrom", "pos").agg(F.count("*").alias("n"))
+    return _totals(assign(counted, sites, min_dist), by)
+
+
+def _totals(positions: DataFrame, by: Sequence[str]) -> DataFrame:
+    """`positions`: one row per library and position, with `n` reads."""
     per_site = positions.groupBy(*by, "chrom", "site").agg(
         F.sum("n").alias("n"), F.count("*").alias("n_pos"),
         F.coalesce(F.sum(F.when(~F.col("is_orphan"), F.col("n"))), F.lit(0)).alias("clean"),

@@ -162,7 +162,7 @@ SELECT libid, n_umis, n_pos, dist_min, round(dist_mean, 6) AS dist_mean, dist_ma
        round(n_clean_umis * 100.0 / n_umis, 6) AS clean_umis_pct, round(n_clean_pos * 100.0 / n_pos, 6) AS clean_pos_pct,
        round(n_sites * 100.0 / n_pos, 6) AS sites_pct FROM t""")
 def assign_stats(spark, sf_dir):
-    stats = um.assign_stats(assigned(spark, sf_dir))
+    stats = um.position_stats(shifted(spark, sf_dir), d.sites(spark, sf_dir))
     doubles = {"dist_mean", "clean_umis_pct", "clean_pos_pct", "sites_pct"}
     return stats.select(*[rounded(c, c) if c in doubles else F.col(c) for c in stats.columns])
 

@@ -189,20 +189,28 @@ LOG_FILES = {
 }
 
 
+def numbered_lines(spark: SparkSession, paths: Paths, **options) -> DataFrame:
+    """path, line_no (from 0), line: files are read in splits, and a line's number is its place in its split plus the lines of
+    the splits before it."""
+    rows = spark.read.options(**options).text(paths if isinstance(paths, str) else list(paths)).select(
+        F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("block"),
+        F.spark_partition_id().alias("part"), F.monotonically_increasing_id().alias("row"), F.col("value").alias("line"),
+    )
+    splits = rows.groupBy("path", "block", "part").agg(F.min("row").alias("first"), F.count("*").alias("lines"))
+    earlier = Window.partitionBy("path").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+    placed = splits.select(
+        "path", "block", "part", (F.coalesce(F.sum("lines").over(earlier), F.lit(0)) - F.col("first")).alias("base"))
+    return rows.join(small(placed), ["path", "block", "part"]).select("path", (F.col("row") + F.col("base")).alias("line_no"), "line")
+
+
 def read_logs(spark: SparkSession, root: str) -> DataFrame:
-    """Lines of all stage logs and count files below `root`: `libid, stage, line_no, line`."""
+    """Lines of all stage logs and count files below `root`: `libid, stage, line_no, line`. A log of any size is read in splits."""
     folders = ",".join(sorted({folder for folder, _ in LOG_FILES.values()}))
-    reader = spark.read.option("pathGlobFilter", "*.{log,txt}")
-    files = reader.text(f"{root.rstrip('/')}/{{{folders}}}/*", wholetext=True).select(
-        F.col("_metadata.file_path").alias("path"), F.col("value")
-    )
+    files = numbered_lines(spark, f"{root.rstrip('/')}/{{{folders}}}/*", pathGlobFilter="*.{log,txt}")
     stage, libid = F.lit(None).cast("string"), F.lit(None).cast("string")
     name = base_name("path")
     for key, (folder, suffix) in LOG_FILES.items():
         here = F.col("path").rlike(f"/{folder}/[^/]*$") & name.endswith(suffix)
         stage = F.when(here, key).otherwise(stage)
         libid = F.when(here, F.expr(f"left(substring_index(path, '/', -1), length(substring_index(path, '/', -1)) - {len(suffix)})")).otherwise(libid)
-    return (
-        files.filter(stage.isNotNull()).select(libid.alias("libid"), stage.alias("stage"), F.posexplode(F.split("value", "\r?\n")).alias("line_no", "line"))
-        .withColumn("line_no", F.col("line_no").cast("long"))
-    )
+    return files.filter(stage.isNotNull()).select(libid.alias("libid"), stage.alias("stage"), "line_no", "line")

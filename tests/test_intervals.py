@@ -136,10 +136,10 @@ def test_merge_and_masks_are_brute_force(spark):
         ends = sorted((s, e) for c, s, e in merged if c == chrom)
         assert all(e < s2 for (_, e), (s2, _) in zip(ends, ends[1:]))
     points = [(c, p) for c in "abz" for p in range(0, 3_200, 3)]
-    kept = outside_mask(spark.createDataFrame(points, "chrom string, start long"), mask_df, width=64).collect()
+    kept = outside_mask(spark.createDataFrame(points, "chrom string, start long"), mask_df).collect()
     assert {(r.chrom, r.start) for r in kept} == {(c, p) for c, p in points if p not in covered(mask, c)}
     spans = intervals(rng, 60, 3_200, 200)
-    left = intervals_outside_mask(spark.createDataFrame(spans, "chrom string, start long, end long"), mask_df, width=64)
+    left = intervals_outside_mask(spark.createDataFrame(spans, "chrom string, start long, end long"), mask_df)
     want = sorted(s for s in spans if not covered([s], s[0]) & covered(mask, s[0]))
     assert sorted((r.chrom, r.start, r.end) for r in left.collect()) == want
 
@@ -176,3 +176,12 @@ def test_bins_are_range_tests(spark, size, part, points):
         if inside:
             want[start] = (2 * len(inside), len(inside))
     assert got == want
+
+
+def test_a_bin_as_long_as_a_chromosome_is_one_row(spark):
+    """No row per cell: what the plan reads and makes grows with the number of intervals, not with their length."""
+    spans = spark.createDataFrame([("chr1", 0, 250_000_000), ("chr1", 0, 100), ("chr2", 0, 240_000_000)], "chrom string, start long, end long")
+    mask_df = spark.createDataFrame([("chr1", 121_000_000, 125_000_000), ("chr3", 0, 5)], "chrom string, start long, end long")
+    left = intervals_outside_mask(spans, mask_df)
+    assert "Generate" not in left._jdf.queryExecution().optimizedPlan().toString()
+    assert sorted(map(tuple, left.select("chrom", "start", "end").collect())) == [("chr1", 0, 100), ("chr2", 0, 240_000_000)]

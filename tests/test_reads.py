@@ -1,6 +1,7 @@
 """Flags, quality, barcodes, profiles, alignments, motifs."""
 
 import random
+from collections import Counter
 
 import pytest
 from pyspark.sql import functions as F
@@ -127,3 +128,16 @@ def test_small_expressions(spark):
     ).first()
     assert tuple(row)[:4] == ("chr1", "TUT", "/x/y", 40) and row.e in ("12.34%", "12.35%")
     assert (row.f, row.g, row.h, row.i) == (12, 150.0, None, None)
+
+
+def test_overrepresented_by_a_summary_is_exact(spark):
+    """Many rare sequences around the share: what is found, and its counts, are those of a full count."""
+    rng = random.Random(5)
+    reads = [("A", f"S{i}") for i in range(300) for _ in range(1 + i // 10)] + [("B", f"T{i}") for i in range(2_000)] + [("B", "often")] * 40
+    rng.shuffle(reads)
+    frame = spark.createDataFrame(reads, "libid string, seq string").repartition(6)
+    total = {lib: sum(x == lib for x, _ in reads) for lib in "AB"}
+    for share in (0.02, 0.005, 0.001, 1e-6):
+        wanted = {(lib, seq): n for (lib, seq), n in Counter(reads).items() if n > total[lib] * share}
+        found = qu.overrepresented(frame, share).collect()
+        assert {(r.libid, r.seq): r.n for r in found} == wanted

@@ -337,3 +337,24 @@ def test_ordered_files_of_nothing(spark, tmp_path):
     assert [p.name for p in (tmp_path / "bed").iterdir() if not p.name.endswith(".crc")] == []
     with pytest.raises(ValueError, match="a/b"):
         sinks.write_site_bed(empty.unionByName(spark.createDataFrame([("a/b", "c", 1, 1, "n", 2)], empty.schema)), str(tmp_path / "bad"), whole=True)
+
+
+def test_line_numbers_across_splits(spark, tmp_path):
+    """A log in many splits, with another one beside it: numbers follow the file, and the last matching line wins."""
+    (tmp_path / "dedup").mkdir()
+    (tmp_path / "fastq_hq").mkdir()
+    lines = [f"INFO {i}/{i + 9} ({i % 90}.5%) reads flag_extract.py:246" if i % 7 == 0 else f"noise {i} " * 5 for i in range(20_000)]
+    (tmp_path / "fastq_hq" / "K1.log").write_text("\r\n".join(lines) + "\r\n")
+    (tmp_path / "fastq_hq" / "K2.log").write_text("INFO 1/2 (50%) flag_extract.py:246\n")
+    (tmp_path / "dedup" / "K1.clean.umis_at_cs.txt.gz.umi_prep_notes.txt").write_text("5 UMIs left after deduplication.\n" * 3)
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "64k")
+    try:
+        found = tb.read_logs(spark, str(tmp_path))
+        assert found.rdd.getNumPartitions() > 8
+        assert [r.line for r in found.filter("libid = 'K1' and stage = 'quality'").orderBy("line_no").collect()] == lines
+        numbers = [r.line_no for r in found.filter("libid = 'K1' and stage = 'quality'").orderBy("line_no").collect()]
+        assert numbers == list(range(20_000))
+        metrics = {r.libid: r for r in lg.log_metrics(found).collect()}
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    assert (metrics["K1"].umi_hq, metrics["K1"].input, metrics["K1"].uniq, metrics["K2"].umi_hq) == (19_999, 20_008, 5, 1)
