@@ -183,12 +183,23 @@ def _begin(shared, digest: bool):
 
 
 def _blocks(benchmark: DataFrame, item_bytes: int) -> list[DataFrame]:
-    """The items in blocks of about `item_bytes`; a block is what the driver and a task hold at once."""
-    items = stage(benchmark.select(F.col("item_id").cast("string").alias("item_id"), "text"))
-    size = items.agg(F.sum(F.coalesce(F.octet_length("text"), F.lit(0)) + 64)).first()[0] or 0
-    number = max(1, -(-2 * size // item_bytes)) if size > item_bytes else 1
-    own = F.pmod(F.xxhash64("item_id", "text"), F.lit(number))
-    return [items.filter(own == block) for block in range(number)] if number > 1 else [items]
+    """The items, each once, in blocks of at most `item_bytes`; a block is what the driver and a task hold at once.
+
+    Blocks are dealt by a hash and measured; while one is too large there are twice as many. A single item above the limit is a block.
+    """
+    items = stage(benchmark.select(F.col("item_id").cast("string").alias("item_id"), "text").distinct())
+    size = F.coalesce(F.octet_length("text"), F.lit(0)) + 64
+    number = max(1, -(-(items.agg(F.sum(size)).first()[0] or 0) // item_bytes))
+    while True:
+        own = F.pmod(F.xxhash64("item_id", "text"), F.lit(number))
+        dealt = items.groupBy(own.alias("block")).agg(F.sum(size).alias("bytes"), F.count(F.lit(1)).alias("items"))
+        if dealt.filter((F.col("bytes") > item_bytes) & (F.col("items") > 1)).isEmpty():
+            break
+        number *= 2
+    if number == 1:
+        return [items]
+    named = sorted(row.block for row in dealt.select("block").collect())
+    return [items.filter(own == block) for block in named]
 
 
 def _merged(ranges):
@@ -210,7 +221,7 @@ def search(docs: DataFrame, benchmark: DataFrame, item_bytes: int = ITEM_BYTES)
 
     Null and empty texts have no words and no hits; an item without words has no window; an item without id is
     searched but not listed; items with equal texts are all listed; repeated documents are each searched. An empty
-    benchmark gives no hits, empty documents an empty result. Only the named columns are read.
+    benchmark gives no hits, empty documents an empty result. Repeated items count once. Only the named columns are read.
     """
     spark, blocks = docs.sparkSession, _blocks(benchmark, item_bytes)
 
