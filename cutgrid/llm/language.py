@@ -8,7 +8,7 @@ rejected if that is further above what texts of its language have than `REJECT`
 and above what texts get whose own language is left out: of the lowest cross-entropy among the other languages a low
 quantile, and never more than characters by themselves have.
 
-The sample has at most `SAMPLE_ROWS` rows a language, and of a text over `SAMPLE_CHARS` characters a block of that many. The
+The sample has at most `SAMPLE_ROWS` rows a language, each with its whole text. The
 tables hold every sequence of the sample, one entry per sequence and language, so they grow with the number of languages
 and not with the corpus, and what one language predicts does not depend on the others.
 """
@@ -16,6 +16,8 @@ and not with the corpus, and what one language predicts does not depend on the o
 from __future__ import annotations
 
 import re
+import sys
+import unicodedata
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -28,7 +30,8 @@ from cutgrid.functions.sizing import stage
 from cutgrid.llm.common import map_texts, with_digest, without
 
 ORDER = 5
-SAMPLE_ROWS, SAMPLE_CHARS = 600, 20_000
+#: Labelled rows of a language that are learnt from, each with its whole text.
+SAMPLE_ROWS = 600
 #: Every so many sampled rows one is kept from counting and used to calibrate the rejection.
 CALIBRATE = 5
 REJECT = 8.0
@@ -36,7 +39,18 @@ REJECT = 8.0
 FOREIGN = 0.05
 UNKNOWN = "und"
 _BEGIN, _END = "\x02", "\x03"
-_WORD = re.compile(r"[^\W\d_]+")
+
+
+def _marks() -> str:
+    """All combining marks, as ranges of a character class."""
+    found = [c for c in range(sys.maxunicode + 1) if unicodedata.category(chr(c)).startswith("M")]
+    starts = [c for c, before in zip(found, [-2, *found]) if c != before + 1]
+    ends = [c for c, after in zip(found, [*found[1:], -2]) if c != after - 1]
+    return "".join(f"{chr(a)}-{chr(b)}" for a, b in zip(starts, ends))
+
+
+#: A letter and what follows of letters and of the marks that belong to them, as vowels do in many scripts.
+_WORD = re.compile(rf"[^\W\d_]+(?:[{_marks()}]+[^\W\d_]*)*")
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 _CACHED = 300_000
 
@@ -47,7 +61,7 @@ def held_out(doc_id: Column) -> Column:
 
 
 def words(text: str | None) -> list[str]:
-    """Lower-cased runs of letters; none if the text has no letter at all."""
+    """Lower-cased runs of letters with their marks; none if the text has no letter at all."""
     found = _WORD.findall(text.lower()) if text else []
     return found if any(c.isalpha() for word in found for c in word) else []
 
@@ -218,17 +232,10 @@ def _weighted(counted: DataFrame, order: int) -> DataFrame:
     )
 
 
-def sampled(docs: DataFrame, rows: int = SAMPLE_ROWS, chars: int = SAMPLE_CHARS) -> DataFrame:
-    """lang, text, calibrate: at most `rows` labelled rows a language that are not held out, spread by a hash of id and text.
-
-    Of a text over `chars` characters it is the block of that many that the hash chooses, without words cut at its ends.
-    """
-    order = F.xxhash64("doc_id", "text")
-    block = F.substring("text", (F.pmod(order, F.length("text") - chars + 1) + 1).cast("int"), F.lit(chars))
-    trimmed = F.regexp_replace(block, r"^[\p{L}\p{M}]+|[\p{L}\p{M}]+$", "")
+def sampled(docs: DataFrame, rows: int = SAMPLE_ROWS) -> DataFrame:
+    """lang, text, calibrate: at most `rows` labelled rows a language that are not held out, spread by a hash of id and text."""
     labelled = docs.filter(F.col("lang").isNotNull() & F.col("text").isNotNull() & ~held_out(F.col("doc_id"))).select(
-        "lang", F.when(F.length("text") <= chars, F.col("text")).when(trimmed.rlike(r"\p{L}"), trimmed).otherwise(block).alias("text"),
-        order.alias("h"),
+        "lang", "text", F.xxhash64("doc_id", "text").alias("h"),
     )
     counts = stage(labelled.groupBy("lang").agg(F.count(F.lit(1)).alias("labelled")))
     # Twice the wanted share by hash first, so that few rows meet in the window that takes exactly as many.
@@ -241,9 +248,9 @@ def sampled(docs: DataFrame, rows: int = SAMPLE_ROWS, chars: int = SAMPLE_CHARS)
     )
 
 
-def fit(docs: DataFrame, rows: int = SAMPLE_ROWS, chars: int = SAMPLE_CHARS, order: int = ORDER) -> Models:
+def fit(docs: DataFrame, rows: int = SAMPLE_ROWS, order: int = ORDER) -> Models:
     """Models of all languages in `lang`; without any labelled text there are none."""
-    sample = stage(sampled(docs, rows, chars))
+    sample = stage(sampled(docs, rows))
     weighted = _weighted(_counted(sample.filter("not calibrate"), order), order)
     grams = weighted.select("lang", "gram", "n", "seen", "weight").toArrow()
     table = grams.to_pandas()
