@@ -28,20 +28,29 @@ def secrets(text):
     base = [("assign", m.start(), m.end()) for m in word.finditer(text) if m[1].isascii() and len(m[2]) >= 6]
     base += [("access", m.start(), m.end()) for m in re.finditer("AKIA[A-Z0-9]+", text) if len(m[0]) >= 20]
     base += [("hex", m.start(), m.end()) for m in re.finditer("[0-9a-f]+", text) if len(m[0]) >= 24]
+    allowed = re.compile(r"(?i:example|sample|dummy|placeholder|changeme|redacted)|(.)\1{7}|(?i:0123456789|1234567890|abcdefghij)")
     more = []
     for m in re.finditer("[A-Za-z0-9+/=_-]{20,}", text):
-        c = m[0]
-        if any(a < m.end() and m.start() < b for _, a, b in base):
+        c, (begin, end) = m[0], m.span()
+        if any(a <= begin and end <= b for _, a, b in base):
             continue
         if not (re.search("[0-9]", c) and re.search("[A-Za-z]", c)):
             continue
-        if re.search(r"(?i)example|sample|dummy|placeholder|changeme|redacted|0123456789|1234567890|abcdefghij", c):
-            continue
-        if re.search(r"(.)\1{7}", c) or re.search("^[0-9a-f]{8}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{12}$", c):
+        if re.search("^[0-9a-f]{8}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{12}$", c):
             continue
         limit = 3.0 if re.fullmatch("[0-9a-fA-F]+", c) else 3.6 if re.fullmatch("[0-9A-Za-z]+", c) else 3.9
-        if best_window(c) >= limit:
-            more.append(("entropy", m.start(), m.end()))
+        # What lies between base spans, with the 19 characters on either side that a window can share with them.
+        at, parts = begin, []
+        for a, b in sorted((a, b) for _, a, b in base if a < end and begin < b) + [(end, end)]:
+            if at < a:
+                parts.append(text[max(at - 19, begin):min(a + 19, end)])
+            at = max(at, b)
+        left = []
+        for part in parts:
+            cuts = [x.span() for x in allowed.finditer(part)]
+            left += [part[a:b] for a, b in zip([0, *(y for _, y in cuts)], [*(x for x, _ in cuts), len(part)])]
+        if any(len(part) >= 20 and best_window(part) >= limit for part in left):
+            more.append(("entropy", begin, end))
     kinds = ["assign", "access", "hex", "entropy"]
     return base, joined(base, kinds), joined(base + more, kinds)
 
@@ -213,3 +222,43 @@ def merkle(rows):
             proof = sha("".join(step[1] for step in steps if step))
             out.append((row[0], leaf(row), subroot, root, proof, folded, folded == root))
     return out
+
+
+def kneser_ney(texts, order, letters, begin="\x02", end="\x03"):
+    """The log-probability of a word's letters and its end under interpolated Kneser-Ney counts of `texts` (lists of words);
+    `letters` are all characters met in any language, both boundary marks and one for those never met."""
+    raw = {}
+    for word in (w for text in texts for w in text):
+        line = begin + word + end
+        for n in range(1, order + 1):
+            for at in range(len(line) - n + 1):
+                if n == 1 and at == 0:
+                    continue  # the beginning is never foretold
+                gram = line[at:at + n]
+                raw[gram] = raw.get(gram, 0) + 1
+    before = {}
+    for gram in raw:
+        before.setdefault(gram[1:], set()).add(gram)
+    count = {
+        gram: c if len(gram) == order or gram[0] == begin else max(1, len(before.get(gram, ()))) for gram, c in raw.items()
+    }
+    discount = {}
+    for n in range(1, order + 1):
+        ones, twos = (sum(c == k and len(gram) == n for gram, c in count.items()) for k in (1, 2))
+        discount[n] = min(0.95, max(0.1, ones / (ones + 2 * twos) if ones + twos else 0.5))
+    following = {}
+    for gram, c in count.items():
+        following.setdefault(gram[:-1], []).append(c)
+    def probability(context, letter):
+        if context and context not in following:
+            return probability(context[1:], letter)
+        own, d = following[context], discount[len(context) + 1]
+        seen = max(count.get(context + letter, 0) - d, 0) / sum(own)
+        rest = d * len(own) / sum(own)
+        return seen + rest * (probability(context[1:], letter) if context else 1 / letters)
+
+    def word(w):
+        line = begin + w + end
+        return sum(math.log(probability(line[max(0, at - order + 1):at], line[at])) for at in range(1, len(line)))
+
+    return word

@@ -175,6 +175,17 @@ def test_decontaminate(spark, docs, rows, item_bytes):
     same([(x.doc_id, x.text) for x in kept.collect()], [(i, t) for i, t in rows if i not in bad])
 
 
+def test_benchmark_blocks_hold_each_item_once(spark):
+    items = [(1, "one two three four five six seven eight nine ten eleven")] * 3000 + [(i, f"item {i} " * 30) for i in range(2, 60)] + [(None, None)] * 9
+    blocks = decontaminate._blocks(spark.createDataFrame(items, "item_id long, text string"), 1500)
+    held = [[(x.item_id, x.text) for x in block.collect()] for block in blocks]
+    assert sorted(x for block in held for x in block if x[0]) == sorted({(str(i), t) for i, t in items if i})
+    assert all(len(block) == 1 or sum(len(t or "") + 64 for _, t in block) <= 1500 for block in held) and len(held) > 5
+    docs = frame(spark, [(5, "zero one two three four five six seven eight nine ten eleven"), (6, "item 7 " * 40)])
+    found = {x.doc_id: x.items for x in decontaminate.search(docs, spark.createDataFrame(items, "item_id long, text string"), 1500).collect()}
+    assert found == {5: ["1"], 6: ["7"]}
+
+
 @pytest.mark.parametrize("item_bytes", [decontaminate.ITEM_BYTES, 10])
 def test_stages_drop_only_the_texts_decided(spark, item_bytes):
     """Rows without id or with a repeated id do not go with a contaminated or letterless one."""
@@ -252,10 +263,45 @@ def test_sharding(spark, docs, rows):
     assert not any(a != b and b.startswith(a) for a in prefixes for b in prefixes)
 
 
-def test_sharding_writes_all_rows(spark, docs, rows, tmp_path):
-    sharding.write(docs, str(tmp_path / "shards"), 5000)
+def test_sharding_takes_the_shortest_prefix_that_fits(spark):
+    r = random.Random(3)
+    rows = [(i, "x" * r.choice([1, 50, 400, 3000])) for i in range(600)]
+    units = {x.doc_id: x for x in sharding._units(frame(spark, rows)).collect()}
+    for limit in (600, 3500, 20_000, 10 ** 9):
+        total = {}
+        for i, t in rows:
+            for depth in range(61):
+                key = (depth, units[i].h >> 60 - depth)
+                total[key] = total.get(key, 0) + len(t)
+        found = {x.doc_id: (x.depth, x.prefix) for x in sharding.assign(frame(spark, rows), limit).filter("page = ''").collect()}
+        for i, t in rows:
+            fitting = [(depth, units[i].h >> 60 - depth) for depth in range(61) if total[depth, units[i].h >> 60 - depth] <= limit]
+            assert found.get(i) == (fitting[0] if fitting else None)
+
+
+def test_sharding_splits_bucket_by_bucket_down_to_the_last_bits(spark, monkeypatch):
+    """Hashes that agree in their first 40 bits: only what must split is counted again, a few rows for each document."""
+    monkeypatch.setattr(sharding, "bits", lambda doc_id, digest: (F.coalesce(doc_id, F.lit(0)) * 7919 % (1 << 20)).cast("long"))
+    rows = [(i, "y" * 100) for i in range(1, 3000)]
+    made = []
+    plain = sharding._split
+    monkeypatch.setattr(sharding, "_split", lambda cells, *rest: made.append(cells.count()) or plain(cells, *rest))
+    found = sharding.assign(frame(spark, rows), 250).collect()
+    assert len(found) == len(rows) and max(x.depth for x in found) > 45
+    for (depth, prefix, _), (size, count) in shard_sizes(found).items():
+        assert size <= 250 or count == 1
+    assert len(made) <= 15 and sum(made) < 3 * len(rows)
+
+
+@pytest.mark.parametrize("limit", [300, 5000])
+def test_sharding_writes_all_rows_within_the_limit(spark, rows, tmp_path, limit):
+    given = rows + [(900, "same" * 25)] * 50 + [(None, "same" * 25)] * 20 + [(901, None)] * 5
+    sharding.write(frame(spark, given), str(tmp_path / "shards"), limit)
     back = spark.read.parquet(str(tmp_path / "shards"))
-    same([(x.doc_id, x.text) for x in back.collect()], rows)
+    same([(x.doc_id, x.text) for x in back.collect()], given)
+    assert set(back.columns) == {*SCHEMA.replace(" long", "").replace(" string", "").split(", "), "__name"}
+    folders = back.groupBy("__name").agg(F.sum(F.octet_length(F.coalesce("text", F.lit("")))).alias("bytes"), F.count("*").alias("n"))
+    assert folders.filter((F.col("bytes") > limit) & (F.col("n") > 1)).isEmpty()
 
 
 def exact(rows):
@@ -537,6 +583,40 @@ def test_language_learns_from_long_texts(spark):
     assert models.log_probability(["abba", "dcd"]).argmax(axis=1).tolist() == [0, 1]
 
 
+def test_language_against_plain_counts(spark):
+    """Two languages, one with marks: every probability as the plain restatement of the counts gives it."""
+    r = random.Random(4)
+    hindi = ["हिन्दी", "भाषा", "में", "किताब", "पढ़ना", "अच्छा", "है", "और", "पानी", "बहुत"]
+    latin = ["lorem", "ipsum", "dolor", "sit", "amet", "elit", "sed", "do", "aab", "abab"]
+    docs = spark.createDataFrame(
+        [(i, " ".join(r.choice(hindi if i % 2 else latin) for _ in range(30)), "hi" if i % 2 else "la") for i in range(120)],
+        "doc_id long, text string, lang string")
+    models = language.fit(docs)
+    learnt = {}
+    for x in language.sampled(docs).filter("not calibrate").collect():
+        learnt.setdefault(x.lang, []).append(language.words(x.text))
+    letters = len({c for texts in learnt.values() for text in texts for word in text for c in word}) + 3
+    probed = [*hindi, *latin, "हैं", "lorum", "a", "zzz", "पलोर", "abababab"]
+    found = models.log_probability(probed)
+    for column, lang in enumerate(models.languages):
+        plain = brute.kneser_ney(learnt[lang], language.ORDER, letters)
+        assert np.allclose(found[:, column], [plain(word) for word in probed], atol=1e-9)
+
+
+def test_language_keeps_marks_in_words():
+    assert language.words("हिन्दी भाषा ภาษาไทย ÉTUDE 12 a_b") == ["हिन्दी", "भाषा", "ภาษาไทย", "étude", "a", "b"]
+    assert language.words("\u0301\u0302 12 !") == []
+
+
+def test_language_of_scripts_with_marks(spark):
+    r = random.Random(6)
+    kinds = {"hi": "हिन्दी भाषा में किताब पढ़ना अच्छा है और पानी बहुत", "th": "ภาษาไทย ที่นี่ น้ำ ปู่ย่า กิน ผู้หญิง เด็ก ๆ ไม่รู้", "mr": "मराठी भाषेत पुस्तक वाचणे चांगले आहे आणि खूप पाणी"}
+    rows = [(i, " ".join(r.choice(kinds[k].split()) for _ in range(25)), k) for i in range(300) for k in [list(kinds)[i % 3]]]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    found = language.identify(docs, language.fit(docs)).join(docs, "doc_id").filter(language.held_out(F.col("doc_id")))
+    assert found.count() > 40 and found.filter("lang_pred <> lang or rejected").isEmpty()
+
+
 def test_language_without_labels(spark):
     docs = spark.createDataFrame([(1, "some text", None), (2, None, "en")], "doc_id long, text string, lang string")
     models = language.fit(docs)
