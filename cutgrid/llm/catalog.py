@@ -7,7 +7,8 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 import corpus_pipeline
 from cutgrid.llm import (
-    decontaminate, exact_dedup, language, merkle, packing, pieces, pii, repair, secret_scan, sharding, simhash, suffix_dedup, warc,
+    decontaminate, exact_dedup, language, merkle, oracles, packing, pieces, pii, repair, secret_scan, sharding, simhash, suffix_dedup,
+    warc,
 )
 from cutgrid.llm.common import table
 
@@ -185,5 +186,6 @@ SELECT page_id, strlen(p.html) AS payload_bytes, sha1(p.html) AS payload_digest,
     CASE WHEN stored <> page_id THEN stored END AS refers_to
 FROM p LEFT JOIN g ON g.html = p.html""",
 }
+ORACLES |= {"op11_repair": oracles.REPAIR, "op13_merkle": oracles.MERKLE}
 if corpus_pipeline.ORACLE_SQL is not None:
     ORACLES["pipeline"] = corpus_pipeline.ORACLE_SQL
