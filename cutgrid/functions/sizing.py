@@ -4,6 +4,9 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F, types as T
 
@@ -70,17 +73,55 @@ def shared_dir(spark: SparkSession) -> str:
     return folder
 
 
+class Scope:
+    """Paths that are deleted when the scope ends."""
+
+    def __init__(self, spark: SparkSession) -> None:
+        self.spark, self.paths = spark, []
+
+    def keep(self, df: DataFrame) -> tuple[DataFrame, str]:
+        """`df` staged outside the scope, and its path."""
+        path = f"{shared_dir(self.spark).rstrip('/')}/stage-{uuid.uuid4().hex}"
+        return _staged(df, path), path
+
+    def add(self, path: str) -> None:
+        self.paths.append(path)
+
+
+_SCOPE: ContextVar[Scope | None] = ContextVar("scope", default=None)
+
+
+@contextmanager
+def owned(spark: SparkSession) -> Iterator[Scope]:
+    """What is staged inside is deleted at the end, so whatever is made of it must be written by then."""
+    scope = Scope(spark)
+    token = _SCOPE.set(scope)
+    try:
+        yield scope
+    finally:
+        _SCOPE.reset(token)
+        for path in scope.paths:
+            where = spark._jvm.org.apache.hadoop.fs.Path(path)
+            where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
+
+
 def fresh_dir(spark: SparkSession, label: str) -> str:
     """A path below the shared folder that nothing else uses."""
-    return f"{shared_dir(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
+    path = f"{shared_dir(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
+    if (scope := _SCOPE.get()) is not None:
+        scope.add(path)
+    return path
+
+
+def _staged(df: DataFrame, path: str) -> DataFrame:
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def stage(df: DataFrame) -> DataFrame:
     """Write `df` once as Parquet in the shared folder, so that later readers start from files.
 
-    The columns stay prunable, a lost executor costs nothing but a read, and no lineage is kept.
+    The columns stay prunable, a lost executor costs nothing but a read, and no lineage is kept. The files stay unless the call
+    is made in a scope (`owned`).
     """
-    spark = df.sparkSession
-    path = fresh_dir(spark, "stage")
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return _staged(df, fresh_dir(df.sparkSession, "stage"))

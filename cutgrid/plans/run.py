@@ -15,7 +15,7 @@ from dataclasses import asdict, dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 
-from cutgrid.functions.sizing import stage
+from cutgrid.functions.sizing import owned, stage
 from cutgrid.operators import alignments as aln, summary as sm
 from cutgrid.params import LibraryParams, ScoreParams
 from cutgrid.plans.preprocess import count_sites, cut_sites, flag_reads, write_prepared
@@ -101,7 +101,8 @@ class Stages:
             self.folder.delete(note)
             self.folder.delete(name)
         self.folder.write(begun, text)
-        make(path)
+        with owned(self.spark):
+            make(path)
         self.folder.write(note, text)
         self.made.append(name)
         return path

@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F,
 from cutgrid import schemas
 from cutgrid.functions.sizing import small
 from cutgrid.functions.text import base_name, first_token, library_id, whole_number
+from cutgrid.sources.blocks import list_files
 
 Paths = str | Sequence[str]
 
@@ -123,26 +124,8 @@ def _one_form(path: Column) -> Column:
 
 
 def listed_files(spark: SparkSession, paths: Sequence[str]) -> list[tuple[str, str]]:
-    """(path as listed, URI of a file): each path is a file, a pattern, or a folder of files.
-
-    Only names are listed, by the file system of the path. A path without any file is an error.
-    """
-    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
-    found = []
-    for listed in paths:
-        path = jvm.org.apache.hadoop.fs.Path(listed)
-        system = path.getFileSystem(conf)
-        todo, files = list(system.globStatus(path) or []), []
-        while todo:
-            status = todo.pop()
-            if status.isDirectory():
-                todo += list(system.listStatus(status.getPath()))
-            elif not status.getPath().getName().startswith(("_", ".")):
-                files.append((listed, status.getPath().toUri().toString()))
-        if not files:
-            raise FileNotFoundError(f"no file for {listed}")
-        found += sorted(files)
-    return found
+    """(path as listed, URI of a file): each path is a file, a pattern, or a folder of files. A path without any file is an error."""
+    return [(listed, uri) for listed in paths for uri, _ in list_files(spark, listed)]
 
 
 def read_condition_counts(spark: SparkSession, conditions: DataFrame) -> DataFrame:

@@ -1,13 +1,14 @@
 """Readers and writers on awkward files."""
 
 import gzip
+import os
 import random
 import tracemalloc
 
 import pytest
 from pyspark.sql import functions as F
 
-from cutgrid.functions.sizing import broadcast_limit, measured, shared_dir, small
+from cutgrid.functions.sizing import broadcast_limit, measured, owned, shared_dir, small, stage
 from cutgrid.operators import logs as lg, summary as sm
 from cutgrid.operators.umis import group_positions, shift_plus
 from cutgrid.sources import bgzf, blocks, fasta, ordered, sinks, tables as tb
@@ -358,3 +359,22 @@ def test_line_numbers_across_splits(spark, tmp_path):
     finally:
         spark.conf.unset("spark.sql.files.maxPartitionBytes")
     assert (metrics["K1"].umi_hq, metrics["K1"].input, metrics["K1"].uniq, metrics["K2"].umi_hq) == (19_999, 20_008, 5, 1)
+
+
+def test_staged_tables_go_with_their_scope(spark, tmp_path):
+    def staged():
+        return {p for p in os.listdir(shared_dir(spark).removeprefix("file:"))}
+
+    before = staged()
+    with owned(spark) as scope:
+        one = stage(spark.range(5))
+        kept, path = scope.keep(stage(one.filter("id > 1")))
+        assert len(staged() - before) == 3
+    assert staged() - before == {os.path.basename(path)} and kept.count() == 3
+    with pytest.raises(ZeroDivisionError), owned(spark):
+        stage(spark.range(1)).count() / 0
+    with owned(spark) as scope:
+        scope.add(path)
+    assert staged() == before
+    outside = stage(spark.range(2))
+    assert outside.count() == 2 and len(staged() - before) == 1
