@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from cutgrid.functions.sizing import stage
+from cutgrid.functions.sizing import owned
 from cutgrid.llm import decontaminate, exact_dedup, language, pieces, simhash
 from cutgrid.llm.common import table
 
@@ -51,8 +51,14 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """doc_id, n_tokens, ids, text of every document that all stages keep."""
-    docs = table(spark, sf_dir, "documents")
+    """doc_id, n_tokens, ids, text of every document that all stages keep.
+
+    What a stage has put aside, and the documents it read, are deleted when its own documents are written.
+    """
+    docs, before = table(spark, sf_dir, "documents"), None
     for _, function in STAGES:
-        docs = stage(function(spark, docs, sf_dir))
+        with owned(spark) as scope:
+            if before is not None:
+                scope.add(before)
+            docs, before = scope.keep(function(spark, docs, sf_dir))
     return docs
