@@ -114,6 +114,35 @@ def test_suffix_dedup(docs, rows):
     same(found, brute.passages(rows))
 
 
+def test_suffix_dedup_of_batches_in_order_and_not(spark, rows):
+    """Files whose documents follow each other need one scan each; files in any order find what stands in later ones too."""
+    wanted = brute.passages(rows)
+    for docs in (frame(spark, rows).repartitionByRange(5, "doc_id"), frame(spark, rows).repartition(6, "doc_id"), frame(spark, rows).coalesce(1)):
+        found = suffix_dedup.removed(docs, hashes=500, family_bytes=5000).select(
+            "doc_id", "n_bytes", (F.col("n_bytes") - F.octet_length("kept")), F.size("spans"), F.sha2("kept", 256)).collect()
+        same(found, wanted)
+
+
+def test_suffix_arrays_are_scanned_on_arrival(monkeypatch):
+    """In order: each batch meets the levels of those before it, once. In any order: the same keys as over all batches."""
+    r = np.random.default_rng(4)
+    scans = []
+    plain = suffix_dedup.Family.least
+    monkeypatch.setattr(suffix_dedup.Family, "least", lambda self, strings, keys: scans.append(sum(len(x) for x, _ in self.levels)) or plain(self, strings, keys))
+    for ordered in (True, False):
+        batches, least = [], {}
+        for n in range(9):
+            strings = np.unique(r.integers(0, 40, 25).astype("S8"))
+            keys = 100 * n + r.integers(0, 100, len(strings)) if ordered else r.integers(0, 900, len(strings))
+            batches.append((strings, keys))
+            for string, key in zip(strings.tolist(), keys.tolist()):
+                least[string] = min(least.get(string, key), key)
+        scans.clear()
+        found = suffix_dedup.arrived(batches)
+        assert [x.tolist() for x in found] == [[least[string] for string in strings.tolist()] for strings, _ in batches]
+        assert len(scans) == 9 and scans[0] == 0 if ordered else 9 < len(scans) <= 18
+
+
 def test_suffix_dedup_deals_out_a_phrase_of_many_documents(spark, monkeypatch):
     r = random.Random(5)
 
