@@ -9,18 +9,20 @@ and above what texts get whose own language is left out: of the lowest cross-ent
 quantile, and never more than characters by themselves have.
 
 The sample has at most `SAMPLE_ROWS` rows a language, each with its whole text. The
-tables hold every sequence of the sample, one entry per sequence and language, so they grow with the number of languages
-and not with the corpus, and what one language predicts does not depend on the others.
+tables hold every sequence of the sample, one entry per sequence and language, and what one language predicts does not depend on the
+others. They go out in blocks of languages of at most `ENTRIES` entries, so what the driver and a task hold is bounded for any number
+of languages; the answer is the minimum over all blocks.
 """
 
 from __future__ import annotations
 
+import hashlib
 import re
 import sys
 import unicodedata
 from collections import Counter
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pyarrow as pa
@@ -38,6 +40,8 @@ REJECT = 8.0
 #: Share of the texts of left-out languages that may pass for the nearest other language.
 FOREIGN = 0.05
 UNKNOWN = "und"
+#: Entries of the models that are sent out at once, about 30 bytes each.
+ENTRIES = 1 << 21
 _BEGIN, _END = "\x02", "\x03"
 
 
@@ -76,10 +80,10 @@ def _codes(texts: list[str]) -> np.ndarray:
 
 
 @dataclass
-class Models:
-    """`keys[n]`: sorted hashes of the sequences of n + 1 characters. The entries of key i are `first[n][i]` to `first[n][i + 1]`:
-    `lang[n]` is the language, `seen[n]` the discounted probability of the last character, `weight[n]` the weight of the shorter
-    model behind it as a context."""
+class Tables:
+    """The models of some languages. `keys[n]`: sorted hashes of the sequences of n + 1 characters. The entries of key i are
+    `first[n][i]` to `first[n][i + 1]`: `lang[n]` is the language, `seen[n]` the discounted probability of the last character,
+    `weight[n]` the weight of the shorter model behind it as a context."""
 
     languages: list[str]
     keys: list[np.ndarray]
@@ -88,10 +92,6 @@ class Models:
     seen: list[np.ndarray]
     weight: list[np.ndarray]
     base: np.ndarray
-    mean: np.ndarray
-    deviation: np.ndarray
-    symbols: np.ndarray
-    foreign: np.ndarray
 
     def _entries(self, n: int, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """The entries of all `rows`, and which of the rows each belongs to."""
@@ -128,15 +128,64 @@ class Models:
         return np.add.reduceat(logs, start, axis=0)
 
 
-def _no_models() -> Models:
-    none = np.zeros(0)
-    return Models([], [], [], [], [], [], none, none, none, none, none)
+    def single(self, at: int, characters: int) -> float:
+        """Cross-entropy that single characters have by themselves in a language, of all `characters` met in any."""
+        chance = np.full(characters, self.base[at])
+        own = self.lang[0] == at
+        chance[np.repeat(np.arange(len(self.keys[0])), np.diff(self.first[0]))[own]] += self.seen[0][own]
+        return -(chance * np.log(chance)).sum() / chance.sum()
+
+
+@dataclass
+class Models:
+    """The models of all languages, in blocks of at most `ENTRIES` entries (or of one language); only one is held at a time.
+
+    `grams` is the staged table of all entries, `alphabet` the number of characters met, and one for those never met."""
+
+    grams: DataFrame
+    blocks: list[list[str]]
+    alphabet: int
+    order: int
+    mean: np.ndarray
+    deviation: np.ndarray
+    symbols: np.ndarray
+    foreign: np.ndarray
+
+    @property
+    def languages(self) -> list[str]:
+        return [name for block in self.blocks for name in block]
+
+    def tables(self, block: int) -> Tables:
+        names = self.blocks[block]
+        table = self.grams.filter(F.col("lang").isin(names)).toArrow().to_pandas()
+        column = table["lang"].map({lang: i for i, lang in enumerate(names)}).to_numpy()
+        base, root = np.ones(len(names)), table["n"].to_numpy() == 0
+        base[column[root]] = table["weight"].to_numpy()[root]
+        tables = Tables(names, [], [], [], [], [], base / self.alphabet)
+        for n in range(1, self.order + 1):
+            own = table["n"].to_numpy() == n
+            text = table["gram"].to_numpy()[own].tolist()
+            codes = _codes(text).reshape(-1, n)
+            value = np.zeros(len(text), np.uint64)
+            for back in range(n):
+                value = _step(value, codes[:, n - 1 - back])
+            keys, row = np.unique(value, return_inverse=True)
+            place = np.lexsort((column[own], row))
+            tables.keys.append(keys)
+            tables.first.append(np.searchsorted(row[place], np.arange(len(keys) + 1)))
+            tables.lang.append(column[own][place].astype(np.int32))
+            tables.seen.append(table["seen"].to_numpy()[own][place])
+            tables.weight.append(table["weight"].to_numpy()[own][place])
+        return tables
+
+    def log_probability(self, units: list[str]) -> np.ndarray:
+        return np.concatenate([self.tables(block).log_probability(units) for block in range(len(self.blocks))], axis=1)
 
 
 class _Scorer:
     """Sums of log-probabilities over the words of texts; words met before are looked up."""
 
-    def __init__(self, models: Models):
+    def __init__(self, models: Tables):
         self.models, self.row, self.table = models, {}, np.zeros((0, len(models.languages)))
 
     def _learn(self, new: list[str]) -> None:
@@ -248,47 +297,33 @@ def sampled(docs: DataFrame, rows: int = SAMPLE_ROWS) -> DataFrame:
     )
 
 
-def fit(docs: DataFrame, rows: int = SAMPLE_ROWS, order: int = ORDER) -> Models:
+def fit(docs: DataFrame, rows: int = SAMPLE_ROWS, order: int = ORDER, entries: int = ENTRIES) -> Models:
     """Models of all languages in `lang`; without any labelled text there are none."""
     sample = stage(sampled(docs, rows))
-    weighted = _weighted(_counted(sample.filter("not calibrate"), order), order)
-    grams = weighted.select("lang", "gram", "n", "seen", "weight").toArrow()
-    table = grams.to_pandas()
-    languages = sorted(table["lang"].unique())
-    if not languages:
-        return _no_models()
-    column = table["lang"].map({lang: i for i, lang in enumerate(languages)}).to_numpy()
-    alphabet = table.loc[table["n"] == 1, "gram"].nunique() + 1
-    base = np.ones(len(languages))
-    root = table["n"].to_numpy() == 0
-    base[column[root]] = table["weight"].to_numpy()[root]
-    models = Models(languages, [], [], [], [], [], base / alphabet, *[np.zeros(len(languages))] * 4)
-    for n in range(1, order + 1):
-        own = table["n"].to_numpy() == n
-        text = table["gram"].to_numpy()[own].tolist()
-        codes = _codes(text).reshape(-1, n)
-        value = np.zeros(len(text), np.uint64)
-        for back in range(n):
-            value = _step(value, codes[:, n - 1 - back])
-        keys, row = np.unique(value, return_inverse=True)
-        place = np.lexsort((column[own], row))
-        models.keys.append(keys)
-        models.first.append(np.searchsorted(row[place], np.arange(len(keys) + 1)))
-        models.lang.append(column[own][place].astype(np.int32))
-        models.seen.append(table["seen"].to_numpy()[own][place])
-        models.weight.append(table["weight"].to_numpy()[own][place])
-    return _calibrated(models, sample.filter("calibrate"))
+    grams = stage(_weighted(_counted(sample.filter("not calibrate"), order), order).select("lang", "gram", "n", "seen", "weight"))
+    blocks: list[list[str]] = []
+    held = 0
+    for row in grams.groupBy("lang").agg(F.count(F.lit(1)).alias("entries")).orderBy("lang").collect():
+        if not blocks or held + row["entries"] > entries:
+            blocks, held = [*blocks, []], 0
+        blocks[-1].append(row["lang"])
+        held += row["entries"]
+    none = np.zeros(0)
+    if not blocks:
+        return Models(grams, [], 1, order, none, none, none, none)
+    alphabet = grams.filter("n = 1").select("gram").distinct().count() + 1
+    return _calibrated(Models(grams, blocks, alphabet, order, none, none, none, none), sample.filter("calibrate"))
 
 
 def _calibrated(models: Models, sample: DataFrame) -> Models:
     """Of each language's own texts: mean and deviation of the cross-entropy, and mean number of symbols. Beside them, of the
     texts of other languages that would get this one if their own were not learnt, the `FOREIGN` quantile of the
     cross-entropy; the entropy of the language's single characters bounds it, so characters never seen do not raise it."""
-    count = len(models.languages)
-    shared = sample.sparkSession.sparkContext.broadcast(models)
-    number = F.array_position(F.array(*map(F.lit, models.languages)), F.col("doc_id")).cast("int")
+    languages = models.languages
+    count = len(languages)
+    number = F.array_position(F.array(*map(F.lit, languages)), F.col("doc_id")).cast("int")
     nearest = F.array_min(F.transform("entropies", lambda e, i: F.when(i != number - 1, e)))
-    own = stage(_scored(sample.select(F.col("lang").alias("doc_id"), "text"), shared).filter("symbols > 0").select(
+    own = stage(_scored(sample.select(F.col("lang").alias("doc_id"), "text"), models).filter("symbols > 0").select(
         "doc_id", "symbols", F.element_at("entropies", number).alias("own"), nearest.alias("nearest"),
         F.array_position("entropies", nearest).cast("int").alias("taken_for"),
     ))
@@ -299,37 +334,60 @@ def _calibrated(models: Models, sample: DataFrame) -> Models:
     low = {row["taken_for"]: row["low"] for row in left_out}
     # A language without calibration texts rejects nothing.
     mean, deviation, symbols, foreign = (np.full(count, value) for value in (1e9, 0.0, 0.0, 0.0))
+    single: list[float] = []
+    for block in range(len(models.blocks)):
+        tables = models.tables(block)
+        single += [tables.single(at, models.alphabet - 1) for at in range(len(tables.languages))]
     for row in found:
-        at = models.languages.index(row["doc_id"])
+        at = languages.index(row["doc_id"])
         mean[at], deviation[at], symbols[at] = row["mean"], max(row["deviation"], 0.02), row["symbols"]
-        single = np.full(len(models.keys[0]), models.base[at])
-        single[np.repeat(np.arange(len(single)), np.diff(models.first[0]))[models.lang[0] == at]] += models.seen[0][models.lang[0] == at]
-        foreign[at] = min(low.get(at + 1, low.get(None)) or np.inf, -(single * np.log(single)).sum() / single.sum())
-    return Models(
-        models.languages, models.keys, models.first, models.lang, models.seen, models.weight, models.base,
-        mean, deviation, symbols, foreign,
-    )
-
-
-def _scored(docs: DataFrame, shared) -> DataFrame:
-    """doc_id, entropies (by language, nats a symbol), symbols."""
+        foreign[at] = min(low.get(at + 1, low.get(None)) or np.inf, single[at])
+    return replace(models, mean=mean, deviation=deviation, symbols=symbols, foreign=foreign)
 
-    def begin():
-        scorer = _Scorer(shared.value)
 
-        def work(texts: list[str | None]) -> list[pa.Array]:
-            entropies, symbols = [], []
-            for first in range(0, len(texts), 256):
-                sums, count = scorer([words(text) for text in texts[first:first + 256]])
-                entropies += (-sums / np.maximum(count, 1)[:, None]).tolist()
-                symbols += count.tolist()
-            return [pa.array(entropies, pa.list_(pa.float64())), pa.array(symbols, pa.int64())]
+def _scored(docs: DataFrame, models: Models) -> DataFrame:
+    """doc_id, entropies (by language, nats a symbol), symbols: one row per row of `docs`.
 
-        return work
-
-    return map_texts(docs, begin, [
-        T.StructField("entropies", T.ArrayType(T.DoubleType())), T.StructField("symbols", T.LongType()),
-    ])
+    With several blocks of languages each is sent out by itself, its entropies are staged, and they are put together by id and text.
+    """
+    spark, several = docs.sparkSession, len(models.blocks) > 1
+
+    def begin(shared):
+        def start():
+            scorer = _Scorer(shared.value)
+
+            def work(texts: list[str | None]) -> list[pa.Array]:
+                entropies, symbols = [], []
+                for first in range(0, len(texts), 256):
+                    sums, count = scorer([words(text) for text in texts[first:first + 256]])
+                    entropies += (-sums / np.maximum(count, 1)[:, None]).tolist()
+                    symbols += count.tolist()
+                columns = [pa.array(entropies, pa.list_(pa.float64())), pa.array(symbols, pa.int64())]
+                if several:
+                    columns.append(pa.array([hashlib.sha256((text or "").encode()).hexdigest() for text in texts], pa.string()))
+                return columns
+
+            return work
+
+        return start
+
+    fields = [T.StructField("entropies", T.ArrayType(T.DoubleType())), T.StructField("symbols", T.LongType())]
+    if not several:
+        tables = models.tables(0) if models.blocks else Tables([], [], [], [], [], [], np.zeros(0))
+        return map_texts(docs, begin(spark.sparkContext.broadcast(tables)), fields)
+    every = None
+    for block in range(len(models.blocks)):
+        shared = spark.sparkContext.broadcast(models.tables(block))
+        one = stage(map_texts(docs, begin(shared), [*fields, T.StructField("digest", T.StringType())]).withColumn("block", F.lit(block)))
+        shared.destroy()
+        every = one if every is None else every.unionByName(one)
+    together = every.groupBy("doc_id", "digest", "block").agg(
+        F.first("entropies").alias("entropies"), F.first("symbols").alias("symbols"), F.count(F.lit(1)).alias("rows")
+    ).groupBy("doc_id", "digest").agg(
+        F.flatten(F.transform(F.array_sort(F.collect_list(F.struct("block", "entropies"))), lambda own: own["entropies"])).alias("entropies"),
+        F.first("symbols").alias("symbols"), F.first("rows").alias("rows"),
+    )
+    return together.withColumn("row", F.explode(F.sequence(F.lit(1).cast("long"), "rows"))).select("doc_id", "entropies", "symbols")
 
 
 def identify(docs: DataFrame, models: Models, reject: float = REJECT) -> DataFrame:
@@ -339,7 +397,7 @@ def identify(docs: DataFrame, models: Models, reject: float = REJECT) -> DataFra
     rejected too. Of equal entropies the first language in order is taken. `score` is the share of the answer among the
     languages at the text's likelihood. Repeated rows are scored each, an empty table gives an empty result.
     """
-    scored = _scored(docs, docs.sparkSession.sparkContext.broadcast(models))
+    scored = _scored(docs, models)
     known = (F.col("symbols") > 0) & F.lit(bool(models.languages))
     best = F.array_min("entropies")
     at = F.array_position("entropies", best).cast("int")
