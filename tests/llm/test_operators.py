@@ -646,6 +646,20 @@ def test_language_of_scripts_with_marks(spark):
     assert found.count() > 40 and found.filter("lang_pred <> lang or rejected").isEmpty()
 
 
+def test_language_blocks_give_the_same_answers(spark, docs):
+    """One language a block, or all in one: the same rows, also where rows are repeated or have no id."""
+    corpus = catalog.table(spark, "/root/testdata/sf0.001", "documents")
+    whole, blocked = language.fit(corpus), language.fit(corpus, entries=1)
+    assert len(whole.blocks) == 1 and len(blocked.blocks) == len(whole.languages) == 4
+    for rows in (docs, corpus):
+        answers = [
+            sorted((x.doc_id is None, x.doc_id, x.lang_pred, round(x.score, 9), x.symbols, x.rejected) if x.doc_id is not None else (True, 0, x.lang_pred, round(x.score, 9), x.symbols, x.rejected)
+                   for x in language.identify(rows, models).collect()) for models in (whole, blocked)
+        ]
+        assert answers[0] == answers[1]
+    assert np.allclose(whole.foreign, blocked.foreign) and np.allclose(whole.mean, blocked.mean)
+
+
 def test_language_without_labels(spark):
     docs = spark.createDataFrame([(1, "some text", None), (2, None, "en")], "doc_id long, text string, lang string")
     models = language.fit(docs)
