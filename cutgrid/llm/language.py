@@ -54,6 +54,7 @@ def _marks() -> str:
 
 
 #: A letter and what follows of letters and of the marks that belong to them, as vowels do in many scripts.
+_PLAIN = re.compile(r"[^\W\d_]+")
 _WORD = re.compile(rf"[^\W\d_]+(?:[{_marks()}]+[^\W\d_]*)*")
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 _CACHED = 300_000
@@ -66,7 +67,12 @@ def held_out(doc_id: Column) -> Column:
 
 def words(text: str | None) -> list[str]:
     """Lower-cased runs of letters with their marks; none if the text has no letter at all."""
-    found = _WORD.findall(text.lower()) if text else []
+    lowered = text.lower() if text else ""
+    try:  # the quick way to know that there are no marks
+        lowered.encode("latin-1")
+        found = _PLAIN.findall(lowered)
+    except UnicodeEncodeError:
+        found = _WORD.findall(lowered)
     return found if any(c.isalpha() for word in found for c in word) else []
 
 
