@@ -15,6 +15,7 @@ from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 
 import pyarrow as pa
+from pyarrow import fs
 from pyspark import TaskContext, cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.datasource import DataSource, DataSourceArrowWriter, WriterCommitMessage
@@ -114,12 +115,12 @@ def _chains(parts: list[tuple[str, int, str, bool]], whole: bool) -> list[tuple[
 
 
 def _put_together(target: str, parts: list[tuple[str, bool]], blocked: bool) -> int:
-    """Copy the parts to `target`, with line ends between lines, under another name until all is there."""
+    """Copy the parts to `target`, with line ends between lines. Until all is there the copy lies with the parts, so nothing of an
+    attempt that was lost is seen."""
     system, inner = file_system(target)
     line_end, closing = (bgzf.member(b"\n"), bgzf.END) if blocked else (b"\n", b"")
-    folder, _, name = inner.rpartition("/")
-    system.create_dir(folder)
-    passing, size = f"{folder}/.{name}.{uuid.uuid4().hex}", 0
+    system.create_dir(inner.rpartition("/")[0])
+    passing, size = f"{file_system(parts[0][0])[1].rpartition('/')[0]}/copy-{uuid.uuid4().hex}", 0
     with system.open_output_stream(passing) as out:
         for number, (path, opens) in enumerate(parts):
             if number and opens:
@@ -129,6 +130,8 @@ def _put_together(target: str, parts: list[tuple[str, bool]], blocked: bool) ->
                     out.write(block)
                     size += len(block)
         out.write(line_end + closing)
+    if system.get_file_info(inner).type != fs.FileType.NotFound:  # another attempt of this task was quicker
+        system.delete_file(inner)
     system.move(passing, inner)
     return size
 

@@ -1,5 +1,7 @@
 """Grouping, merging, deduplication, numbering."""
 
+import random
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -108,3 +110,17 @@ def test_site_bed_numbers(reads, sites):
     assert [(r.libid, r.start, r.end, r.name, r.score) for r in bed] == [
         ("L1", 100, 100, "pos_1", 2), ("L2", 100, 100, "pos_1", 1),
     ]
+
+
+def test_position_stats_look_up_positions_and_not_reads(spark):
+    """The same totals as from assigned reads, but what meets the site index is one row per position."""
+    rng = random.Random(3)
+    reads = spark.createDataFrame(
+        [("A" if i % 3 else "B", "chr1", rng.choice([5, 5, 5, 90, 400, 411, 700]), "+", f"U{i % 7}") for i in range(500)],
+        "libid string, chrom string, pos long, strand string, umi string")
+    sites = spark.createDataFrame([("chr1", 0), ("chr1", 400), ("chr1", 650)], "chrom string, start long")
+    direct = um.position_stats(reads, sites)
+    assert sorted(map(tuple, direct.collect())) == sorted(map(tuple, um.assign_stats(um.assign(reads, sites)).collect()))
+    plan = direct._jdf.queryExecution().optimizedPlan().toString()
+    below = plan[plan.index("count(1) AS n#"):]
+    assert "Join" in plan[:plan.index("count(1) AS n#")] and "Join" not in below.split("LogicalRDD")[0]
