@@ -12,6 +12,7 @@ from __future__ import annotations
 import heapq
 import re
 from collections.abc import Iterator
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
@@ -163,20 +164,27 @@ class Model:
         owners = np.argsort(np.repeat(owner, sizes), kind="stable")
         return symbols[owners], sizes[np.argsort(owner)]
 
+    @cached_property
+    def _single(self) -> tuple[dict[int, int], list[int]]:
+        """The pairs and ranks for one look-up at a time."""
+        used = self.key != -1
+        return dict(zip(self.key[used].tolist(), self.value[used].tolist())), self.rank.tolist()
+
     def _merge_long(self, symbols: np.ndarray) -> np.ndarray:
-        symbol = symbols.tolist()
+        pairs, ranks = self._single
+        symbol, size = symbols.tolist(), self.size
         count = len(symbol)
         after, before = list(range(1, count + 1)), list(range(-1, count - 1))
         joined = self._pairs(symbols[:-1], symbols[1:]).tolist()
-        heap = [(int(self.rank[j]), i, symbol[i], symbol[i + 1], j) for i, j in enumerate(joined) if j >= 0]
+        heap = [(ranks[j], i, symbol[i], symbol[i + 1], j) for i, j in enumerate(joined) if j >= 0]
         heapq.heapify(heap)
 
         def offer(left: int) -> None:
             right = after[left] if left >= 0 else count
-            if right < count:
-                j = int(self._pairs(np.array([symbol[left]]), np.array([symbol[right]]))[0])
-                if j >= 0:
-                    heapq.heappush(heap, (int(self.rank[j]), left, symbol[left], symbol[right], j))
+            if right < count and symbol[left] >= 0 and symbol[right] >= 0:
+                j = pairs.get(symbol[left] * size + symbol[right])
+                if j is not None:
+                    heapq.heappush(heap, (ranks[j], left, symbol[left], symbol[right], j))
 
         while heap:
             _, left, a, b, j = heapq.heappop(heap)
