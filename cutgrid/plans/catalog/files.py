@@ -239,10 +239,7 @@ def condition_files_scan(spark, sf_dir):
 
 
 def _written_scores(spark, path: str):
-    rows = spark.read.schema(
-        "chrom string, start long, end long, score double, is_outlier boolean, rescaled double, exid string, bin_tag string"
-    ).option("sep", "\t").option("header", True).option("enforceSchema", False).csv(path)
-    return _show(rows.withColumn("bin_tag", F.regexp_replace("bin_tag", "^rescaled[.]bins_", "")))
+    return _show(tb.read_scores(spark, path))
 
 
 @query(f"WITH {_run_sql(_TWO, conditions=_TWO_SQL)}")

@@ -8,10 +8,10 @@ from cutgrid.functions.sizing import fresh_dir
 from cutgrid.operators import bins as bn, motif as mo, summary as sm, umis as um
 from cutgrid.params import ScoreParams, parse_chrom_tag
 from cutgrid.plans import derived as d
-from cutgrid.plans.catalog.files import _ASCII_SQL, _written_scores
+from cutgrid.plans.catalog.files import _ASCII_SQL
 from cutgrid.plans.catalog.genome import MOTIF
 from cutgrid.plans.catalog.registry import query
-from cutgrid.plans.catalog.scores import SHOWN_SQL, run_steps_sql
+from cutgrid.plans.catalog.scores import SHOWN_SQL, _show, run_steps_sql
 from cutgrid.plans.catalog.summary import RUN_COUNTS_SQL, SIX, _TOTALS_SQL, six_letter_reads
 from cutgrid.plans.preprocess import cut_sites, finish_run
 from cutgrid.plans.run import run
@@ -123,7 +123,7 @@ def whole_run(spark, sf_dir):
     table = spark.read.option("sep", "\t").option("header", True).csv(done.paths["summary_table"])
     summary = _named(table, "summary", F.col("library_id"), {c: F.rtrim(F.col(f"`{c}`"), F.lit("%")) for c in _COUNTED})
     place = F.concat_ws("|", "exid", "bin_tag", "chrom", F.col("start").cast("string"), F.col("end").cast("string"))
-    scores = _named(_written_scores(spark, done.paths["scores"]), "scores", place, {
+    scores = _named(_show(done.tables["scores"]), "scores", place, {
         "score": F.col("score"), "rescaled": F.col("rescaled"), "is_outlier": F.col("is_outlier").cast("int"),
     })
     return summary.unionByName(scores)

@@ -23,7 +23,7 @@ from cutgrid.plans.programs import score_files
 from cutgrid.sources.fastq import read_fastq
 from cutgrid.sources.sam import read_sam
 from cutgrid.sources.sinks import write_site_bed, write_summary
-from cutgrid.sources.tables import listed_files, read_bed, read_conditions, read_config
+from cutgrid.sources.tables import listed_files, read_bed, read_conditions, read_config, read_scores
 
 NOTES = "_finished"
 
@@ -110,14 +110,12 @@ class Stages:
 
 @dataclass
 class Run:
-    """Paths of the outputs by stage, and the stages that were made by this call."""
+    """Paths of the outputs by stage, the stages that were made by this call, and what is there as tables: read_counts, sites, counts,
+    stats, alignment_counts, bed, summary and scores."""
 
     paths: dict[str, str] = field(default_factory=dict)
     made: list[str] = field(default_factory=list)
-
-
-def _read_parts(spark: SparkSession, folder: str, *names: str) -> list[DataFrame]:
-    return [spark.read.parquet(f"{folder}/{name}") for name in names]
+    tables: dict[str, DataFrame] = field(default_factory=dict)
 
 
 def run(
@@ -143,7 +141,11 @@ def run(
         sm.read_counts(flagged).write.parquet(f"{path}/read_counts")
         write_prepared(flagged, path, params, whole=True, level=level)
 
+    def tables(folder: str, *names: str) -> None:
+        done.tables |= {name: spark.read.parquet(f"{folder}/{name}") for name in names}
+
     prepared = keep("prepared", stages("prepared", prepare, {"config": config, "fastq": fastq}, params=asdict(params), level=level))
+    tables(prepared, "read_counts")
     if sam is None:
         return done
     if (sites is None) == (genome is None):
@@ -154,12 +156,10 @@ def run(
             "sites", lambda path: cut_sites(spark, genome, params, chrom_prefix).write.parquet(path), {"genome": genome},
             cut_seq=params.cut_seq, prefix=chrom_prefix))
         before = ("sites",)
-
-    def all_sites() -> DataFrame:
-        return spark.read.parquet(sites) if genome is not None else read_bed(spark, sites)
+    done.tables["sites"] = spark.read.parquet(sites) if genome is not None else read_bed(spark, sites)
 
     def count(path: str) -> None:
-        counted = count_sites(aln.umi_from_name(read_sam(spark, sam)), all_sites(), params)
+        counted = count_sites(aln.umi_from_name(read_sam(spark, sam)), done.tables["sites"], params)
         for name in ("counts", "stats", "alignment_counts"):
             getattr(counted, name).write.parquet(f"{path}/{name}")
         counted.bed.write.parquet(f"{path}/bed")
@@ -167,16 +167,18 @@ def run(
     counts = keep("counts", stages(
         "counts", count, {"sam": sam, "sites": None if before else sites}, before, params=asdict(params)))
 
+    tables(counts, "counts", "stats", "alignment_counts", "bed")
+
     def bed(path: str) -> None:
-        write_site_bed(spark.read.parquet(f"{counts}/bed"), path, whole=True, level=level)
+        write_site_bed(done.tables["bed"], path, whole=True, level=level)
 
     keep("bed", stages("bed", bed, {}, ("counts",), level=level))
 
     def summarise(path: str) -> None:
-        counted, stats, aligned = _read_parts(spark, counts, "counts", "stats", "alignment_counts")
-        tables = [spark.read.parquet(f"{prepared}/read_counts"), aligned, sm.site_totals(stats, counted)]
-        write_summary(sm.summarize(tables, prep_run, read_config(spark, config)), path)
+        write_summary(summary, path)
 
+    parts = [done.tables["read_counts"], done.tables["alignment_counts"], sm.site_totals(done.tables["stats"], done.tables["counts"])]
+    summary = done.tables["summary"] = sm.summarize(parts, prep_run, read_config(spark, config))
     keep("summary_table", stages("summary_table", summarise, {"config": config}, ("prepared", "counts"), prep_run=prep_run))
     if conditions is None:
         return done
@@ -185,10 +187,11 @@ def run(
     listed = sorted({row.fpath for row in read_conditions(spark, conditions).select("fpath").collect()})
 
     def scores(path: str) -> None:
-        domain = all_sites() if score_params.site_domain == "universe" else None
+        domain = done.tables["sites"] if score_params.site_domain == "universe" else None
         score_files(spark, conditions, path, sizes, score_params, sites=domain, mask_bed=mask, bin_bed=regions)
 
     files = {"conditions": conditions, "sizes": sizes, "mask": mask, "regions": regions, "sites": None if before else sites}
     files |= {f"condition {number}": path for number, path in enumerate(listed)}
-    keep("scores", stages("scores", scores, files, ("bed", *before), params=asdict(score_params)))
+    written = keep("scores", stages("scores", scores, files, ("bed", *before), params=asdict(score_params)))
+    done.tables["scores"] = read_scores(spark, written)
     return done

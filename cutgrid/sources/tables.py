@@ -118,6 +118,14 @@ def read_conditions(spark: SparkSession, path: str) -> DataFrame:
     return rows.withColumn("cond_order", F.row_number().over(place)).drop("line_no")
 
 
+def read_scores(spark: SparkSession, path: str) -> DataFrame:
+    """What `write_scores` leaves: chrom, start, end, score, is_outlier, rescaled, exid, bin_tag."""
+    rows = spark.read.schema(
+        "chrom string, start long, end long, score double, is_outlier boolean, rescaled double, exid string, bin_tag string"
+    ).option("sep", "\t").option("header", True).option("enforceSchema", False).csv(path)
+    return rows.withColumn("bin_tag", F.regexp_replace("bin_tag", "^rescaled[.]bins_", ""))
+
+
 def _one_form(path: Column) -> Column:
     """A file's URI with one slash behind the scheme, whatever the number it was written with."""
     return F.regexp_replace(path, "^([a-z0-9]+):/+", "$1:/")

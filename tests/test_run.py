@@ -70,6 +70,10 @@ def test_run_goes_on_behind_the_last_stage(spark, files, monkeypatch):
     assert (rows["K1"]["input"], rows["K1"]["umi_hq"], rows["K1"]["prefix"], rows["K1"]["mapped"], rows["K1"]["out%"]) == ("120", "108", "96", "96", "80.00%")
     scores = spark.read.option("sep", "\t").option("header", True).csv(done.paths["scores"])
     assert scores.count() == 10 and scores.filter("score is null").count() == 0
+    tables = done.tables
+    assert set(tables) == {"read_counts", "sites", "counts", "stats", "alignment_counts", "bed", "summary", "scores"}
+    assert {r.library_id: (r.input, r.mapped) for r in tables["summary"].collect()} == {"K1": (120, 96), "K2": (120, 96)}
+    assert tables["scores"].count() == 10 and tables["bed"].filter("libid = 'K1'").count() == len(lines)
 
 
 def test_changed_inputs_repeat_what_depends_on_them(spark, files):
