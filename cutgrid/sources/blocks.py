@@ -15,8 +15,8 @@ from pyspark.sql.datasource import InputPartition
 from cutgrid.sources import bgzf
 
 READ_BYTES = 8 << 20
-#: Text read at once behind the end of a range, where a line is only completed.
-AHEAD = 1 << 18
+#: Text read at first behind the end of a range, where a line is only completed, and at most at once.
+FIRST_AHEAD, AHEAD = 1 << 12, 1 << 18
 
 
 @dataclass
@@ -30,6 +30,13 @@ class FileRange(InputPartition):
     blocked: bool = False
 
 
+@dataclass
+class Ranges(InputPartition):
+    """Ranges that one task reads one after another."""
+
+    ranges: list[FileRange]
+
+
 def file_system(path: str):
     """File system of a path or URI, and the path inside it, for reading in tasks."""
     from pyarrow import fs
@@ -69,20 +76,31 @@ def list_files(spark: SparkSession, path: str) -> list[tuple[str, int]]:
 
 
 def range_options(spark: SparkSession, path: str, range_bytes: int | None) -> dict[str, str]:
-    """The files, largest and smallest range and the number of cores, from the session's own file settings."""
-    files = {"files": json.dumps(list_files(spark, path))}
+    """The files of a path and how they are read in ranges."""
+    return file_options(spark, list_files(spark, path), range_bytes)
+
+
+def file_options(spark: SparkSession, listed: list[tuple[str, int]], range_bytes: int | None) -> dict[str, str]:
+    """The files, largest and smallest range, most bytes of a task and the number of cores, from the session's own file settings."""
+    files = {"files": json.dumps(listed)}
 
     def size(key: str, default: str) -> int:
         text = spark.conf.get(key, default).strip().lower().removesuffix("b")
         return int(text[:-1]) << {"k": 10, "m": 20, "g": 30}[text[-1]] if text[-1] in "kmg" else int(text)
 
+    most, cores = size("spark.sql.files.maxPartitionBytes", "128m"), spark.sparkContext.defaultParallelism
+    files |= {"task_bytes": str(most), "cores": str(cores)}
     if range_bytes is not None:
         return files | {"range_bytes": str(range_bytes), "least_bytes": str(range_bytes), "slices": "1"}
-    return files | {
-        "range_bytes": str(size("spark.sql.files.maxPartitionBytes", "128m")),
-        "least_bytes": str(size("spark.sql.files.openCostInBytes", "4m")),
-        "slices": str(spark.sparkContext.defaultParallelism),
-    }
+    return files | {"range_bytes": str(most), "least_bytes": str(size("spark.sql.files.openCostInBytes", "4m")), "slices": str(cores)}
+
+
+def blocked_here(path: str) -> bool:
+    """Whether a file is blocked gzip that tasks can open themselves."""
+    try:
+        return path.endswith(".gz") and _blocked(path)
+    except (ValueError, OSError):
+        return False
 
 
 def _blocked(path: str) -> bool:
@@ -115,6 +133,30 @@ def file_ranges(options: dict[str, str]) -> list[FileRange]:
     return ranges
 
 
+#: Tasks per core up to which every range has its own.
+TASKS_A_CORE = 4
+
+
+def dealt_ranges(options: dict[str, str]) -> list[Ranges]:
+    """The ranges by task, in the order of the files.
+
+    A range may be far smaller than what a task should read, so neighbours share a task once there are `TASKS_A_CORE` tasks for every
+    core, up to the session's bytes a task. The number of tasks follows the cores and the bytes, not the width of a range.
+    """
+    ranges = file_ranges(options)
+    total = sum(part.end - part.start for part in ranges if part.end >= 0)
+    most = min(int(options["task_bytes"]), total // (TASKS_A_CORE * int(options["cores"])) + 1)
+    dealt, room = [], 0
+    for part in ranges:
+        size = most if part.end < 0 else part.end - part.start
+        if size > room:
+            dealt.append(Ranges([]))
+            room = most
+        dealt[-1].ranges.append(part)
+        room -= size
+    return dealt
+
+
 class RangeBytes:
     """The text of a range and what follows it, in blocks that lie wholly inside or wholly behind the range.
 
@@ -145,7 +187,9 @@ class RangeBytes:
             at = self.start
             if at:
                 self.before = file.read_at(1, at - 1)
-            while block := file.read_at(min(READ_BYTES, self.end - at) if at < self.end else AHEAD, at):
+            ahead = FIRST_AHEAD
+            while block := file.read_at(min(READ_BYTES, self.end - at) if at < self.end else ahead, at):
+                ahead = min(AHEAD, 2 * ahead) if at >= self.end else ahead
                 yield at, block
                 at += len(block)
 
@@ -157,14 +201,14 @@ class RangeBytes:
             self.before = bgzf.byte_before(file, first)
             at = self.start = first << 16
             held, size, begun = [], 0, at
-            for place, text in bgzf.read(file, first):
+            for place, text in bgzf.read(file, first, min(bgzf.READ, self.part.end - first + bgzf.MEMBER)):
                 if place >= self.part.end and self.end is None:
                     if held:
                         yield begun, b"".join(held)
                     held, size, begun, self.end = [], 0, at, at
                 held.append(text)
                 at, size = at + len(text), size + len(text)
-                if size >= READ_BYTES or self.end is not None and size >= AHEAD:
+                if size >= READ_BYTES or self.end is not None:
                     yield begun, b"".join(held)
                     held, size, begun = [], 0, at
             if held:

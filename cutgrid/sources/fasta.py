@@ -20,7 +20,7 @@ from cutgrid.functions.sizing import small
 from cutgrid.functions.text import first_token
 from cutgrid.schemas import FASTA
 from cutgrid.sources import bgzf, blocks
-from cutgrid.sources.blocks import FileRange, RangeBytes, file_ranges, range_options
+from cutgrid.sources.blocks import FileRange, RangeBytes, Ranges, dealt_ranges, range_options
 
 CHUNK = 1 << 16
 OVERLAP = 64
@@ -115,10 +115,14 @@ class FastaReader(DataSourceReader):
     def __init__(self, options: dict[str, str]) -> None:
         self.options, self.chunk, self.overlap = options, int(options["chunk"]), int(options["overlap"])
 
-    def partitions(self) -> list[FileRange]:
-        return file_ranges(self.options)
+    def partitions(self) -> list[Ranges]:
+        return dealt_ranges(self.options)
 
-    def read(self, partition: FileRange):
+    def read(self, partition: Ranges):
+        for part in partition.ranges:
+            yield from self._read(part)
+
+    def _read(self, partition: FileRange):
         found, count = Chunks(partition, self.chunk, self.overlap), 0
         for contig, lead, offset, span, text in found:
             count += 1
