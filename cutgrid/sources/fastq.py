@@ -6,6 +6,7 @@ stream, and should be followed by a repartition when a run has fewer files than
 
 from __future__ import annotations
 
+import json
 import sys
 from collections.abc import Iterator
 
@@ -16,9 +17,11 @@ from pyspark.sql.datasource import DataSource, DataSourceReader
 from cutgrid.functions.text import first_token, library_id
 from cutgrid.schemas import FASTQ
 from cutgrid.sources import bgzf, blocks
-from cutgrid.sources.blocks import FileRange, RangeBytes, file_ranges, line_blocks, range_options
+from cutgrid.sources.blocks import FileRange, RangeBytes, Ranges, dealt_ranges, line_blocks, range_options
 
 BATCH = 1 << 16
+#: Bytes of the files for which `partitions` is raised by one.
+SPREAD_BYTES = 32 << 20
 
 
 def first_record(lines: list[bytes]) -> int | None:
@@ -68,10 +71,14 @@ class FastqReader(DataSourceReader):
     def __init__(self, options: dict[str, str]) -> None:
         self.options = options
 
-    def partitions(self) -> list[FileRange]:
-        return file_ranges(self.options)
+    def partitions(self) -> list[Ranges]:
+        return dealt_ranges(self.options)
 
-    def read(self, partition: FileRange):
+    def read(self, partition: Ranges):
+        for part in partition.ranges:
+            yield from self._read(part)
+
+    def _read(self, partition: FileRange):
         import pyarrow as pa
 
         name = partition.path
@@ -119,14 +126,16 @@ def read_fastq(
 
     `path` is a file, a pattern, or a folder, with all files in its subfolders.
 
-    `range_bytes` fixes the split size, which otherwise follows the session's file settings.
+    `range_bytes` fixes the split size, which otherwise follows the session's file settings. `partitions` spreads the reads over as many
+    parts, and over one for each `SPREAD_BYTES` of the files where that is more.
     """
     for module in (bgzf, blocks, sys.modules[__name__]):
         cloudpickle.register_pickle_by_value(module)
     spark.dataSource.register(FastqSource)
-    rows = spark.read.format("fastq").options(**range_options(spark, path, range_bytes)).load()
+    options = range_options(spark, path, range_bytes)
+    rows = spark.read.format("fastq").options(**options).load()
     if partitions is not None:
-        rows = rows.repartition(partitions)
+        rows = rows.repartition(max(partitions, -(-sum(size for _, size in json.loads(options["files"])) // SPREAD_BYTES)))
     folder = F.regexp_extract("file", "/libid=([^/]+)/", 1)
     stem = F.regexp_replace("file", r"\.(fastq|fq|txt)(\.gz)?$", "")
     return rows.select(

@@ -15,7 +15,7 @@ from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 
 import pyarrow as pa
-from pyarrow import fs
+from pyarrow import compute as pc, fs
 from pyspark import TaskContext, cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.datasource import DataSource, DataSourceArrowWriter, WriterCommitMessage
@@ -43,9 +43,21 @@ class PartFile:
         self.out, self.level, self.held, self.size, self.empty = system.open_output_stream(inner), level, [], 0, True
 
     def add(self, opens: bool, text: str) -> None:
-        piece = text.encode()
-        if opens and not self.empty:
-            piece = b"\n" + piece
+        self._append(b"\n" + text.encode() if opens and not self.empty else text.encode())
+
+    def add_all(self, opens: pa.Array, texts: pa.Array) -> None:
+        """The same for many pieces: they are joined in Arrow, as many at a time as are about `FLUSH` bytes."""
+        if texts.null_count:
+            raise ValueError("a piece of a line has no text")
+        step = max(1, FLUSH * len(texts) // max(1, pc.sum(pc.binary_length(texts)).as_py()))
+        for at in range(0, len(texts), step):
+            ends, piece = opens.slice(at, step).to_pylist(), texts.slice(at, step)
+            if self.empty:
+                ends[0] = False
+            joined = pc.binary_join_element_wise(pa.array(["\n" if end else "" for end in ends], piece.type), piece, "")
+            self._append(pc.binary_join(pa.ListArray.from_arrays(pa.array([0, len(joined)], pa.int32()), joined), "")[0].as_buffer().to_pybytes())
+
+    def _append(self, piece: bytes) -> None:
         self.empty = False
         self.held.append(piece)
         self.size += len(piece)
@@ -71,14 +83,18 @@ class PartsWriter(DataSourceArrowWriter):
         task, parts, current, out = TaskContext.get().partitionId(), [], None, None
         try:
             for batch in iterator:
-                for libid, opens, text in zip(*(column.to_pylist() for column in batch.columns)):
+                libids, opens, texts = batch.columns
+                start = 0
+                for run in pc.run_end_encode(libids).run_ends.to_pylist() if len(libids) else ():
+                    libid = libids[start].as_py()
                     if out is None or libid != current:
                         if out is not None:
                             out.close()
                         path = f"{self.folder}/{task}-{uuid.uuid4().hex}"
                         current, out = libid, PartFile(path, self.level)
-                        parts.append((libid, task, path, opens))
-                    out.add(opens, text)
+                        parts.append((libid, task, path, opens[start].as_py()))
+                    out.add_all(opens.slice(start, run - start), texts.slice(start, run - start))
+                    start = run
         finally:
             if out is not None:
                 out.close()

@@ -28,3 +28,49 @@ def test_little_is_read_behind_a_small_range(tmp_path):
     path.write_bytes(b"ACGTACG\n" * 100_000)
     read = list(zip(range(2), blocks.RangeBytes(blocks.FileRange(str(path), 1, 8000, 9000))))
     assert sum(len(block) for _, (_, block) in read) < 10_000
+
+
+def test_small_ranges_of_blocked_files_read_little(tmp_path):
+    rng = random.Random(1)
+    path, seen = tmp_path / "a.gz", []
+    path.write_bytes(bgzf.members(rng.randbytes(8 << 20), 1) + bgzf.END)
+
+    class Counted:
+        def __init__(self, file):
+            self.file = file
+
+        def read_at(self, count, place):
+            data = self.file.read_at(count, place)
+            seen.append(len(data))
+            return data
+
+    with blocks.file_system(str(path))[0].open_input_file(str(path)) as file:
+        next(bgzf.read(Counted(file), 0, 1 << 17))
+    assert sum(seen) == 1 << 17
+
+
+def test_pieces_are_joined_as_they_are_added_one_by_one(tmp_path):
+    import pyarrow as pa
+
+    rng = random.Random(2)
+    opens = [rng.random() < 0.6 for _ in range(3000)]
+    texts = [rng.choice("äßx ") * rng.randint(0, 2000) for _ in opens]
+    one, many = ordered.PartFile(str(tmp_path / "one"), 1), ordered.PartFile(str(tmp_path / "many"), 1)
+    for begins, text in zip(opens, texts):
+        one.add(begins, text)
+    for at in (0, 1, 1000, 1001):
+        end = {0: 1, 1: 1000, 1000: 1001, 1001: 3000}[at]
+        many.add_all(pa.array(opens[at:end]), pa.array(texts[at:end]))
+    one.close(), many.close()
+    with gzip.open(tmp_path / "one") as a, gzip.open(tmp_path / "many") as b:
+        assert a.read() == b.read()
+
+
+def test_spread_reads_follow_the_files(spark, tmp_path, monkeypatch):
+    with gzip.open(tmp_path / "A_S1.fastq.gz", "wt") as out:
+        out.writelines(f"@r{i}\n{random.Random(i).choice('ACGT') * 30}\n+\n{'I' * 30}\n" for i in range(2000))
+    size = (tmp_path / "A_S1.fastq.gz").stat().st_size
+    assert fastq.read_fastq(spark, str(tmp_path), partitions=3).rdd.getNumPartitions() == 3
+    monkeypatch.setattr(fastq, "SPREAD_BYTES", size // 10)
+    found = fastq.read_fastq(spark, str(tmp_path), partitions=3)
+    assert found.rdd.getNumPartitions() >= 10 and found.select("read_id").distinct().count() == 2000
