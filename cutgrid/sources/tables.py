@@ -3,13 +3,15 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F, types as T
 
 from cutgrid import schemas
 from cutgrid.functions.sizing import small
 from cutgrid.functions.text import base_name, first_token, library_id, whole_number
-from cutgrid.sources.blocks import list_files
+from cutgrid.sources.blocks import blocked_here, list_files
+from cutgrid.sources.lines import read_lines
 
 Paths = str | Sequence[str]
 
@@ -140,7 +142,7 @@ def read_condition_counts(spark: SparkSession, conditions: DataFrame) -> DataFra
     """Site counts of the listed files: `libid, chrom, start, score`, one row per library and site.
 
     The table may list a library several times, for several experiments, but always with the same path, and no path
-    for two libraries. A path may be a folder, such as the `libid=` folders that `write_site_bed` makes.
+    for two libraries. A path may be a folder, such as the `libid=` folders that `write_site_bed` makes. Blocked gzip is read in ranges.
     """
     rows = sorted({(row.libid, row.fpath) for row in conditions.select("libid", "fpath").distinct().collect()})
     for place, name in ((0, "library"), (1, "path")):
@@ -148,13 +150,23 @@ def read_condition_counts(spark: SparkSession, conditions: DataFrame) -> DataFra
         if twice := sorted({value for value in seen if seen.count(value) > 1}):
             raise ValueError(f"a {name} of the condition table has several entries: {twice}")
     library = {path: libid for libid, path in rows}
-    files = [(library[listed], uri) for listed, uri in listed_files(spark, [path for _, path in rows])]
+    sizes = {path: list_files(spark, path) for _, path in rows}
+    files = [(library[path], uri) for path, found in sizes.items() for uri, _ in found]
     if len({uri for _, uri in files}) < len(files):
         raise ValueError("two paths of the condition table hold the same file")
     named = spark.createDataFrame(files, "libid string, uri string").select("libid", _one_form(F.col("uri")).alias("uri"))
-    counts = read_tsv(spark, [spark._jvm.org.apache.hadoop.fs.Path(spark._jvm.java.net.URI(uri)).toString() for _, uri in files], schemas.BED5)
-    counts = counts.select(
-        _one_form(F.col("_metadata.file_path")).alias("uri"), first_token("chrom").alias("chrom"), "start", "score"
+    blocked = {uri: size for found in sizes.values() for uri, size in found if blocked_here(uri)}
+    others = [spark._jvm.org.apache.hadoop.fs.Path(spark._jvm.java.net.URI(uri)).toString() for _, uri in files if uri not in blocked]
+    parts = []
+    if others:
+        parts.append(read_tsv(spark, others, schemas.BED5).withColumn("uri", F.col("_metadata.file_path")))
+    if blocked:
+        lines = read_lines(spark, sorted(blocked.items())).filter(F.trim("line") != "")
+        fields = F.from_csv("line", ", ".join(f"`{field.name}` {field.dataType.simpleString()}" for field in schemas.BED5), {
+            "sep": "\t", "quote": "", "escape": "", "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false", "mode": "FAILFAST"})
+        parts.append(lines.select(F.col("file").alias("uri"), fields.alias("bed")).select("bed.*", "uri"))
+    counts = reduce(DataFrame.unionByName, parts).select(
+        _one_form(F.col("uri")).alias("uri"), first_token("chrom").alias("chrom"), "start", "score"
     )
     return counts.join(small(named), "uri").groupBy("libid", "chrom", "start").agg(F.sum("score").alias("score"))
 

@@ -74,3 +74,35 @@ def test_spread_reads_follow_the_files(spark, tmp_path, monkeypatch):
     monkeypatch.setattr(fastq, "SPREAD_BYTES", size // 10)
     found = fastq.read_fastq(spark, str(tmp_path), partitions=3)
     assert found.rdd.getNumPartitions() >= 10 and found.select("read_id").distinct().count() == 2000
+
+
+def test_blocked_beds_are_read_in_ranges(spark, tmp_path):
+    for lib, shift in (("A", 0), ("B", 7)):
+        text = "".join(f"chr1 x\t{i + shift}\t{i + shift}\tpos_{i}\t{i % 5}\n" + ("\n" if i % 500 == 0 else "") for i in range(4000))
+        data = text.encode()
+        (tmp_path / f"{lib}.bed.gz").write_bytes(b"".join(bgzf.member(data[at:at + 900]) for at in range(0, len(data), 900)) + bgzf.END)
+    (tmp_path / "C.bed.gz").write_bytes(gzip.compress(b"chr2\t5\t5\tpos_1\t3\n"))
+    (tmp_path / "D.bed").write_bytes(b"chr2\t6\t6\tpos_1\t4\n")
+    paths = [(name[0], str(tmp_path / name)) for name in ("A.bed.gz", "B.bed.gz", "C.bed.gz", "D.bed")]
+    conditions = spark.createDataFrame(paths, "libid string, fpath string")
+    kept = {key: spark.conf.get(key, None) for key in ("spark.sql.files.openCostInBytes", "spark.sql.adaptive.enabled")}
+    spark.conf.set("spark.sql.files.openCostInBytes", "1k")
+    try:
+        found = tb.read_condition_counts(spark, conditions)
+        got = {(r.libid, r.chrom, r.start): r.score for r in found.collect()}
+        files = blocks.list_files(spark, str(tmp_path / "A.bed.gz"))
+        from cutgrid.sources.lines import read_lines
+        lines = read_lines(spark, files)
+        assert lines.rdd.getNumPartitions() > 1 and lines.filter("line != ''").count() == 4000
+    finally:
+        for key, value in kept.items():
+            spark.conf.unset(key) if value is None else spark.conf.set(key, value)
+    wanted = {(lib, "chr1", i + shift): i % 5 for lib, shift in (("A", 0), ("B", 7)) for i in range(4000)}
+    assert got == wanted | {("C", "chr2", 5): 3, ("D", "chr2", 6): 4}
+
+
+def test_a_malformed_line_of_a_blocked_bed_fails(spark, tmp_path):
+    (tmp_path / "A.bed.gz").write_bytes(bgzf.members(b"chr1\t5\t5\tpos_1\tmany\n") + bgzf.END)
+    conditions = spark.createDataFrame([("A", str(tmp_path / "A.bed.gz"))], "libid string, fpath string")
+    with pytest.raises(Exception, match="(?i)malformed"):
+        tb.read_condition_counts(spark, conditions).collect()
