@@ -154,7 +154,7 @@ SELECT libid, is_orphan, CAST(count(*) AS BIGINT) AS n, CAST(sum(site) AS BIGINT
 def assigned_export(spark, sf_dir):
     """Kept and orphan UMIs written side by side, and counted from the written files."""
     out = fresh_dir(spark, "assigned")
-    placed = assigned(spark, sf_dir)
+    placed = stage(assigned(spark, sf_dir))
     sinks.write_assigned(um.merge_sites(placed), um.orphan_groups(placed), out, "umis_at_cs")
 
     def counted_lines(name: str, orphan: bool):

@@ -106,3 +106,16 @@ def test_a_malformed_line_of_a_blocked_bed_fails(spark, tmp_path):
     conditions = spark.createDataFrame([("A", str(tmp_path / "A.bed.gz"))], "libid string, fpath string")
     with pytest.raises(Exception, match="(?i)malformed"):
         tb.read_condition_counts(spark, conditions).collect()
+
+
+def test_search_in_a_cell_is_a_plain_column(spark):
+    """No function over list elements, which Spark does not compile; dense and sparse cells, both ends and ties."""
+    rng = random.Random(3)
+    places = sorted({*rng.sample(range(20_000), 6_000), *rng.sample(range(200_000), 40), 9_000_000})
+    sites = spark.createDataFrame([("chr1", p) for p in places], "chrom string, start long")
+    asked = [-70_000, -1, 0, 16_383, 16_384, 8_999_999, 9_000_000, 50_000_000, *rng.sample(range(210_000), 3_000)]
+    points = spark.createDataFrame([("chr1", p) for p in asked], "chrom string, pos long")
+    for most in (None, 0):
+        found = nearest(points, index_sites(sites, max_bytes=most))
+        assert "lambda" not in found._jdf.queryExecution().optimizedPlan().toString().lower()
+        assert {r.pos: r.site for r in found.collect()} == {p: min(places, key=lambda s: (abs(s - p), s)) for p in asked}
