@@ -7,6 +7,8 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
+from cutgrid.functions import sizing
+from cutgrid.operators import bins as bn
 from cutgrid.operators.intervals import index_sites, nearest
 from cutgrid.sources import bgzf, blocks, fastq, ordered, sinks, tables as tb
 
@@ -119,3 +121,36 @@ def test_search_in_a_cell_is_a_plain_column(spark):
         found = nearest(points, index_sites(sites, max_bytes=most))
         assert "lambda" not in found._jdf.queryExecution().optimizedPlan().toString().lower()
         assert {r.pos: r.site for r in found.collect()} == {p: min(places, key=lambda s: (abs(s - p), s)) for p in asked}
+
+
+@pytest.mark.parametrize("limit", ["0", "10m"])
+def test_tasks_of_a_universe_follow_its_rows(spark, monkeypatch, limit):
+    """Rows per task stay the same, whatever the tables' size; repeated counts and keys without values stay what a left join makes of them."""
+    monkeypatch.setattr(sizing, "TASK_ROWS", 1000, raising=False)
+    kept = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+    try:
+        odd = spark.createDataFrame([("A", "chr1", 1, 50), ("A", "chr1", None, 7), ("B", None, 2, 8), (None, "chr1", 3, 9)],
+                                    "libid string, chrom string, start long, score long")
+        counts = spark.range(6000).select(F.when(F.col("id") % 2 == 0, "A").otherwise("B").alias("libid"), F.lit("chr1").alias("chrom"),
+                                          (F.col("id") * 2 % 8191).alias("start"), (F.col("id") % 7 + 1).alias("score")).unionByName(odd)
+        sites = spark.range(4000).select(F.lit("chr1").alias("chrom"), F.col("id").alias("start")).unionByName(
+            spark.createDataFrame([("chr1", None), ("chr1", 5), (None, 2)], "chrom string, start long"))
+        libraries = spark.createDataFrame([("A",), ("B",), ("B",), ("C",)], "libid string")
+        found = bn.universe_sites(counts, sites, libraries)
+        got = sorted(map(str, found.collect()))
+        if limit == "0":
+            sizes = [n for n in found.rdd.mapPartitions(lambda rows: [sum(1 for _ in rows)]).collect() if n]
+            assert len(sizes) >= 12 and max(sizes) <= 1500
+        have = {}
+        for r in counts.collect():
+            have.setdefault((r.libid, r.chrom, r.start), []).append(r.score)
+        wanted = [(lib, r.chrom, r.start, score) for r in sites.distinct().collect() for lib in "ABC"
+                  for score in ([0] if r.chrom is None or r.start is None else have.get((lib, r.chrom, r.start), [0]))]
+        row = type(found.first())
+        assert got == sorted(str(row(libid=a, chrom=b, start=c, score=x)) for a, b, c, x in wanted)
+        none = bn.universe_sites(counts.limit(0), sites, libraries).agg(F.count("*"), F.sum("score")).first()
+        assert tuple(none) == (3 * 4002, 0)
+        assert bn.universe_sites(counts, sites, libraries.limit(0)).count() == 0
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", kept)
