@@ -3,13 +3,16 @@
 import gzip
 import json
 import random
+import re
 
 import pytest
 from pyspark.sql import functions as F
 
 from cutgrid.functions import sizing
-from cutgrid.operators import bins as bn, umis as um
-from cutgrid.operators.intervals import index_sites, nearest
+from cutgrid.operators import bins as bn, scores as sc, umis as um
+from cutgrid.operators.intervals import index_sites, intervals_outside_mask, nearest
+from cutgrid.params import ScoreParams
+from cutgrid.plans.score import score
 from cutgrid.sources import bgzf, blocks, fastq, ordered, sinks, tables as tb
 
 
@@ -171,3 +174,37 @@ def test_tasks_of_a_universe_follow_its_rows(spark, monkeypatch, limit):
         assert bn.universe_sites(counts, sites, libraries.limit(0)).count() == 0
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", kept)
+
+
+def test_bins_made_out_of_lengths_are_measured(spark, tmp_path):
+    """The file of lengths has a few bytes and its bins do not, so the planner must not broadcast them on its own."""
+    (tmp_path / "sizes").write_text("chr1\t0\t4000000\nchr2\t0\t900\n")
+    (tmp_path / "mask").write_text("".join(f"chr1\t{p}\t{p + 1500}\tm\n" for p in range(0, 4_000_000, 100_000)))
+    rng = random.Random(5)
+    points = [("chr1", rng.randrange(4_000_000)) for _ in range(400)] + [("chr2", 5)]
+    sites = spark.createDataFrame(points, "chrom string, start long").distinct()
+    counts = spark.createDataFrame([(lib, c, p, 1 + p % 3) for lib in "AB" for c, p in {*points}], "libid string, chrom string, start long, score long")
+    conditions = spark.createDataFrame([("E", "1min", 1, "A"), ("E", "5min", 2, "B")], "exid string, cond string, cond_order int, libid string")
+    params = ScoreParams(bin_tags="1e3:1e3", site_domain="universe", chromosome_wide=True)
+    sizes, mask = tb.read_bed(spark, str(tmp_path / "sizes"), 3), tb.read_bed(spark, str(tmp_path / "mask"))
+    kept, scored, seen = spark.conf.get("spark.sql.autoBroadcastJoinThreshold"), {}, []
+
+    def noted(rates, *more):
+        seen.append(rates._jdf.queryExecution().executedPlan().toString())
+        return bin_scores(rates, *more)
+
+    bin_scores = sc.bin_scores
+    for limit in ("50k", "100m"):
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+        try:
+            with pytest.MonkeyPatch.context() as patched:
+                patched.setattr(sc, "bin_scores", noted)
+                scored[limit] = sorted(map(str, score(counts, conditions, sizes, params, sites=sites, mask=mask).collect()))
+            left = intervals_outside_mask(bn.make_bins(sizes, params.tags), mask)
+            seen.append(left._jdf.queryExecution().executedPlan().toString())
+            assert left.count() == 4001 - 40 * 2
+        finally:
+            spark.conf.set("spark.sql.autoBroadcastJoinThreshold", kept)
+    joined = [re.findall(r"BroadcastHashJoin \[(?:bin_tag#\d+, chrom|chrom#\d+, (?:start|end))", plan) for plan in seen]
+    assert [len(found) for found in joined[:2]] == [0, 0] and joined[2]
+    assert scored["50k"] == scored["100m"] and scored["50k"]
