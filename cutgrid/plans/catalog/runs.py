@@ -66,14 +66,14 @@ def _flagged_read() -> Column:
 
 
 def _write_sam(alignments: DataFrame, path: str) -> None:
-    """One file `<library>.sam` each."""
+    """One file `<library>.sam.gz` of blocked gzip each."""
     line = F.concat_ws(
         "\t", _flagged_read(), F.col("flag").cast("string"), "chrom", F.col("pos").cast("string"),
         F.col("mapq").cast("string"), "cigar", F.lit("*"), F.lit("0"), F.lit("0"), F.lit("*"), F.lit("*"),
         F.when(F.col("multi"), "AS:i:0\tXS:i:-5").otherwise("AS:i:0"),
     )
     pieces = alignments.select("libid", "read_id", F.lit(True).alias("opens"), line.alias("text"))
-    write_ordered(pieces, path, ["read_id"], "{libid}.sam", compress=False)
+    write_ordered(pieces, path, ["read_id"], "{libid}.sam")
 
 
 _COUNTED = [c for c in sm.SUMMARY_COLUMNS if c not in ("prep_run", "library_id")]

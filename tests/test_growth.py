@@ -12,8 +12,10 @@ from cutgrid.functions import sizing
 from cutgrid.operators import bins as bn, scores as sc, umis as um
 from cutgrid.operators.intervals import index_sites, intervals_outside_mask, nearest
 from cutgrid.params import ScoreParams
+from cutgrid.plans.catalog import runs
 from cutgrid.plans.score import score
 from cutgrid.sources import bgzf, blocks, fastq, ordered, sinks, tables as tb
+from cutgrid.sources.sam import read_sam
 
 
 def test_small_ranges_share_tasks(tmp_path):
@@ -208,3 +210,33 @@ def test_bins_made_out_of_lengths_are_measured(spark, tmp_path):
     joined = [re.findall(r"BroadcastHashJoin \[(?:bin_tag#\d+, chrom|chrom#\d+, (?:start|end))", plan) for plan in seen]
     assert [len(found) for found in joined[:2]] == [0, 0] and joined[2]
     assert scored["50k"] == scored["100m"] and scored["50k"]
+
+
+def test_alignments_are_blocked_gzip_and_read_in_ranges(spark, tmp_path):
+    """What a run writes takes little disk and no task reads a whole library; plain and ordinary gzip files beside it are read as before."""
+    rows = [("A" if i % 3 else "B+ %x", f"r{i:05d}", 16 * (i % 2), "chr1", i, i % 50, "4M", i % 7 == 0, "ACGT", "IIII") for i in range(6000)]
+    table = spark.createDataFrame(rows, "libid string, read_id string, flag int, chrom string, pos long, mapq int, cigar string, multi boolean, "
+                                        "umi string, umi_qual string")
+    runs._write_sam(table, str(tmp_path / "sam"))
+    assert sorted(p.name for p in (tmp_path / "sam").iterdir() if p.suffix == ".gz") == ["A.sam.gz", "B+ %x.sam.gz"]
+    assert all(bgzf.size_at(p.read_bytes()) for p in (tmp_path / "sam").glob("*.gz"))
+    text = "".join(f"x{i}~~umi~AC~~qumi~II\t0\tchr2\t{i}\t40\t4M\t*\t0\t0\t*\t*\n" for i in range(2000)).encode()
+    (tmp_path / "sam" / "A.sam.gz").write_bytes(b"".join(  # members end inside lines
+        bgzf.member(part) for whole in [gzip.decompress((tmp_path / "sam" / "A.sam.gz").read_bytes())]
+        for part in (whole[at:at + 9001] for at in range(0, len(whole), 9001))) + bgzf.END)
+    (tmp_path / "sam" / "C.more.sam").write_bytes(b"@HD\tVN:1\r\n\n" + text)
+    (tmp_path / "sam" / "D.sam.gz").write_bytes(gzip.compress(text))
+    kept = spark.conf.get("spark.sql.files.openCostInBytes")
+    spark.conf.set("spark.sql.files.openCostInBytes", "1k")
+    try:
+        found = read_sam(spark, str(tmp_path / "sam"))
+        tasks = found.filter("libid = 'A'").groupBy(F.spark_partition_id()).count().count()
+        got = {(r.libid, r.read_id): tuple(r)[2:7] + (r.multi,) for r in found.collect()}
+    finally:
+        spark.conf.set("spark.sql.files.openCostInBytes", kept)
+    wanted = {(lib, f"{name}~~umi~{umi}~~qumi~{qual}"): (flag, chrom, pos, mapq, cigar, multi)
+              for lib, name, flag, chrom, pos, mapq, cigar, multi, umi, qual in rows}
+    wanted |= {(lib, f"x{i}~~umi~AC~~qumi~II"): (0, "chr2", i, 40, "4M", False) for lib in "CD" for i in range(2000)}
+    assert got == wanted and found.count() == len(wanted) and tasks > 1
+    (tmp_path / "none").mkdir()
+    assert read_sam(spark, str(tmp_path / "none")).count() == 0
