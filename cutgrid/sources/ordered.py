@@ -20,6 +20,7 @@ from pyspark import TaskContext, cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.datasource import DataSource, DataSourceArrowWriter, WriterCommitMessage
 
+from cutgrid.functions.sizing import shuffles_freed
 from cutgrid.sources import bgzf, blocks
 from cutgrid.sources.blocks import file_system
 
@@ -186,7 +187,8 @@ def write_ordered(
     folder = _made(spark, f"{root}/_parts-{uuid.uuid4().hex}")
     ordered = pieces.withColumn("libid", library).repartitionByRange("libid", *order).sortWithinPartitions("libid", *order)
     options = {"level": str(level)} if compress else {}
-    ordered.select("libid", "opens", "text").write.format("text_parts").mode("append").options(path=folder, **options).save()
+    with shuffles_freed(spark):
+        ordered.select("libid", "opens", "text").write.format("text_parts").mode("append").options(path=folder, **options).save()
     system, inner = file_system(folder)
     with system.open_input_stream(f"{inner}/parts.json") as listed:
         parts = json.loads(listed.read())
@@ -207,7 +209,8 @@ def write_ordered(
                     yield pa.RecordBatch.from_pydict({"target": [row["target"]], "bytes": [size]})
 
         # `collect` brings a name and a size per file.
-        rows.repartition(min(len(files), 10_000), "target").mapInArrow(copy, "target string, bytes long").collect()
+        with shuffles_freed(spark):
+            rows.repartition(min(len(files), 10_000), "target").mapInArrow(copy, "target string, bytes long").collect()
     where = spark._jvm.org.apache.hadoop.fs.Path(folder)
     where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
 

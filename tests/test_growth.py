@@ -4,6 +4,7 @@ import gzip
 import json
 import random
 import re
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -240,3 +241,25 @@ def test_alignments_are_blocked_gzip_and_read_in_ranges(spark, tmp_path):
     assert got == wanted and found.count() == len(wanted) and tasks > 1
     (tmp_path / "none").mkdir()
     assert read_sam(spark, str(tmp_path / "none")).count() == 0
+
+
+def test_shuffles_go_when_their_query_ends(spark, tmp_path):
+    """Neither staged tables nor ordered files leave what was shuffled for them until the driver collects its garbage."""
+    def shuffled():
+        blocks_on_disk = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllBlocks()
+        return {name for name in re.findall(r"shuffle_(\d+)_", blocks_on_disk.mkString(" "))}
+
+    def left(make):
+        before = shuffled()
+        make()
+        until = time.time() + 20
+        while (more := shuffled() - before) and time.time() < until:
+            time.sleep(0.2)
+        return more
+
+    rows = spark.range(2000).select(F.lit("A").alias("libid"), F.col("id").alias("pos"), F.lit(True).alias("opens"), F.col("id").cast("string").alias("text"))
+    kept = spark.conf.get(sizing._CLEANUP)
+    assert not left(lambda: sizing.stage(rows.repartition(3, "pos")))
+    assert not left(lambda: ordered.write_ordered(rows, str(tmp_path / "out"), ["pos"]))
+    assert spark.conf.get(sizing._CLEANUP) == kept
+    assert gzip.decompress((tmp_path / "out" / "A.txt.gz").read_bytes()).split() == [str(i).encode() for i in range(2000)]
